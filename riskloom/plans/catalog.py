@@ -6,6 +6,7 @@ from riskloom.plans import catalog_tables  # noqa: F401
 from riskloom.plans import catalog_features  # noqa: F401
 from riskloom.plans import catalog_scoring  # noqa: F401
 from riskloom.plans import catalog_validation  # noqa: F401
+from riskloom.plans import catalog_metrics  # noqa: F401
 from riskloom.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
