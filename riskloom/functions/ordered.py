@@ -23,11 +23,13 @@ def split_window(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     running_count: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add lag, lead (``{new: source}``) and a running row count within ``keys``.
 
     ``order`` must be a total order within a key and ``chunk`` a non-decreasing
-    function of it.
+    function of it.  ``source`` may name a cheaper table holding the same rows,
+    from which the chunk summaries are then built.
     """
     lag, lead = lag or {}, lead or {}
     keys, order = list(keys), list(order)
@@ -54,7 +56,9 @@ def split_window(
         before = F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1))
         outer_cols.append(F.coalesce(before, F.lit(0)).alias("_rows_before"))
     chunks = (
-        base.groupBy(*keys, "_chunk")
+        (source if source is not None else df)
+        .withColumn("_chunk", chunk)
+        .groupBy(*keys, "_chunk")
         .agg(*summary_aggs)
         .select(
             *[F.col(k).alias(f"_k_{k}") for k in keys],

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.stats import one_value, quantiles, small
 from riskloom.operators.features import (
     CATEGORICAL_FEATURES,
+    FEATURE_KEY,
     LABEL,
     LOOKUP_FEATURES,
     NUMERIC_FEATURES,
@@ -25,6 +26,7 @@ from riskloom.operators.features import (
 )
 from riskloom.operators.governance import HIGH_RISK_QUANTILE, regression_metrics
 from riskloom.operators.scoring import apply_score_rules
+from riskloom.session import work_dir
 
 # Fixed values.
 TEST_PCT = 20
@@ -114,6 +116,17 @@ def gradient_boosting(label: str = LABEL, **overrides) -> GBTRegressor:
     return GBTRegressor(featuresCol=VECTOR, labelCol=label, **{**BOOSTING, **overrides})
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write the rows to the shared work folder and read them back.
+
+    Fitting passes over its input hundreds of times; from a table each pass is
+    a scan instead of the joins behind it, also after an executor is lost.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def labelled(training: DataFrame, label: str = LABEL) -> DataFrame:
     return training.where(F.col(label).isNotNull())
 
@@ -122,6 +135,7 @@ def fit(training: DataFrame, estimator, label: str = LABEL) -> tuple[Model, Data
     """Model fitted on the train part, and the scored test part."""
     rows = labelled(training, label)
     ready = train_test_split(prepare(rows, rows), patient_number())
+    ready = materialize(ready.select(FEATURE_KEY, label, VECTOR, "is_test"), "training")
     model = estimator.fit(ready.where(~F.col("is_test")))
     return model, model.transform(ready.where("is_test"))
 
@@ -156,6 +170,7 @@ def cross_validation_r2(
     """
     rows = labelled(training, label)
     ready = prepare(rows, rows).withColumn("_fold", key_slot(patient_number(), folds))
+    ready = materialize(ready.select(label, VECTOR, "_fold"), "folds")
     scores = []
     for fold in range(folds):
         model = estimator.fit(ready.where(F.col("_fold") != fold))

@@ -8,6 +8,8 @@ from riskloom.plans import catalog_scoring  # noqa: F401
 from riskloom.plans import catalog_validation  # noqa: F401
 from riskloom.plans import catalog_metrics  # noqa: F401
 from riskloom.plans import catalog_models  # noqa: F401
+from riskloom.plans import catalog_reports  # noqa: F401
+from riskloom.plans import catalog_star  # noqa: F401
 from riskloom.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
