@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,3 +256,104 @@ def categorical_drift(
     return _graded(scores, as_of)
 
 
+
+
+
+def drift_vs_baseline(
+    baseline: DataFrame,
+    current: DataFrame,
+    columns: Sequence[str],
+    window: Column,
+    bins: int = BINS,
+    approx: bool = False,
+) -> DataFrame:
+    """Every window of ``current`` against one baseline table.
+
+    Baseline bins are counted once; windows meet them as one row each.
+    """
+    base = unpivot_numeric(baseline, columns)
+    edges = baseline_edges(base, ["column_name"], bins, approx)
+    everything = F.lit(True)
+    base_counts = (
+        with_bin(base, edges, ["column_name"], bins)
+        .groupBy("column_name")
+        .agg(*bin_counts(everything, "b", bins), F.avg("x").alias("baseline_mean"))
+    )
+    long = unpivot_numeric(current, columns, [window.alias("window_start")])
+    counts = (
+        with_bin(long, edges, ["column_name"], bins)
+        .groupBy("window_start", "column_name")
+        .agg(*bin_counts(everything, "c", bins), F.avg("x").alias("window_mean"))
+    )
+    return (
+        counts.join(base_counts, "column_name")
+        .select(
+            "window_start",
+            "column_name",
+            F.lit("BASELINE").alias("drift_type"),
+            F.col("cn").alias("window_count"),
+            (F.col("window_mean") - F.col("baseline_mean")).alias("mean_shift"),
+            psi_of_counts(bins).alias("psi_score"),
+            kl_of_counts(bins).alias("kl_divergence"),
+        )
+        .withColumns(
+            {
+                "drift_severity": drift_severity("psi_score"),
+                "requires_action": drift_requires_action("psi_score"),
+            }
+        )
+    )
+
+
+def drift_consecutive(
+    df: DataFrame,
+    columns: Sequence[str],
+    window: Column,
+    bins: int = BINS,
+    approx: bool = False,
+) -> DataFrame:
+    """Every window against the active window before it.
+
+    Each row takes part twice: as current value of its own window and as
+    baseline of the next.  The table of windows is bounded by the time span.
+    """
+    marked = df.withColumn("_w", window)
+    windows = marked.select("_w").distinct()
+    following = small(
+        windows.select(
+            F.col("_w").alias("_w0"),
+            F.lead("_w").over(Window.partitionBy(F.lit(0)).orderBy("_w")).alias("_next"),
+        )
+    )
+    long = unpivot_numeric(marked, columns, [F.col("_w")]).join(
+        following, F.col("_w") == F.col("_w0")
+    )
+    roles = F.array(
+        F.struct(F.col("_w").alias("window_start"), F.lit(False).alias("_base")),
+        F.struct(F.col("_next").alias("window_start"), F.lit(True).alias("_base")),
+    )
+    keys = ["window_start", "column_name"]
+    rows = long.select("column_name", "x", F.inline(roles)).where(
+        F.col("window_start").isNotNull()
+    )
+    edges = baseline_edges(rows.where("_base"), keys, bins, approx)
+    base, now = F.col("_base"), ~F.col("_base")
+    shift = F.avg(F.when(now, F.col("x"))) - F.avg(F.when(base, F.col("x")))
+    counts = (
+        with_bin(rows, edges, keys, bins)
+        .groupBy(*keys)
+        .agg(*bin_counts(base, "b", bins), *bin_counts(now, "c", bins), shift.alias("mean_shift"))
+    )
+    return counts.select(
+        *keys,
+        F.lit("CONSECUTIVE").alias("drift_type"),
+        F.col("cn").alias("window_count"),
+        "mean_shift",
+        psi_of_counts(bins).alias("psi_score"),
+        kl_of_counts(bins).alias("kl_divergence"),
+    ).withColumns(
+        {
+            "drift_severity": drift_severity("psi_score"),
+            "requires_action": drift_requires_action("psi_score"),
+        }
+    )
