@@ -11,6 +11,7 @@ from riskloom.plans import catalog_models  # noqa: F401
 from riskloom.plans import catalog_reports  # noqa: F401
 from riskloom.plans import catalog_star  # noqa: F401
 from riskloom.plans import catalog_monitoring  # noqa: F401
+from riskloom.plans import catalog_streams  # noqa: F401
 from riskloom.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
