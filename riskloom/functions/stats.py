@@ -81,8 +81,7 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _bucket(x: Column) -> Column:
-    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(QUANTILE_RESOLUTION))
+BUCKET = f"floor(signum(_x) * log1p(abs(_x)) * {QUANTILE_RESOLUTION})"
 
 
 def quantiles(
@@ -93,6 +92,7 @@ def quantiles(
     by: Sequence[str] = (),
     approx: bool = False,
     spread: bool = False,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Quantiles with linear interpolation, one row per group of ``by``.
 
@@ -100,11 +100,13 @@ def quantiles(
     reads the column twice; its second read is filtered by the table of wanted
     buckets, which holds at most two rows per group and probability and is
     broadcast behind a size check (``spread=True`` joins it by shuffle).
+    ``few_groups=True`` states that the groups are a fixed list, such as column
+    names, so that their number needs no check.
     Nulls and NaN are ignored; a group without values has no row.
     """
     by = list(by)
     x = _col(column).cast("double")
-    values = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    values = df.select(*by, x.alias("_x")).where("_x IS NOT NULL AND NOT isnan(_x)")
     if approx:
         sketch = values.groupBy(*by).agg(
             F.percentile_approx("_x", list(probs), 100_000).alias("_q")
@@ -113,7 +115,7 @@ def quantiles(
             *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)]
         )
 
-    values = values.withColumn("_b", _bucket(F.col("_x")))
+    values = values.withColumn("_b", F.expr(BUCKET))
     group = Window.partitionBy(*(by or [F.lit(0)]))
     upto = F.sum("_n").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
     histogram = (
@@ -127,17 +129,12 @@ def quantiles(
             F.sum("_n").over(group).alias("_total"),
         )
     )
-    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
-
-    def holds(rank: Column, start: Column, end: Column) -> Column:
-        return (rank >= start) & (rank < end)
-
-    wanted = F.lit(False)
-    for pos in positions:
-        for rank in (F.floor(pos), F.ceil(pos)):
-            wanted = wanted | holds(rank, F.col("_before"), F.col("_upto"))
-    targets = histogram.where(wanted).select(*by, "_b", "_before", "_total")
-    if not spread:
+    ranks = _ranks(probs)
+    targets = histogram.where(f"exists({ranks}, k -> k >= _before AND k < _upto)")
+    targets = targets.select(*by, "_b", "_before", "_total")
+    if not by or few_groups:
+        targets = F.broadcast(targets)
+    elif not spread:
         targets = small(targets)
     targets = targets.select(*[F.col(c).alias(f"_t{c}") for c in targets.columns])
     joined = values.join(
@@ -164,22 +161,42 @@ def quantiles(
             (F.col("_before") + run).alias("_end"),
         )
     )
-    picks = []
-    for i, pos in enumerate(positions):
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = holds(rank, F.col("_start"), F.col("_end"))
-            picks.append(F.max(F.when(hit, F.col("_x"))).alias(f"_{side}{i}"))
-    found = ranked.groupBy(*by).agg(F.max("_total").alias("_total"), *picks)
-    out = []
-    for i, (pos, name) in enumerate(zip(positions, names, strict=True)):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        t = pos - F.floor(pos)
-        step = hi - lo
-        # The half nearer the upper neighbour is measured from it, so that a
-        # position that is a whole rank up to rounding lands on the value.
-        value = F.when(lo == hi, lo).when(t >= 0.5, hi - step * (1 - t)).otherwise(lo + step * t)
-        out.append(value.alias(name))
-    return found.select(*by, *out)
+    hits = F.expr(f"filter({ranks}, k -> k >= _start AND k < _end)")
+    found = (
+        ranked.select(*by, "_x", "_total", F.explode(hits).alias("_k"))
+        .groupBy(*by)
+        # At most two entries per probability.
+        .agg(
+            F.max("_total").alias("_total"),
+            F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_at"),
+        )
+    )
+    return found.select(
+        *by, *[_interpolated(p).alias(name) for p, name in zip(probs, names, strict=True)]
+    )
+
+
+# SQL text: one call to the JVM where the same expression composed from Column
+# objects takes dozens.
+def _ranks(probs: Sequence[float]) -> str:
+    """Zero-based ranks next to each probability's position."""
+    literals = ", ".join(f"{float(p)!r}D" for p in probs)
+    return (
+        f"array_distinct(flatten(transform(array({literals}), "
+        "p -> array(floor(p * (_total - 1)), ceil(p * (_total - 1))))))"
+    )
+
+
+def _interpolated(p: float) -> Column:
+    position = f"({float(p)!r}D * (_total - 1))"
+    lo, hi = f"_at[floor({position})]", f"_at[ceil({position})]"
+    t = f"({position} - floor({position}))"
+    # The half nearer the upper neighbour is measured from it, so that a
+    # position that is a whole rank up to rounding lands on the value.
+    return F.expr(
+        f"CASE WHEN {lo} = {hi} THEN {lo} WHEN {t} >= 0.5D THEN {hi} - ({hi} - {lo}) * (1 - {t}) "
+        f"ELSE {lo} + ({hi} - {lo}) * {t} END"
+    )
 
 
 def moments(column: Column | str, prefix: str = "") -> list[Column]:

@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.rules import drift_requires_action, drift_severity
-from riskloom.functions.stats import quantiles, ratio, small
+from riskloom.functions.stats import quantiles, small
 from riskloom.sources.tables import current_records
 
 # Fixed values.
@@ -42,7 +41,7 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[Column
         for c in columns
     ]
     long = df.select(*keep, F.inline(F.array(*pairs)))
-    return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return long.where("x IS NOT NULL AND NOT isnan(x)")
 
 
 def baseline_edges(
@@ -51,55 +50,55 @@ def baseline_edges(
     """Quantile edges per key as columns ``_e0 .. _eN``."""
     names = _edge_names(bins)
     probs = [i / bins for i in range(bins + 1)]
-    edges = quantiles(long, "x", probs, names, by=keys, approx=approx)
+    # Groups of column names alone are as few as the columns asked for.
+    few = list(keys) == ["column_name"]
+    edges = quantiles(long, "x", probs, names, by=keys, approx=approx, few_groups=few)
     return edges.withColumn(names[-1], F.col(names[-1]) + LAST_EDGE_STEP)
 
 
 def with_bin(long: DataFrame, edges: DataFrame, keys: Sequence[str], bins: int = BINS) -> DataFrame:
     """Bin number 1..N of each value; other numbers lie outside all bins."""
-    joined = long.join(small(edges), list(keys))
+    few = list(keys) == ["column_name"]
+    joined = long.join(F.broadcast(edges) if few else small(edges), list(keys))
     names = _edge_names(bins)
-    x = F.col("x")
-    below = reduce(lambda a, b: a + b, [(F.col(e) <= x).cast("int") for e in names])
-    index = F.when(x == F.col(names[-1]), bins).otherwise(below)
+    below = " + ".join(f"int({e} <= x)" for e in names)
+    index = F.expr(f"CASE WHEN x = {names[-1]} THEN {bins} ELSE {below} END")
     return joined.withColumn("_bin", index).drop(*names)
 
 
-def bin_counts(side: Column, prefix: str, bins: int = BINS) -> list[Column]:
-    return [F.count_if(side).alias(f"{prefix}n")] + [
-        F.count_if(side & (F.col("_bin") == i)).alias(f"{prefix}{i}") for i in range(1, bins + 1)
+# The scores are SQL text over count columns ``bn, b1 .. bN`` (baseline) and
+# ``cn, c1 .. cN`` (current): one call to the JVM instead of hundreds.
+def bin_counts(side: str, prefix: str, bins: int = BINS) -> list[Column]:
+    """Rows of a side (a SQL condition) in total and per bin."""
+    return [F.expr(f"count_if({side}) AS {prefix}n")] + [
+        F.expr(f"count_if({side} AND _bin = {i}) AS {prefix}{i}") for i in range(1, bins + 1)
     ]
 
 
-def _floored(count: Column, total: Column, floor: float) -> Column:
-    return F.when(count == 0, F.lit(floor)).otherwise(ratio(count, total))
-
-
-def _sum(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+def _floored(count: str, total: str, floor: float) -> str:
+    return f"(CASE WHEN {count} = 0 THEN double({floor!r}) ELSE {count} / double({total}) END)"
 
 
 def psi_of_counts(bins: int = BINS) -> Column:
-    """From ``b*`` (baseline) and ``c*`` (current) counts; an empty side gives 0."""
-    parts = []
+    """An empty side gives 0."""
+    terms = []
     for i in range(1, bins + 1):
-        b = _floored(F.col(f"b{i}"), F.col("bn"), PSI_FLOOR)
-        c = _floored(F.col(f"c{i}"), F.col("cn"), PSI_FLOOR)
-        parts.append((c - b) * F.ln(c / b))
-    return F.when((F.col("bn") == 0) | (F.col("cn") == 0), F.lit(0.0)).otherwise(_sum(parts))
+        b, c = _floored(f"b{i}", "bn", PSI_FLOOR), _floored(f"c{i}", "cn", PSI_FLOOR)
+        terms.append(f"({c} - {b}) * ln({c} / {b})")
+    return F.expr(f"CASE WHEN bn = 0 OR cn = 0 THEN 0D ELSE {' + '.join(terms)} END")
 
 
 def kl_of_counts(bins: int = BINS) -> Column:
     """Null when no current value lies inside the bins."""
-    b_in = _sum([F.col(f"b{i}") for i in range(1, bins + 1)])
-    c_in = _sum([F.col(f"c{i}") for i in range(1, bins + 1)])
-    parts = []
+    b_in = "(" + " + ".join(f"b{i}" for i in range(1, bins + 1)) + ")"
+    c_in = b_in.replace("b", "c")
+    terms = []
     for i in range(1, bins + 1):
-        b = _floored(F.col(f"b{i}"), b_in, KL_FLOOR)
-        c = _floored(F.col(f"c{i}"), c_in, KL_FLOOR)
-        parts.append(c * F.ln(c / b))
-    empty = (F.col("bn") == 0) | (F.col("cn") == 0)
-    return F.when(empty, F.lit(0.0)).when(c_in > 0, _sum(parts))
+        b, c = _floored(f"b{i}", b_in, KL_FLOOR), _floored(f"c{i}", c_in, KL_FLOOR)
+        terms.append(f"{c} * ln({c} / {b})")
+    return F.expr(
+        f"CASE WHEN bn = 0 OR cn = 0 THEN 0D WHEN {c_in} > 0 THEN {' + '.join(terms)} END"
+    )
 
 
 def _is_numeric(df: DataFrame, column: str) -> bool:
@@ -132,7 +131,7 @@ def drift_scores(
     edges = baseline_edges(base, ["column_name"], bins, approx)
     binned = with_bin(long, edges, ["column_name"], bins)
     counts = binned.groupBy("column_name").agg(
-        *bin_counts(F.col("_base"), "b", bins), *bin_counts(~F.col("_base"), "c", bins)
+        *bin_counts("_base", "b", bins), *bin_counts("NOT _base", "c", bins)
     )
     scored = counts.select(
         "column_name", psi_of_counts(bins).alias("_psi"), kl_of_counts(bins).alias("_kl"), F.lit(True).alias("_found")
@@ -243,15 +242,15 @@ def categorical_drift(
     totals = counts.groupBy("column_name").agg(F.sum("b").alias("bn"), F.sum("c").alias("cn"))
     joined = counts.join(totals, "column_name")
 
-    def term(floor: float, weight) -> Column:
-        b = _floored(F.col("b"), F.col("bn"), floor)
-        c = _floored(F.col("c"), F.col("cn"), floor)
-        return F.sum(weight(b, c) * F.ln(c / b))
+    def scored(floor: float, weight: str, name: str) -> Column:
+        b, c = _floored("b", "bn", floor), _floored("c", "cn", floor)
+        term = f"{weight.format(b=b, c=c)} * ln({c} / {b})"
+        return F.expr(
+            f"CASE WHEN max(bn) = 0 OR max(cn) = 0 THEN 0D ELSE sum({term}) END AS {name}"
+        )
 
-    empty = (F.max("bn") == 0) | (F.max("cn") == 0)
     scores = joined.groupBy("column_name").agg(
-        F.when(empty, 0.0).otherwise(term(PSI_FLOOR, lambda b, c: c - b)).alias("psi_score"),
-        F.when(empty, 0.0).otherwise(term(KL_FLOOR, lambda b, c: c)).alias("kl_divergence"),
+        scored(PSI_FLOOR, "({c} - {b})", "psi_score"), scored(KL_FLOOR, "{c}", "kl_divergence")
     )
     return _graded(scores, as_of)
 
@@ -273,17 +272,16 @@ def drift_vs_baseline(
     """
     base = unpivot_numeric(baseline, columns)
     edges = baseline_edges(base, ["column_name"], bins, approx)
-    everything = F.lit(True)
     base_counts = (
         with_bin(base, edges, ["column_name"], bins)
         .groupBy("column_name")
-        .agg(*bin_counts(everything, "b", bins), F.avg("x").alias("baseline_mean"))
+        .agg(*bin_counts("true", "b", bins), F.avg("x").alias("baseline_mean"))
     )
     long = unpivot_numeric(current, columns, [window.alias("window_start")])
     counts = (
         with_bin(long, edges, ["column_name"], bins)
         .groupBy("window_start", "column_name")
-        .agg(*bin_counts(everything, "c", bins), F.avg("x").alias("window_mean"))
+        .agg(*bin_counts("true", "c", bins), F.avg("x").alias("window_mean"))
     )
     return (
         counts.join(base_counts, "column_name")
@@ -337,12 +335,11 @@ def drift_consecutive(
         F.col("window_start").isNotNull()
     )
     edges = baseline_edges(rows.where("_base"), keys, bins, approx)
-    base, now = F.col("_base"), ~F.col("_base")
-    shift = F.avg(F.when(now, F.col("x"))) - F.avg(F.when(base, F.col("x")))
+    shift = F.expr("avg(CASE WHEN NOT _base THEN x END) - avg(CASE WHEN _base THEN x END)")
     counts = (
         with_bin(rows, edges, keys, bins)
         .groupBy(*keys)
-        .agg(*bin_counts(base, "b", bins), *bin_counts(now, "c", bins), shift.alias("mean_shift"))
+        .agg(*bin_counts("_base", "b", bins), *bin_counts("NOT _base", "c", bins), shift.alias("mean_shift"))
     )
     return counts.select(
         *keys,

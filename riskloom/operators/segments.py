@@ -17,7 +17,6 @@ from riskloom.functions.stats import (
     merged_mean,
     merged_std,
     moments,
-    n_rows,
     pct_of,
     ratio,
 )
@@ -42,18 +41,19 @@ def score_cells(df: DataFrame) -> DataFrame:
     rows = normalize_predictions(df).withColumn(
         "prediction_day", F.date_format("prediction_timestamp", "yyyy-MM-dd")
     )
-    score = F.col(SCORE)
+    counts = {
+        "rows": "count(1)",
+        "high_n": "count_if(high_risk_patient)",
+        "review_n": "count_if(requires_review)",
+        "null_n": f"count_if({SCORE} IS NULL)",
+        "raw_null_n": "count_if(prediction IS NULL)",
+        "negative_n": f"count_if({SCORE} < 0)",
+        "outlier_n": f"count_if({SCORE} > 100)",
+        "lower_sum": "sum(prediction_lower_bound)",
+        "upper_sum": "sum(prediction_upper_bound)",
+    }
     return rows.groupBy(*DIMENSIONS.values()).agg(
-        n_rows().alias("rows"),
-        F.count_if("high_risk_patient").alias("high_n"),
-        F.count_if("requires_review").alias("review_n"),
-        F.count_if(score.isNull()).alias("null_n"),
-        F.count_if(F.col("prediction").isNull()).alias("raw_null_n"),
-        F.count_if(score < 0).alias("negative_n"),
-        F.count_if(score > 100).alias("outlier_n"),
-        F.sum("prediction_lower_bound").alias("lower_sum"),
-        F.sum("prediction_upper_bound").alias("upper_sum"),
-        *moments(score),
+        *[F.expr(f"{sql} AS {name}") for name, sql in counts.items()], *moments(SCORE)
     )
 
 
@@ -93,72 +93,68 @@ def facts(cells: DataFrame, age_order: str = "clinical") -> DataFrame:
     """
     by_age = Window.partitionBy("dimension").orderBy(age_position(age_order), "level")
     rows = segments(cells).withColumn("_before", F.lag("avg_risk").over(by_age))
-    dim, level = F.col("dimension"), F.col("level")
-
-    def whole(column: str) -> Column:
-        return F.max(F.when(dim == ALL, F.col(column)))
-
-    def at(dimension: str, label: str, column: str) -> Column:
-        return F.max(F.when((dim == dimension) & (level == label), F.col(column)))
-
-    def over(function, dimension: str, column: str = "avg_risk") -> Column:
-        return function(F.when(dim == dimension, F.col(column)))
-
-    def levels(dimension: str) -> Column:
-        return F.count_if(dim == dimension)
-
-    falls = (dim == "age") & (F.col("avg_risk") < F.col("_before"))
-    figures = {
-        "total": F.coalesce(whole("rows"), F.lit(0).cast("long")),
-        **{c: whole(c) for c in _SUMS[1:]},
-        **{
-            c: whole(c)
-            for c in (
-                "avg_risk",
-                "std_risk",
-                "min_risk",
-                "max_risk",
-                "high_pct",
-                "avg_lower",
-                "avg_upper",
-            )
-        },
-        **{f"{c}_rows": at("category", c, "rows") for c in ("low", "medium", "high", "critical")},
-        "smoker_avg": at("smoking", rules.SMOKER_LABEL, "avg_risk"),
-        "non_smoker_avg": at("smoking", rules.NON_SMOKER_LABEL, "avg_risk"),
-        "smoker_high_pct": at("smoking", rules.SMOKER_LABEL, "high_pct"),
-        "obese_avg": at("bmi", "obese", "avg_risk"),
-        "normal_avg": at("bmi", "normal", "avg_risk"),
-        "region_levels": levels("region"),
-        "region_max": over(F.max, "region"),
-        "region_min": over(F.min, "region"),
-        "gender_levels": levels("gender"),
-        "gender_gap": over(F.max, "gender") - over(F.min, "gender"),
-        "days": levels("day"),
-        "day_mean": over(F.avg, "day"),
-        "day_std": over(F.stddev_pop, "day"),
-        "age_monotonic": ~F.coalesce(F.bool_or(falls), F.lit(False)),
-        "age_levels": levels("age"),
-    }
-    wide = rows.agg(*[c.alias(name) for name, c in figures.items()])
-    total = F.col("total")
-
-    def share(column: str) -> Column:
-        """A label nobody has is 0 %, no rows at all is unknown."""
-        return pct_of(F.coalesce(F.col(column), F.lit(0)), total)
-
-    return wide.withColumns(
-        {
-            **{f"{c}_pct": share(f"{c}_rows") for c in ("low", "medium", "critical")},
-            "null_pct": share("null_n"),
-            "negative_pct": share("negative_n"),
-            "outlier_pct": share("outlier_n"),
-            "review_pct": share("review_n"),
-            "region_disparity": ratio(
-                F.col("region_max") - F.col("region_min"), F.col("region_min")
-            )
-            * 100,
-            "day_cv": ratio(F.col("day_std"), F.col("day_mean")) * 100,
-            "avg_width": F.col("avg_upper") - F.col("avg_lower"),
-        }
-    )
+    wide = rows.selectExpr(*[f"{sql} AS {name}" for name, sql in _FIGURES.items()])
+    return wide.selectExpr("*", *[f"{sql} AS {name}" for name, sql in _DERIVED.items()])
+
+
+# SQL text: one call to the JVM per figure.
+def _whole(column: str) -> str:
+    return f"max(CASE WHEN dimension = '{ALL}' THEN {column} END)"
+
+
+def _at(dimension: str, label: str, column: str) -> str:
+    return f"max(CASE WHEN dimension = '{dimension}' AND level = '{label}' THEN {column} END)"
+
+
+def _over(function: str, dimension: str) -> str:
+    return f"{function}(CASE WHEN dimension = '{dimension}' THEN avg_risk END)"
+
+
+def _levels(dimension: str) -> str:
+    return f"count_if(dimension = '{dimension}')"
+
+
+def _share(column: str) -> str:
+    """A label nobody has is 0 %, no rows at all is unknown."""
+    return f"try_divide(coalesce({column}, 0) * 100D, double(total))"
+
+
+_FIGURES = {
+    "total": f"coalesce({_whole('rows')}, 0L)",
+    **{c: _whole(c) for c in _SUMS[1:]},
+    **{
+        c: _whole(c)
+        for c in (
+            "avg_risk",
+            "std_risk",
+            "min_risk",
+            "max_risk",
+            "high_pct",
+            "avg_lower",
+            "avg_upper",
+        )
+    },
+    **{f"{c}_rows": _at("category", c, "rows") for c in ("low", "medium", "high", "critical")},
+    "smoker_avg": _at("smoking", rules.SMOKER_LABEL, "avg_risk"),
+    "non_smoker_avg": _at("smoking", rules.NON_SMOKER_LABEL, "avg_risk"),
+    "smoker_high_pct": _at("smoking", rules.SMOKER_LABEL, "high_pct"),
+    "obese_avg": _at("bmi", "obese", "avg_risk"),
+    "normal_avg": _at("bmi", "normal", "avg_risk"),
+    "region_levels": _levels("region"),
+    "region_max": _over("max", "region"),
+    "region_min": _over("min", "region"),
+    "gender_levels": _levels("gender"),
+    "gender_gap": f"{_over('max', 'gender')} - {_over('min', 'gender')}",
+    "days": _levels("day"),
+    "day_mean": _over("avg", "day"),
+    "day_std": _over("stddev_pop", "day"),
+    "age_monotonic": "NOT coalesce(bool_or(dimension = 'age' AND avg_risk < _before), false)",
+    "age_levels": _levels("age"),
+}
+_DERIVED = {
+    **{f"{c}_pct": _share(f"{c}_rows") for c in ("low", "medium", "critical")},
+    **{f"{c}_pct": _share(f"{c}_n") for c in ("null", "negative", "outlier", "review")},
+    "region_disparity": "try_divide(region_max - region_min, region_min) * 100",
+    "day_cv": "try_divide(day_std, day_mean) * 100",
+    "avg_width": "avg_upper - avg_lower",
+}

@@ -66,12 +66,17 @@ def _ingest(spark, sf_dir):
         "event_id",
         "event_type",
         "_file_name",
-        F.col("_file_size").alias("file_size"),
-        F.col("_ingested_at").isNotNull().alias("ingested"),
+        (F.col("_file_size") > 0).alias("has_size"),
+        F.col("_ingested_at").isNotNull().alias("has_ingest_time"),
     )
 
 
-register("stream_ingest_files", _ingest)
+register(
+    "stream_ingest_files",
+    _ingest,
+    "SELECT event_id, event_type, 'events.parquet' AS _file_name, true AS has_size, "
+    "true AS has_ingest_time FROM events",
+)
 
 
 def _bronze(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.plans.registry import register
@@ -173,12 +174,26 @@ def _layout(spark, sf_dir):
     )
     path = work_dir(spark, "layout")
     laid = sinks.table_layout(log, path, "prediction_timestamp", files=8)
-    # One row per file: its row count and the time range it covers.
-    return laid.groupBy(F.input_file_name().alias("file")).agg(
-        F.count("*").alias("row_count"),
-        F.min("prediction_timestamp").alias("first_prediction"),
-        F.max("prediction_timestamp").alias("last_prediction"),
-    ).drop("file")
+    # One row per file, then whether any two files overlap in time.
+    files = laid.groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("rows"),
+        F.min("prediction_timestamp").alias("first"),
+        F.max("prediction_timestamp").alias("last"),
+    )
+    before = F.lag("last").over(Window.partitionBy(F.lit(0)).orderBy("first", "last"))
+    return files.withColumn("_overlaps", F.col("first") < before).agg(
+        F.sum("rows").alias("row_count"),
+        F.min("first").alias("first_prediction"),
+        F.max("last").alias("last_prediction"),
+        F.count_if("_overlaps").alias("overlapping_files"),
+    )
 
 
-register("table_layout", _layout)
+register(
+    "table_layout",
+    _layout,
+    oracle(
+        "SELECT count(*) AS row_count, min(prediction_timestamp) AS first_prediction, "
+        "max(prediction_timestamp) AS last_prediction, cast(0 as bigint) AS overlapping_files FROM pred"
+    ),
+)

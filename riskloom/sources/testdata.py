@@ -29,32 +29,24 @@ def _patient_key(column: str):
     return F.concat(F.lit("P"), F.lpad(F.col(column).cast("string"), 8, "0"))
 
 
-def _patient_columns() -> dict:
-    k = F.col("c_custkey")
-    region = (
-        F.when(F.col("n_regionkey") == 0, "NORTHEAST")
-        .when(F.col("n_regionkey") == 1, "NORTHWEST")
-        .when(F.col("n_regionkey") == 2, "SOUTHEAST")
-        .otherwise("SOUTHWEST")
-    )
-    age_slot = (k * 7) % 5
-    category = F
-    for i, label in enumerate(rules.AGE_CATEGORIES_BY_AGE[:-1]):
-        category = category.when(age_slot == i, label)
-    return {
-        "patient_surrogate_key": k,
-        "patient_natural_key": _patient_key("c_custkey"),
-        "patient_gender": F.when(k % 2 == 0, "F").otherwise("M"),
-        "patient_region": region,
-        "patient_age_category": category.otherwise(rules.AGE_CATEGORIES_BY_AGE[-1]),
-        "patient_smoking_status": F.when(
-            (k * 13) % 6 == 0, rules.SMOKER_LABEL
-        ).otherwise(rules.NON_SMOKER_LABEL),
-        "bmi": (F.lit(160) + (k * 37) % 341).cast("double") / F.lit(10.0),
-        "number_of_dependents": (k % 4).cast("int"),
-        "health_risk_score": F.when(k % 10 != 0, (F.lit(25) + (k * 17) % 61).cast("double")),
-        "lifestyle_risk_factors": F.when((k * 13) % 6 == 0, "SMOKING").otherwise("NONE"),
-    }
+_AGE_LABELS = " ".join(
+    f"WHEN {i} THEN '{label}'" for i, label in enumerate(rules.AGE_CATEGORIES_BY_AGE[:-1])
+)
+PATIENT_COLUMNS = {
+    "patient_surrogate_key": "c_custkey",
+    "patient_natural_key": "concat('P', lpad(string(c_custkey), 8, '0'))",
+    "patient_gender": "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+    "patient_region": "CASE n_regionkey WHEN 0 THEN 'NORTHEAST' WHEN 1 THEN 'NORTHWEST' "
+    "WHEN 2 THEN 'SOUTHEAST' ELSE 'SOUTHWEST' END",
+    "patient_age_category": f"CASE (c_custkey * 7) % 5 {_AGE_LABELS} "
+    f"ELSE '{rules.AGE_CATEGORIES_BY_AGE[-1]}' END",
+    "patient_smoking_status": f"CASE WHEN (c_custkey * 13) % 6 = 0 THEN '{rules.SMOKER_LABEL}' "
+    f"ELSE '{rules.NON_SMOKER_LABEL}' END",
+    "bmi": "double(160 + (c_custkey * 37) % 341) / 10D",
+    "number_of_dependents": "int(c_custkey % 4)",
+    "health_risk_score": "CASE WHEN c_custkey % 10 <> 0 THEN double(25 + (c_custkey * 17) % 61) END",
+    "lifestyle_risk_factors": "CASE WHEN (c_custkey * 13) % 6 = 0 THEN 'SMOKING' ELSE 'NONE' END",
+}
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,13 +57,12 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One current row per patient."""
-    cols = _patient_columns()
-    return _customers(spark, sf_dir).select(
-        *[c.alias(name) for name, c in cols.items()],
-        F.lit(1.0).alias("patient_data_quality_score"),
-        F.lit(True).alias("hipaa_deidentification_applied"),
-        F.lit(True).alias("is_current_record"),
-        F.lit("2024-01-30 00:00:00").cast("timestamp_ntz").alias("dimension_last_updated"),
+    return _customers(spark, sf_dir).selectExpr(
+        *[f"{sql} AS {name}" for name, sql in PATIENT_COLUMNS.items()],
+        "1D AS patient_data_quality_score",
+        "true AS hipaa_deidentification_applied",
+        "true AS is_current_record",
+        "TIMESTAMP_NTZ '2024-01-30 00:00:00' AS dimension_last_updated",
     )
 
 
@@ -92,39 +83,39 @@ def dim_patient_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    cols = _patient_columns()
-    return _customers(spark, sf_dir).select(
-        cols["patient_natural_key"].alias("patient_id"),
-        F.concat(F.lit("First"), k.cast("string")).alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        # A few ages and BMIs fall outside the valid range or are missing.
-        F.when(k % 53 == 0, F.lit(None)).otherwise(F.lit(14) + (k * 7) % 76).cast("int").alias("age"),
-        F.concat(F.lit(" "), F.lower(cols["patient_gender"])).alias("sex"),
-        F.lower(cols["patient_region"]).alias("region"),
-        F.when(k % 59 == 0, F.lit(None)).otherwise((F.lit(140) + (k * 37) % 381).cast("double") / F.lit(10.0)).alias("bmi"),
-        ((k * 13) % 6 == 0).alias("smoker"),
-        (k % 4).cast("int").alias("children"),
-        (F.col("c_acctbal") + F.lit(1000.0)).alias("charges"),
+    """Raw patients: stray case and blanks; some ages and BMIs invalid or missing."""
+    c = PATIENT_COLUMNS
+    return _customers(spark, sf_dir).selectExpr(
+        f"{c['patient_natural_key']} AS patient_id",
+        "concat('First', string(c_custkey)) AS first_name",
+        "c_name AS last_name",
+        "CASE WHEN c_custkey % 53 <> 0 THEN int(14 + (c_custkey * 7) % 76) END AS age",
+        f"concat(' ', lower({c['patient_gender']})) AS sex",
+        f"lower({c['patient_region']}) AS region",
+        "CASE WHEN c_custkey % 59 <> 0 THEN double(140 + (c_custkey * 37) % 381) / 10D END AS bmi",
+        "(c_custkey * 13) % 6 = 0 AS smoker",
+        "int(c_custkey % 4) AS children",
+        "c_acctbal + 1000D AS charges",
     )
 
 
 def silver_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    cols = _patient_columns()
-    return _customers(spark, sf_dir).select(
-        cols["patient_natural_key"].alias("patient_id"),
-        (F.lit(18) + (k * 7) % 68).cast("int").alias("age"),
-        cols["patient_gender"].alias("sex"),
-        cols["bmi"].alias("bmi"),
-        cols["number_of_dependents"].alias("children"),
-        ((k * 13) % 6 == 0).alias("smoker"),
-        cols["patient_region"].alias("region"),
-        (F.col("c_acctbal") + F.lit(1000.0)).alias("charges"),
-        cols["patient_age_category"].alias("patient_age_category"),
-        F.when(k % 3 == 0, "LOW_RISK").when(k % 3 == 1, "MODERATE_RISK").otherwise("HIGH_RISK").alias("health_risk_category"),
-        F.concat_ws("_", cols["patient_age_category"], cols["patient_region"]).alias("demographic_segment"),
-        F.lit(1.0).alias("patient_data_quality_score"),
+    c = PATIENT_COLUMNS
+    age_category = c["patient_age_category"]
+    return _customers(spark, sf_dir).selectExpr(
+        f"{c['patient_natural_key']} AS patient_id",
+        "int(18 + (c_custkey * 7) % 68) AS age",
+        f"{c['patient_gender']} AS sex",
+        f"{c['bmi']} AS bmi",
+        f"{c['number_of_dependents']} AS children",
+        "(c_custkey * 13) % 6 = 0 AS smoker",
+        f"{c['patient_region']} AS region",
+        "c_acctbal + 1000D AS charges",
+        f"{age_category} AS patient_age_category",
+        "CASE c_custkey % 3 WHEN 0 THEN 'LOW_RISK' WHEN 1 THEN 'MODERATE_RISK' "
+        "ELSE 'HIGH_RISK' END AS health_risk_category",
+        f"concat_ws('_', {age_category}, {c['patient_region']}) AS demographic_segment",
+        "1D AS patient_data_quality_score",
     )
 
 
@@ -132,31 +123,22 @@ def predictions(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> D
     """Prediction log: scored events joined to the patient row."""
     from riskloom.operators.scoring import apply_score_rules
 
-    events = table(spark, sf_dir, "events")
-    score = F.lit(100.0) * F.col("value") / (F.col("value") + F.lit(40.0))
+    score = "100D * value / (value + 40D)"
     if with_nulls:
-        score = F.when(F.col("event_id") % 97 != 0, score)
-    log = events.select(
-        "event_id",
-        F.col("user_id").alias("_user"),
-        score.alias("prediction"),
-        F.col("ts").alias("prediction_timestamp"),
+        score = f"CASE WHEN event_id % 97 <> 0 THEN {score} END"
+    log = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id AS _user", f"{score} AS prediction", "ts AS prediction_timestamp"
     )
     dim = dim_patients(spark, sf_dir).drop(
         "is_current_record", "dimension_last_updated", "lifestyle_risk_factors"
     )
-    joined = (
-        log.join(dim, log["_user"] == dim["patient_surrogate_key"])
-        .drop("_user")
-        .withColumns(
-            {
-                "customer_id": F.col("patient_natural_key"),
-                "region": F.col("patient_region"),
-                "sex": F.col("patient_gender"),
-                "model_name": F.lit(MODEL_NAME),
-                "model_version": F.lit(MODEL_VERSION),
-            }
-        )
+    joined = log.join(dim, log["_user"] == dim["patient_surrogate_key"]).selectExpr(
+        "* EXCEPT (_user)",
+        "patient_natural_key AS customer_id",
+        "patient_region AS region",
+        "patient_gender AS sex",
+        f"'{MODEL_NAME}' AS model_name",
+        f"'{MODEL_VERSION}' AS model_version",
     )
     return apply_score_rules(joined)
 
