@@ -102,7 +102,8 @@ def quantiles(
     broadcast behind a size check (``spread=True`` joins it by shuffle).
     ``few_groups=True`` states that the groups are a fixed list, such as column
     names, so that their number needs no check.
-    Nulls and NaN are ignored; a group without values has no row.
+    Nulls and NaN are ignored; a group without values has no row, a whole table
+    without values one row of nulls.
     """
     by = list(by)
     x = _col(column).cast("double")

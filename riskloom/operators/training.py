@@ -154,10 +154,13 @@ def evaluate(scored: DataFrame, all_rows: DataFrame, label: str = LABEL) -> Data
 def score_batch(
     dim: DataFrame, features: DataFrame, model: Model, fit_on: DataFrame
 ) -> DataFrame:
-    """Look up features by key, apply the fitted preparation, predict, apply rules."""
-    base = dim.select(F.col("patient_natural_key").alias("customer_id"))
+    """Look up features by key, apply the fitted preparation, predict, apply rules.
+
+    The patient's own columns ride along, so no join back is needed.
+    """
+    base = dim.withColumn(FEATURE_KEY, F.col("patient_natural_key"))
     ready = prepare(feature_lookup(base, features, LOOKUP_FEATURES), fit_on)
-    return apply_score_rules(model.transform(ready).select("customer_id", "prediction"))
+    return apply_score_rules(model.transform(ready).select(*base.columns, "prediction"))
 
 
 def cross_validation_r2(
