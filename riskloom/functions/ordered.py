@@ -30,56 +30,59 @@ def split_window(
     ``order`` must be a total order within a key and ``chunk`` a non-decreasing
     function of it.  ``source`` may name a cheaper table holding the same rows,
     from which the chunk summaries are then built.
+
+    Every chunk is handed a copy of its neighbours' border rows: the last row
+    before it and the first row after it.  A window per (key, chunk) over rows
+    and copies then sees the right neighbours, and the rows themselves are
+    shuffled once, without a join.
     """
     lag, lead = lag or {}, lead or {}
     keys, order = list(keys), list(order)
-    base = df.withColumn("_chunk", chunk)
-    inner = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    prior_cols = sorted(set(lag.values()))
-    next_cols = sorted(set(lead.values()))
-    rows = F.struct(*order)
+    carried = sorted({*lag.values(), *lead.values()})
+    border = F.struct(*carried) if carried else F.struct(F.lit(0).alias("_none"))
+    sort_key = F.struct(*order)
 
-    summary_aggs = [F.count(F.lit(1)).alias("_size")]
-    outer_cols: list[Column] = []
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    rows_out = base
-    if prior_cols:
-        rows_out = rows_out.withColumn("_prev", F.lag(F.struct(*prior_cols)).over(inner))
-        summary_aggs.append(F.max_by(F.struct(*prior_cols), rows).alias("_last"))
-        outer_cols.append(F.lag("_last").over(across).alias("_prev_chunk"))
-    if next_cols:
-        rows_out = rows_out.withColumn("_next", F.lead(F.struct(*next_cols)).over(inner))
-        summary_aggs.append(F.min_by(F.struct(*next_cols), rows).alias("_first"))
-        outer_cols.append(F.lead("_first").over(across).alias("_next_chunk"))
-    if running_count:
-        rows_out = rows_out.withColumn("_rn", F.row_number().over(inner).cast("long"))
-        before = F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1))
-        outer_cols.append(F.coalesce(before, F.lit(0)).alias("_rows_before"))
     chunks = (
         (source if source is not None else df)
         .withColumn("_chunk", chunk)
         .groupBy(*keys, "_chunk")
-        .agg(*summary_aggs)
-        .select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_chunk").alias("_k__chunk"),
-            *outer_cols,
+        .agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.max_by(border, sort_key).alias("_last"),
+            F.min_by(border, sort_key).alias("_first"),
         )
     )
-    condition = rows_out["_chunk"].eqNullSafe(chunks["_k__chunk"])
-    for key in keys:
-        condition = condition & rows_out[key].eqNullSafe(chunks[f"_k_{key}"])
-    joined = rows_out.join(chunks, condition)
+    # One row per chunk from here to the copies.
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    earlier = F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    neighbours = chunks.select(
+        *keys,
+        "_chunk",
+        F.coalesce(earlier, F.lit(0)).alias("_before"),
+        F.lag("_last").over(across).alias("_head"),
+        F.lead("_first").over(across).alias("_tail"),
+    )
+    ends = [F.struct(F.lit(-1).alias("_place"), F.col("_head").alias("_row"))]
+    if lead:
+        ends.append(F.struct(F.lit(1).alias("_place"), F.col("_tail").alias("_row")))
+    # Key columns keep their own values in the copies.
+    copied = [c for c in carried if c not in keys]
+    copies = neighbours.select(*keys, "_chunk", "_before", F.inline(F.array(*ends))).select(
+        *keys, "_chunk", "_before", "_place", *[F.col("_row")[c].alias(c) for c in copied]
+    )
+    rows = df.withColumns(
+        {"_chunk": chunk, "_place": F.lit(0), "_before": F.lit(None).cast("long")}
+    )
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_place", *order)
     out = [F.col(c) for c in df.columns]
-    for name, source in lag.items():
-        inside, outside = F.col("_prev"), F.col("_prev_chunk")
-        out.append(F.when(inside.isNotNull(), inside[source]).otherwise(outside[source]).alias(name))
-    for name, source in lead.items():
-        inside, outside = F.col("_next"), F.col("_next_chunk")
-        out.append(F.when(inside.isNotNull(), inside[source]).otherwise(outside[source]).alias(name))
+    out += [F.lag(source_).over(inside).alias(name) for name, source_ in lag.items()]
+    out += [F.lead(source_).over(inside).alias(name) for name, source_ in lead.items()]
     if running_count:
-        out.append((F.col("_rows_before") + F.col("_rn")).alias(running_count))
-    return joined.select(*out)
+        start = F.first("_before").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        number = F.row_number().over(inside).cast("long") - 1
+        out.append((start + number).alias(running_count))
+    both = rows.unionByName(copies, allowMissingColumns=True)
+    return both.select("_place", *out).where(F.col("_place") == 0).drop("_place")
 
 
 def top_rows(
