@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import rules
 from riskloom.functions.stats import n_rows, one_value, pct, pct_of
-from riskloom.operators.segments import age_position, facts, score_cells, segments
+from riskloom.operators.segments import age_position, cells_of, facts, segments
 from riskloom.sources.tables import current_records
 
 SCORE = "adjusted_prediction"
@@ -81,7 +81,7 @@ FAILING = ("FAIL", "NEGATIVE")
 
 
 def facts_of(df: DataFrame, age_order: str = "clinical") -> DataFrame:
-    return facts(score_cells(df), age_order)
+    return facts(cells_of(df), age_order)
 
 
 def check(
@@ -319,7 +319,7 @@ def smoker_high_risk_rate(
 
 def age_monotonic_check(df: DataFrame, order: str = "clinical") -> DataFrame:
     """Mean risk per age category against the one before, by age or by label."""
-    by_age = segments(score_cells(df)).where(F.col("dimension") == "age")
+    by_age = segments(cells_of(df)).where(F.col("dimension") == "age")
     window = Window.partitionBy("dimension").orderBy(age_position(order), "level")
     everything = Window.partitionBy("dimension")
     falls = F.coalesce(F.col("avg_risk") < F.col("previous_avg_risk"), F.lit(False))

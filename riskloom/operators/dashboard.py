@@ -22,7 +22,7 @@ from riskloom.functions.stats import (
     ratio,
 )
 from riskloom.operators.checks import Roi, facts_of, roi_columns
-from riskloom.operators.segments import score_cells, segments
+from riskloom.operators.segments import cells_of, segments
 from riskloom.sources.tables import lookback_scan, time_literal
 
 SCORE = "adjusted_prediction"
@@ -58,10 +58,12 @@ def volume_metrics(df: DataFrame, days: int) -> DataFrame:
     )
 
 
-def risk_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
+def risk_metrics(
+    df: DataFrame, approx: bool = False, cells: DataFrame | None = None
+) -> DataFrame:
     """Score figures, exact median and 95th percentile, count and share per category."""
     q = quantiles(df, SCORE, [0.5, 0.95], ["median_risk", "p95_risk"], approx=approx)
-    f = facts_of(df)
+    f = facts_of(df if cells is None else cells)
     shares = {}
     for c in CATEGORIES:
         rows = F.coalesce(F.col(f"{c}_rows"), F.lit(0).cast("long"))
@@ -89,7 +91,7 @@ def demographic_metrics(df: DataFrame) -> DataFrame:
     for name, label in DEMOGRAPHIC_BLOCKS.items():
         block = block.when(dim == name, label)
     return (
-        segments(score_cells(df))
+        segments(cells_of(df))
         .where(dim.isin(*DEMOGRAPHIC_BLOCKS))
         .select(
             block.otherwise(F.lit(None)).alias("block"),
@@ -108,7 +110,7 @@ def rounded_disparity(high: Column, low: Column) -> Column:
 
 def regional_metrics(df: DataFrame) -> DataFrame:
     """Per region, with the disparity over all regions on every row."""
-    by_region = segments(score_cells(df)).where(F.col("dimension") == "region")
+    by_region = segments(cells_of(df)).where(F.col("dimension") == "region")
     everything = Window.partitionBy("dimension")
     gap = rounded_disparity(
         F.max("avg_risk").over(everything), F.min("avg_risk").over(everything)
@@ -282,9 +284,15 @@ def dashboard_document(
     roi: Roi = Roi(),
     model_name: str = "insurance_model",
     approx: bool = False,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
-    """All blocks as one nested row."""
+    """All blocks as one nested row.
+
+    ``cells`` may hold the stored rollup of the period; the blocks built from
+    it then share that one small table.
+    """
     recent = lookback_scan(df, days, as_of)
+    rollup = recent if cells is None else cells
 
     def block(one_row: DataFrame) -> Column:
         return one_value(one_row.select(F.struct("*").alias("b")), "b")
@@ -298,10 +306,10 @@ def dashboard_document(
         )
         return one_value(pairs, "m")
 
-    demographic = demographic_metrics(df=recent)
-    regional = regional_metrics(recent)
+    demographic = demographic_metrics(rollup)
+    regional = regional_metrics(rollup)
     measures = ["count", "avg_risk", "high_risk_pct"]
-    facts_row = facts_of(recent)
+    facts_row = facts_of(rollup)
     missing = F.lit(None).cast("string")
     return facts_row.select(
         F.struct(
@@ -310,7 +318,7 @@ def dashboard_document(
             F.lit(model_name).alias("model_name"),
         ).alias("metadata"),
         block(volume_metrics(recent, days)).alias("volume_metrics"),
-        block(risk_metrics(recent, approx)).alias("risk_metrics"),
+        block(risk_metrics(recent, approx, rollup)).alias("risk_metrics"),
         F.struct(
             *[
                 entries(

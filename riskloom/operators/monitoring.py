@@ -27,7 +27,7 @@ from riskloom.functions.stats import (
     ratio,
 )
 from riskloom.operators.checks import check, check_rows, within
-from riskloom.operators.segments import ALL, facts, score_cells, segments
+from riskloom.operators.segments import ALL, cells_of, facts, segments
 from riskloom.sources.tables import lookback_scan
 
 SCORE = "adjusted_prediction"
@@ -172,7 +172,7 @@ def profile_slices(df: DataFrame) -> DataFrame:
     for short, column in SLICES.items():
         name = name.when(dim == short, column)
     return (
-        segments(score_cells(df))
+        segments(cells_of(df))
         .where(dim.isin(ALL, *SLICES))
         .select(
             name.alias("slice_key"),
@@ -328,12 +328,10 @@ def monitored_metrics(
     ``fairness`` has one row per attribute, ``drift`` one per column and
     ``quality`` one for the serving version.
     """
-    cells = score_cells(df)
-    days = segments(cells).where(F.col("dimension") == "day").agg(F.min("rows").alias("n"))
     worst = fairness.agg(F.max("disparity").alias("d"))
     moved = drift.agg(F.max("psi_score").alias("psi"), F.max("kl_divergence").alias("kl"))
-    return facts(cells).select(
-        one_value(days, "n").cast("double").alias("min_daily_predictions"),
+    return facts(cells_of(df)).select(
+        F.col("day_min_rows").cast("double").alias("min_daily_predictions"),
         ratio(F.col("raw_null_n"), F.col("total")).alias("null_rate"),
         one_value(moved, "psi").alias("psi"),
         one_value(moved, "kl").alias("kl"),
@@ -470,7 +468,7 @@ REGION_RATE_GAP_MAX = 10.0
 
 def new_provider_coverage(df: DataFrame) -> DataFrame:
     """Per region: share of the log, and the regional variance and rate gap alerts."""
-    by_region = segments(score_cells(df)).where(F.col("dimension") == "region")
+    by_region = segments(cells_of(df)).where(F.col("dimension") == "region")
     everything = Window.partitionBy("dimension")
     variance = (
         cv(F.stddev_samp("avg_risk").over(everything), F.avg("avg_risk").over(everything)) * 100

@@ -57,6 +57,14 @@ def score_cells(df: DataFrame) -> DataFrame:
     )
 
 
+def cells_of(df: DataFrame) -> DataFrame:
+    """The rollup of a log; a table that already is a rollup is taken as it is.
+
+    Every report below therefore runs on the log or on a stored rollup.
+    """
+    return df if {"rows", "high_n", "m2"}.issubset(df.columns) else score_cells(df)
+
+
 def segments(cells: DataFrame) -> DataFrame:
     """Cells merged per (dimension, level), plus one row for the whole log."""
     levels = [
@@ -146,6 +154,7 @@ _FIGURES = {
     "gender_levels": _levels("gender"),
     "gender_gap": f"{_over('max', 'gender')} - {_over('min', 'gender')}",
     "days": _levels("day"),
+    "day_min_rows": "min(CASE WHEN dimension = 'day' THEN rows END)",
     "day_mean": _over("avg", "day"),
     "day_std": _over("stddev_pop", "day"),
     "age_monotonic": "NOT coalesce(bool_or(dimension = 'age' AND avg_risk < _before), false)",

@@ -7,9 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from riskloom.operators import checks, dashboard, governance
+from riskloom.plans import jobs
 from riskloom.plans.catalog_models import GATE, VERSION_CTE
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import oracle, r, share, since
+from riskloom.session import work_dir
 from riskloom.sources import testdata as td
 from riskloom.sources.tables import batch_date_scan, lookback_scan, table_probe
 
@@ -204,10 +206,52 @@ register(
 
 def _document(spark, sf_dir):
     model = governance.model_metrics(td.scored_versions(spark, sf_dir), td.CHAMPION)
-    return dashboard.dashboard_document(td.predictions(spark, sf_dir), AS_OF, 7, model)
+    cells = jobs.refresh_cells(recent(spark, sf_dir, 7), work_dir(spark, "cells"))
+    return dashboard.dashboard_document(
+        td.predictions(spark, sf_dir), AS_OF, 7, model, cells=cells
+    )
 
 
-register("dashboard_document", _document)
+# The nested fields shown here, by block.
+DOCUMENT_FIELDS = (
+    "volume_metrics.total_predictions",
+    "volume_metrics.unique_patients",
+    "risk_metrics.avg_risk_score",
+    "risk_metrics.median_risk",
+    "risk_metrics.low_count",
+    "regional_metrics.regional_disparity_pct",
+    "quality_metrics.data_completeness_pct",
+    "model_metrics.champion_version",
+    "model_metrics.r2_score",
+    "trend_metrics.volume_change_pct",
+    "business_metrics.estimated_roi_pct",
+)
+register(
+    "dashboard_document",
+    lambda s, p: _document(s, p).select(
+        *DOCUMENT_FIELDS,
+        F.col("demographic_metrics.gender")["F"]["count"].alias("female_count"),
+        F.col("demographic_metrics.smoking_status")["SMOKER"]["avg_risk"].alias("smoker_avg_risk"),
+        F.col("regional_metrics.by_region")["NORTHEAST"]["count"].alias("northeast_count"),
+        F.size("alerts").alias("alert_count"),
+    ),
+    oracle(
+        f"WITH {VERSION_CTE}, {facts_sql(WEEK)}, {ALERTS_SQL.format(disparity=25)}, "
+        f"pv AS (SELECT count(*) AS n FROM pred WHERE {since(14)} AND NOT ({since(7)})) "
+        "SELECT total AS total_predictions, (SELECT count(DISTINCT customer_id) FROM rec) "
+        "AS unique_patients, round(a, 2) AS avg_risk_score, "
+        f"(SELECT round(quantile_cont({A}, 0.5), 2) FROM rec) AS median_risk, "
+        "(SELECT count(*) FILTER (WHERE risk_category = 'low') FROM rec) AS low_count, "
+        "round(rdisp, 2) AS regional_disparity_pct, round(100 - null_pct, 2) AS data_completeness_pct, "
+        "1 AS champion_version, (SELECT round(vm.r2_score, 4) FROM vm WHERE model_version = '1') "
+        "AS r2_score, (SELECT round((total - n) / cast(n as double) * 100, 2) FROM pv) "
+        f"AS volume_change_pct, round({d('roi')}, 2) AS estimated_roi_pct, "
+        "(SELECT count(*) FILTER (WHERE sex = 'F') FROM rec) AS female_count, "
+        "round(sa, 2) AS smoker_avg_risk, "
+        "(SELECT count(*) FILTER (WHERE region = 'NORTHEAST') FROM rec) AS northeast_count, "
+        "cast((SELECT count(*) FROM al) as int) AS alert_count FROM f"
+    ),
+)
 register("metrics_to_json", lambda s, p: dashboard.metrics_to_json(_document(s, p)))
 register(
     "flatten_dashboard_row",

@@ -282,18 +282,48 @@ register(
         f"TIMESTAMP '2024-01-31 00:00:00' AS generated_at FROM pred WHERE {since(7)}"
     ),
 )
-register(
-    "quality_monitoring_summary",
-    lambda s, d: star.quality_monitoring_summary(
+def _quality_summary(spark, sf_dir):
+    dated = td.claims(spark, sf_dir).withColumn("claim_time", F.to_timestamp_ntz("claim_date"))
+    summary = star.quality_monitoring_summary(
         {
-            "dim_patients": (td.dim_patient_rows(s, d), "dimension_last_updated"),
-            "ml_patient_predictions": (td.predictions(s, d), "prediction_timestamp"),
-            "bronze_claims": (
-                td.claims(s, d).withColumn("claim_time", F.to_timestamp_ntz("claim_date")),
-                "claim_time",
-            ),
+            "dim_patients": (td.dim_patient_rows(spark, sf_dir), "dimension_last_updated"),
+            "ml_patient_predictions": (td.predictions(spark, sf_dir), "prediction_timestamp"),
+            "bronze_claims": (dated, "claim_time"),
         },
         AS_OF,
+    )
+    return summary.select(
+        "event_time",
+        "table_name",
+        "status",
+        F.col("freshness.status").alias("freshness_status"),
+        "freshness.commit_freshness",
+        F.col("completeness.status").alias("completeness_status"),
+        "completeness.total_row_count",
+        "completeness.daily_row_count",
+    )
+
+
+register(
+    "quality_monitoring_summary",
+    _quality_summary,
+    oracle(
+        "WITH q AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, max({stamp}) AS t, count(*) AS n, "
+            f"count(*) FILTER (WHERE {stamp} >= TIMESTAMP '2024-01-30 00:00:00') AS k FROM {source}"
+            for name, stamp, source in (
+                ("dim_patients", "dimension_last_updated", "dim_rows"),
+                ("ml_patient_predictions", "prediction_timestamp", "pred"),
+                ("bronze_claims", "cast(claim_date as timestamp)", "claims"),
+            )
+        )
+        + "), s AS (SELECT *, CASE WHEN date_diff('hour', t, TIMESTAMP '2024-01-31') <= 48 THEN 'FRESH' "
+        "ELSE 'STALE' END AS f, CASE WHEN k > 0 THEN 'COMPLETE' ELSE 'NO_RECENT_ROWS' END AS c FROM q) "
+        "SELECT TIMESTAMP '2024-01-31 00:00:00' AS event_time, table_name, CASE WHEN f = 'FRESH' AND "
+        "c = 'COMPLETE' THEN 'HEALTHY' ELSE 'UNHEALTHY' END AS status, f AS freshness_status, "
+        "cast(t as varchar) AS commit_freshness, c AS completeness_status, n AS total_row_count, "
+        "k AS daily_row_count FROM s"
     ),
 )
 
