@@ -73,14 +73,6 @@ def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(kept)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 BUCKET = f"floor(signum(_x) * log1p(abs(_x)) * {QUANTILE_RESOLUTION})"
 
 

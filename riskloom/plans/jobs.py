@@ -55,12 +55,8 @@ def inference_job(
     scored_at: datetime,
     model_name: str,
     model_version: str,
-    salt: int = 1,
 ) -> Scored:
-    """Score all current patients once, write by date, measure the written table.
-
-    A run has a single date; ``salt`` spreads it over that many files.
-    """
+    """Score all current patients once, write by date, measure the written table."""
     patients = features.dedupe_keep_latest(
         current_records(dim), ["patient_natural_key"], features.newest_first()
     )
@@ -72,9 +68,7 @@ def inference_job(
             "model_version": F.lit(model_version),
         }
     )
-    saved = sinks.write_overwrite(
-        sinks.with_partition_date(stamped), path, [PARTITION_DATE], salt=salt
-    )
+    saved = sinks.write_overwrite(sinks.with_partition_date(stamped), path, [PARTITION_DATE])
     return Scored(saved, batch_run_metrics(saved))
 
 
@@ -121,6 +115,7 @@ def refresh_cells(
     rows = time_range(predictions, "prediction_timestamp", since)
     (
         score_cells(rows)
+        .hint("rebalance", CELL_DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", sinks.CODEC)

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import same_keys
 from riskloom.sources.tables import PARTITION_DATE
 
 # Compression of every table the jobs write.
@@ -19,22 +18,15 @@ def with_partition_date(df: DataFrame, column: str = "prediction_timestamp") ->
     return df.withColumn(PARTITION_DATE, F.to_date(column))
 
 
-def write_overwrite(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), salt: int = 1
-) -> DataFrame:
+def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a table including its schema, then read it back.
 
-    With partition columns the rows are first brought together per partition
-    value; ``salt`` splits each value over that many tasks and files so that
-    one dominant day does not end in one task.
+    With partition columns the rows are rebalanced by them first: adaptive
+    execution merges small partition values into one task and splits a dominant
+    one over several, by size at run time.
     """
-    if partition_by:
-        keys = [F.col(c) for c in partition_by]
-        if salt > 1:
-            df = df.repartition(*keys, F.floor(F.rand(7) * salt))
-        else:
-            df = df.repartition(*keys)
-    writer = df.write.mode("overwrite").option("compression", CODEC)
+    writer_input = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = writer_input.write.mode("overwrite").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -118,7 +110,6 @@ __all__ = [
     "feature_table_upsert",
     "incremental_changes",
     "merge_by_key",
-    "same_keys",
     "table_layout",
     "with_partition_date",
     "write_overwrite",
