@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskloom.llm import q_decontaminate, q_line_quality, q_simhash, q_substring
+from riskloom.llm import q_decontaminate, q_line_quality, q_simhash, q_substring, q_token_files
 
-MODULES = (q_line_quality, q_simhash, q_substring, q_decontaminate)
+MODULES = (q_line_quality, q_simhash, q_token_files, q_substring, q_decontaminate)
 
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
