@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from riskloom.llm import q_decontaminate, q_lattice, q_line_quality, q_simhash, q_substring, q_token_files
+from riskloom.llm import (
+    q_chat,
+    q_decontaminate,
+    q_lattice,
+    q_line_quality,
+    q_reshard,
+    q_simhash,
+    q_substring,
+    q_surrogates,
+    q_token_files,
+)
 
-MODULES = (q_line_quality, q_lattice, q_simhash, q_token_files, q_substring, q_decontaminate)
+MODULES = (
+    q_chat,
+    q_line_quality,
+    q_reshard,
+    q_lattice,
+    q_surrogates,
+    q_simhash,
+    q_token_files,
+    q_substring,
+    q_decontaminate,
+)
 
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

@@ -34,7 +34,9 @@ RESULT = ("entities", "n_entities")
 # Honorifics by gender; the name follows after a blank.
 MALE = "Mr|Sir|Herr|Señor|Monsieur|Г-н|κ"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Señora|Madame|Г-жа|κα"
-_NAME = r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"
+_TITLES = "|".join((MALE, MALE.upper(), FEMALE, FEMALE.upper()))
+# One or two words; the second is not the honorific of the next name.
+_NAME = rf"\p{{Lu}}[\p{{L}}'-]+(?: (?!(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+)?"
 
 # What is looked for, in order of precedence.  Patterns are in Java's syntax.
 PATTERNS = {
@@ -45,8 +47,8 @@ PATTERNS = {
     "card": r"(?<![\d.+])\d(?:[ -]?\d){12,18}(?![\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d])",
-    "man": rf"\b(?:{MALE})\.? {_NAME}",
-    "woman": rf"\b(?:{FEMALE})\.? {_NAME}",
+    "man": rf"\b(?:{MALE}|{MALE.upper()})\.? {_NAME}",
+    "woman": rf"\b(?:{FEMALE}|{FEMALE.upper()})\.? {_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 DIGITS = ("card", "ssn", "phone")
@@ -122,8 +124,10 @@ def canonical(raw: Column, kind: Column) -> Column:
     )
 
 
-def _byte(stream: Column, i) -> Column:
-    return F.conv(F.substr(stream, 2 * (i % 64) + 1, F.lit(2)), 16, 10).cast("int")
+def _byte(stream: Column, i: Column | int) -> Column:
+    """Byte i of a keyed stream of 64 bytes in hexadecimal digits."""
+    at = (i if isinstance(i, Column) else F.lit(i)) % 64
+    return F.conv(F.substr(stream, 2 * at + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _pick(words: str, at: Column) -> Column:
@@ -192,7 +196,7 @@ def _name(value: Column, kind: Column, stream: Column, attempt: Column) -> Colum
 
 
 def _address(value: Column, stream: Column) -> Column:
-    octets = [F.lit(1) + (_byte(stream, F.lit(k)) * 256 + _byte(stream, F.lit(k + 8))) % 254 for k in range(4)]
+    octets = [F.lit(1) + (_byte(stream, k) * 256 + _byte(stream, k + 8)) % 254 for k in range(4)]
     return F.concat_ws(".", *[o.cast("string") for o in octets])
 
 
