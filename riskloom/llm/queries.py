@@ -12,9 +12,11 @@ from riskloom.llm import (
     q_substring,
     q_surrogates,
     q_token_files,
+    q_toxicity,
 )
 
 MODULES = (
+    q_toxicity,
     q_chat,
     q_line_quality,
     q_reshard,

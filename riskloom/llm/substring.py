@@ -38,7 +38,9 @@ PERIOD = 31
 COVER = (0, 1, 3, 8, 12, 18)
 ANCHOR = WINDOW - PERIOD + 1
 ROWS = 1 << 17
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
+# Texts that are taken out of a batch together.
+TEXTS = 256
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPANS = "array<struct<start:int,stop:int>>"
 
@@ -85,6 +87,13 @@ def _scattered(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
     return ((doc.astype(np.uint64) * np.uint64(BASES[1])) ^ place.astype(np.uint64)) * np.uint64(BASES[0])
 
 
+def _slices(batches, *names: str):
+    """Rows of the named columns, a few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield from zip(*(batch.column(n).slice(at, TEXTS).to_pylist() for n in names))
+
+
 def _batches(columns: dict[str, np.ndarray]):
     n = len(next(iter(columns.values())))
     for at in range(0, n, ROWS):
@@ -99,14 +108,13 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _anchors(batches):
     words, rolling = Words(), Rolling(BASES[0])
     found: list[tuple] = []
-    for batch in batches:
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            own = words_of(text)
-            if len(own) < WINDOW:
-                continue
-            hashes = rolling.windows(words.of(own), ANCHOR)
-            place = np.flatnonzero(np.isin(np.arange(len(hashes)) % PERIOD, COVER))
-            found.append((hashes[place], np.full(len(place), doc, np.int64), place.astype(np.int32)))
+    for doc, text in _slices(batches, "doc_id", "text"):
+        own = words_of(text)
+        if len(own) < WINDOW:
+            continue
+        hashes = rolling.windows(words.of(own), ANCHOR)
+        place = np.flatnonzero(np.isin(np.arange(len(hashes)) % PERIOD, COVER))
+        found.append((hashes[place], np.full(len(place), doc, np.int64), place.astype(np.int32)))
     if not found:
         return
     key, doc, place = (np.concatenate(c) for c in zip(*found))
@@ -181,16 +189,14 @@ class Windows:
 def _windows(batches):
     windows = Windows()
     found: list[tuple] = []
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "places"))
-        for doc, text, places in zip(*columns):
-            own = words_of(text)
-            if len(own) < WINDOW:
-                continue
-            places = np.asarray(places, dtype=np.int64)
-            at = _candidate_windows(len(own), places[places <= len(own) - ANCHOR])
-            a, b = windows.of(own)
-            found.append((a[at], b[at], np.full(len(at), doc, np.int64), at.astype(np.int32)))
+    for doc, text, places in _slices(batches, "doc_id", "text", "places"):
+        own = words_of(text)
+        if len(own) < WINDOW:
+            continue
+        places = np.asarray(places, dtype=np.int64)
+        at = _candidate_windows(len(own), places[places <= len(own) - ANCHOR])
+        a, b = windows.of(own)
+        found.append((a[at], b[at], np.full(len(at), doc, np.int64), at.astype(np.int32)))
     if not found:
         return
     a, b, doc, at = (np.concatenate(c) for c in zip(*found))
@@ -234,9 +240,13 @@ def _digest(words: list[bytes]) -> str:
 
 def _whole(batches):
     for batch in batches:
-        texts = [words_of(t) for t in batch.column("text").to_pylist()]
+        counts, sums = [], []
+        for (text,) in _slices([batch], "text"):
+            own = words_of(text)
+            counts.append(len(own))
+            sums.append(_digest(own))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(w) for w in texts], pa.int64()), pa.array([_digest(w) for w in texts])],
+            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.string())],
             ["doc_id", "n_words", "words_sha256"],
         )
 
@@ -244,13 +254,14 @@ def _whole(batches):
 def _cut(batches):
     windows = Windows()
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "repeats"))
         rows = []
-        for doc, text, repeats in zip(*columns):
+        repeats = batch.column("repeats")
+        for k, (doc, text) in enumerate(_slices([batch], "doc_id", "text")):
             own = words_of(text)
             n = len(own)
-            at = np.array([r["place"] for r in repeats], dtype=np.int64)
-            told = np.array([r["told"] for r in repeats], dtype=np.int32)
+            values = repeats[k].values
+            at = values.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
+            told = values.field("told").to_numpy(zero_copy_only=False)
             inside = at <= n - WINDOW
             at, told = at[inside], told[inside]
             # Of rows that share an id, each takes its own windows only.

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -55,3 +56,17 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert written(spark, spark.createDataFrame([], SCHEMA))[2].collect() == []
+
+
+def test_words_add_up_to_texts():
+    """Random words of letters, marks, digits and special strings, against whole texts."""
+    rng = random.Random(3)
+    parts = ["a", "Z", "é", "É", "ß", "ÿ", "'s", "'", "don", "the", ".", ",", "!?", "<|", "<|endoftext|>", "7", "42", "ﬁ", "漢", "\u0301", "İ", "_", "-", "…"]
+    tokenizer = Tokenizer.from_file(PATH)
+    encoder = token_files.WordEncoder(PATH)
+    for _ in range(400):
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 30))]
+        own = " ".join(words).encode().split()
+        encoder.learn([own])
+        ids = np.frombuffer(encoder.encode(own), dtype=encoder.kind).tolist()
+        assert ids == tokenizer.encode(" ".join(words), add_special_tokens=False).ids
