@@ -44,6 +44,8 @@ TOKEN_PRIOR, SHARE_PRIOR = 20.0, 2.0
 CAUTION = 1.0
 DRIFT = 0.7
 EXPECTED = 0.01
+# Sums below this many times their number of segments are not large.
+LARGE = 3.0
 REMEMBERED = 1 << 18
 HASH_SEED = 42
 BIN, BINS = 0.5, 200
@@ -177,7 +179,14 @@ class Scores(dict):
         if len(self) > REMEMBERED:
             self.clear()
         words = (text or "").lower().split()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
+        scores = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
+        # A text repeats its words: only the first one of a kind is evidence.
+        seen = set()
+        for at in np.flatnonzero(scores > 0).tolist():
+            if words[at] in seen:
+                scores[at] = -DRIFT
+            seen.add(words[at])
+        return scores
 
 
 def scale_of(values: np.ndarray, weights: np.ndarray) -> float:
@@ -214,15 +223,19 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def evidence(segments: list[tuple[int, int, float]], n: int, scale: float, rate: float) -> float:
-    """Minus the logarithm of the chance of the best sum of a text's r highest segments."""
+    """Minus the logarithm of the chance of the best sum of a text's r highest segments.
+
+    The law of the sum T of r segments, T**(r - 1) exp(-T) / (r! (r - 1)!), holds
+    for sums that are large for r; others are left out.
+    """
     best, total = 0.0, 0.0
     parts = sorted((scale * s - math.log(rate * n) for _, _, s in segments), reverse=True)
     for r, part in enumerate(parts, 1):
         total += part
-        if total <= 0:
+        if part <= 0 or total < LARGE * r:
             break
-        value = total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2)
-        best = max(best, value)
+        value = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2)
+        best = max(best, min(value, total))
     return best
 
 
