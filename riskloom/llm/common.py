@@ -58,3 +58,10 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slices(batches, *names: str, size: int = 256):
+    """Rows of the named columns of Arrow batches, a few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            yield from zip(*(batch.column(n).slice(at, size).to_pylist() for n in names))

@@ -1,9 +1,10 @@
 """Piece encoding of texts by a relational lattice.
 
 A text is cut into units: a word with the blank before it, a run of blanks, a
-line end.  No piece crosses a unit's border, so the best path of a text is the
-best paths of its units, one after the other, and only distinct units are
-solved.  Their substrings of up to the longest piece's length are exploded and
+line end, and these again between any two characters that stand side by side in
+no piece, as a letter and a comma do.  No piece crosses a unit's border, so the
+best path of a text is the best paths of its units, one after the other, and
+only distinct units are solved.  Their substrings of up to the longest piece's length are exploded and
 equi-joined to the piece table, the matches are grouped by unit as the edges of
 its lattice, and a higher-order aggregate folds them into the best path (highest
 sum of scores, on a tie the path whose last piece is longer).  A character that
@@ -24,26 +25,31 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import sentencepiece
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.llm.common import same, stored, without
+from riskloom.llm.common import same, slices, stored, without
 
 BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
 FLUSH = 1 << 18
+REMEMBERED = 1 << 17
 # A model with more pieces than this is refused: the piece table goes to all tasks.
 MOST_PIECES = 1 << 20
 UNKNOWN_PENALTY = 10.0
 UNITS = re.compile(rf"\n|{BLANK}{{1,{UNIT}}}(?![^{BLANK}\n])|{BLANK}?[^{BLANK}\n]{{1,{UNIT}}}")
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RESULT = ("ids", "n_tokens")
+FIGURES = ("n_units", "n_tokens", "ids_print", "n_bad")
 
 
 @dataclass(frozen=True)
@@ -56,6 +62,7 @@ class Model:
     unknown: int
     unknown_score: float
     longest: int
+    neighbours: frozenset[str]
 
 
 def load_model(path: str) -> Model:
@@ -74,13 +81,40 @@ def load_model(path: str) -> Model:
         own.unk_id(),
         min(s for _, _, s in pieces) - UNKNOWN_PENALTY,
         max(len(p) for p, _, _ in pieces),
+        frozenset(a + b for p, _, _ in pieces for a, b in zip(p, p[1:])),
     )
 
 
-def units_of(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return UNITS.findall(BLANK + text.replace(" ", BLANK))
+class Units(dict):
+    """Units of a word between single blanks; those of words seen lately are kept."""
+
+    def __init__(self, model: Model):
+        self.neighbours = model.neighbours
+
+    def _cut(self, text: str) -> list[str]:
+        out = []
+        for unit in UNITS.findall(text):
+            start = 0
+            for at in range(1, len(unit)):
+                if unit[at - 1 : at + 1] not in self.neighbours:
+                    out.append(unit[start:at])
+                    start = at
+            out.append(unit[start:])
+        return out
+
+    def __missing__(self, word: str) -> list[str]:
+        self[word] = units = self._cut(BLANK + word)
+        return units
+
+    def of(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if len(self) > REMEMBERED:
+            self.clear()
+        if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text:
+            # Blanks side by side belong together.
+            return self._cut(BLANK + text.replace(" ", BLANK))
+        return list(chain.from_iterable(map(self.__getitem__, text.split(" "))))
 
 
 def decode(ids: list[int], model: Model) -> str:
@@ -90,15 +124,15 @@ def decode(ids: list[int], model: Model) -> str:
     return out.decode("utf-8", "replace").replace(BLANK, " ")[1:]
 
 
-def unit_counts(docs: DataFrame) -> DataFrame:
+def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
     """(unit, n): how often each unit stands in the texts; summed in tasks first."""
     def run(batches):
+        units = Units(model)
         seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update(units_of(text))
-                if len(seen) > FLUSH:
-                    yield from told(seen)
+        for (text,) in slices(batches, "text"):
+            seen.update(units.of(text))
+            if len(seen) > FLUSH:
+                yield from told(seen)
         yield from told(seen)
 
     def told(seen):
@@ -199,16 +233,30 @@ def _ids(path: Column, unit: Column, model: Model) -> Column:
 
 
 def solved_units(docs: DataFrame, model: Model) -> DataFrame:
-    """The stored dictionary (unit, n, ids) of all distinct units."""
-    found = edges(unit_counts(docs), model).select("unit", "n", best_path(F.col("edges")).alias("path"))
-    return stored(found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids")), "units")
+    """The stored dictionary of all distinct units: unit, n, ids, their hash ``mark``
+    and whether they read back as the unit."""
+    found = edges(unit_counts(docs, model), model).select("unit", "n", best_path(F.col("edges")).alias("path"))
+    ids = found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids"))
+
+    def run(batches):
+        reads = _Reads(model)
+        for batch in batches:
+            units, ids = (batch.column(c).to_pylist() for c in ("unit", "ids"))
+            marks = np.array([unit_hash(np.array(i, np.int32).tobytes()) for i in ids], dtype=np.uint64)
+            good = [reads.ok(u, i) for u, i in zip(units, ids)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(marks.view(np.int64)), pa.array(good, pa.bool_())],
+                ["unit", "n", "ids", "mark", "reads"],
+            )
+
+    return stored(ids.mapInArrow(run, "unit string, n long, ids array<int>, mark long, reads boolean"), "units")
 
 
 def _grade(n: Column) -> Column:
     return F.floor(F.log2(n) * 8).cast("int")
 
 
-def _split(solved: DataFrame) -> tuple[dict[str, np.ndarray], DataFrame]:
+def _split(solved: DataFrame) -> tuple[pa.Table, DataFrame]:
     """The most frequent units, HEAD at most, and a frame of the others.
 
     The counts of some 500 grades of frequency come to the driver, and the
@@ -222,70 +270,69 @@ def _split(solved: DataFrame) -> tuple[dict[str, np.ndarray], DataFrame]:
             break
         least = row.grade
     grade = _grade(F.col("n"))
-    head = solved.where(grade >= least).select("unit", "ids").toArrow()
-    ids = head.column("ids").combine_chunks()
-    offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype(np.int32)
-    table = {u: values[s:e].tobytes() for u, s, e in zip(head.column("unit").to_pylist(), offsets[:-1], offsets[1:])}
-    return table, solved.where(grade < least).select("unit", "ids")
+    return solved.where(grade >= least).drop("n").toArrow(), solved.where(grade < least).drop("n")
+
+
+def _id_bytes(ids: pa.ChunkedArray) -> list[bytes]:
+    return [np.array(i, np.int32).tobytes() for i in ids.to_pylist()]
 
 
-def _shared(spark: SparkSession, table: dict[str, bytes]):
-    return spark.sparkContext.broadcast(table)
+class _Places(dict):
+    """Places in a table; -1 for what is not in it."""
+
+    def __missing__(self, unit: str) -> int:
+        return -1
 
 
 def encode(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``ids``, the piece ids of their whole texts, and n_tokens."""
     docs = without(docs, RESULT)
     table, rest = _split(solved_units(docs, model))
-    head = _shared(docs.sparkSession, table)
+    known = dict(zip(table.column("unit").to_pylist(), _id_bytes(table.column("ids"))))
+    head = docs.sparkSession.sparkContext.broadcast(known)
 
     def rare(batches):
-        known = head.value
+        known, units = head.value, Units(model)
         for batch in batches:
-            ids, units = [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                own = list({u for u in units_of(text) if u not in known})
-                units += own
-                ids += [k] * len(own)
+            at, found = [], []
+            for k, (text,) in enumerate(slices([batch], "text")):
+                own = set(units.of(text)).difference(known)
+                found += own
+                at += [k] * len(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(ids, pa.int64())), pa.array(units, pa.string())], ["doc_id", "unit"]
+                [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["doc_id", "unit"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     per_doc = (
         docs.select("doc_id", "text").mapInArrow(rare, f"doc_id {kind}, unit string").distinct()
-        .join(rest, "unit")
+        .join(rest.select("unit", "ids"), "unit")
         .groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("_rare"))
     )
     joined = docs.alias("d").join(per_doc.alias("r"), same("d", "r", ["doc_id"]), "left").select("d.*", "_rare")
 
     def assemble(batches):
-        known = head.value
+        known, units = head.value, Units(model)
         for batch in batches:
-            out = []
-            for text, own in zip(batch.column("text").to_pylist(), batch.column("_rare").to_pylist()):
-                more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}
-                parts = [known.get(u) or more[u] for u in units_of(text)]
-                out.append(np.frombuffer(b"".join(parts), dtype=np.int32))
-            sizes = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            values = np.concatenate(out) if out else np.zeros(0, np.int32)
-            table = pa.Table.from_batches([batch]).drop_columns(["_rare"])
-            table = table.append_column("ids", pa.ListArray.from_arrays(pa.array(sizes), pa.array(values)))
-            table = table.append_column("n_tokens", pa.array(np.diff(sizes).astype(np.int64)))
-            yield from table.to_batches()
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType(
-        [*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
-    )
-    return joined.mapInArrow(assemble, schema)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = []
+                for text, own in zip(part.column("text").to_pylist(), part.column("_rare").to_pylist()):
+                    more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}
+                    out.append(b"".join([known.get(u) or more[u] for u in units.of(text)]))
+                sizes = np.cumsum([0, *(len(o) // 4 for o in out)]).astype(np.int32)
+                values = np.frombuffer(b"".join(out), dtype=np.int32)
+                table = pa.Table.from_batches([part]).drop_columns(["_rare"])
+                table = table.append_column("ids", pa.ListArray.from_arrays(pa.array(sizes), pa.array(values)))
+                table = table.append_column("n_tokens", pa.array(np.diff(sizes).astype(np.int64)))
+                yield from table.to_batches()
+
+    more = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    return joined.mapInArrow(assemble, T.StructType([*docs.schema.fields, *more]))
 
 
 def decoded(encoded: DataFrame, model: Model) -> DataFrame:
     """The frame with ``decoded``, the text of ``ids``; an empty list gives an empty text."""
-    from pyspark.sql import types as T
-
     def run(batches):
         for batch in batches:
             texts = [decode(ids or [], model) for ids in batch.column("ids").to_pylist()]
@@ -296,10 +343,10 @@ def decoded(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def print_of(places: np.ndarray, hashes: np.ndarray) -> int:
-    """Sum over units of a hash of place and ids: order counts, and parts add up."""
-    mixed = (hashes.astype(np.uint64) + places.astype(np.uint64) * np.uint64(MIX[0])) * np.uint64(MIX[1])
-    return int((mixed >> np.uint64(32)).sum())
+def mixed(places: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Hashes of places and marks, in 32 bits, so that their sums fit."""
+    both = (marks.astype(np.uint64) + places.astype(np.uint64) * np.uint64(MIX[0])) * np.uint64(MIX[1])
+    return (both >> np.uint64(32)).astype(np.int64)
 
 
 def unit_hash(ids: bytes) -> int:
@@ -309,33 +356,34 @@ def unit_hash(ids: bytes) -> int:
 def encoding_figures(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_units, n_tokens, ids_print, n_bad) without moving any text.
 
-    ``ids_print`` adds up ``print_of`` over the units of the document; ``n_bad``
-    counts units that do not decode to themselves.  One row per row; rows that
-    repeat a doc_id with another text are told apart by the text's hash.
+    ``ids_print`` adds up ``mixed`` over the places and the ids of the document's
+    units, so it tells of their order and parts of it add up; ``n_bad`` counts
+    units that do not read back.  One row per row; rows that repeat a doc_id with
+    another text are told apart by the text's hash.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
     table, rest = _split(solved_units(docs, model))
-    reads = _Reads(model)
-    head = _shared(docs.sparkSession, {
-        u: (len(i) // 4, unit_hash(i), not reads.ok(u, np.frombuffer(i, np.int32).tolist())) for u, i in table.items()
-    })
+    sizes = np.array([len(i) for i in table.column("ids").to_pylist()] + [0], dtype=np.int64)
+    marks = np.append(table.column("mark").to_numpy().view(np.uint64), np.uint64(0))
+    bad = np.append(~np.array(table.column("reads").to_pylist(), dtype=bool), False)
+    place_of = {u: k for k, u in enumerate(table.column("unit").to_pylist())}
+    head = docs.sparkSession.sparkContext.broadcast((place_of, sizes, marks, bad))
 
     def run(batches):
-        known = head.value
+        place_of, sizes, marks, bad = head.value
+        place_of, units = _Places(place_of), Units(model)
         for batch in batches:
             rows: list[tuple] = []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                own = units_of(text)
-                values = list(map(known.get, own))
+            for k, (text,) in enumerate(slices([batch], "text")):
+                own = units.of(text)
+                at = np.fromiter(map(place_of.__getitem__, own), dtype=np.int64, count=len(own))
+                hit = np.flatnonzero(at >= 0)
+                known = at[hit]
+                rows.append((k, None, None, len(own), int(sizes[known].sum()), int(mixed(hit, marks[known]).sum()), int(bad[known].sum())))
                 rare: dict[str, list[int]] = {}
-                for at, (unit, value) in enumerate(zip(own, values)):
-                    if value is None:
-                        rare.setdefault(unit, []).append(at)
-                at = np.array([i for i, v in enumerate(values) if v], dtype=np.uint64)
-                hit = [v for v in values if v]
-                rows.append((k, None, None, len(own), sum(v[0] for v in hit),
-                             print_of(at, np.array([v[1] for v in hit], dtype=np.uint64)), sum(v[2] for v in hit)))
+                for place in np.flatnonzero(at < 0).tolist():
+                    rare.setdefault(own[place], []).append(place)
                 rows += [(k, unit, places, 0, 0, 0, 0) for unit, places in rare.items()]
             at, *columns = zip(*rows) if rows else ((),) * 7
             at = pa.array(at, pa.int64())
@@ -345,37 +393,43 @@ def encoding_figures(docs: DataFrame, model: Model) -> DataFrame:
                 ["doc_id", "_h", "unit", "places", *FIGURES],
             )
 
-    FIGURES = ("n_units", "n_tokens", "ids_print", "n_bad")
     sums = ", ".join(f"{c} long" for c in FIGURES)
     found = texts.mapInArrow(run, f"doc_id {kind}, _h long, unit string, places array<int>, {sums}")
     # A document's own row has no unit, and its key spreads these rows.
     keyed = found.withColumn("_key", F.coalesce("unit", F.concat(F.lit("\n\n"), F.col("_h").cast("string"))))
-    joined = keyed.join(rest.withColumnRenamed("unit", "_key"), "_key", "left")
+    solved = rest.select(F.col("unit").alias("_key"), F.size("ids").alias("_size"), "mark", "reads")
+    joined = keyed.join(solved, "_key", "left")
 
     def settle(batches):
-        own = _Reads(model)
         for batch in batches:
-            frame = {c: batch.column(c).to_pylist() for c in ("unit", "places", "ids", *FIGURES)}
-            for k, (unit, places, ids) in enumerate(zip(frame["unit"], frame["places"], frame["ids"])):
-                if unit is None:
-                    continue
-                value = unit_hash(np.array(ids, np.int32).tobytes())
-                frame["n_tokens"][k] = len(ids) * len(places)
-                frame["ids_print"][k] = print_of(np.array(places), np.full(len(places), value, np.uint64))
-                frame["n_bad"][k] = 0 if own.ok(unit, ids) else len(places)
-            # A document's own row stands for one row of the table.
-            rows = [int(u is None) for u in frame["unit"]]
+            own = batch.column("unit").is_null().to_numpy(zero_copy_only=False)
+            places = batch.column("places")
+            many = np.nan_to_num(pa.compute.list_value_length(places).to_numpy(zero_copy_only=False)).astype(np.int64)
+            flat = places.flatten().to_numpy().astype(np.uint64)
+            marks = batch.column("mark").fill_null(0).to_numpy().view(np.uint64)
+            each = np.concatenate([np.zeros(1, np.int64), np.cumsum(mixed(flat, np.repeat(marks, many)))])
+            stops = np.cumsum(many)
+            size = batch.column("_size").fill_null(0).to_numpy()
+            bad = ~batch.column("reads").fill_null(True).to_numpy(zero_copy_only=False)
+            totals = {
+                "n_units": 0 * many, "n_tokens": size * many,
+                "ids_print": each[stops] - each[stops - many], "n_bad": many * bad,
+            }
+            # A document's own row has its sums already and stands for one row of the table.
+            columns = [
+                pa.array(np.where(own, batch.column(c).to_numpy(), totals[c]), pa.int64()) for c in FIGURES
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_h"), *[pa.array(frame[c], pa.int64()) for c in FIGURES], pa.array(rows, pa.int64())],
+                [batch.column("doc_id"), batch.column("_h"), *columns, pa.array(own.astype(np.int64))],
                 ["doc_id", "_h", *FIGURES, "_rows"],
             )
 
-    settled = joined.select("doc_id", "_h", "unit", "places", "ids", *FIGURES).mapInArrow(
+    settled = joined.select("doc_id", "_h", "unit", "places", "_size", "mark", "reads", *FIGURES).mapInArrow(
         settle, f"doc_id {kind}, _h long, {sums}, _rows long"
     )
     totals = settled.groupBy("doc_id", "_h").agg(*[F.sum(c).alias(c) for c in (*FIGURES, "_rows")])
     # Rows that are the same in id and text added up to multiples of one row.
-    each = [(F.col(c) / F.col("_rows")).cast("long").alias(c) for c in FIGURES]
+    each = [F.expr(f"{c} div _rows").alias(c) for c in FIGURES]
     return totals.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows")))).select("doc_id", *each)
 
 

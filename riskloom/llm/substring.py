@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, without, words_of
+from riskloom.llm.common import slices, stored, without, words_of
 
 WINDOW = 50
 PERIOD = 31
@@ -39,8 +39,6 @@ COVER = (0, 1, 3, 8, 12, 18)
 ANCHOR = WINDOW - PERIOD + 1
 ROWS = 1 << 17
 REMEMBERED = 1 << 17
-# Texts that are taken out of a batch together.
-TEXTS = 256
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPANS = "array<struct<start:int,stop:int>>"
 
@@ -87,13 +85,6 @@ def _scattered(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
     return ((doc.astype(np.uint64) * np.uint64(BASES[1])) ^ place.astype(np.uint64)) * np.uint64(BASES[0])
 
 
-def _slices(batches, *names: str):
-    """Rows of the named columns, a few texts at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS):
-            yield from zip(*(batch.column(n).slice(at, TEXTS).to_pylist() for n in names))
-
-
 def _batches(columns: dict[str, np.ndarray]):
     n = len(next(iter(columns.values())))
     for at in range(0, n, ROWS):
@@ -108,7 +99,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _anchors(batches):
     words, rolling = Words(), Rolling(BASES[0])
     found: list[tuple] = []
-    for doc, text in _slices(batches, "doc_id", "text"):
+    for doc, text in slices(batches, "doc_id", "text"):
         own = words_of(text)
         if len(own) < WINDOW:
             continue
@@ -189,7 +180,7 @@ class Windows:
 def _windows(batches):
     windows = Windows()
     found: list[tuple] = []
-    for doc, text, places in _slices(batches, "doc_id", "text", "places"):
+    for doc, text, places in slices(batches, "doc_id", "text", "places"):
         own = words_of(text)
         if len(own) < WINDOW:
             continue
@@ -241,7 +232,7 @@ def _digest(words: list[bytes]) -> str:
 def _whole(batches):
     for batch in batches:
         counts, sums = [], []
-        for (text,) in _slices([batch], "text"):
+        for (text,) in slices([batch], "text"):
             own = words_of(text)
             counts.append(len(own))
             sums.append(_digest(own))
@@ -256,7 +247,7 @@ def _cut(batches):
     for batch in batches:
         rows = []
         repeats = batch.column("repeats")
-        for k, (doc, text) in enumerate(_slices([batch], "doc_id", "text")):
+        for k, (doc, text) in enumerate(slices([batch], "doc_id", "text")):
             own = words_of(text)
             n = len(own)
             values = repeats[k].values

@@ -43,20 +43,24 @@ def plain(unit, model, table):
 
 def expected(text, model, table, memo):
     out, marks, hashes = [], [], []
-    for k, unit in enumerate(lattice.units_of(text)):
+    for k, unit in enumerate(lattice.Units(model).of(text)):
         if unit not in memo:
             memo[unit] = plain(unit, model, table)
         out += memo[unit]
         marks.append(k)
         hashes.append(lattice.unit_hash(np.array(memo[unit], np.int32).tobytes()))
-    mark = lattice.print_of(np.array(marks, np.uint64), np.array(hashes, np.uint64))
+    mark = int(lattice.mixed(np.array(marks, np.uint64), np.array(hashes, np.uint64)).sum())
     return out, mark
 
 
 def test_units_keep_the_text_and_pieces_inside(model):
-    text = "  two  blanks\n\n tab\tend \n" + "x" * 700 + "   "
-    units = lattice.units_of(text)
-    assert "".join(units).replace(lattice.BLANK, " ")[1:] == text
+    texts = ["  two  blanks\n\n tab\tend \n" + "x" * 700 + "   ", "Plain words, (one) by one.\nNext", " a▁b", "ü漢🙂 x"]
+    for text in texts:
+        units = lattice.Units(model).of(text)
+        assert "".join(units).replace(lattice.BLANK, " ")[1:] == text.replace("▁", " ")
+        # Two characters at a border stand side by side in no piece, but for cuts by length.
+        borders = {a[-1] + b[0] for a, b in zip(units, units[1:]) if len(a) < lattice.UNIT and b[0] != lattice.BLANK}
+        assert not borders & model.neighbours
     # No piece has a blank after another sign, or two blanks before one.
     assert not [p for p, _, _ in model.pieces if re.search(rf"[^{lattice.BLANK}]{lattice.BLANK}|{lattice.BLANK}{{2}}[^{lattice.BLANK}]|\n.|.\n", p)]
 
