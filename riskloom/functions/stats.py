@@ -17,8 +17,6 @@ from riskloom.functions.rules import _col
 
 # Buckets per unit of log1p(|x|): a score range of 0-100 gives about 19,000.
 QUANTILE_RESOLUTION = 4096
-# Largest table the library sends to every task on purpose.
-SMALL_ROWS = 200_000
 
 
 def n_rows() -> Column:
@@ -57,22 +55,6 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
     return ratio(value - mean, std)
 
 
-def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Mark a side for broadcast and fail, rather than drop rows, past ``limit``.
-
-    The row count is checked inside the plan, so no extra job runs.
-    """
-    counted = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    checked = df.withColumn(
-        "_guard",
-        F.assert_true(
-            counted <= F.lit(limit), F.lit("too many rows to broadcast; pass spread=True")
-        ),
-    )
-    kept = checked.where(F.col("_guard").isNull()).drop("_guard")
-    return F.broadcast(kept)
-
-
 BUCKET = f"floor(signum(_x) * log1p(abs(_x)) * {QUANTILE_RESOLUTION})"
 
 
@@ -83,17 +65,16 @@ def quantiles(
     names: Sequence[str],
     by: Sequence[str] = (),
     approx: bool = False,
-    spread: bool = False,
     few_groups: bool = False,
 ) -> DataFrame:
     """Quantiles with linear interpolation, one row per group of ``by``.
 
     ``approx=True`` reads the data once with a bounded sketch.  The exact form
     reads the column twice; its second read is filtered by the table of wanted
-    buckets, which holds at most two rows per group and probability and is
-    broadcast behind a size check (``spread=True`` joins it by shuffle).
-    ``few_groups=True`` states that the groups are a fixed list, such as column
-    names, so that their number needs no check.
+    buckets, which holds at most two rows per group and probability.  It is
+    broadcast where its size is bound by the arguments: without groups, or with
+    ``few_groups=True``, which states that the groups are a fixed list, such as
+    column names.  Else Spark chooses the join by its size.
     Nulls and NaN are ignored; a group without values has no row, a whole table
     without values one row of nulls.
     """
@@ -127,8 +108,6 @@ def quantiles(
     targets = targets.select(*by, "_b", "_before", "_total")
     if not by or few_groups:
         targets = F.broadcast(targets)
-    elif not spread:
-        targets = small(targets)
     targets = targets.select(*[F.col(c).alias(f"_t{c}") for c in targets.columns])
     joined = values.join(
         targets,
@@ -187,7 +166,9 @@ def _interpolated(p: float) -> Column:
     # The half nearer the upper neighbour is measured from it, so that a
     # position that is a whole rank up to rounding lands on the value.
     return F.expr(
-        f"CASE WHEN {lo} = {hi} THEN {lo} WHEN {t} >= 0.5D THEN {hi} - ({hi} - {lo}) * (1 - {t}) "
+        # Between a value and an infinite one there is no distance to divide.
+        f"CASE WHEN {lo} = {hi} OR {t} = 0 THEN {lo} WHEN abs({hi}) = double('infinity') THEN {hi} "
+        f"WHEN abs({lo}) = double('infinity') THEN {lo} WHEN {t} >= 0.5D THEN {hi} - ({hi} - {lo}) * (1 - {t}) "
         f"ELSE {lo} + ({hi} - {lo}) * {t} END"
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.rules import drift_requires_action, drift_severity
-from riskloom.functions.stats import quantiles, small
+from riskloom.functions.stats import quantiles
 from riskloom.sources.tables import current_records
 
 # Fixed values.
@@ -59,7 +59,7 @@ def baseline_edges(
 def with_bin(long: DataFrame, edges: DataFrame, keys: Sequence[str], bins: int = BINS) -> DataFrame:
     """Bin number 1..N of each value; other numbers lie outside all bins."""
     few = list(keys) == ["column_name"]
-    joined = long.join(F.broadcast(edges) if few else small(edges), list(keys))
+    joined = long.join(F.broadcast(edges) if few else edges, list(keys))
     names = _edge_names(bins)
     below = " + ".join(f"int({e} <= x)" for e in names)
     index = F.expr(f"CASE WHEN x = {names[-1]} THEN {bins} ELSE {below} END")
@@ -317,11 +317,9 @@ def drift_consecutive(
     """
     marked = df.withColumn("_w", window)
     windows = marked.select("_w").distinct()
-    following = small(
-        windows.select(
-            F.col("_w").alias("_w0"),
-            F.lead("_w").over(Window.partitionBy(F.lit(0)).orderBy("_w")).alias("_next"),
-        )
+    following = windows.select(
+        F.col("_w").alias("_w0"),
+        F.lead("_w").over(Window.partitionBy(F.lit(0)).orderBy("_w")).alias("_next"),
     )
     long = unpivot_numeric(marked, columns, [F.col("_w")]).join(
         following, F.col("_w") == F.col("_w0")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.rules import RISK_BANDS, RISK_TOP, risk_category
-from riskloom.functions.stats import n_rows, one_value, pct_of, quantiles, ratio, small
+from riskloom.functions.stats import n_rows, one_value, pct_of, quantiles, ratio
 from riskloom.operators.drift import PSI_FLOOR
 
 # Fixed values.
@@ -75,7 +75,7 @@ def version_metrics(
     limits = quantiles(
         df, label, [HIGH_RISK_QUANTILE], ["_limit"], by=[version], approx=approx
     )
-    rows = df.select(version, label, prediction).join(small(limits), version, "left")
+    rows = df.select(version, label, prediction).join(limits, version, "left")
     known = F.col(label).isNotNull() & F.col(prediction).isNotNull()
     same = (F.col(label) >= F.col("_limit")) == (F.col(prediction) >= F.col("_limit"))
     return rows.groupBy(version).agg(
@@ -163,14 +163,20 @@ def challenger_vs_champion(
     )
 
 
+def newest_version() -> list[Column]:
+    """Order by version number, highest first; versions without one come last, by name."""
+    number = F.col("model_version").try_cast("int")
+    return [number.desc_nulls_last(), F.col("model_version").desc()]
+
+
 def compare_versions(df: DataFrame, n: int = 3, approx: bool = False) -> DataFrame:
     """The newest ``n`` versions, newest first, and which of them fits best."""
     newest = (
         version_metrics(df, approx=approx)
-        .orderBy(F.col("model_version").cast("int").desc())
+        .orderBy(*newest_version())
         .limit(n)
     )
-    order = [F.col("r2_score").desc_nulls_last(), F.col("model_version").cast("int").desc()]
+    order = [F.col("r2_score").desc_nulls_last(), *newest_version()]
     best = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) == 1
     return newest.withColumn("is_best", best)
 
@@ -179,7 +185,7 @@ def model_metrics(df: DataFrame, champion: str | None = None, approx: bool = Fal
     """Figures of the serving version, to four places."""
     m = version_metrics(latest_version_rows(df, champion), approx=approx)
     return m.select(
-        F.col("model_version").cast("int").alias("champion_version"),
+        F.col("model_version").try_cast("int").alias("champion_version"),
         *[F.round(c, 4).alias(c) for c in ("r2_score", "mae", "rmse", "high_risk_accuracy")],
     )
 
@@ -236,7 +242,9 @@ def shadow_compare(
 def version_distribution_shift(df: DataFrame, base: str) -> DataFrame:
     """Category mix per version and its stability index against ``base``."""
     counts = (
-        df.withColumn("risk_category", risk_category("prediction"))
+        # A missing score is in no band.
+        df.where(F.col("prediction").isNotNull())
+        .withColumn("risk_category", risk_category("prediction"))
         .groupBy("model_version", "risk_category")
         .agg(n_rows().alias("prediction_count"))
     )

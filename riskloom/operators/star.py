@@ -128,7 +128,8 @@ def point_in_time_join(
     Facts at or after the start of a key's open version are a plain key join.
     Earlier ones meet the closed versions on (key, month): a closed version is
     repeated for the months it spans, so a fact is compared only with versions
-    of its month and a busy key is spread over its months.
+    of its month and a busy key is spread over its months.  A fact without a
+    version at its time keeps its row, with null attributes.
     """
     wanted = [key, "effective_date", "expiry_date", *attributes]
     kept = [*facts.columns, *attributes]
@@ -136,9 +137,10 @@ def point_in_time_join(
     open_rows = dim.where("is_current_record").select(
         F.col(key).alias("_key"), "effective_date", *attributes
     )
-    late = facts.join(
-        open_rows, (F.col(fact_key) == F.col("_key")) & (t >= F.col("effective_date"))
-    ).select(*kept)
+    now = facts.join(
+        open_rows, (F.col(fact_key) == F.col("_key")) & (t >= F.col("effective_date")), "left"
+    )
+    late = now.where(F.col("_key").isNotNull()).select(*kept)
     closed = dim.where(~F.col("is_current_record")).select(*wanted)
     months = F.sequence(
         F.to_date(F.date_trunc("month", "effective_date")),
@@ -146,13 +148,15 @@ def point_in_time_join(
         F.expr("INTERVAL 1 MONTH"),
     )
     spread = closed.withColumn("_month", F.explode(months)).withColumnRenamed(key, "_key")
-    early = facts.withColumn("_fact_month", F.to_date(F.date_trunc("month", t)))
+    before = now.where(F.col("_key").isNull()).select(*facts.columns)
+    early = before.withColumn("_fact_month", F.to_date(F.date_trunc("month", t)))
     matched = early.join(
         spread,
         (F.col(fact_key) == F.col("_key"))
         & (F.col("_fact_month") == F.col("_month"))
         & (t >= F.col("effective_date"))
         & (t < F.col("expiry_date")),
+        "left",
     ).select(*kept)
     return late.unionByName(matched)
 
@@ -179,10 +183,11 @@ def fact_claims(claims: DataFrame, dim: DataFrame, high_cost: float = HIGH_COST)
     """Claims with patient attributes and calendar columns.
 
     The risk-adjusted amount adds the patient's score as a percentage; the
-    combined quality is the mean of both scores.
+    combined quality is the mean of both scores.  A claim without a current
+    patient row keeps its row, with null attributes (``unmatched`` counts them).
     """
     patients = current_patients(dim, PATIENT_ATTRIBUTES)
-    joined = claims.join(patients, claims["patient_id"] == patients[KEY])
+    joined = claims.join(patients, claims["patient_id"] == patients[KEY], "left")
     amount = F.col("claim_amount_validated")
     uplift = 1 + F.coalesce("health_risk_score", F.lit(0.0)) / 100
     day = F.col("claim_date")
@@ -212,9 +217,17 @@ def fact_claims(claims: DataFrame, dim: DataFrame, high_cost: float = HIGH_COST)
     )
 
 
+def unmatched(facts: DataFrame, column: str = "patient_surrogate_key") -> DataFrame:
+    """How many facts have no dimension row."""
+    return facts.agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.count_if(F.col(column).isNull()).alias("unmatched_rows")
+    )
+
+
 def fact_medical_events(events: DataFrame, dim: DataFrame) -> DataFrame:
+    """Events with patient attributes; an event without a current patient row is kept."""
     patients = current_patients(dim, PATIENT_ATTRIBUTES)
-    joined = events.join(patients, events["patient_id"] == patients[KEY])
+    joined = events.join(patients, events["patient_id"] == patients[KEY], "left")
     day = F.col("event_date")
     return joined.select(
         "event_id",

@@ -7,15 +7,16 @@ executors; the driver only holds the fitted model.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import one_value, quantiles, small
+from riskloom.functions.stats import one_value, quantiles
 from riskloom.operators.features import (
     CATEGORICAL_FEATURES,
     FEATURE_KEY,
@@ -34,8 +35,6 @@ SEED = 42
 FOLDS = 5
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": SEED}
 BOOSTING = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "seed": SEED}
-# Multiplier that spreads consecutive keys over the hash slots.
-KEY_MULTIPLIER = 48_271
 VECTOR = "_features"
 
 
@@ -49,63 +48,119 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame, out: str | None = None) -> DataFrame:
     """Add the code of ``column``; values unknown to ``codes`` become 0."""
-    known = small(codes).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    known = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
     joined = df.join(known, F.col(column) == F.col("_value"), "left")
     return joined.withColumn(out or f"{column}_code", F.coalesce("_code", F.lit(0))).drop(
         "_value", "_code"
     )
 
 
-def standard_scale(
-    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, suffix: str = "_scaled"
-) -> DataFrame:
-    """z-scores by the population deviation; a constant column is only centred."""
-    source = fit_on if fit_on is not None else df
-    stats = source.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
+def _moments(source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, mean, deviation), the deviation of the population."""
+    names = list(enumerate(columns))
+    sums = source.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in names],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in names],
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("deviation"))
+        for i, c in names
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+def scale_by(df: DataFrame, fitted: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+    """z-scores by a table of moments; a constant column is only centred."""
+    entry = F.struct("column", F.struct("mean", "deviation"))
+    # One entry per listed column.
+    table = fitted.where(F.col("column").isin(*columns)).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("moments")
     )
-    fitted = one_value(stats.select(F.struct("*").alias("fit")), "fit")
+    moments = one_value(table, "moments")
 
     def scaled(c: str) -> Column:
-        spread = fitted[f"s_{c}"]
-        return (F.col(c).cast("double") - fitted[f"m_{c}"]) / F.when(spread == 0, 1.0).otherwise(
-            spread
-        )
+        own = moments[c]
+        deviation = F.when(own["deviation"] == 0, 1.0).otherwise(own["deviation"])
+        return (F.col(c).cast("double") - own["mean"]) / deviation
 
     return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 
 
+def standard_scale(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, suffix: str = "_scaled"
+) -> DataFrame:
+    """z-scores by the population deviation; a constant column is only centred."""
+    return scale_by(df, _moments(fit_on if fit_on is not None else df, columns), columns, suffix)
+
+
 def key_slot(key: Column | str, slots: int) -> Column:
+    """A slot by the MD5 of the key's text, for keys of any kind."""
     column = F.col(key) if isinstance(key, str) else key
-    return F.pmod(column * F.lit(KEY_MULTIPLIER), F.lit(slots))
+    digits = F.substring(F.md5(column.cast("string")), 1, 8)
+    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(slots))
 
 
 def train_test_split(df: DataFrame, key: Column | str, test_pct: int = TEST_PCT) -> DataFrame:
-    """Split by a hash of a whole-number key: stable under any partitioning."""
+    """Split by a hash of the key: stable under any partitioning."""
     return df.withColumn("is_test", key_slot(key, 100) < test_pct)
 
 
-def patient_number(key: str = "customer_id") -> Column:
-    """Whole-number part of a patient key."""
-    return F.substring(key, 2, 20).cast("long")
+INPUTS = (*NUMERIC_FEATURES, *[f"{c}_code" for c in CATEGORICAL_FEATURES])
+PREPARATION = "column string, value string, code int, mean double, deviation double"
 
 
-def prepare(df: DataFrame, fit_on: DataFrame) -> DataFrame:
-    """Encode, scale and assemble the model's input vector."""
-    out, fitted = df, fit_on
+def fit_preparation(rows: DataFrame) -> DataFrame:
+    """Label codes and moments of the model's inputs as one small table: a row per
+    label of a category and per input."""
+    none = {t: F.lit(None).cast(t) for t in ("string", "int", "double")}
+    encoded, codes = rows, []
     for c in CATEGORICAL_FEATURES:
-        codes = label_codes(fit_on, c)
-        out = label_encode(out, c, codes)
-        fitted = label_encode(fitted, c, codes)
-    inputs = [*NUMERIC_FEATURES, *[f"{c}_code" for c in CATEGORICAL_FEATURES]]
-    scaled = standard_scale(out, inputs, fit_on=fitted)
+        own = label_codes(rows, c)
+        encoded = label_encode(encoded, c, own)
+        codes.append(
+            own.select(
+                F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "code",
+                none["double"].alias("mean"), none["double"].alias("deviation"),
+            )
+        )
+    moments = _moments(encoded, INPUTS).select(
+        "column", none["string"].alias("value"), none["int"].alias("code"), "mean", "deviation"
+    )
+    return reduce(DataFrame.unionByName, [*codes, moments])
+
+
+def prepare(df: DataFrame, preparation: DataFrame) -> DataFrame:
+    """Encode, scale and assemble the model's input vector by a fitted preparation."""
+    out = df
+    for c in CATEGORICAL_FEATURES:
+        known = preparation.where((F.col("column") == c) & F.col("code").isNotNull())
+        out = label_encode(out, c, known)
+    scaled = scale_by(out, preparation.where("code IS NULL"), INPUTS)
     assembler = VectorAssembler(
-        inputCols=[f"{c}_scaled" for c in inputs], outputCol=VECTOR, handleInvalid="keep"
+        inputCols=[f"{c}_scaled" for c in INPUTS], outputCol=VECTOR, handleInvalid="keep"
     )
     return assembler.transform(scaled)
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """A model together with the preparation that it was fitted with."""
+
+    model: Model
+    preparation: DataFrame
+
+
+def save_model(fitted: Fitted, path: str) -> None:
+    PipelineModel(stages=[fitted.model]).write().overwrite().save(f"{path}/model")
+    fitted.preparation.write.mode("overwrite").parquet(f"{path}/preparation")
+
+
+def load_model(spark: SparkSession, path: str) -> Fitted:
+    """A model as it was saved; needs no training rows."""
+    preparation = spark.read.schema(PREPARATION).parquet(f"{path}/preparation")
+    return Fitted(PipelineModel.load(f"{path}/model"), preparation)
+
+
 def random_forest(label: str = LABEL, **overrides) -> RandomForestRegressor:
     """Every split looks at all features; a minimum split size has no equivalent."""
     settings = {**FOREST, "featureSubsetStrategy": "all", **overrides}
@@ -131,13 +186,14 @@ def labelled(training: DataFrame, label: str = LABEL) -> DataFrame:
     return training.where(F.col(label).isNotNull())
 
 
-def fit(training: DataFrame, estimator, label: str = LABEL) -> tuple[Model, DataFrame]:
+def fit(training: DataFrame, estimator, label: str = LABEL) -> tuple[Fitted, DataFrame]:
     """Model fitted on the train part, and the scored test part."""
     rows = labelled(training, label)
-    ready = train_test_split(prepare(rows, rows), patient_number())
+    preparation = materialize(fit_preparation(rows), "preparation")
+    ready = train_test_split(prepare(rows, preparation), FEATURE_KEY)
     ready = materialize(ready.select(FEATURE_KEY, label, VECTOR, "is_test"), "training")
     model = estimator.fit(ready.where(~F.col("is_test")))
-    return model, model.transform(ready.where("is_test"))
+    return Fitted(model, preparation), model.transform(ready.where("is_test"))
 
 
 def evaluate(scored: DataFrame, all_rows: DataFrame, label: str = LABEL) -> DataFrame:
@@ -151,16 +207,14 @@ def evaluate(scored: DataFrame, all_rows: DataFrame, label: str = LABEL) -> Data
     return errors.withColumn("high_risk_accuracy", one_value(accuracy, "high_risk_accuracy"))
 
 
-def score_batch(
-    dim: DataFrame, features: DataFrame, model: Model, fit_on: DataFrame
-) -> DataFrame:
+def score_batch(dim: DataFrame, features: DataFrame, fitted: Fitted) -> DataFrame:
     """Look up features by key, apply the fitted preparation, predict, apply rules.
 
     The patient's own columns ride along, so no join back is needed.
     """
     base = dim.withColumn(FEATURE_KEY, F.col("patient_natural_key"))
-    ready = prepare(feature_lookup(base, features, LOOKUP_FEATURES), fit_on)
-    return apply_score_rules(model.transform(ready).select(*base.columns, "prediction"))
+    ready = prepare(feature_lookup(base, features, LOOKUP_FEATURES), fitted.preparation)
+    return apply_score_rules(fitted.model.transform(ready).select(*base.columns, "prediction"))
 
 
 def cross_validation_r2(
@@ -172,7 +226,8 @@ def cross_validation_r2(
     need a global sort in one partition.
     """
     rows = labelled(training, label)
-    ready = prepare(rows, rows).withColumn("_fold", key_slot(patient_number(), folds))
+    preparation = materialize(fit_preparation(rows), "preparation")
+    ready = prepare(rows, preparation).withColumn("_fold", key_slot(FEATURE_KEY, folds))
     ready = materialize(ready.select(label, VECTOR, "_fold"), "folds")
     scores = []
     for fold in range(folds):

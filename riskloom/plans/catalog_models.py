@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from riskloom.operators import features, governance, training
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import oracle, r
+from riskloom.session import work_dir
 from riskloom.sources import testdata as td
 
-PATIENT_NUMBER_SQL = "cast(substr(customer_id, 2) as bigint)"
+SLOT_SQL = "cast('0x' || substr(md5(customer_id), 1, 8) as bigint)"
 
 
 def training_rows(spark, sf_dir):
@@ -55,11 +56,45 @@ register(
 )
 register(
     "train_test_split",
-    lambda s, d: training.train_test_split(
-        training_rows(s, d), training.patient_number()
-    ).select("customer_id", "is_test"),
+    lambda s, d: training.train_test_split(training_rows(s, d), "customer_id").select(
+        "customer_id", "is_test"
+    ),
+    oracle(f"SELECT customer_id, {SLOT_SQL} % 100 < 20 AS is_test FROM features"),
+)
+register(
+    "cross_validation_folds",
+    lambda s, d: training_rows(s, d).select(
+        "customer_id", training.key_slot("customer_id", training.FOLDS).alias("fold")
+    ),
+    oracle(f"SELECT customer_id, {SLOT_SQL} % {training.FOLDS} AS fold FROM features"),
+)
+
+
+def _prepared(spark, sf_dir):
+    """Inputs by a preparation that was stored and read back."""
+    rows = training_rows(spark, sf_dir)
+    path = work_dir(spark, "preparation")
+    training.fit_preparation(rows).write.parquet(path)
+    stored = spark.read.schema(training.PREPARATION).parquet(path)
+    names = [f"{c}_scaled" for c in (*SCALED, "sex_code", "region_code")]
+    return training.prepare(rows, stored).select("customer_id", *names)
+
+
+def _scaled_sql(column: str) -> str:
+    return (
+        f"round(({column} - avg({column}) OVER ()) / coalesce(nullif(stddev_pop({column}) OVER (), 0), 1), 6) "
+        f"AS {column}_scaled"
+    )
+
+
+register(
+    "prepared_inputs",
+    _prepared,
     oracle(
-        f"SELECT customer_id, ({PATIENT_NUMBER_SQL} * 48271) % 100 < 20 AS is_test FROM features"
+        "WITH coded AS (SELECT *, dense_rank() OVER (ORDER BY sex) - 1 AS sex_code, "
+        "dense_rank() OVER (ORDER BY region) - 1 AS region_code FROM features) SELECT customer_id, "
+        + ", ".join(_scaled_sql(c) for c in (*SCALED, "sex_code", "region_code"))
+        + " FROM coded"
     ),
 )
 
@@ -81,11 +116,24 @@ def _score_batch(spark, sf_dir):
     dim = td.dim_patients(spark, sf_dir)
     table = features.build_feature_table(dim)
     rows = training.labelled(features.training_set(dim, table))
-    model, _ = training.fit(rows, training.random_forest())
-    return training.score_batch(dim, table, model, rows)
+    fitted, _ = training.fit(rows, training.random_forest())
+    return training.score_batch(dim, table, fitted)
 
 
 register("score_batch", _score_batch)
+
+
+def _score_reloaded(spark, sf_dir):
+    """A saved model scores as before after the training rows are gone."""
+    dim = td.dim_patients(spark, sf_dir)
+    table = features.build_feature_table(dim)
+    rows = training.labelled(features.training_set(dim, table))
+    path = work_dir(spark, "model")
+    training.save_model(training.fit(rows, training.random_forest())[0], path)
+    return training.score_batch(dim, table, training.load_model(spark, path))
+
+
+register("score_batch_reloaded", _score_reloaded)
 register(
     "cross_validation_r2",
     lambda s, d: training.cross_validation_r2(training_rows(s, d), training.random_forest()),

@@ -200,7 +200,7 @@ register(
         f"WITH {SCD2}, fc AS (SELECT claim_id, patient_id, "
         "cast(claim_date as timestamp) + INTERVAL 40 DAY AS claim_time FROM claims) "
         "SELECT claim_id, patient_id, claim_time, primary_insurance_plan, record_version FROM fc "
-        "JOIN vs ON patient_id = patient_natural_key AND effective_date <= claim_time "
+        "LEFT JOIN vs ON patient_id = patient_natural_key AND effective_date <= claim_time "
         "AND (expiry_date IS NULL OR claim_time < expiry_date)"
     ),
 )
@@ -215,7 +215,7 @@ FACT_CLAIMS = (
     "AS risk_adjusted_amount, claim_amount_validated > 400000 AS high_cost_claim_indicator, "
     "claim_approved, claim_denied, claim_paid, total_processing_days, patient_age_category, "
     "patient_gender, patient_region, patient_smoking_status, claim_data_quality_score, "
-    "cast(1 as double) AS combined_data_quality_score FROM sc JOIN dim "
+    "CASE WHEN patient_natural_key IS NOT NULL THEN cast(1 as double) END AS combined_data_quality_score FROM sc LEFT JOIN dim "
     "ON patient_id = patient_natural_key)"
 )
 
@@ -242,7 +242,7 @@ register(
         "medical_provider, kind = 'EMERGENCY' AS emergency_visit, "
         "kind = 'ADMISSION' AS hospital_admission, days_since_previous_event, days_to_next_event, "
         "pv = 1 AS is_new_provider, patient_age_category, patient_gender, patient_region "
-        "FROM se JOIN dim ON patient_id = patient_natural_key"
+        "FROM se LEFT JOIN dim ON patient_id = patient_natural_key"
     ),
 )
 register(

@@ -229,9 +229,14 @@ def _late(spark, sf_dir):
         profile = profiles.stream_daily_profile(_scored(spark, sf_dir, inbox))
         return ingest.run_available(profile, f"{path}-checkpoint", path)
 
-    queries = _arrivals_in_two_steps(spark, sf_dir, "inbox", "new", "old", run)
-    # Late rows are counted after the map-side aggregate, that is per group.
-    dropped = profiles.dropped_rows(queries[-1].recentProgress)
+    late = profiles.LateRows()
+    spark.streams.addListener(late)
+    try:
+        ran = _arrivals_in_two_steps(spark, sf_dir, "inbox", "new", "old", run)
+        # Late rows are counted after the map-side aggregate, that is per group.
+        dropped = late.wait(len(ran))
+    finally:
+        spark.streams.removeListener(late)
     return _naive(
         spark.read.parquet(path).withColumn("late_rows_dropped", F.lit(dropped > 0)),
         "window_start",

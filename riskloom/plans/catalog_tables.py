@@ -173,7 +173,7 @@ def _layout(spark, sf_dir):
         "event_id", "customer_id", "prediction_timestamp", "adjusted_prediction"
     )
     path = work_dir(spark, "layout")
-    laid = sinks.table_layout(log, path, "prediction_timestamp", files=8)
+    laid = sinks.table_layout(log, path, "prediction_timestamp", file_bytes=1 << 16)
     # One row per file, then whether any two files overlap in time.
     files = laid.groupBy(F.input_file_name().alias("file")).agg(
         F.count("*").alias("rows"),

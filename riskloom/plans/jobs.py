@@ -9,8 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators import business, drift, fairness, features, monitoring, training
@@ -29,16 +28,15 @@ def feature_job(dim: DataFrame, path: str, leak_safe: bool = False) -> DataFrame
 
 @dataclass(frozen=True)
 class Trained:
-    model: Model
+    fitted: training.Fitted
     metrics: DataFrame
-    rows: DataFrame
 
 
 def training_job(dim: DataFrame, feature_table: DataFrame, estimator=None) -> Trained:
     """Fit on the labelled current patients and evaluate on the held-out part."""
     rows = training.labelled(features.training_set(dim, feature_table))
-    model, scored = training.fit(rows, estimator or training.random_forest())
-    return Trained(model, training.evaluate(scored, rows), rows)
+    fitted, scored = training.fit(rows, estimator or training.random_forest())
+    return Trained(fitted, training.evaluate(scored, rows))
 
 
 @dataclass(frozen=True)
@@ -60,7 +58,7 @@ def inference_job(
     patients = features.dedupe_keep_latest(
         current_records(dim), ["patient_natural_key"], features.newest_first()
     )
-    log = training.score_batch(patients, feature_table, trained.model, trained.rows)
+    log = training.score_batch(patients, feature_table, trained.fitted)
     stamped = log.withColumns(
         {
             "prediction_timestamp": F.lit(scored_at.isoformat(sep=" ")).cast("timestamp_ntz"),
@@ -80,14 +78,17 @@ def monitoring_job(
     monitors_active: int = 3,
     approx: bool = False,
 ) -> dict[str, DataFrame]:
-    """Append the run's reports to their histories and a summary built from them."""
+    """Add the run's reports to their histories and a summary built from them.
+
+    A repeated run replaces its own rows.
+    """
     reports = {
         "custom_fairness_metrics": fairness.fairness_report(predictions, as_of),
         "custom_business_metrics": business.business_report(predictions, as_of),
         "drift_analysis_summary": drift.population_drift(dim, predictions, as_of, approx=approx),
     }
     tables = {
-        name: sinks.append_metric_history(report, f"{history}/{name}")
+        name: sinks.replace_run(report, f"{history}/{name}", as_of)
         for name, report in reports.items()
     }
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -99,7 +100,7 @@ def monitoring_job(
         monitors_active,
     )
     name = "monitoring_summary_history"
-    tables[name] = sinks.append_metric_history(summary, f"{history}/{name}")
+    tables[name] = sinks.replace_run(summary, f"{history}/{name}", as_of)
     return tables
 
 
@@ -108,10 +109,12 @@ def refresh_cells(
 ) -> DataFrame:
     """Keep the rollup of the log up to date.
 
-    Only days from ``since`` are read, and only their partitions of the rollup
-    are replaced; reports over any period then read the rollup instead of the
-    log.
+    Only whole days from that of ``since`` are read, and only their partitions of
+    the rollup are replaced; a day that has no rows any more loses its partition.
+    Reports over any period then read the rollup instead of the log.
     """
+    if since is not None:
+        since = datetime(since.year, since.month, since.day)
     rows = time_range(predictions, "prediction_timestamp", since)
     (
         score_cells(rows)
@@ -122,12 +125,17 @@ def refresh_cells(
         .partitionBy(CELL_DAY)
         .parquet(path)
     )
+    # One entry per day.
+    filled = {
+        str(r[0]) for r in rows.select(F.to_date("prediction_timestamp")).distinct().collect()
+    }
+    sinks.drop_partitions(
+        predictions.sparkSession,
+        path,
+        CELL_DAY,
+        lambda day: day not in filled and (since is None or day >= f"{since:%Y-%m-%d}"),
+    )
     # The day stays text, as the rollup made it.
     return predictions.sparkSession.read.parquet(path).withColumn(
         CELL_DAY, F.date_format(F.col(CELL_DAY).cast("date"), "yyyy-MM-dd")
     )
-
-
-def cells_between(cells: DataFrame, first: Column | str, last: Column | str) -> DataFrame:
-    """Cells of a closed range of days (text, ``yyyy-MM-dd``)."""
-    return cells.where(F.col(CELL_DAY).between(first, last))

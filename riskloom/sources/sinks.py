@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,10 @@ from riskloom.sources.tables import PARTITION_DATE
 
 # Compression of every table the jobs write.
 CODEC = "zstd"
+# Partition of the runs in a metric history.
+RUN = "run"
+# Size that the files of a laid out table aim at.
+FILE_BYTES = 256 << 20
 
 
 def with_partition_date(df: DataFrame, column: str = "prediction_timestamp") -> DataFrame:
@@ -39,6 +45,83 @@ def append_metric_history(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def replace_run(df: DataFrame, path: str, moment: datetime) -> DataFrame:
+    """Add the rows of one run and return the whole history.
+
+    Runs are partitions by their moment, so a repeated run replaces itself.
+    """
+    stamped = df.withColumn(RUN, F.lit(f"{moment:%Y-%m-%dT%H-%M-%S}"))
+    (
+        stamped.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
+        .partitionBy(RUN)
+        .parquet(path)
+    )
+    return df.sparkSession.read.parquet(path).drop(RUN)
+
+
+def _files(spark: SparkSession, path: str):
+    """The folder's file system and its path there."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    place = jvm.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place, jvm.Path
+
+
+def drop_partitions(
+    spark: SparkSession, path: str, column: str, drop: Callable[[str], bool]
+) -> list[str]:
+    """Delete the partitions of a table whose value ``drop`` picks; returns the values."""
+    files, place, _ = _files(spark, path)
+    dropped = []
+    if not files.exists(place):
+        return dropped
+    for entry in files.listStatus(place):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == column and drop(value):
+            files.delete(entry.getPath(), True)
+            dropped.append(value)
+    return sorted(dropped)
+
+
+def drop_expired(
+    spark: SparkSession, path: str, as_of: datetime, days: int, column: str = PARTITION_DATE
+) -> list[str]:
+    """Retention: delete the day partitions older than ``days`` before ``as_of``."""
+    oldest = f"{as_of - timedelta(days=days):%Y-%m-%d}"
+    return drop_partitions(spark, path, column, lambda day: day[:10] < oldest)
+
+
+def swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written folder in the place of a table."""
+    files, place, make = _files(spark, path)
+    old = make(f"{path}-old-{uuid.uuid4().hex}")
+    present = files.exists(place)
+    if present and not files.rename(place, old):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(make(staged), place):
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if present:
+        files.delete(old, True)
+
+
+def upsert_table(
+    spark: SparkSession, path: str, df: DataFrame, keys: Sequence[str], replace: bool = False
+) -> DataFrame:
+    """Merge rows by key into a stored table, which is created if it is absent.
+
+    The new state is written beside the table and then takes its place, so the
+    table that is read is never the one that is written.
+    """
+    files, place, _ = _files(spark, path)
+    target = spark.read.parquet(path) if files.exists(place) else None
+    staged = f"{path}-new-{uuid.uuid4().hex}"
+    merged = feature_table_upsert(target, df, keys, replace)
+    merged.write.option("compression", CODEC).parquet(staged)
+    swap(spark, staged, path)
+    return spark.read.parquet(path)
+
+
 def merge_by_key(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``changes`` plus the rows of ``target`` whose key is not in it."""
     if target is None:
@@ -81,14 +164,16 @@ def same_keys_alias(keys: Sequence[str]):
     return reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
 
 
-def table_layout(df: DataFrame, path: str, column: str, files: int) -> DataFrame:
+def table_layout(df: DataFrame, path: str, column: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Rewrite a table range-partitioned and sorted by ``column``.
 
     Each file then covers a narrow range, so readers skip files by the
-    min/max values in their footers.
+    min/max values in their footers.  The number of files follows the planner's
+    estimate of the rows' size.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     (
-        df.repartitionByRange(files, column)
+        df.repartitionByRange(max(1, -(-size // file_bytes)), column)
         .sortWithinPartitions(column)
         .write.mode("overwrite")
         .option("compression", CODEC)
@@ -107,10 +192,15 @@ __all__ = [
     "CODEC",
     "analyze_table",
     "append_metric_history",
+    "drop_expired",
+    "drop_partitions",
     "feature_table_upsert",
     "incremental_changes",
     "merge_by_key",
+    "replace_run",
+    "swap",
     "table_layout",
+    "upsert_table",
     "with_partition_date",
     "write_overwrite",
 ]

@@ -37,10 +37,14 @@ def file_stream(
 
 
 def stream_ingest_files(
-    spark: SparkSession, path: str, schema: T.StructType, names: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    names: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Rows with the name, path, size and time of their file and the ingest time."""
-    rows = file_stream(spark, path, schema, names=names)
+    rows = file_stream(spark, path, schema, max_files_per_trigger, names)
     meta = [F.col(f"_metadata.{source}").alias(name) for name, source in FILE_COLUMNS.items()]
     return rows.select("*", *meta).withColumn("_ingested_at", F.current_timestamp())
 
@@ -77,6 +81,9 @@ def stream_bronze(
     target: str,
     checkpoint: str,
     names: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Append new files to the bronze table exactly once."""
-    return run_available(stream_ingest_files(spark, source, schema, names), checkpoint, target)
+    """Append new files to the bronze table exactly once, a backlog in several batches
+    if ``max_files_per_trigger`` is given."""
+    rows = stream_ingest_files(spark, source, schema, names, max_files_per_trigger)
+    return run_available(rows, checkpoint, target)

@@ -6,8 +6,11 @@ delay; a window is written once, after it can no longer change.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from riskloom.functions.stats import n_rows
 
@@ -71,10 +74,31 @@ def stream_sliding_volume(
     )
 
 
-def dropped_rows(progress: list) -> int:
-    """Rows a finished query discarded as too late."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for batch in progress
-        for operator in batch["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that queries discard as too late, over all their batches.
+
+    Add it to ``spark.streams`` before a query starts; ``wait`` returns when the
+    ends of so many queries have been reported, each after all of its batches.
+    """
+
+    def __init__(self) -> None:
+        self.rows = 0
+        self._ended = threading.Semaphore(0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows += sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.release()
+
+    def wait(self, queries: int = 1, seconds: float = 60) -> int:
+        for _ in range(queries):
+            if not self._ended.acquire(timeout=seconds):
+                raise TimeoutError("a query's end was not reported")
+        return self.rows

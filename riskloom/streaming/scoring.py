@@ -19,12 +19,16 @@ def stream_score(
     model_name: str,
     model_version: str,
 ) -> DataFrame:
-    """Stateless: join the static patient row, predict, apply the rules."""
-    joined = arrivals.join(dim, arrivals[key] == dim[dim_key])
+    """Stateless: join the static patient row, predict, apply the rules.
+
+    An arrival without a patient row is kept under its own key; what the score
+    needs of the patient is null then.
+    """
+    joined = arrivals.join(dim, arrivals[key] == dim[dim_key], "left")
     scored = joined.withColumns(
         {
             "prediction": score,
-            "customer_id": F.col("patient_natural_key"),
+            "customer_id": F.coalesce("patient_natural_key", F.col(key).cast("string")),
             "model_name": F.lit(model_name),
             "model_version": F.lit(model_version),
         }

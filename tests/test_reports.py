@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import checks, fairness, governance, training, validation
+from riskloom.operators import checks, fairness, governance, medallion, star, training, validation
 from riskloom.operators.segments import facts, score_cells
 from riskloom.plans import jobs
 from riskloom.session import work_dir
@@ -139,16 +139,90 @@ def test_whole_jobs(spark, sf_dir):
     assert histories["drift_analysis_summary"].count() == 4
 
 
+def same_facts(cells, log):
+    a, b = one(facts(cells)), one(facts(score_cells(log)))
+    assert a.total == b.total and a.days == b.days
+    for name in ("avg_risk", "std_risk", "high_pct", "day_cv", "region_disparity"):
+        assert a[name] == pytest.approx(b[name])
+
+
 def test_rollup_refresh_equals_full_scan(spark, sf_dir):
     path = f"{work_dir(spark, 'test-cells')}/cells"
     log = td.predictions(spark, sf_dir)
     early = tables.time_range(log, "prediction_timestamp", None, datetime(2024, 1, 25))
     jobs.refresh_cells(early, path)
-    cells = jobs.refresh_cells(log, path, datetime(2024, 1, 24))
-    a, b = one(facts(cells)), one(facts(score_cells(log)))
-    assert a.total == b.total and a.days == b.days
-    for name in ("avg_risk", "std_risk", "high_pct", "day_cv", "region_disparity"):
-        assert a[name] == pytest.approx(b[name])
+    # From the middle of a day, whose earlier rows stay in.
+    same_facts(jobs.refresh_cells(log, path, datetime(2024, 1, 24, 12)), log)
+    # A day whose rows are all gone.
+    gone = log.where("to_date(prediction_timestamp) <> DATE '2024-01-26'")
+    cells = jobs.refresh_cells(gone, path, datetime(2024, 1, 25))
+    assert cells.where("prediction_day = '2024-01-26'").count() == 0
+    same_facts(cells, gone)
+
+
+def test_repeated_monitoring_run_replaces_itself(spark, sf_dir):
+    base, log, dim = work_dir(spark, "test-runs"), td.predictions(spark, sf_dir), td.dim_patient_rows(spark, sf_dir)
+    once = {k: v.count() for k, v in jobs.monitoring_job(log, dim, base, AS_OF).items()}
+    assert {k: v.count() for k, v in jobs.monitoring_job(log, dim, base, AS_OF).items()} == once
+
+
+def test_folds_and_split_take_any_key(spark):
+    keys = spark.createDataFrame([(f"{i:08x}-abc",) for i in range(2000)], "customer_id string")
+    folds = {r.fold: r["count"] for r in keys.groupBy(training.key_slot("customer_id", 5).alias("fold")).count().collect()}
+    assert set(folds) == set(range(5)) and min(folds.values()) > 300
+    assert 300 < training.train_test_split(keys, "customer_id").where("is_test").count() < 500
+
+
+def test_every_fold_has_all_age_categories(spark, sf_dir):
+    rows = td.dim_patients(spark, sf_dir).withColumn("fold", training.key_slot("patient_natural_key", 5))
+    seen = {r.fold: r.n for r in rows.groupBy("fold").agg(F.count_distinct("patient_age_category").alias("n")).collect()}
+    assert len(seen) == 5 and len(set(seen.values())) == 1 and min(seen.values()) > 1
+
+
+def test_saved_model_scores_alike(spark, sf_dir):
+    path = work_dir(spark, "test-model")
+    dim = td.dim_patients(spark, sf_dir)
+    table = jobs.feature_job(td.dim_patient_rows(spark, sf_dir), f"{path}/features")
+    trained = jobs.training_job(dim, table, training.random_forest(numTrees=3))
+    training.save_model(trained.fitted, f"{path}/saved")
+    few = dim.where("patient_natural_key < 'P00000040'")
+    # Only some patients are left in the feature table.
+    small = table.join(few.select(F.col("patient_natural_key").alias("customer_id")), "customer_id", "left_semi")
+    first = training.score_batch(few, table, trained.fitted)
+    again = training.score_batch(few, small, training.load_model(spark, f"{path}/saved"))
+    scores = [{r.patient_natural_key: r.prediction for r in f.collect()} for f in (first, again)]
+    assert scores[0] and scores[0] == scores[1]
+
+
+def test_versions_need_not_be_numbers(spark):
+    rows = [("1", 1.0, 1.0), ("v2", 2.0, 2.5), ("3", 1.0, None), ("v2", None, 1.0)]
+    df = spark.createDataFrame(rows, "model_version string, label double, prediction double")
+    assert [r.model_version for r in governance.compare_versions(df).collect()] == ["3", "1", "v2"]
+    assert one(governance.model_metrics(df, "v2")).champion_version is None
+    mix = governance.version_distribution_shift(df, "1").where("model_version = '3'")
+    assert mix.agg(F.sum("prediction_count").alias("n")).collect()[0].n in (0, None)
+
+
+def test_upsert_on_disk_and_retention(spark):
+    path = f"{work_dir(spark, 'test-upsert')}/table"
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    assert sinks.upsert_table(spark, path, old, ["id"]).count() == 2
+    new = spark.createDataFrame([(2, "B"), (3, "C")], "id int, v string")
+    assert {tuple(r) for r in sinks.upsert_table(spark, path, new, ["id"]).collect()} == {(1, "a"), (2, "B"), (3, "C")}
+    days = spark.createDataFrame([(d, d) for d in ("2024-01-01", "2024-01-20", "2024-01-30")], "v string, prediction_date string")
+    kept = f"{path}-days"
+    days.write.partitionBy("prediction_date").parquet(kept)
+    assert sinks.drop_expired(spark, kept, datetime(2024, 1, 31), 15) == ["2024-01-01"]
+    assert spark.read.parquet(kept).count() == 2
+
+
+def test_facts_without_a_patient_are_kept(spark, sf_dir):
+    claims, dim = td.claims(spark, sf_dir), td.dim_patient_rows(spark, sf_dir)
+    silver = medallion.silver_claims(claims, td.claim_completion(spark, sf_dir))
+    orphans = dim.where(F.substring("patient_natural_key", -1, 1) != "7")
+    facts_of = star.fact_claims(silver, orphans)
+    row = one(star.unmatched(facts_of))
+    assert row.fact_rows == silver.count() and row.unmatched_rows > 0
 
 
 def test_upsert_and_append(spark, tmp_path):
