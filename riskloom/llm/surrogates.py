@@ -179,20 +179,31 @@ def _country_kept(raw: Column, kind: Column, drawn: Column) -> Column:
     return F.concat(code, F.substr(drawn, F.length(code) + 1))
 
 
+def _words(table: dict[str, str], script: Column) -> Column:
+    """The word list of a script as an array."""
+    cases = {k: F.array(*[F.lit(w) for w in words.split()]) for k, words in table.items()}
+    out = cases["latin"]
+    for name in ("greek", "cyrillic"):
+        out = F.when(script == name, cases[name]).otherwise(out)
+    return out
+
+
+def _drawn_from(words: Column, at: Column) -> Column:
+    return F.element_at(words, at % F.size(words) + 1)
+
+
 def _name(value: Column, kind: Column, stream: Column, attempt: Column) -> Column:
     """A name of the same gender, script and number of words."""
-    def drawn(script: str) -> Column:
-        given = F.when(kind == "man", _pick(GIVEN["man", script], _byte(stream, 0))).otherwise(
-            _pick(GIVEN["woman", script], _byte(stream, 0))
-        )
-        parts = [_pick(SYLLABLES[script], _byte(stream, k)) for k in range(1, 5)]
-        # Later attempts have longer names, so there is always a free one.
-        more = F.array_join(F.transform(F.sequence(F.lit(0), attempt), lambda k: F.when(
-            k > 0, _pick(SYLLABLES[script], _byte(stream, k + 4))).otherwise("")), "")
-        surname = F.initcap(F.concat(*parts, more))
-        return F.when(value.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
-
-    return _first(value, {r"\p{IsCyrillic}": drawn("cyrillic"), r"\p{IsGreek}": drawn("greek")}, drawn("latin"))
+    script = _first(value, {r"\p{IsCyrillic}": F.lit("cyrillic"), r"\p{IsGreek}": F.lit("greek")}, F.lit("latin"))
+    men, women = ({k[1]: w for k, w in GIVEN.items() if k[0] == g} for g in NAMES)
+    given = _drawn_from(
+        F.when(kind == "man", _words(men, script)).otherwise(_words(women, script)), _byte(stream, 0)
+    )
+    # Later attempts have longer names, so there is always a free one.
+    places = F.sequence(F.lit(1), attempt + 4)
+    syllables = F.transform(places, lambda k: _drawn_from(_words(SYLLABLES, script), _byte(stream, k)))
+    surname = F.initcap(F.array_join(syllables, ""))
+    return F.when(value.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
 
 
 def _address(value: Column, stream: Column) -> Column:
@@ -200,25 +211,39 @@ def _address(value: Column, stream: Column) -> Column:
     return F.concat_ws(".", *[o.cast("string") for o in octets])
 
 
-def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """Canonical surrogate of a canonical entity."""
-    stream = F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 512)
-    # The host is drawn by itself, so addresses of one host stay together.
-    host = F.regexp_extract(value, r"@(.*)\.", 1)
-    host_stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), host), 512)
-    email = F.concat(
-        _letters(F.regexp_extract(value, "^([^@]*)@", 1), stream), F.lit("@"),
-        _letters(host, host_stream), F.regexp_extract(value, r"(\.[^.]*)$", 1),
-    )
+def surrogate(kind: Column, value: Column, attempt: Column, streams: tuple[Column, Column]) -> Column:
+    """Canonical surrogate of a canonical entity, by its stream and that of its host."""
+    stream, host_stream = streams
+    is_mail = kind == "email"
+    letters = _letters(F.when(is_mail, F.regexp_extract(value, "^([^@]*)@", 1)).otherwise(value), stream)
+    host = _letters(F.regexp_extract(value, r"@(.*)\.", 1), host_stream)
     return (
-        F.when(kind == "email", email)
+        F.when(is_mail, F.concat(letters, F.lit("@"), host, F.regexp_extract(value, r"(\.[^.]*)$", 1)))
         .when(kind == "ip", _address(value, stream))
         .when(kind.isin(*DIGITS), _numbers(value, kind, stream))
         .when(kind.isin(*NAMES), _name(value, kind, stream, attempt))
-        .otherwise(_letters(value, stream))
+        .otherwise(letters)
     )
 
 
+def with_surrogate(frame: DataFrame, key: str) -> DataFrame:
+    """Adds ``drawn`` to a frame with kind, canon, attempt and raw.
+
+    The keyed streams are columns of their own, made once per entity.  The host
+    of an address has its own, so addresses of one host stay together.
+    """
+    kind, value, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
+    host = F.regexp_extract(value, r"@(.*)\.", 1)
+    streams = {
+        "_stream": F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 512),
+        "_host": F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), host), 512),
+    }
+    drawn = frame.withColumns(streams)
+    drawn = drawn.withColumn("_drawn", surrogate(kind, value, attempt, (F.col("_stream"), F.col("_host"))))
+    kept = F.when(kind == "phone", _country_kept(F.col("raw"), kind, F.col("_drawn"))).otherwise(F.col("_drawn"))
+    return drawn.withColumn("drawn", kept).drop("_stream", "_host", "_drawn")
+
+
 def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
     """The surrogate in the way in which the entity is written here."""
     lead = _lead(raw, kind)
@@ -247,11 +272,6 @@ def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
     )
 
 
-def _drawn(frame: DataFrame, key: str) -> Column:
-    drawn = surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)
-    return F.when(F.col("kind") == "phone", _country_kept(F.col("raw"), F.col("kind"), drawn)).otherwise(drawn)
-
-
 def mentions(docs: DataFrame) -> DataFrame:
     """(doc_id, raw, kind, canon): each way to write an entity, once per row of docs."""
     raw = docs.select("doc_id", F.explode(F.array_distinct(entities_in(F.col("text")))).alias("raw"))
@@ -267,8 +287,7 @@ def later_attempts(found: DataFrame, key: str) -> DataFrame:
     settled: list[DataFrame] = []
     pending, attempt = entities, 0
     while True:
-        tried = pending.withColumn("attempt", F.lit(attempt))
-        tried = tried.withColumn("drawn", _drawn(tried, key))
+        tried = with_surrogate(pending.withColumn("attempt", F.lit(attempt)), key)
         # An accepted surrogate and an entity of the corpus both bar the way.
         barred = [entities.select("kind", F.col("canon").alias("drawn")), *(s.select("kind", "drawn") for s in settled)]
         free = tried.join(reduce(DataFrame.union, barred).distinct(), ["kind", "drawn"], "left_semi")
@@ -293,11 +312,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     replacement for each way of writing) and n_entities, the places replaced."""
     found = stored(mentions(docs), "mentions")
     later = later_attempts(found, key)
-    drawn = (
-        found.join(later, ["kind", "canon"], "left").fillna(0, ["attempt"])
-        .withColumn("drawn", F.lit(None).cast("string"))
-    )
-    drawn = drawn.withColumn("drawn", _drawn(drawn, key))
+    drawn = with_surrogate(found.join(later, ["kind", "canon"], "left").fillna(0, ["attempt"]), key)
     per_doc = (
         drawn.select(
             "doc_id", "kind", "raw",
