@@ -7,7 +7,7 @@ share one schema: category, check_name, status, value, target_lo, target_hi.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -208,6 +208,29 @@ def required_columns_check(
     return counted.select(F.inline(F.array(*rows)))
 
 
+def schema_change_check(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """Columns that were added, removed or changed in type against a stored schema
+    (name to type), with the number of values that a column holds now."""
+    now = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    kinds = {c: "ADDED" for c in now if c not in expected}
+    kinds |= {c: "REMOVED" for c in expected if c not in now}
+    kinds |= {c: "RETYPED" for c in now if c in expected and now[c] != expected[c]}
+    counted = df.agg(n_rows().alias("_n"), *[F.count(c).alias(c) for c in kinds if c in now])
+    none = F.lit(None).cast("string")
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(kind).alias("change"),
+            (F.lit(expected[c]) if c in expected else none).alias("expected_type"),
+            (F.lit(now[c]) if c in now else none).alias("current_type"),
+            (F.col(c) if c in now else F.lit(0).cast("long")).alias("value_count"),
+        )
+        for c, kind in sorted(kinds.items())
+    ]
+    schema = "array<struct<column_name:string,change:string,expected_type:string,current_type:string,value_count:bigint>>"
+    return counted.select(F.inline(F.array(*rows).cast(schema)))
+
+
 def null_checks(dim: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
     counted = current_records(dim).agg(
         *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]

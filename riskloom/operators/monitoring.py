@@ -28,7 +28,7 @@ from riskloom.functions.stats import (
 )
 from riskloom.operators.checks import check, check_rows, within
 from riskloom.operators.segments import ALL, cells_of, facts, segments
-from riskloom.sources.tables import lookback_scan
+from riskloom.sources.tables import lookback_scan, time_range
 
 SCORE = "adjusted_prediction"
 GRANULARITIES = {"1 day": "day", "1 week": "week"}
@@ -36,6 +36,7 @@ GRANULARITIES = {"1 day": "day", "1 week": "week"}
 RETRAIN_PSI = 0.4
 RETRAIN_PSI_WITH_ACCURACY = 0.25
 RETRAIN_ACCURACY = 0.60
+MAX_SILENT_HOURS = 2
 MIN_DAILY_VOLUME = 50
 
 
@@ -275,6 +276,52 @@ def alert_history(
     )
 
 
+def volume_by_slot(
+    predictions: DataFrame, first: datetime, last: datetime, unit: str = "HOUR"
+) -> DataFrame:
+    """Rows of every hour (or ``unit="DAY"``) from ``first`` to before ``last``; slots
+    without rows are there with a zero."""
+    stamp = "prediction_timestamp"
+    counts = (
+        time_range(predictions, stamp, first, last)
+        .groupBy(F.date_trunc(unit, stamp).cast("timestamp_ntz").alias("slot"))
+        .agg(n_rows().alias("row_count"))
+    )
+    ends = [F.lit(m.isoformat(sep=" ")).cast("timestamp_ntz") for m in (first, last)]
+    slots = F.sequence(F.date_trunc(unit, ends[0]).cast("timestamp_ntz"), ends[1], F.expr(f"INTERVAL 1 {unit}"))
+    calendar = predictions.sparkSession.range(1).select(F.explode(slots).alias("slot"))
+    return (
+        calendar.where(F.col("slot") < ends[1]).join(counts, "slot", "left")
+        .select("slot", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+    )
+
+
+def silence_alerts(
+    predictions: DataFrame, first: datetime, last: datetime, hours: int = MAX_SILENT_HOURS
+) -> DataFrame:
+    """Spells of more than ``hours`` whole hours without any row."""
+    # One row per hour of the period.
+    order = Window.partitionBy(F.lit(0)).orderBy("slot")
+    numbered = volume_by_slot(predictions, first, last).withColumn("n", F.row_number().over(order))
+    spell = F.col("n") - F.row_number().over(order)
+    return (
+        numbered.where("row_count = 0").withColumn("spell", spell)
+        .groupBy("spell").agg(F.min("slot").alias("silent_from"), n_rows().alias("silent_hours"))
+        .where(F.col("silent_hours") > hours)
+        .select("silent_from", "silent_hours")
+    )
+
+
+def low_volume_days(
+    predictions: DataFrame, first: datetime, last: datetime, min_volume: int = MIN_DAILY_VOLUME
+) -> DataFrame:
+    """Days below the least daily volume, days without rows among them."""
+    days = volume_by_slot(predictions, first, last, "DAY")
+    return days.where(F.col("row_count") < min_volume).select(
+        F.col("slot").cast("date").alias("metric_date"), "row_count"
+    )
+
+
 def custom_alerts(fairness: DataFrame, drift: DataFrame) -> DataFrame:
     """A row per fairness violation and per drifted column."""
     unfair = fairness.where("fairness_threshold_violation").select(

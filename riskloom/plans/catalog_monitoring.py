@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -276,6 +276,39 @@ register(
     ),
 )
 
+PERIOD = (datetime(2023, 12, 25), datetime(2024, 1, 31))
+GAP = "NOT (prediction_timestamp >= TIMESTAMP '2024-01-10 03:00:00' AND prediction_timestamp < TIMESTAMP '2024-01-12 00:30:00')"
+
+
+def _gappy(spark, sf_dir):
+    """The log with a spell without rows."""
+    return td.predictions(spark, sf_dir).where(GAP.replace("TIMESTAMP ", "TIMESTAMP_NTZ "))
+
+
+HOURS = (
+    "slots AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-25', TIMESTAMP '2024-01-30 23:00:00', "
+    "INTERVAL 1 HOUR)) AS slot), seen AS (SELECT date_trunc('hour', prediction_timestamp) AS slot, "
+    f"count(*) AS n FROM pred WHERE {GAP} GROUP BY 1), volume AS (SELECT s.slot, coalesce(n, 0) AS n "
+    "FROM slots s LEFT JOIN seen ON s.slot = seen.slot)"
+)
+register(
+    "silence_alerts",
+    lambda s, d: monitoring.silence_alerts(_gappy(s, d), *PERIOD),
+    oracle(
+        f"WITH {HOURS}, numbered AS (SELECT *, row_number() OVER (ORDER BY slot) AS r FROM volume), "
+        "spells AS (SELECT slot, r - row_number() OVER (ORDER BY slot) AS g FROM numbered WHERE n = 0) "
+        "SELECT min(slot) AS silent_from, count(*) AS silent_hours FROM spells GROUP BY g HAVING count(*) > 2"
+    ),
+)
+register(
+    "low_volume_days",
+    lambda s, d: monitoring.low_volume_days(_gappy(s, d), *PERIOD),
+    oracle(
+        f"WITH {HOURS} SELECT cast(slot as date) AS metric_date, cast(sum(n) as bigint) AS row_count "
+        "FROM volume GROUP BY 1 HAVING sum(n) < 50"
+    ),
+)
+
 # Summaries and alerts --------------------------------------------------------
 
 

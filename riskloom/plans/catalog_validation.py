@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import features
+from riskloom.operators import checks, features
 from riskloom.operators import validation as v
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import oracle, r, share, since
@@ -358,3 +358,20 @@ register(
         "WHERE patient_smoking_status = 'SMOKER' AND bmi > 30) WHERE k <= 10"
     ),
 )
+
+
+def _schema_changes(spark, sf_dir):
+    """The event log against the schema that an earlier copy of it was stored with."""
+    events = td.table(spark, sf_dir, "events")
+    earlier = {f.name: f.dataType.simpleString() for f in events.schema.fields if f.name != "event_type"}
+    return checks.schema_change_check(events, {**earlier, "event_id": "int", "channel": "string"})
+
+
+register(
+    "schema_change_check",
+    _schema_changes,
+    "SELECT 'channel' AS column_name, 'REMOVED' AS change, 'string' AS expected_type, "
+    "cast(NULL as varchar) AS current_type, cast(0 as bigint) AS value_count UNION ALL "
+    "SELECT 'event_id', 'RETYPED', 'int', 'bigint', count(event_id) FROM events UNION ALL "
+    "SELECT 'event_type', 'ADDED', NULL, 'string', count(event_type) FROM events",
+)
