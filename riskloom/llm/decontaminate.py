@@ -140,10 +140,10 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
     per_doc = per_start.groupBy("doc_id").agg(
         F.collect_list(
             F.when(F.col("apart") == 0, F.struct("item_id", "words", "start"))
-        ).alias("found"),
+        ).alias("__found"),
         F.count_distinct("item_id").alias("n_near_items"),
     )
-    own = F.col("_own")
+    own = F.col("__own")
 
     def windows(match: Column) -> Column:
         words = match["words"]
@@ -160,7 +160,7 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
         )
 
     matches = F.filter(
-        F.transform(F.coalesce("found", F.array()), windows), lambda m: F.size(m["starts"]) > 0
+        F.transform(F.coalesce("__found", F.array()), windows), lambda m: F.size(m["starts"]) > 0
     )
     covered = F.array_distinct(
         F.flatten(
@@ -178,16 +178,16 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
     return (
         without(docs, (*RESULT, "matches")).alias("d")
         .join(per_doc.alias("p"), same("d", "p", ["doc_id"]), "left")
-        .select("d.*", "found", "n_near_items")
-        .withColumn("_own", terms_of(F.col("text")))
-        .withColumn("n_words", F.size("_own").cast("long"))
+        .select("d.*", "__found", "p.n_near_items")
+        .withColumn("__own", terms_of(F.col("text")))
+        .withColumn("n_words", F.size("__own").cast("long"))
         .withColumn("matches", matches)
-        .drop("_own", "found")
+        .drop("__own", "__found")
         .withColumn("n_hit", F.size(covered).cast("long"))
-        .withColumn("_ids", ids)
-        .withColumn("n_items", F.size("_ids").cast("long"))
-        .withColumn("items_sha256", F.sha2(F.array_join("_ids", ","), 256))
-        .drop("_ids")
+        .withColumn("__ids", ids)
+        .withColumn("n_items", F.size("__ids").cast("long"))
+        .withColumn("items_sha256", F.sha2(F.array_join("__ids", ","), 256))
+        .drop("__ids")
         .withColumn("contaminated", F.col("n_hit") > 0)
         .withColumn("n_near_items", F.coalesce("n_near_items", F.lit(0)).cast("long"))
     )

@@ -307,9 +307,9 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     per_doc = (
         docs.select("doc_id", "text").mapInArrow(rare, f"doc_id {kind}, unit string").distinct()
         .join(rest.select("unit", "ids"), "unit")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("_rare"))
+        .groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("__rare"))
     )
-    joined = docs.alias("d").join(per_doc.alias("r"), same("d", "r", ["doc_id"]), "left").select("d.*", "_rare")
+    joined = docs.alias("d").join(per_doc.alias("r"), same("d", "r", ["doc_id"]), "left").select("d.*", "__rare")
 
     def assemble(batches):
         known, units = head.value, Units(model)
@@ -317,12 +317,12 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = []
-                for text, own in zip(part.column("text").to_pylist(), part.column("_rare").to_pylist()):
+                for text, own in zip(part.column("text").to_pylist(), part.column("__rare").to_pylist()):
                     more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}
                     out.append(b"".join([known.get(u) or more[u] for u in units.of(text)]))
                 sizes = np.cumsum([0, *(len(o) // 4 for o in out)]).astype(np.int32)
                 values = np.frombuffer(b"".join(out), dtype=np.int32)
-                table = pa.Table.from_batches([part]).drop_columns(["_rare"])
+                table = pa.Table.from_batches([part]).drop_columns(["__rare"])
                 table = table.append_column("ids", pa.ListArray.from_arrays(pa.array(sizes), pa.array(values)))
                 table = table.append_column("n_tokens", pa.array(np.diff(sizes).astype(np.int64)))
                 yield from table.to_batches()

@@ -6,9 +6,11 @@ removed from all documents of the host but the first, and a document that loses
 nearly all of its words is rejected.
 
 Copies of one document count once.  What tells documents apart is the smallest
-hash among the *other* lines of the document: copies and near copies agree on
-it, documents that merely share a footer do not.  So a group of copies, however
-large, is left to the near-duplicate operators.
+hash among the *other* lines of the document: copies agree on it, and so do most
+near copies, while documents that merely share a footer do not.  A line counts
+as boilerplate only if at least half of the documents that have it are told
+apart.  So a group of copies, however large, is left to the near-duplicate
+operators.
 
 Defined cases: a null text has no words and no lines; a null host is a host of
 its own; a row is a document, and rows that repeat a ``doc_id`` share the lines
@@ -34,11 +36,12 @@ RESULT = (
 @dataclass(frozen=True)
 class LineLimits:
     """A line is removed if more than ``docs`` documents and more than ``share``
-    of its host's documents have it.  A document with fewer than ``rest`` of its
+    of its host's documents have it, and if ``apart`` of them are distinct.  A document with fewer than ``rest`` of its
     words left is depleted."""
 
     docs: int = 20
     share: float = 0.002
+    apart: float = 0.5
     rest: float = 0.2
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -98,13 +101,13 @@ def base_figures(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
     lines = _lines(text)
     return (
         without(docs, RESULT)
-        .withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), 0))
-        .withColumn("n_words", F.size("_words").cast("long"))
+        .withColumn("__words", F.regexp_extract_all(text, F.lit(WORD), 0))
+        .withColumn("n_words", F.size("__words").cast("long"))
         .withColumn("word_chars", F.length(F.regexp_replace(text, SPACE, "")).cast("long"))
         .withColumn("n_symbols", F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"))
         .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-        .withColumn("n_repeat_words", repeated_window_words(F.col("_words")))
-        .drop("_words")
+        .withColumn("n_repeat_words", repeated_window_words(F.col("__words")))
+        .drop("__words")
         .withColumn(
             "base_failed",
             (F.col("n_words") < limits.min_words)
@@ -146,14 +149,16 @@ def frequent_lines(
     one task.
     """
     per_text = (
-        line_rows(docs, host).groupBy("host", "h", "other").agg(F.min("doc_id").alias("first_doc"))
-    )
+        line_rows(docs, host).groupBy("host", "h", "other")
+        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n_rows"))
+    )
     counts = per_text.groupBy("host", "h").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min("first_doc").alias("first_doc")
-    )
+        F.count(F.lit(1)).alias("n_docs"), F.min("first_doc").alias("first_doc"),
+        F.sum("n_rows").alias("n_rows"),
+    )
     hosts = docs.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
     return (
-        counts.where(F.col("n_docs") > limits.docs).alias("c")
+        counts.where((F.col("n_docs") > limits.docs) & (F.col("n_docs") >= limits.apart * F.col("n_rows"))).alias("c")
         .join(hosts.alias("o"), same("c", "o", ["host"]))
         .where(F.col("n_docs") > limits.share * F.col("host_docs"))
         .select("c.host", "h", "n_docs", "first_doc")

@@ -37,13 +37,13 @@ told AS (
   SELECT w.*, CASE WHEN w.h = r.least THEN s.second ELSE r.least END AS other
   FROM worded w JOIN ranked r ON w.doc_id = r.doc_id LEFT JOIN seconds s ON w.doc_id = s.doc_id),
 per_line AS (
-  SELECT source, h, count(*) AS n_docs, min(first_doc) AS first_doc FROM (
-    SELECT source, h, other, min(doc_id) AS first_doc FROM told GROUP BY source, h, other)
+  SELECT source, h, count(*) AS n_docs, min(first_doc) AS first_doc, sum(n) AS n_rows FROM (
+    SELECT source, h, other, min(doc_id) AS first_doc, count(*) AS n FROM told GROUP BY source, h, other)
   GROUP BY source, h),
 hosts AS (SELECT source, count(*) AS host_docs FROM docs GROUP BY source),
 frequent AS (
   SELECT l.* FROM per_line l JOIN hosts o ON l.source = o.source
-  WHERE n_docs > {LIMITS.docs} AND n_docs > {LIMITS.share} * host_docs),
+  WHERE n_docs > {LIMITS.docs} AND n_docs > {LIMITS.share} * host_docs AND n_docs >= {LIMITS.apart} * n_rows),
 hit AS (
   SELECT t.doc_id, t.pos, t.w FROM told t JOIN frequent f
   ON t.source = f.source AND t.h = f.h WHERE t.doc_id <> f.first_doc),

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, stored, without, words_of
+from riskloom.llm.common import slices, stored, words_of
 
 WINDOW = 50
 PERIOD = 31
@@ -314,7 +314,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
                 if spans:
                     own = words_of(text)
                     for span in reversed(spans):
@@ -322,16 +322,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     text = b" ".join(own).decode()
                 out.append(text)
             at = table.schema.get_field_index("text")
-            table = table.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["_spans"])
+            table = table.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["__spans"])
             yield from table.to_batches()
 
     found = repeated_words(docs).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("words_sha256").alias("_sha"), F.col("spans").alias("_spans")
+        F.col("doc_id").alias("__id"), F.col("words_sha256").alias("__sha"), F.col("spans").alias("__spans")
     ).distinct()
-    source = without(docs, ("_id", "_sha", "_spans"))
     own_sha = F.sha2(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), 256)
     return (
-        source.join(found, (source["doc_id"] == found["_id"]) & (own_sha == found["_sha"]), "left")
-        .select(*source.columns, "_spans")
-        .mapInArrow(run, source.schema)
+        docs.join(found, (docs["doc_id"] == found["__id"]) & (own_sha == found["__sha"]), "left")
+        .select(*docs.columns, "__spans")
+        .mapInArrow(run, docs.schema)
     )

@@ -323,13 +323,13 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("kind", "raw", "replacement"))).alias("entities"))
     )
     table = F.map_from_entries(F.transform("entities", lambda e: F.struct(e["raw"], e["replacement"])))
-    filled = F.transform(entities_in(F.col("text")), lambda e: F.element_at("_table", e))
+    filled = F.transform(entities_in(F.col("text")), lambda e: F.element_at("__table", e))
     # The text between entities alternates with their replacements.
     text = F.array_join(
         F.flatten(
             F.transform(
                 F.split("text", ANY),
-                lambda gap, i: F.array(gap, F.coalesce(F.get("_filled", i), F.lit(""))),
+                lambda gap, i: F.array(gap, F.coalesce(F.get("__filled", i), F.lit(""))),
             )
         ),
         "",
@@ -337,9 +337,9 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     return (
         without(docs, RESULT).alias("d")
         .join(per_doc.alias("p"), same("d", "p", ["doc_id"]), "left")
-        .select("d.*", "entities", F.when(F.col("entities").isNotNull(), table).alias("_table"))
-        .withColumn("_filled", F.when(F.col("entities").isNotNull(), filled))
-        .withColumn("text", F.when(F.size("_filled") > 0, text).otherwise(F.col("text")))
-        .withColumn("n_entities", F.coalesce(F.size("_filled"), F.lit(0)))
-        .drop("_table", "_filled")
+        .select("d.*", "entities", F.when(F.col("entities").isNotNull(), table).alias("__table"))
+        .withColumn("__filled", F.when(F.col("entities").isNotNull(), filled))
+        .withColumn("text", F.when(F.size("__filled") > 0, text).otherwise(F.col("text")))
+        .withColumn("n_entities", F.coalesce(F.size("__filled"), F.lit(0)))
+        .drop("__table", "__filled")
     )

@@ -99,13 +99,15 @@ def test_run_is_the_stages(spark, sf_dir, stages):
 def test_odd_rows(spark, sf_dir):
     words = " ".join(f"word{i}" for i in range(80))
     rows = [*ODD, (None, words), (30, f"{words} x"), (30, f"{words} x"), (31, words.upper())]
-    frame = docs(spark, rows, ", h long, root int, ids string, unit string", (1, 2, "i", "u"))
+    frame = docs(spark, rows, ", h long, root int, kept string, n_words string, unit string, _found int, entities int", (1, 2, "k", "n", "u", 3, 4))
     for name, stage in corpus_pipeline.STAGES:
         path = work_dir(spark, f"odd-{name}")
         stage(spark, frame, sf_dir).write.parquet(path)
         frame = spark.read.parquet(path)
     found = frame.collect()
-    assert [r.doc_id for r in found] == [30]
+    assert [(r.doc_id, r.h, r.root, r.kept, r.n_words, r.unit, r._found, r.entities) for r in found] == [
+        (30, 1, 2, "k", "n", "u", 3, 4)
+    ]
     empty = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
