@@ -1,10 +1,9 @@
 """Piece encoding of texts by a relational lattice.
 
-A text is cut into units: a word with the blank before it, a run of blanks, a
-line end, and these again between any two characters that stand side by side in
-no piece, as a letter and a comma do.  No piece crosses a unit's border, so the
-best path of a text is the best paths of its units, one after the other, and
-only distinct units are solved.  Their substrings of up to the longest piece's length are exploded and
+A text is cut into units between any two characters that stand side by side in
+no piece, as a word's last letter and the blank or comma behind it.  No piece
+crosses a unit's border, so the best path of a text is the best paths of its
+units, one after the other, and only distinct units are solved.  Their substrings of up to the longest piece's length are exploded and
 equi-joined to the piece table, the matches are grouped by unit as the edges of
 its lattice, and a higher-order aggregate folds them into the best path (highest
 sum of scores, on a tie the path whose last piece is longer).  A character that
@@ -22,10 +21,8 @@ the name of a result column are replaced.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +39,9 @@ BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
 FLUSH = 1 << 18
-REMEMBERED = 1 << 17
 # A model with more pieces than this is refused: the piece table goes to all tasks.
 MOST_PIECES = 1 << 20
 UNKNOWN_PENALTY = 10.0
-UNITS = re.compile(rf"\n|{BLANK}{{1,{UNIT}}}(?![^{BLANK}\n])|{BLANK}?[^{BLANK}\n]{{1,{UNIT}}}")
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RESULT = ("ids", "n_tokens")
 FIGURES = ("n_units", "n_tokens", "ids_print", "n_bad")
@@ -85,36 +80,31 @@ def load_model(path: str) -> Model:
     )
 
 
-class Units(dict):
-    """Units of a word between single blanks; those of words seen lately are kept."""
+class Units:
+    """Cuts texts into units, by a table of the characters that pieces have side by side."""
 
     def __init__(self, model: Model):
-        self.neighbours = model.neighbours
-
-    def _cut(self, text: str) -> list[str]:
-        out = []
-        for unit in UNITS.findall(text):
-            start = 0
-            for at in range(1, len(unit)):
-                if unit[at - 1 : at + 1] not in self.neighbours:
-                    out.append(unit[start:at])
-                    start = at
-            out.append(unit[start:])
-        return out
-
-    def __missing__(self, word: str) -> list[str]:
-        self[word] = units = self._cut(BLANK + word)
-        return units
+        signs = sorted({c for pair in model.neighbours for c in pair})
+        # Number 0 stands for all other characters, which stand beside none.
+        self.number = np.zeros(0x110000, dtype=np.uint16)
+        self.number[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.width = len(signs) + 1
+        self.beside = np.zeros(self.width * self.width, dtype=bool)
+        for a, b in model.neighbours:
+            self.beside[self.number[ord(a)].astype(np.int64) * self.width + self.number[ord(b)]] = True
 
     def of(self, text: str | None) -> list[str]:
         if not text:
             return []
-        if len(self) > REMEMBERED:
-            self.clear()
-        if text[0] == " " or text[-1] == " " or "  " in text or BLANK in text:
-            # Blanks side by side belong together.
-            return self._cut(BLANK + text.replace(" ", BLANK))
-        return list(chain.from_iterable(map(self.__getitem__, text.split(" "))))
+        text = BLANK + text.replace(" ", BLANK)
+        number = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int32)
+        cuts = np.flatnonzero(~self.beside[number[:-1] * self.width + number[1:]]) + 1
+        starts = np.concatenate([[0], cuts])
+        stops = np.append(cuts, len(text))
+        if (stops - starts).max() > UNIT:
+            starts = np.concatenate([np.arange(s, e, UNIT) for s, e in zip(starts, stops)])
+            stops = np.append(starts[1:], len(text))
+        return list(map(text.__getitem__, map(slice, starts.tolist(), stops.tolist())))
 
 
 def decode(ids: list[int], model: Model) -> str:

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import public_tokenizers
 import pytest
@@ -59,10 +57,8 @@ def test_units_keep_the_text_and_pieces_inside(model):
         units = lattice.Units(model).of(text)
         assert "".join(units).replace(lattice.BLANK, " ")[1:] == text.replace("▁", " ")
         # Two characters at a border stand side by side in no piece, but for cuts by length.
-        borders = {a[-1] + b[0] for a, b in zip(units, units[1:]) if len(a) < lattice.UNIT and b[0] != lattice.BLANK}
+        borders = {a[-1] + b[0] for a, b in zip(units, units[1:]) if len(a) < lattice.UNIT}
         assert not borders & model.neighbours
-    # No piece has a blank after another sign, or two blanks before one.
-    assert not [p for p, _, _ in model.pieces if re.search(rf"[^{lattice.BLANK}]{lattice.BLANK}|{lattice.BLANK}{{2}}[^{lattice.BLANK}]|\n.|.\n", p)]
 
 
 @pytest.mark.parametrize("head", [lattice.HEAD, 40])
