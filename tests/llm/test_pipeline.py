@@ -108,7 +108,9 @@ def test_odd_rows(spark, sf_dir):
     assert [(r.doc_id, r.h, r.root, r.kept, r.n_words, r.unit, r._found, r.entities) for r in found] == [
         (30, 1, 2, "k", "n", "u", 3, 4)
     ]
-    empty = spark.createDataFrame([], SCHEMA)
-    for _, stage in corpus_pipeline.STAGES:
-        empty = stage(spark, empty, sf_dir)
-        assert empty.collect() == []
+    frame = spark.createDataFrame([], SCHEMA)
+    for name, stage in corpus_pipeline.STAGES:
+        path = work_dir(spark, f"empty-{name}")
+        stage(spark, frame, sf_dir).write.parquet(path)
+        frame = spark.read.parquet(path)
+        assert frame.collect() == []
