@@ -40,7 +40,9 @@ _NAME = rf"\p{{Lu}}[\p{{L}}'-]+(?: (?!(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+)?"
 
 # What is looked for, in order of precedence.  Patterns are in Java's syntax.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    # Tried at the first sign of a word only and with bounded parts, so that a long word
+    # without an @ costs no more than its length.
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "secret": r"\b(?i:password|passwd|pwd|secret|token|api_?key)\s?[=:]\s?[\"']?[^\s\"']{6,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
