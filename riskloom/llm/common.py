@@ -34,6 +34,12 @@ def ascii_lower(column: Column) -> Column:
     return F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, UPPER, LOWER))
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value made once per row, also where the expression is
+    moved into a filter and used inside of other functions."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def number_of(text: Column) -> Column:
     """The first 60 bits of a text's MD5 as a number; other engines can restate it."""
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from riskloom.llm.common import ascii_lower, same, stored, without
+from riskloom.llm.common import ascii_lower, let, same, stored, without
 
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -143,9 +143,7 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
         ).alias("__found"),
         F.count_distinct("item_id").alias("n_near_items"),
     )
-    own = F.col("__own")
-
-    def windows(match: Column) -> Column:
+    def windows(match: Column, own: Column) -> Column:
         words = match["words"]
         size = F.least(F.size(words), F.lit(width))
         starts = F.filter(
@@ -159,8 +157,12 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
             size.alias("size"),
         )
 
-    matches = F.filter(
-        F.transform(F.coalesce("__found", F.array()), windows), lambda m: F.size(m["starts"]) > 0
+    matches = let(
+        F.col("__own"),
+        lambda own: F.filter(
+            F.transform(F.coalesce("__found", F.array()), lambda m: windows(m, own)),
+            lambda m: F.size(m["starts"]) > 0,
+        ),
     )
     covered = F.array_distinct(
         F.flatten(

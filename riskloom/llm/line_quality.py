@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import SPACE, WORD, number_of, same, without
+from riskloom.llm.common import SPACE, WORD, let, number_of, same, without
 
 RESULT = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -62,16 +62,16 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
     Windows are hashed and sorted with their places, so the work per text is
     n log n; neighbours with equal hashes are the repeated ones.
     """
+    return let(words, lambda w: _repeated(w, width))
+
+
+def _repeated(words: Column, width: int) -> Column:
     hashes = F.transform(
         F.sequence(F.lit(0), F.size(words) - width),
         lambda i: F.struct(
             F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"), i.alias("i")
         ),
     )
-    # Each of these arrays is bound to a lambda variable, so it is built once.
-    def let(value: Column, then) -> Column:
-        return F.get(F.transform(F.array(value), then), F.lit(0))
-
     def repeated(sorted_windows: Column) -> Column:
         def twin(k: Column) -> Column:
             return F.get(sorted_windows, k)["h"]
