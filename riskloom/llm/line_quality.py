@@ -6,15 +6,18 @@ removed from all documents of the host but the first, and a document that loses
 nearly all of its words is rejected.
 
 Copies of one document count once.  What tells documents apart is the smallest
-hash among the *other* lines of the document: copies agree on it, and so do most
-near copies, while documents that merely share a footer do not.  A line counts
-as boilerplate only if at least half of the documents that have it are told
-apart.  So a group of copies, however large, is left to the near-duplicate
-operators.
+hash among the word windows of their *own* lines, those that no more documents
+have than the limits allow: copies agree on it, and so do most near copies,
+while documents that merely share lines, however many, do not.  Documents that
+have shared lines only are told apart by the set of these.  A line counts as
+boilerplate only if at least half of the documents that have it are told apart.
+So a group of copies, however large, is left to the near-duplicate operators.
 
 Defined cases: a null text has no words and no lines; a null host is a host of
-its own; a row is a document, and rows that repeat a ``doc_id`` share the lines
-removed under it; a null ``doc_id`` is never the first document of a line.
+its own; a row is a document, known by its ``doc_id``, host and text, so rows that
+repeat a ``doc_id`` or have none are judged each by its own text; the first
+document of a line keeps it in all rows under its id; a null ``doc_id`` is the
+first document only of a line that no other has, the text with the least hash.
 Columns that have the name of a result column are replaced.
 """
 
@@ -25,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import SPACE, WORD, let, number_of, same, without
+from riskloom.llm.common import SPACE, WORD, let, number_of, same, stored, without
 
 RESULT = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -116,52 +119,82 @@ def base_figures(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
     )
 
 
-def line_rows(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per line with a word: doc_id, host, h, its words, and ``other``,
-    the smallest hash among the document's other lines."""
-    hashed = F.transform(
-        _lines(F.col("text")),
-        lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w")),
+def _least_window(words: Column, width: int = 3) -> Column:
+    """The smallest hash among the windows of a line's words."""
+    windows = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0))),
+        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]),
     )
-    ordered = F.array_sort(F.array_distinct(F.transform(F.col("_lines"), lambda x: x["h"])))
-    least, second = F.get("_order", F.lit(0)), F.get("_order", F.lit(1))
-    return (
-        docs.select("doc_id", F.col(host).alias("host"), hashed.alias("_lines"))
-        .withColumn("_order", ordered)
-        .select(
-            "doc_id", "host", least.alias("_least"), second.alias("_second"),
-            F.explode("_lines").alias("_line"),
+    return F.array_min(windows)
+
+
+def line_rows(docs: DataFrame, host: str = "source", told: bool = False) -> DataFrame:
+    """One row per distinct line with a word of a row: doc_id, host, ``row`` (the text's
+    hash), h and, if ``told``, ``window``, the smallest hash among its windows of words."""
+    if told:
+        line = lambda x: F.struct(
+            _line_hash(x).alias("h"), let(F.regexp_extract_all(F.lower(x), F.lit(WORD), F.lit(0)), lambda w: _least_window(w)).alias("window")
         )
-        .select(
-            "doc_id", "host", F.col("_line.h").alias("h"), F.col("_line.w").alias("w"),
-            F.when(F.col("_line.h") == F.col("_least"), F.col("_second"))
-            .otherwise(F.col("_least")).alias("other"),
+    else:
+        line = lambda x: F.struct(_line_hash(x).alias("h"))
+    found = F.explode(F.array_distinct(F.transform(_lines(F.col("text")), line)))
+    return docs.select(
+        "doc_id", F.col(host).alias("host"), F.xxhash64("text").alias("row"), found.alias("_line")
+    ).select("doc_id", "host", "row", "_line.*")
+
+
+def shared_lines(docs: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
+    """Lines that more rows of a host have than both limits: host, h, n_rows, host_docs."""
+    counts = line_rows(docs, host).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_rows"))
+    hosts = docs.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
+    return (
+        counts.where(F.col("n_rows") > limits.docs).alias("c")
+        .join(hosts.alias("o"), same("c", "o", ["host"]))
+        .where(F.col("n_rows") > limits.share * F.col("host_docs"))
+        .select("c.host", "h", "n_rows", "host_docs")
+    )
+
+
+def rows_with_shared(docs: DataFrame, shared: DataFrame, host: str = "source") -> DataFrame:
+    """doc_id, host, row, ``lines``, the shared lines of the row, and ``own``, what
+    tells it from other documents."""
+    is_shared = F.col("n_rows").isNotNull()
+    return (
+        line_rows(docs, host, told=True).alias("l")
+        .join(shared.alias("s"), same("l", "s", ["host", "h"]), "left")
+        .groupBy("doc_id", "l.host", "row")
+        .agg(
+            F.array_sort(F.collect_set(F.when(is_shared, F.col("l.h")))).alias("lines"),
+            F.min(F.when(~is_shared, F.col("window"))).alias("own"),
         )
+        .where(F.size("lines") > 0)
+        .withColumn("own", F.coalesce("own", F.xxhash64("lines")))
     )
 
 
-def frequent_lines(
-    docs: DataFrame, limits: LineLimits = LineLimits(), host: str = "source"
-) -> DataFrame:
-    """Lines above the limits: host, h, n_docs and the first document.
+def frequent_lines(rows: DataFrame, shared: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+    """Lines above the limits: host, h, n_docs and the first document, or the first row
+    if no document has an id.
 
     Two steps of partial sums; neither a frequent line nor a large host meets in
     one task.
     """
+    without_id = F.when(F.col("doc_id").isNull(), F.col("row"))
     per_text = (
-        line_rows(docs, host).groupBy("host", "h", "other")
-        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n_rows"))
+        rows.select("doc_id", "host", "row", "own", F.explode("lines").alias("h"))
+        .groupBy("host", "h", "own")
+        .agg(F.min("doc_id").alias("first_doc"), F.min(without_id).alias("first_row"))
     )
     counts = per_text.groupBy("host", "h").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("first_doc").alias("first_doc"),
-        F.sum("n_rows").alias("n_rows"),
+        F.min("first_row").alias("first_row"),
     )
-    hosts = docs.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
     return (
-        counts.where((F.col("n_docs") > limits.docs) & (F.col("n_docs") >= limits.apart * F.col("n_rows"))).alias("c")
-        .join(hosts.alias("o"), same("c", "o", ["host"]))
+        counts.where(F.col("n_docs") > limits.docs).alias("c")
+        .join(shared.alias("s"), same("c", "s", ["host", "h"]))
         .where(F.col("n_docs") > limits.share * F.col("host_docs"))
-        .select("c.host", "h", "n_docs", "first_doc")
+        .where(F.col("n_docs") >= limits.apart * F.col("n_rows"))
+        .select("c.host", "c.h", "n_docs", "first_doc", "first_row")
     )
 
 
@@ -170,15 +203,19 @@ def remove_frequent_lines(
 ) -> DataFrame:
     """The documents with their base figures, the hashes of removed lines, the
     text without them and the verdict ``kept``."""
+    shared = stored(shared_lines(docs, limits, host), "shared-lines")
+    rows = stored(rows_with_shared(docs, shared, host), "rows-with-shared")
+    first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (
+        F.col("doc_id").isNotNull() | (F.col("row") == F.col("first_row"))
+    )
     removed = (
-        line_rows(docs, host).alias("l")
-        .join(frequent_lines(docs, limits, host).alias("f"), same("l", "f", ["host", "h"]))
-        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        .groupBy("doc_id", "l.h").agg(F.sum("w").alias("w"))
-        .groupBy("doc_id")
-        .agg(F.collect_list("h").alias("removed_lines"), F.sum("w").alias("n_removed_words"))
+        rows.select("doc_id", "host", "row", F.explode("lines").alias("h")).alias("l")
+        .join(frequent_lines(rows, shared, limits).alias("f"), same("l", "f", ["host", "h"]))
+        .where(~first)
+        .groupBy("doc_id", "l.host", "row")
+        .agg(F.collect_list("l.h").alias("removed_lines"))
     )
-    figures = base_figures(docs, limits)
+    figures = base_figures(docs, limits).withColumn("__row", F.xxhash64("text"))
     gone = F.coalesce("removed_lines", F.array().cast("array<long>"))
     clean = F.array_join(
         F.filter(
@@ -187,17 +224,23 @@ def remove_frequent_lines(
         ),
         "\n",
     )
+    none = F.size("removed_lines") == 0
+    # No word crosses the end of a line.
+    n_removed = F.when(none, F.lit(0)).otherwise(
+        F.col("n_words") - F.regexp_count("clean_text", F.lit(WORD))
+    )
     enough = (F.col("n_words") - F.col("n_removed_words")) >= limits.rest * F.col("n_words")
+    own_row = (
+        F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
+        & F.col(f"d.`{host}`").eqNullSafe(F.col("r.host"))
+        & (F.col("d.__row") == F.col("r.row"))
+    )
     return (
         figures.alias("d")
-        .join(removed.alias("r"), same("d", "r", ["doc_id"]), "left")
-        .select(
-            "d.*",
-            gone.alias("removed_lines"),
-            F.coalesce("n_removed_words", F.lit(0)).cast("long").alias("n_removed_words"),
-        )
-        .withColumn(
-            "clean_text", F.when(F.size("removed_lines") == 0, F.col("text")).otherwise(clean)
-        )
+        .join(removed.alias("r"), own_row, "left")
+        .select("d.*", gone.alias("removed_lines"))
+        .drop("__row")
+        .withColumn("clean_text", F.when(none, F.col("text")).otherwise(clean))
+        .withColumn("n_removed_words", n_removed.cast("long"))
         .withColumn("kept", ~F.col("base_failed") & enough)
     )

@@ -82,5 +82,27 @@ def test_repeated_rows_and_null_hosts(spark):
     assert {r.doc_id for r in found if line in r.clean_text} == {0}
 
 
+def test_documents_that_share_many_lines(spark):
+    """Documents of few own lines and many shared ones are told apart by the own ones."""
+    rows, common = [], {}
+    for own, shared in ((1, 2), (1, 5), (3, 6), (5, 10), (10, 10)):
+        host = f"{own}+{shared}"
+        lines = common[host] = [sentence((host, k)) for k in range(shared)]
+        for i in range(60):
+            mine = [sentence((host, i, k)) for k in range(own)]
+            rows.append((len(rows), "\n".join([*lines[: shared // 2], *mine, *lines[shared // 2 :]]), host))
+        # Exact copies of one page do not count.
+        rows += [(len(rows) + i, "\n".join(sentence((host, "page", k)) for k in range(6)), host) for i in range(30)]
+    found = {r.doc_id: r for r in remove_frequent_lines(docs(spark, rows), LIMITS).collect()}
+    for at, (doc_id, text, host) in enumerate(rows):
+        own, shared = map(int, host.split("+"))
+        if 0 < at % 90 < 60:
+            assert found[doc_id].clean_text == "\n".join(x for x in text.split("\n") if x not in common[host])
+            assert found[doc_id].n_removed_words == 14 * shared
+            assert found[doc_id].kept == (14 * (own + shared) >= 50 and own >= 0.2 * (own + shared))
+        else:
+            assert found[doc_id].clean_text == text and found[doc_id].n_removed_words == 0
+
+
 def test_empty_table(spark):
     assert remove_frequent_lines(spark.createDataFrame([], SCHEMA), LIMITS).collect() == []
