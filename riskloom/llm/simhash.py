@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER_BYTES, stored, words_of
+from riskloom.llm.common import LOWER_BYTES, same, stored, words_of
 from riskloom.llm.components import components
 
 SEED = 42
@@ -56,20 +56,19 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed long."""
+def with_fingerprint(docs: DataFrame, width: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, fp) for every row, with other keys if asked; fp is the fingerprint as a signed long."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             prints = np.array([fingerprint(t, width) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                [*map(batch.column, keys), pa.array(prints.view(np.int64))], [*keys, "fp"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long"
-    )
+    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return docs.select(*keys, "text").mapInArrow(run, f"{kinds}, fp long")
 
 
 def block_masks(distance: int, agree: int) -> list[int]:
@@ -258,6 +257,14 @@ def links(prints: DataFrame, distance: int = 4, agree: int | None = None) -> Dat
     )
 
 
+def _rooted(distinct: DataFrame, distance: int) -> DataFrame:
+    """Distinct fingerprints with ``root``, the least one of their component."""
+    roots = components(links(distinct.select("fp"), distance))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp")
+    )
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
@@ -268,24 +275,29 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     """
     prints = stored(with_fingerprint(docs, width), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct")
-    roots = components(links(distinct.select("fp"), distance))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_doc", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(distinct, distance)
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows whose doc_id is the smallest of its near-duplicate group, one row each."""
+def first_of_each_group(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each near-duplicate group: that with the smallest doc_id, null ids
+    last, and of rows that repeat it that whose text has the least hash.
+
+    A row is known by its doc_id and its text, so rows of different groups stay
+    apart whatever their ids.
+    """
+    keyed = docs.withColumn("__row", F.xxhash64("text"))
+    prints = stored(with_fingerprint(keyed, width, ("doc_id", "__row")), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    distinct = stored(prints.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
     kept = (
-        near_duplicates(docs)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id").distinct()
+        _rooted(distinct, distance).groupBy("root").agg(F.min("first").alias("first"))
+        .select("first.doc_id", "first.__row")
     )
     return (
-        docs.alias("d")
-        .join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-        .dropDuplicates(["doc_id"])
-    )
+        keyed.alias("d")
+        .join(kept.alias("k"), same("d", "k", ["doc_id", "__row"]), "left_semi")
+        .dropDuplicates(["doc_id", "__row"]).drop("__row")
+    )

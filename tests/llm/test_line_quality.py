@@ -104,5 +104,18 @@ def test_documents_that_share_many_lines(spark):
             assert found[doc_id].clean_text == text and found[doc_id].n_removed_words == 0
 
 
+def test_rows_without_their_own_id(spark):
+    """Rows with a null or repeated doc_id are depleted by their own lines only."""
+    line = sentence("shared", 20)
+    rows = [(i if i < 5 else None if i % 2 else 7, f"{sentence(i, 60)}\n{line}", "host") for i in range(30)]
+    # In this host no document has an id.
+    rows += [(None, f"{sentence(('none', i), 60)}\n{line}", "none") for i in range(10)]
+    found = remove_frequent_lines(docs(spark, rows), LIMITS).collect()
+    assert len(found) == len(rows) and all(r.kept for r in found)
+    assert {(r.n_removed_words, len(r.removed_lines)) for r in found} == {(0, 0), (20, 1)}
+    assert sum(r.n_removed_words == 0 for r in found if r.source == "host") == 1
+    assert sum(r.n_removed_words == 0 for r in found if r.source == "none") == 1
+
+
 def test_empty_table(spark):
     assert remove_frequent_lines(spark.createDataFrame([], SCHEMA), LIMITS).collect() == []
