@@ -1,22 +1,20 @@
-"""op5: figures of the piece encoding of all documents."""
+"""op5: piece ids of all documents and the texts that they decode to."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.llm.common import table
-from riskloom.llm.lattice import encoding_figures, load_model
+from riskloom.llm.lattice import decoded, encode, load_model
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = encoding_figures(table(spark, sf_dir, "documents"), load_model(MODEL))
-    return found.select(
-        "doc_id", "n_units", "n_tokens", "ids_print", (F.col("n_bad") == 0).alias("decodes")
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = load_model(MODEL)
+    return decoded(encode(docs, model), model).select("doc_id", "ids", "n_tokens", "decoded")
 
 
 QUERIES = {"op5_sentencepiece": op5_sentencepiece}

@@ -94,6 +94,15 @@ def test_odd_rows(spark, model):
     )
 
 
+def test_query_returns_ids_and_texts(spark, sf_dir, model):
+    from riskloom.llm import q_lattice
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = q_lattice.op5_sentencepiece(spark, sf_dir).collect()
+    assert {r.doc_id: r.decoded for r in rows} == texts
+    assert all(lattice.decode(r.ids, model) == r.decoded and r.n_tokens == len(r.ids) for r in rows)
+
+
 def test_empty_table(spark, model):
     source = spark.createDataFrame([], SCHEMA)
     assert lattice.encode(source, model).collect() == []
