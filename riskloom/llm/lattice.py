@@ -14,13 +14,16 @@ threshold, go to all tasks; texts need no shuffle for them.  The others are
 joined by unit, once per document that has them, so a frequent unit is never a
 join key.
 
-A unit is cut at UNIT code points.  Null and empty texts have no pieces.  The
+A unit of more than UNIT code points is cut too, at borders of its best path, which
+one pass over the unit finds where its text is; so the parts' best paths are still
+those of the whole text.  Null and empty texts have no pieces.  The
 sign for a blank (U+2581) in a text is read back as a blank.  Columns that have
 the name of a result column are replaced.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -39,6 +42,8 @@ BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
 FLUSH = 1 << 18
+# Long units whose cuts a task remembers.
+REMEMBERED = 1 << 12
 # A model with more pieces than this is refused: the piece table goes to all tasks.
 MOST_PIECES = 1 << 20
 UNKNOWN_PENALTY = 10.0
@@ -92,6 +97,44 @@ class Units:
         self.beside = np.zeros(self.width * self.width, dtype=bool)
         for a, b in model.neighbours:
             self.beside[self.number[ord(a)].astype(np.int64) * self.width + self.number[ord(b)]] = True
+        self.model = model
+        self.scores: dict[str, float] = {}
+        self.memo: dict[str, np.ndarray] = {}
+
+    def inner_cuts(self, unit: str) -> np.ndarray:
+        """Places in a long unit at which its best path has a border, each the first one
+        UNIT or more after the last.  Between them the best path is that of the part."""
+        if unit in self.memo:
+            return self.memo[unit]
+        self.scores = self.scores or {p: s for p, _, s in self.model.pieces}
+        find, longest, unknown = self.scores.get, self.model.longest, self.model.unknown_score
+        best, last = array("d", [0.0]), array("i", [0])
+        for stop in range(1, len(unit) + 1):
+            top, first = -np.inf, stop - 1
+            for start in range(max(0, stop - longest), stop):
+                score = find(unit[start:stop])
+                if score is None:
+                    if start < stop - 1:
+                        continue
+                    score = unknown
+                if best[start] + score > top:
+                    top, first = best[start] + score, start
+            best.append(top)
+            last.append(first)
+        borders, at = [], last[len(unit)]
+        while at:
+            borders.append(at)
+            at = last[at]
+        cuts = []
+        for at in reversed(borders):
+            if at - (cuts[-1] if cuts else 0) >= UNIT:
+                cuts.append(at)
+        if len(self.memo) > REMEMBERED:
+            self.memo.clear()
+        found = np.array(cuts, dtype=np.int64)
+        if len(unit) <= 16 * UNIT:
+            self.memo[unit] = found
+        return found
 
     def of(self, text: str | None) -> list[str]:
         if not text:
@@ -101,17 +144,29 @@ class Units:
         cuts = np.flatnonzero(~self.beside[number[:-1] * self.width + number[1:]]) + 1
         starts = np.concatenate([[0], cuts])
         stops = np.append(cuts, len(text))
-        if (stops - starts).max() > UNIT:
-            starts = np.concatenate([np.arange(s, e, UNIT) for s, e in zip(starts, stops)])
+        long = np.flatnonzero(stops - starts > UNIT)
+        if len(long):
+            inner = [starts[k] + self.inner_cuts(text[starts[k] : stops[k]]) for k in long]
+            starts = np.sort(np.concatenate([starts, *inner]))
             stops = np.append(starts[1:], len(text))
         return list(map(text.__getitem__, map(slice, starts.tolist(), stops.tolist())))
 
 
+def _bytes_of(model: Model) -> list[bytes]:
+    """The bytes that each id stands for."""
+    out = [text.encode() for text in model.texts]
+    for b, i in enumerate(model.byte_ids):
+        out[i] = bytes([b])
+    return out
+
+
+def _read(ids: list[int], table: list[bytes]) -> str:
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")[1:]
+
+
 def decode(ids: list[int], model: Model) -> str:
     """The text of a list of ids."""
-    first = {i: b for b, i in enumerate(model.byte_ids)}
-    out = b"".join(bytes([first[i]]) if i in first else model.texts[i].encode() for i in ids)
-    return out.decode("utf-8", "replace").replace(BLANK, " ")[1:]
+    return _read(ids, _bytes_of(model))
 
 
 def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
@@ -324,8 +379,9 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
 def decoded(encoded: DataFrame, model: Model) -> DataFrame:
     """The frame with ``decoded``, the text of ``ids``; an empty list gives an empty text."""
     def run(batches):
+        table = _bytes_of(model)
         for batch in batches:
-            texts = [decode(ids or [], model) for ids in batch.column("ids").to_pylist()]
+            texts = [_read(ids or [], table) for (ids,) in slices([batch], "ids")]
             yield from pa.Table.from_batches([batch]).append_column("decoded", pa.array(texts, pa.string())).to_batches()
 
     encoded = without(encoded, ("decoded",))

@@ -94,6 +94,16 @@ def test_odd_rows(spark, model):
     )
 
 
+def test_long_units_have_the_best_path_of_the_text(spark, model):
+    rng = np.random.default_rng(1)
+    signs = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    texts = ["ab" * 2000, "".join(rng.choice(signs, 3000)), "international" * 90, "-" * 1111 + "=" * 999, " " * 700, "x" * 257]
+    table = {p: (i, s) for p, i, s in model.pieces}
+    rows = lattice.encode(docs(spark, list(enumerate(texts))), model).collect()
+    whole = {k: plain(lattice.BLANK + t.replace(" ", lattice.BLANK), model, table) for k, t in enumerate(texts)}
+    assert {r.doc_id: r.ids for r in rows} == whole
+
+
 def test_query_returns_ids_and_texts(spark, sf_dir, model):
     from riskloom.llm import q_lattice
 
