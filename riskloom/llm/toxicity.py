@@ -15,8 +15,9 @@ The best sum over a text's segments (sum statistics) is turned into a
 probability on the training texts.
 
 Labels come from at most about TRAIN_ROWS labelled rows, chosen by hash; their
-ids go to all tasks.  The token table that goes to all tasks has at most 2 * SLOTS
-entries: of tokens that share a slot the more frequent one stays.
+ids go to all tasks, and so do the scores of all their tokens that are not about
+zero, as 16 bytes each; TRAIN_ROWS bounds them.  Equal words count once in a
+candidate passage, that is until the sum of scores is used up or has fallen by ENDS.
 
 Null and empty texts have no tokens and the score of no evidence.  Rows that
 repeat a doc_id are scored each; labels that repeat one count as toxic if any
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import stored
 
 TRAIN_ROWS = 200_000
-SLOTS = 1 << 18
 PREFIX = 4
 # Weight of the beginning's verdict, and of the classes' shares, in documents.
 TOKEN_PRIOR, SHARE_PRIOR = 20.0, 2.0
 CAUTION = 1.0
 DRIFT = 0.7
+# A candidate passage ends where its sum has fallen by this much, ten words of no meaning.
+ENDS = 10 * DRIFT
 EXPECTED = 0.01
 # Sums below this many times their number of segments are not large.
 LARGE = 3.0
@@ -135,21 +137,28 @@ def token_scores(counts: DataFrame, n_toxic: int, n_other: int) -> tuple[DataFra
     return tokens, prefixes.select("prefix", "score", "types")
 
 
-def _slotted(scores: DataFrame, name: str, weight: Column) -> dict[int, float]:
-    """Hash to score; at most SLOTS entries, the heaviest of each slot."""
-    tag = F.xxhash64(name)
-    best = (
-        scores.where("abs(score) > 0.05").select(tag.alias("tag"), "score", weight.alias("w"))
-        .groupBy(F.pmod("tag", F.lit(SLOTS)).alias("slot")).agg(F.max_by(F.struct("tag", "score"), F.struct("w", "tag")).alias("s"))
-        .select("s.tag", "s.score").toArrow()
-    )
-    return dict(zip(best.column("tag").to_pylist(), best.column("score").to_pylist()))
+class Table:
+    """Scores by hash, as two arrays in the order of the hashes."""
+
+    def __init__(self, tags: np.ndarray, scores: np.ndarray):
+        order = np.argsort(tags)
+        self.tags, self.scores = tags[order], scores[order]
+
+    def get(self, tag: int) -> float | None:
+        at = int(np.searchsorted(self.tags, tag))
+        return float(self.scores[at]) if at < len(self.tags) and self.tags[at] == tag else None
+
+
+def _table(scores: DataFrame, name: str) -> Table:
+    """All scores that are not about zero."""
+    rows = scores.where("abs(score) > 0.05").select(F.xxhash64(name).alias("tag"), "score").toArrow()
+    return Table(rows.column("tag").to_numpy(), rows.column("score").to_numpy())
 
 
 @dataclass(frozen=True)
 class Model:
-    tokens: dict[int, float]
-    prefixes: dict[int, float]
+    tokens: Table
+    prefixes: Table
     scale: float
     rate: float
 
@@ -180,12 +189,20 @@ class Scores(dict):
             self.clear()
         words = (text or "").lower().split()
         scores = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
-        # A text repeats its words: only the first one of a kind is evidence.
-        seen = set()
+        # A passage repeats its words: in it only the first one of a kind is evidence.
+        below = np.concatenate([[0.0], np.cumsum(np.minimum(scores, 0.0))])
+        seen: set[str] = set()
+        run, top, after = 0.0, 0.0, 0
         for at in np.flatnonzero(scores > 0).tolist():
+            run += below[at] - below[after]
+            if run <= 0 or run < top - ENDS:
+                seen.clear()
+                run = top = 0.0
             if words[at] in seen:
                 scores[at] = -DRIFT
             seen.add(words[at])
+            run += scores[at]
+            top, after = max(top, run), at + 1
         return scores
 
 
@@ -304,8 +321,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     weights = np.array([float(r.n) for r in grid] + [0.5])
     weights[-1:] += 0.5
     model = Model(
-        _slotted(tokens, "token", F.col("toxic") + F.col("other")),
-        _slotted(prefixes, "prefix", F.col("types")),
+        _table(tokens, "token"),
+        _table(prefixes, "prefix"),
         scale_of(values, weights),
         float(weights[values > 0].sum() / weights.sum()),
     )

@@ -85,6 +85,21 @@ def test_odd_rows(spark):
             assert not r.held_out or r.doc_id is not None
 
 
+def test_a_later_passage_of_the_same_words_counts():
+    words = ["vile", "vileness", "vilest"]
+    model = toxicity.Model({toxicity._tag(w): 4.0 for w in words}, {}, 1.0, 0.01)
+    text = ["vile", *["plain"] * 40, *words, "vile", *["plain"] * 100, *words, *["plain"] * 9]
+    values = toxicity.Scores(model).of(" ".join(text))
+    assert [(s, e) for s, e, _ in toxicity.maximal_segments(values)] == [(0, 1), (41, 44), (145, 148)]
+
+
+def test_no_scored_token_is_dropped(spark):
+    scores = {f"token{k}": 1.0 + k for k in range(4000)}
+    table = toxicity._table(spark.createDataFrame(list(scores.items()), "token string, score double"), "token")
+    assert all(table.get(toxicity._tag(t)) == s for t, s in scores.items())
+    assert table.get(toxicity._tag("another")) is None
+
+
 def test_no_labels_and_no_rows(spark):
     assert [r.predicted for r in scored(spark, [(1, "a b c")], [])] == [0]
     empty = spark.createDataFrame([], SCHEMA)
