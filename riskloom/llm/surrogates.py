@@ -45,14 +45,25 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "secret": r"\b(?i:password|passwd|pwd|secret|token|api_?key)\s?[=:]\s?[\"']?[^\s\"']{6,}",
+    # At least ten digits, so that words in capitals are none; spaces as people set them.
+    "iban": r"(?<![\p{L}\p{N}])(?=(?:[A-Z ]{0,12}\d){10})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    # Eight groups, or fewer around a double colon; with a digit, so that names in code are none.
+    "ip6": r"(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f:]{0,38}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){1,7}:|:(?::[0-9A-Fa-f]{1,4}){1,7})(?![\p{L}\p{N}:])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d.+])\d(?:[ -]?\d){12,18}(?![\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d])",
+    # With a country code 8 to 15 digits in any groups; a bracket or groups of 3, 3 to 4 and 3
+    # to 4; with a leading zero 8 to 15 digits in groups of 2 or more, but no date; ten digits.
+    "phone": r"(?<![\d\p{L}])(?:\+\d(?:[ .()/-]{0,2}\d){7,14}"
+    r"|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}"
+    r"|(?<!\d[.,/-])(?!\d\d[./-]\d\d[./-]\d{2,4}(?!\d))(?=\d(?:[ ./-]?\d){7,14}(?!\d))0\d{1,4}(?:[ ./-]\d{2,8}){1,5}"
+    r"|(?<!\d[.,])0[1-9]\d{7,9}|(?<!\d[.,])[2-9]\d{9}(?!\.\d))(?!\d)",
     "man": rf"\b(?:{MALE}|{MALE.upper()})\.? {_NAME}",
     "woman": rf"\b(?:{FEMALE}|{FEMALE.upper()})\.? {_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Country codes of one and two digits; all others have three.
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 DIGITS = ("card", "ssn", "phone")
 NAMES = ("man", "woman")
 
@@ -111,7 +122,7 @@ def _lead(raw: Column, kind: Column) -> Column:
         F.when(kind == "secret", F.regexp_extract(raw, label, 1))
         .when(kind == "key", F.substring(raw, 1, 4))
         .when(kind.isin(*NAMES), F.regexp_extract(raw, r"^(\S+ )", 1))
-        .when(kind == "phone", F.regexp_extract(raw, r"^(\+\d{1,3}[ .-]?|)", 1))
+        .when(kind == "phone", F.regexp_extract(raw, rf"^(\+(?:{COUNTRY})[ .-]?|)", 1))
         .otherwise("")
     )
 
@@ -121,7 +132,8 @@ def canonical(raw: Column, kind: Column) -> Column:
     rest = F.substr(raw, F.length(_lead(raw, kind)) + 1)
     return (
         F.when(kind.isin(*DIGITS), F.regexp_replace(raw, r"[^\d]", ""))
-        .when(kind.isin("email", *NAMES), F.lower(rest))
+        .when(kind == "iban", F.regexp_replace(raw, " ", ""))
+        .when(kind.isin("email", "ip6", *NAMES), F.lower(rest))
         .otherwise(rest)
     )
 
@@ -139,7 +151,7 @@ def _pick(words: str, at: Column) -> Column:
 
 def _letters(value: Column, stream: Column) -> Column:
     """Digits become digits, letters letters of their script and case, the rest stays."""
-    hexadecimal = value.rlike("^[0-9a-f]+$")
+    hexadecimal = value.rlike("^[0-9a-f:]+$")
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(stream, i)
@@ -176,6 +188,23 @@ def _numbers(value: Column, kind: Column, stream: Column) -> Column:
     return F.when(valid, F.concat(body, check.cast("string"))).otherwise(drawn)
 
 
+def _rest_of_97(value: Column) -> Column:
+    """An account number without spaces, its first four signs moved to its end, modulo 97."""
+    moved = F.concat(F.substr(value, F.lit(5)), F.substr(value, F.lit(1), F.lit(4)))
+    return F.aggregate(
+        F.filter(F.split(moved, ""), lambda c: c != ""),
+        F.lit(0),
+        lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97),
+    )
+
+
+def _account(value: Column, stream: Column) -> Column:
+    """Country and, if it had them, valid check digits stay; the rest is drawn."""
+    country, body = F.substr(value, F.lit(1), F.lit(2)), _letters(F.substr(value, F.lit(5)), stream)
+    check = F.lpad((98 - _rest_of_97(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
+    return F.concat(country, F.when(_rest_of_97(value) == 1, check).otherwise(F.substr(value, F.lit(3), F.lit(2))), body)
+
+
 def _country_kept(raw: Column, kind: Column, drawn: Column) -> Column:
     code = F.regexp_replace(_lead(raw, kind), r"[^\d]", "")
     return F.concat(code, F.substr(drawn, F.length(code) + 1))
@@ -222,6 +251,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, streams: tuple[Colum
     return (
         F.when(is_mail, F.concat(letters, F.lit("@"), host, F.regexp_extract(value, r"(\.[^.]*)$", 1)))
         .when(kind == "ip", _address(value, stream))
+        .when(kind == "iban", _account(value, stream))
         .when(kind.isin(*DIGITS), _numbers(value, kind, stream))
         .when(kind.isin(*NAMES), _name(value, kind, stream, attempt))
         .otherwise(letters)
@@ -253,7 +283,7 @@ def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
         F.filter(F.split(raw, ""), lambda c: c != ""),
         F.struct(F.lit("").alias("out"), F.lit(0).alias("n")),
         lambda a, c: F.when(
-            c.rlike("[0-9]"),
+            c.rlike("[0-9]") | ((kind == "iban") & (c != " ")),
             F.struct(F.concat(a["out"], F.substr(drawn, a["n"] + 1, F.lit(1))).alias("out"), (a["n"] + 1).alias("n")),
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["n"].alias("n"))),
         lambda a: a["out"],
@@ -267,8 +297,8 @@ def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
     )
     shouted = raw == F.upper(raw)
     return (
-        F.when(kind.isin(*DIGITS), digits)
-        .when(kind == "email", cased)
+        F.when(kind.isin("iban", *DIGITS), digits)
+        .when(kind.isin("email", "ip6"), cased)
         .when(kind.isin(*NAMES), F.concat(lead, F.when(shouted, F.upper(drawn)).otherwise(drawn)))
         .otherwise(F.concat(lead, drawn))
     )

@@ -67,6 +67,30 @@ def test_types_formats_and_coreference(spark):
     assert re.fullmatch(r"κ\. [Α-Ω][α-ω]+", new["κ. Παπαδόπουλος"])
 
 
+def test_forms_that_the_given_data_lack(spark):
+    phones = ["+4915112345678", "4155550123", "+49 30 1234567", "+44 20 7946 0958", "06 12 34 56 78", "030/1234567", "0612345678"]
+    ibans = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606"]
+    nets = ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:DB8::1", "fe80::1ff:fe23:4567:890a"]
+    clean = "On 01.02.2024, 01/02/2024 or 2024-01-15 at 12:30:45, 1700000000 s, 0.4155550123, std::vector, AB12 WORDS IN CAPITALS."
+    wanted = [("phone", p) for p in phones] + [("iban", i) for i in ibans] + [("ip6", n) for n in nets]
+    rows = [(k, f"Take {raw}, please. {clean}") for k, (_, raw) in enumerate(wanted)]
+    for row in replaced(spark, rows):
+        kind, raw = wanted[row.doc_id]
+        assert [(e.kind, e.raw) for e in row.entities] == [(kind, raw)]
+        new = row.entities[0].replacement
+        assert row.text == f"Take {new}, please. {clean}" and new != raw
+        assert [c if not c.isalnum() else "x" for c in new] == [c if not c.isalnum() else "x" for c in raw]
+        if kind == "iban":
+            plain = new.replace(" ", "")
+            assert plain[:2] == raw[:2] and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+        if kind == "ip6":
+            import ipaddress
+
+            ipaddress.IPv6Address(new)
+        if raw.startswith("+"):
+            assert new[:3] == raw[:3]
+
+
 def test_distinct_entities_stay_distinct(spark):
     """Hundreds of names and short numbers collide at attempt 0; none does in the end."""
     rows = [(i, f"Mrs {chr(65 + i % 26)}{'abcdefghij'[i // 26]}{'klmnopqrst'[i % 10]} and 7{i % 10}{i // 10 % 10}-0{i % 7}-{i:04d}.") for i in range(260)]
