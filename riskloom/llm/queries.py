@@ -5,6 +5,7 @@ from __future__ import annotations
 from riskloom.llm import (
     q_chat,
     q_decontaminate,
+    q_fill_in_middle,
     q_lattice,
     q_line_quality,
     q_reshard,
@@ -26,6 +27,7 @@ MODULES = (
     q_token_files,
     q_substring,
     q_decontaminate,
+    q_fill_in_middle,
 )
 
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
