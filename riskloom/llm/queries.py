@@ -8,6 +8,7 @@ from riskloom.llm import (
     q_fill_in_middle,
     q_lattice,
     q_line_quality,
+    q_periodic,
     q_reshard,
     q_simhash,
     q_substring,
@@ -27,6 +28,7 @@ MODULES = (
     q_token_files,
     q_substring,
     q_decontaminate,
+    q_periodic,
     q_fill_in_middle,
 )
 
