@@ -15,6 +15,7 @@ from riskloom.llm import (
     q_surrogates,
     q_token_files,
     q_toxicity,
+    q_warc,
 )
 
 MODULES = (
@@ -30,6 +31,7 @@ MODULES = (
     q_decontaminate,
     q_periodic,
     q_fill_in_middle,
+    q_warc,
 )
 
 QUERIES = {name: build for module in MODULES for name, build in module.QUERIES.items()}
