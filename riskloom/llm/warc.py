@@ -395,8 +395,10 @@ def read_records(captures: DataFrame, out: str, payload: bool = False) -> DataFr
         yield _batch(rows, names, kinds)
 
     dealt = captures.select("file", "at", "size").withColumn("_stretch", F.expr(f"at div {STRETCH}"))
+    # A fixed number: captures are short, but each one stands for a record.
+    spread = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.repartition("file", "_stretch").sortWithinPartitions("file", "at")
+        dealt.repartition(spread, "file", "_stretch").sortWithinPartitions("file", "at")
         .mapInArrow(run, RECORD + (", payload binary" if payload else ""))
     )
 
