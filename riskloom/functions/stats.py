@@ -3,12 +3,15 @@
 Exact quantiles never gather a column in one task.  The first pass counts rows
 per order-preserving bucket, the second looks only at the few buckets that
 hold a wanted rank.  Equal values are collapsed map-side before each shuffle,
-so one very frequent value is as cheap as a rare one.
+so one very frequent value is as cheap as a rare one, and the different values of
+a wanted bucket are dealt out by order statistics (``running_counts``), so a crowded
+bucket is many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +20,12 @@ from riskloom.functions.rules import _col
 
 # Buckets per unit of log1p(|x|): a score range of 0-100 gives about 19,000.
 QUANTILE_RESOLUTION = 4096
+# Parts that the different values of a wanted bucket are dealt out to, and how much
+# larger than the others a part may be: one task has at most 1/64 + 1/640 of them.
+SPLITS = 64
+SPLIT_ACCURACY = 10 * SPLITS
+# Rows from which a wanted bucket's values are dealt out; a smaller one is one task.
+CROWDED = 1_000_000
 
 
 def n_rows() -> Column:
@@ -98,14 +107,15 @@ def quantiles(
         .select(
             *by,
             "_b",
+            F.col("_n").alias("_rows"),
             (upto - F.col("_n")).alias("_before"),
             upto.alias("_upto"),
             F.sum("_n").over(group).alias("_total"),
         )
     )
-    ranks = _ranks(probs)
+    ranks = rank_list(probs)
     targets = histogram.where(f"exists({ranks}, k -> k >= _before AND k < _upto)")
-    targets = targets.select(*by, "_b", "_before", "_total")
+    targets = targets.select(*by, "_b", "_rows", "_before", "_total")
     if not by or few_groups:
         targets = F.broadcast(targets)
     targets = targets.select(*[F.col(c).alias(f"_t{c}") for c in targets.columns])
@@ -117,23 +127,34 @@ def quantiles(
         *[values[key] for key in by],
         values["_b"],
         values["_x"],
+        targets["_t_rows"].alias("_rows"),
         targets["_t_before"].alias("_before"),
         targets["_t_total"].alias("_total"),
     )
-    inside = Window.partitionBy(*by, "_b").orderBy("_x")
-    run = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (
-        joined.groupBy(*by, "_b", "_x", "_before", "_total")
-        .agg(n_rows().alias("_n"))
-        .select(
-            *by,
-            "_x",
-            "_total",
-            (F.col("_before") + run - F.col("_n")).alias("_start"),
-            (F.col("_before") + run).alias("_end"),
-        )
+    # As an aggregate the bucket's size is no filter of the scan: both branches share it.
+    counted = joined.groupBy(*by, "_b", "_x", "_before", "_total").agg(
+        n_rows().alias("_n"), F.max("_rows").alias("_rows")
+    )
+    inside = Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    small = counted.where(F.col("_rows") <= CROWDED).withColumn(
+        "_earlier", F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    )
+    # Empty, and cut from the plan at run time, where no bucket is crowded.
+    crowded = running_counts(counted.where(F.col("_rows") > CROWDED), [*by, "_b"], few_groups or not by)
+    ranked = small.unionByName(crowded).select(
+        *by,
+        "_x",
+        "_total",
+        (F.col("_before") + F.col("_earlier")).alias("_start"),
+        (F.col("_before") + F.col("_earlier") + F.col("_n")).alias("_end"),
     )
-    hits = F.expr(f"filter({ranks}, k -> k >= _start AND k < _end)")
+    return at_ranks(ranked, by, probs, names)
+
+
+def at_ranks(ranked: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Quantiles from values ``_x`` that hold the ranks ``_start`` to before ``_end`` of the
+    group's ``_total``; only rows that hold a wanted rank are needed."""
+    hits = F.expr(f"filter({rank_list(probs)}, k -> k >= _start AND k < _end)")
     found = (
         ranked.select(*by, "_x", "_total", F.explode(hits).alias("_k"))
         .groupBy(*by)
@@ -148,9 +169,51 @@ def quantiles(
     )
 
 
+def _met(left: DataFrame, right: DataFrame, on: Sequence[str], take: str, few: bool) -> DataFrame:
+    """Null-safe join that adds one column."""
+    named = right.select(*[F.col(c).alias(f"_r{c}") for c in on], take)
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(named[f"_r{c}"]) for c in on])
+    return left.join(F.broadcast(named) if few else named, same).select(left["*"], take)
+
+
+def dealt_parts(counted: DataFrame, keys: Sequence[str], few_keys: bool = False) -> DataFrame:
+    """``counted`` with ``_part``, its place among the SPLITS parts of its key's values.
+
+    The borders are approximate order statistics of the key's different values, whose
+    error is bounded whatever their distribution.
+    """
+    at = [i / SPLITS for i in range(1, SPLITS)]
+    edges = counted.groupBy(*keys).agg(F.percentile_approx("_x", at, SPLIT_ACCURACY).alias("_edges"))
+    return _met(counted, edges, keys, "_edges", few_keys).withColumn(
+        "_part", F.expr("size(filter(_edges, e -> e < _x))")
+    ).drop("_edges")
+
+
+def running_counts(counted: DataFrame, keys: Sequence[str], few_keys: bool = False) -> DataFrame:
+    """``counted`` (one row per key and different value ``_x``, with its rows ``_n``) and
+    ``_earlier``, the rows of the key with smaller values.
+
+    Parts are ordered by the table of their sizes, values within their part, so no task
+    sees more than a part.  ``few_keys`` states that the keys are few, such as buckets of
+    listed columns; their edges and sizes then go to all tasks.
+    """
+    keys = list(keys)
+    cut = dealt_parts(counted, keys, few_keys)
+    order = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # At most SPLITS rows per key.
+    sizes = cut.groupBy(*keys, "_part").agg(F.sum("_n").alias("_size")).select(
+        *keys, "_part", F.coalesce(F.sum("_size").over(order), F.lit(0)).alias("_ahead")
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return _met(cut, sizes, [*keys, "_part"], "_ahead", few_keys).select(
+        *counted.columns, (F.col("_ahead") + own).alias("_earlier")
+    )
+
+
 # SQL text: one call to the JVM where the same expression composed from Column
 # objects takes dozens.
-def _ranks(probs: Sequence[float]) -> str:
+def rank_list(probs: Sequence[float]) -> str:
     """Zero-based ranks next to each probability's position."""
     literals = ", ".join(f"{float(p)!r}D" for p in probs)
     return (
@@ -205,3 +268,8 @@ def merged_std(prefix: str = "") -> Column:
 def one_value(df: DataFrame, column: str) -> Column:
     """A one-row result as a scalar subquery: no join in the outer plan."""
     return df.select(column).scalar()
+
+
+def one_row(df: DataFrame) -> Column:
+    """A one-row result as a struct: several of its fields cost one evaluation."""
+    return df.select(F.struct("*").alias("_row")).scalar()

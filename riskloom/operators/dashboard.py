@@ -1,12 +1,14 @@
 """Dashboard blocks, alerts and the metric document.
 
 All score figures come from one rollup of the period (``segments``); only the
-distinct-patient count and the exact quantiles read the log again.
+distinct-patient count and the exact quantiles read the log again.  With a stored
+rollup (``rollup.Rollup``) the document reads the log once, for the exact
+quantiles, or not at all with ``approx=True``.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,14 +16,16 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.stats import (
     n_rows,
+    one_row,
     one_value,
-
     pct_change,
     pct_of,
     quantiles,
     ratio,
 )
+from riskloom.operators import rollup as stored_rollup
 from riskloom.operators.checks import Roi, facts_of, roi_columns
+from riskloom.operators.rollup import Rollup
 from riskloom.operators.segments import cells_of, segments
 from riskloom.sources.tables import lookback_scan, time_literal
 
@@ -58,12 +62,22 @@ def volume_metrics(df: DataFrame, days: int) -> DataFrame:
     )
 
 
-def risk_metrics(
-    df: DataFrame, approx: bool = False, cells: DataFrame | None = None
-) -> DataFrame:
-    """Score figures, exact median and 95th percentile, count and share per category."""
-    q = quantiles(df, SCORE, [0.5, 0.95], ["median_risk", "p95_risk"], approx=approx)
-    f = facts_of(df if cells is None else cells)
+QUANTILES = ([0.5, 0.95], ["median_risk", "p95_risk"])
+
+
+def risk_metrics(df: DataFrame, approx: bool = False, cells: DataFrame | None = None) -> DataFrame:
+    """Score figures, exact median and 95th percentile, count and share per category.
+
+    With the ``cells`` of a stored rollup of the same rows the quantiles come from its
+    sketches: within their error with ``approx``, else exactly from one read of the log.
+    """
+    if cells is None:
+        q = quantiles(df, SCORE, *QUANTILES, approx=approx)
+    elif approx:
+        q = cells.agg(*stored_rollup.merged_quantiles(*QUANTILES))
+    else:
+        q = stored_rollup.exact_quantiles(df, cells, *QUANTILES)
+    f = facts_of(df if cells is None else cells).withColumn("_q", one_row(q))
     shares = {}
     for c in CATEGORIES:
         rows = F.coalesce(F.col(f"{c}_rows"), F.lit(0).cast("long"))
@@ -74,8 +88,8 @@ def risk_metrics(
         r2("std_risk").alias("risk_std_dev"),
         r2("min_risk").alias("min_risk"),
         r2("max_risk").alias("max_risk"),
-        r2(one_value(q, "median_risk")).alias("median_risk"),
-        r2(one_value(q, "p95_risk")).alias("p95_risk"),
+        r2("_q.median_risk").alias("median_risk"),
+        r2("_q.p95_risk").alias("p95_risk"),
         r2("high_pct").alias("high_risk_percentage"),
         *[c.alias(k) for k, c in shares.items()],
     )
@@ -154,6 +168,25 @@ def trend_metrics(df: DataFrame, days: int, as_of: datetime) -> DataFrame:
         F.count_if(now & high).alias("h1"),
         F.count_if(~now & high).alias("h0"),
     )
+    return _trend(wide)
+
+
+def trend_of_cells(rollup: Rollup, days: int, as_of: datetime) -> DataFrame:
+    """The same from a stored rollup."""
+    border = f"prediction_day >= '{as_of - timedelta(days=days):%Y-%m-%d}'"
+    sums = {"1": border, "0": f"NOT ({border})"}
+    wide = rollup.last(2 * days, as_of).cells.agg(
+        *[F.expr(f"coalesce(sum(CASE WHEN {c} THEN rows END), 0) AS n{k}") for k, c in sums.items()],
+        *[
+            F.expr(f"try_divide(sum(CASE WHEN {c} THEN sum END), sum(CASE WHEN {c} THEN cnt END)) AS a{k}")
+            for k, c in sums.items()
+        ],
+        *[F.expr(f"coalesce(sum(CASE WHEN {c} THEN high_n END), 0) AS h{k}") for k, c in sums.items()],
+    )
+    return _trend(wide)
+
+
+def _trend(wide: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
     had_rows = F.col("n0") > 0
     return wide.select(
@@ -284,18 +317,22 @@ def dashboard_document(
     roi: Roi = Roi(),
     model_name: str = "insurance_model",
     approx: bool = False,
-    cells: DataFrame | None = None,
+    rollup: Rollup | None = None,
 ) -> DataFrame:
     """All blocks as one nested row.
 
-    ``cells`` may hold the stored rollup of the period; the blocks built from
-    it then share that one small table.
+    With a stored ``rollup`` all blocks are built from its small tables; the log is
+    read once, for the exact quantiles, and not at all with ``approx``.
     """
     recent = lookback_scan(df, days, as_of)
-    rollup = recent if cells is None else cells
-
-    def block(one_row: DataFrame) -> Column:
-        return one_value(one_row.select(F.struct("*").alias("b")), "b")
+    if rollup is None:
+        source, cells = recent, None
+        volume, trend = volume_metrics(recent, days), trend_metrics(df, days, as_of)
+    else:
+        period = rollup.last(days, as_of)
+        source = cells = period.cells
+        volume = stored_rollup.period_figures(period, days).drop(*QUANTILES[1])
+        trend = trend_of_cells(rollup, days, as_of)
 
     def entries(rows: DataFrame, key: str, value: list[str]) -> Column:
         """A few rows as a map from their label."""
@@ -306,10 +343,10 @@ def dashboard_document(
         )
         return one_value(pairs, "m")
 
-    demographic = demographic_metrics(rollup)
-    regional = regional_metrics(rollup)
+    demographic = demographic_metrics(source)
+    regional = regional_metrics(source)
     measures = ["count", "avg_risk", "high_risk_pct"]
-    facts_row = facts_of(rollup)
+    facts_row = facts_of(source)
     missing = F.lit(None).cast("string")
     return facts_row.select(
         F.struct(
@@ -317,8 +354,8 @@ def dashboard_document(
             F.lit(days).alias("lookback_days"),
             F.lit(model_name).alias("model_name"),
         ).alias("metadata"),
-        block(volume_metrics(recent, days)).alias("volume_metrics"),
-        block(risk_metrics(recent, approx, rollup)).alias("risk_metrics"),
+        one_row(volume).alias("volume_metrics"),
+        one_row(risk_metrics(recent, approx, cells)).alias("risk_metrics"),
         F.struct(
             *[
                 entries(
@@ -339,10 +376,10 @@ def dashboard_document(
             .alias("regional_disparity_pct"),
         ).alias("regional_metrics"),
         F.struct(*[c.alias(k) for k, c in _quality_columns().items()]).alias("quality_metrics"),
-        (block(model) if model is not None else F.struct(missing.alias("champion_version"))).alias(
+        (one_row(model) if model is not None else F.struct(missing.alias("champion_version"))).alias(
             "model_metrics"
         ),
-        block(trend_metrics(df, days, as_of)).alias("trend_metrics"),
+        one_row(trend).alias("trend_metrics"),
         F.struct(*[c.alias(k) for k, c in _roi_block(F.col("high_n"), roi).items()]).alias(
             "business_metrics"
         ),
@@ -360,11 +397,17 @@ def flatten_dashboard_row(
     days: int = 7,
     limits: AlertLimits = AlertLimits(),
     roi: Roi = Roi(),
+    rollup: Rollup | None = None,
 ) -> DataFrame:
-    """One history row without the document."""
-    recent = lookback_scan(df, days, as_of)
-    patients = recent.agg(F.count_distinct("customer_id").alias("n"))
-    return facts_of(recent).select(
+    """One history row without the document; from a stored rollup alone, if given."""
+    if rollup is None:
+        source = lookback_scan(df, days, as_of)
+        patients = source.agg(F.count_distinct("customer_id").alias("n"))
+    else:
+        period = rollup.last(days, as_of)
+        source = period.cells
+        patients = stored_rollup.distinct_patients(period.patients).select(F.col("unique_patients").alias("n"))
+    return facts_of(source).select(
         F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz").alias("metric_timestamp"),
         F.lit(days).alias("lookback_days"),
         F.col("total").alias("total_predictions"),
@@ -381,9 +424,3 @@ def flatten_dashboard_row(
         r2(roi_columns(F.col("high_n"), roi)["roi_pct"]).alias("estimated_roi_pct"),
         F.size(_alert_array(limits)).alias("alert_count"),
     )
-
-
-def limits_table(limits: AlertLimits = AlertLimits()) -> dict[str, float]:
-    return asdict(limits)
-
-

@@ -181,10 +181,18 @@ def compare_versions(df: DataFrame, n: int = 3, approx: bool = False) -> DataFra
     return newest.withColumn("is_best", best)
 
 
+def serving_metrics(df: DataFrame, champion: str | None, approx: bool = False) -> DataFrame:
+    """``version_metrics`` of the serving version: the named one if it has rows, else the
+    highest number.  It is picked from the few rows of figures, not by a scan of its own."""
+    return version_metrics(df, approx=approx).orderBy(
+        # The champion first, then as ``newest_version``.
+        F.col("model_version").eqNullSafe(F.lit(champion).cast("string")).desc(), *newest_version()
+    ).limit(1)
+
+
 def model_metrics(df: DataFrame, champion: str | None = None, approx: bool = False) -> DataFrame:
     """Figures of the serving version, to four places."""
-    m = version_metrics(latest_version_rows(df, champion), approx=approx)
-    return m.select(
+    return serving_metrics(df, champion, approx).select(
         F.col("model_version").try_cast("int").alias("champion_version"),
         *[F.round(c, 4).alias(c) for c in ("r2_score", "mae", "rmse", "high_risk_accuracy")],
     )
@@ -192,7 +200,7 @@ def model_metrics(df: DataFrame, champion: str | None = None, approx: bool = Fal
 
 def governance_status(df: DataFrame, champion: str | None = None, approx: bool = False) -> DataFrame:
     """COMPLIANT / REQUIRES_REVIEW by the gate, UNKNOWN without labelled rows."""
-    m = version_metrics(latest_version_rows(df, champion), approx=approx)
+    m = serving_metrics(df, champion, approx)
     passed = F.max(passes_gate(F.col("r2_score"), F.col("mae"), F.col("high_risk_accuracy")))
     known = F.coalesce(F.sum("labelled_rows"), F.lit(0)) > 0
     return m.agg(

@@ -20,6 +20,8 @@ from riskloom.functions.stats import (
     merged_std,
     moments,
     n_rows,
+    one_row,
+    one_row,
     one_value,
     pct_change,
     pct_of,
@@ -377,16 +379,17 @@ def monitored_metrics(
     """
     worst = fairness.agg(F.max("disparity").alias("d"))
     moved = drift.agg(F.max("psi_score").alias("psi"), F.max("kl_divergence").alias("kl"))
-    return facts(cells_of(df)).select(
+    frames = {"_moved": one_row(moved), "_quality": one_row(quality), "disparity": one_value(worst, "d")}
+    return facts(cells_of(df)).withColumns(frames).select(
         F.col("day_min_rows").cast("double").alias("min_daily_predictions"),
         ratio(F.col("raw_null_n"), F.col("total")).alias("null_rate"),
-        one_value(moved, "psi").alias("psi"),
-        one_value(moved, "kl").alias("kl"),
-        one_value(worst, "d").alias("disparity"),
+        "_moved.psi",
+        "_moved.kl",
+        "disparity",
         F.col("high_pct").alias("high_risk_pct"),
         "critical_pct",
         F.col("avg_width").alias("confidence_width"),
-        *[one_value(quality, c).alias(c) for c in ("high_risk_accuracy", "r2_score", "mae")],
+        *[f"_quality.{c}" for c in ("high_risk_accuracy", "r2_score", "mae")],
     )
 
 

@@ -36,8 +36,10 @@ ALL = "all"
 _SUMS = ("rows", "high_n", "review_n", "null_n", "raw_null_n", "negative_n", "outlier_n")
 
 
-def score_cells(df: DataFrame) -> DataFrame:
-    """Mergeable figures per combination of attributes: one scan, one shuffle."""
+def score_cells(df: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
+    """Mergeable figures per combination of attributes: one scan, one shuffle.
+
+    ``more`` names further aggregates, as SQL text."""
     rows = normalize_predictions(df).withColumn(
         "prediction_day", F.date_format("prediction_timestamp", "yyyy-MM-dd")
     )
@@ -51,6 +53,7 @@ def score_cells(df: DataFrame) -> DataFrame:
         "outlier_n": f"count_if({SCORE} > 100)",
         "lower_sum": "sum(prediction_lower_bound)",
         "upper_sum": "sum(prediction_upper_bound)",
+        **(more or {}),
     }
     return rows.groupBy(*DIMENSIONS.values()).agg(
         *[F.expr(f"{sql} AS {name}") for name, sql in counts.items()], *moments(SCORE)

@@ -9,6 +9,7 @@ from riskloom.plans import catalog_validation  # noqa: F401
 from riskloom.plans import catalog_metrics  # noqa: F401
 from riskloom.plans import catalog_models  # noqa: F401
 from riskloom.plans import catalog_reports  # noqa: F401
+from riskloom.plans import catalog_rollup  # noqa: F401
 from riskloom.plans import catalog_star  # noqa: F401
 from riskloom.plans import catalog_monitoring  # noqa: F401
 from riskloom.plans import catalog_streams  # noqa: F401

@@ -6,8 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import checks, dashboard, governance
-from riskloom.plans import jobs
+from riskloom.operators import checks, dashboard, governance, rollup
 from riskloom.plans.catalog_models import GATE, VERSION_CTE
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import oracle, r, share, since
@@ -206,10 +205,9 @@ register(
 
 def _document(spark, sf_dir):
     model = governance.model_metrics(td.scored_versions(spark, sf_dir), td.CHAMPION)
-    cells = jobs.refresh_cells(recent(spark, sf_dir, 7), work_dir(spark, "cells"))
-    return dashboard.dashboard_document(
-        td.predictions(spark, sf_dir), AS_OF, 7, model, cells=cells
-    )
+    log = td.predictions(spark, sf_dir)
+    stored = rollup.refresh(log, work_dir(spark, "rollup"))
+    return dashboard.dashboard_document(log, AS_OF, 7, model, rollup=stored)
 
 
 # The nested fields shown here, by block.

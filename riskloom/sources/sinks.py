@@ -61,7 +61,7 @@ def replace_run(df: DataFrame, path: str, moment: datetime) -> DataFrame:
     return df.sparkSession.read.parquet(path).drop(RUN)
 
 
-def _files(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     """The folder's file system and its path there."""
     jvm = spark._jvm.org.apache.hadoop.fs
     place = jvm.Path(path)
@@ -72,7 +72,7 @@ def drop_partitions(
     spark: SparkSession, path: str, column: str, drop: Callable[[str], bool]
 ) -> list[str]:
     """Delete the partitions of a table whose value ``drop`` picks; returns the values."""
-    files, place, _ = _files(spark, path)
+    files, place, _ = folder(spark, path)
     dropped = []
     if not files.exists(place):
         return dropped
@@ -94,7 +94,7 @@ def drop_expired(
 
 def swap(spark: SparkSession, staged: str, path: str) -> None:
     """Put a written folder in the place of a table."""
-    files, place, make = _files(spark, path)
+    files, place, make = folder(spark, path)
     old = make(f"{path}-old-{uuid.uuid4().hex}")
     present = files.exists(place)
     if present and not files.rename(place, old):
@@ -113,7 +113,7 @@ def upsert_table(
     The new state is written beside the table and then takes its place, so the
     table that is read is never the one that is written.
     """
-    files, place, _ = _files(spark, path)
+    files, place, _ = folder(spark, path)
     target = spark.read.parquet(path) if files.exists(place) else None
     staged = f"{path}-new-{uuid.uuid4().hex}"
     merged = feature_table_upsert(target, df, keys, replace)
@@ -195,6 +195,7 @@ __all__ = [
     "drop_expired",
     "drop_partitions",
     "feature_table_upsert",
+    "folder",
     "incremental_changes",
     "merge_by_key",
     "replace_run",

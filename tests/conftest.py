@@ -24,3 +24,24 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF
+
+
+def scans(df, name: str = "events.parquet") -> int:
+    """How often a query reads a table when it runs; exchanges and subqueries that it
+    reuses count once."""
+    df.collect()
+
+    def of(node) -> int:
+        kind = node.getClass().getSimpleName()
+        if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+            return 0
+        if kind == "AdaptiveSparkPlanExec":
+            return of(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return of(node.plan())
+        count = int(kind == "FileSourceScanExec" and name in node.toString())
+        for seq in (node.children(), node.subqueries()):
+            count += sum(of(seq.apply(k)) for k in range(seq.size()))
+        return count
+
+    return of(df._jdf.queryExecution().executedPlan())
