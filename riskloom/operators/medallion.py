@@ -145,11 +145,12 @@ def silver_claims(claims: DataFrame, completion: DataFrame | None = None) -> Dat
     return out
 
 
-def silver_medical_events(events: DataFrame, as_of: datetime) -> DataFrame:
+def silver_medical_events(events: DataFrame, as_of: datetime, by_rank: bool = False) -> DataFrame:
     """Standard event types, care flags and the place of each event in its history.
 
     Sequencing is chunked by the hour (see ``split_window``), so a patient or a
-    provider with a very large history does not end up in one task.
+    provider with a very large history does not end up in one task; ``by_rank`` cuts
+    crowded hours further.
     Familiarity is the share of the patient's events so far at this provider.
     """
     kind = F.upper(F.trim("event_type"))
@@ -173,6 +174,7 @@ def silver_medical_events(events: DataFrame, as_of: datetime) -> DataFrame:
         lead={"_following": "event_date"},
         running_count="_visit",
         source=events,
+        by_rank=by_rank,
     )
     both = split_window(
         seen,
@@ -181,6 +183,7 @@ def silver_medical_events(events: DataFrame, as_of: datetime) -> DataFrame:
         hour,
         running_count="_provider_visit",
         source=events,
+        by_rank=by_rank,
     )
     today = F.lit(as_of.date())
     return both.withColumns(

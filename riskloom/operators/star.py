@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.ordered import split_window
+from riskloom.functions.ordered import as_of_merge, split_window
 from riskloom.functions.stats import n_rows, ratio
 from riskloom.operators.features import dedupe_keep_latest, newest_first
 from riskloom.sources.tables import current_records, lookback_scan, time_literal
@@ -27,24 +27,25 @@ def scd2_dim_patients(
     observed: str = "observed_at",
     sequence: str = "sequence",
     key: str = KEY,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Versions of a tracked attribute from dated observations.
 
     A version opens where the value differs from the one before and ends where
     the next opens.  The opening observation's number is the surrogate key.
-    Histories are chunked by the month.
+    Histories are chunked by the month; ``by_rank`` cuts crowded months further.
     """
     month = F.date_trunc("month", observed)
     order = [observed, sequence]
     marked = split_window(
-        observations, [key], order, month, lag={"_previous": value}, running_count="_n"
+        observations, [key], order, month, lag={"_previous": value}, running_count="_n", by_rank=by_rank
     )
     first = F.col("_n") == 1
     changes = marked.where(first | ~F.col(value).eqNullSafe(F.col("_previous"))).select(
         key, value, observed, sequence
     )
     versions = split_window(
-        changes, [key], order, month, lead={"expiry_date": observed}, running_count="_version"
+        changes, [key], order, month, lead={"expiry_date": observed}, running_count="_version", by_rank=by_rank
     )
     return versions.select(
         F.col(sequence).alias("patient_surrogate_key"),
@@ -122,43 +123,19 @@ def point_in_time_join(
     fact_time: str,
     attributes: Sequence[str],
     key: str = KEY,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Facts with the dimension attributes valid at the fact's own time.
 
-    Facts at or after the start of a key's open version are a plain key join.
-    Earlier ones meet the closed versions on (key, month): a closed version is
-    repeated for the months it spans, so a fact is compared only with versions
-    of its month and a busy key is spread over its months.  A fact without a
-    version at its time keeps its row, with null attributes.
+    An as-of merge: facts and versions are united and each fact takes the last version that
+    began before it, if that version has not ended.  Of versions that overlap the later one counts.
+    A fact without a version at its time keeps its row, with null attributes.  ``by_rank``
+    cuts months in which one key has very many rows.
     """
-    wanted = [key, "effective_date", "expiry_date", *attributes]
-    kept = [*facts.columns, *attributes]
-    t = F.col(fact_time)
-    open_rows = dim.where("is_current_record").select(
-        F.col(key).alias("_key"), "effective_date", *attributes
-    )
-    now = facts.join(
-        open_rows, (F.col(fact_key) == F.col("_key")) & (t >= F.col("effective_date")), "left"
-    )
-    late = now.where(F.col("_key").isNotNull()).select(*kept)
-    closed = dim.where(~F.col("is_current_record")).select(*wanted)
-    months = F.sequence(
-        F.to_date(F.date_trunc("month", "effective_date")),
-        F.to_date(F.date_trunc("month", "expiry_date")),
-        F.expr("INTERVAL 1 MONTH"),
-    )
-    spread = closed.withColumn("_month", F.explode(months)).withColumnRenamed(key, "_key")
-    before = now.where(F.col("_key").isNull()).select(*facts.columns)
-    early = before.withColumn("_fact_month", F.to_date(F.date_trunc("month", t)))
-    matched = early.join(
-        spread,
-        (F.col(fact_key) == F.col("_key"))
-        & (F.col("_fact_month") == F.col("_month"))
-        & (t >= F.col("effective_date"))
-        & (t < F.col("expiry_date")),
-        "left",
-    ).select(*kept)
-    return late.unionByName(matched)
+    return as_of_merge(
+        facts, dim, fact_key, key, fact_time, "effective_date", attributes, until="expiry_date",
+        ties=[c for c in ("record_version",) if c in dim.columns], by_rank=by_rank,
+    )
 
 
 # Facts ---------------------------------------------------------------------

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from riskloom.operators import features, medallion, star
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import KEY, oracle, r, since
+from riskloom.session import work_dir
+from riskloom.sources import sinks
 from riskloom.sources import testdata as td
 
 AS_OF = td.AS_OF
@@ -184,9 +186,11 @@ def _point_in_time(spark, sf_dir):
         # Claims are read some weeks after they were made.
         (F.to_timestamp_ntz("claim_date") + F.expr("INTERVAL 40 DAYS")).alias("claim_time"),
     )
+    # The dimension is a stored table, as it is for the facts of a real run.
+    versions = sinks.write_overwrite(_versions(spark, sf_dir), work_dir(spark, "dim"))
     return star.point_in_time_join(
         facts,
-        _versions(spark, sf_dir),
+        versions,
         "patient_id",
         "claim_time",
         ["primary_insurance_plan", "record_version"],

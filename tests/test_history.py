@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.ordered import split_window, top_rows
+from riskloom.functions import ordered
+from riskloom.functions.ordered import as_of_merge, is_crowded, rank_parts, split_window, top_rows
 from riskloom.operators import star
 from riskloom.sources import sinks
 from riskloom.sources import testdata as td
@@ -47,6 +49,86 @@ def test_split_window_equals_plain_window(spark, width):
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
 
 
+def one_hour(spark, n=4000):
+    """A key with all its rows in one hour, a third of them in one second."""
+    rng = random.Random(8)
+    rows = [("hot", 1000 + (500 if rng.random() < 0.3 else rng.randrange(3600)), i, i % 3) for i in range(n)]
+    rows += [("calm", rng.randrange(100_000), n + i, i % 3) for i in range(300)] + [(None, 5, n + 999, 1)]
+    return spark.createDataFrame(rows, "k string, t int, id int, v int")
+
+
+def test_rank_parts_spread_a_crowded_hour(spark):
+    df = one_hour(spark)
+    hour = F.floor(F.col("t") / 3600)
+    assert is_crowded(df, ["k"], hour, 200) and not is_crowded(df, ["k"], hour, 5000)
+    cut = rank_parts(df, ["k"], ["t", "id"], hour, crowded=200)
+    sizes = cut.groupBy("k", "_chunk").count()
+    largest = sizes.agg(F.max("count")).first()[0]
+    assert largest <= 200
+    # Chunks follow the order of the rows.
+    w = Window.partitionBy("k").orderBy("t", "id")
+    assert cut.withColumn("b", F.lag("_chunk").over(w)).where("b > _chunk").count() == 0
+    # Calm keys keep their hour.
+    assert cut.where("k = 'calm'").select("_chunk").distinct().count() == df.where("k = 'calm'").select(hour).distinct().count()
+
+
+def test_split_window_by_rank_equals_plain_window(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CROWDED", 200)
+    df = one_hour(spark, 1500)
+    hour = F.floor(F.col("t") / 3600)
+    out = split_window(df, ["k"], ["t", "id"], hour, lag={"p": "v"}, lead={"n": "v"}, running_count="c", by_rank=True)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    plain = df.select(
+        *df.columns, F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"),
+        F.row_number().over(w).cast("long").alias("c"),
+    )
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("by_rank", [False, True])
+def test_as_of_merge_equals_plain_join(spark, monkeypatch, by_rank):
+    monkeypatch.setattr(ordered, "CROWDED", 50)
+    rng = random.Random(12)
+
+    def at(minutes):
+        return datetime(2024, 1, 1) + timedelta(minutes=minutes)
+
+    keys = ["hot"] * 6 + ["a", "b", "none"]
+    facts = [(i, rng.choice([*keys, None]), at(rng.choice([rng.randrange(300_000), rng.randrange(50, 60)]))) for i in range(600)]
+    facts += [(601, "hot", None), (602, None, None)]
+    starts = {k: sorted(rng.sample(range(0, 300_000, 7), 40)) + [50, 55] for k in ("hot", "a", "b")}
+    versions = []
+    for k, places in starts.items():
+        places = sorted(set(places))
+        for n, (begin, end) in enumerate(zip(places, [*places[1:], None])):
+            # Every fifth version ends early: a gap without a version.
+            versions.append((k, at(begin), None if end is None else at(end - 3 if n % 5 == 0 else end), n))
+    left = spark.createDataFrame(facts, "id int, k string, t timestamp_ntz")
+    right = spark.createDataFrame(versions, "key string, begin timestamp_ntz, stop timestamp_ntz, n int")
+    found = as_of_merge(left, right, "k", "key", "t", "begin", ["n"], until="stop", by_rank=by_rank)
+
+    def of(k, t):
+        if k is None or t is None:
+            return None
+        hits = [n for key, b, e, n in versions if key == k and b <= t and (e is None or t < e)]
+        return hits[0] if hits else None
+
+    got = {r.id: r.n for r in found.collect()}
+    assert got == {i: of(k, t) for i, k, t in facts} and len(set(got.values())) > 20
+    assert found.columns == ["id", "k", "t", "n"]
+
+
+def test_as_of_merge_takes_the_last_of_equal_times(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, "a", 4)], "id int, k string, t int").withColumn(
+        "t", F.timestamp_seconds("t").cast("timestamp_ntz")
+    )
+    right = spark.createDataFrame([("a", 5, 1, "x"), ("a", 5, 2, "y")], "k string, b int, version int, v string").withColumn(
+        "b", F.timestamp_seconds("b").cast("timestamp_ntz")
+    )
+    found = as_of_merge(left, right, "k", "k", "t", "b", ["v"], ties=["version"])
+    assert {r.id: r.v for r in found.collect()} == {1: "y", 2: None}
+
+
 def test_top_rows_cut_before_the_shuffle(spark):
     df = spark.createDataFrame(hot_rows(), "k string, t int, id int, v string")
     top = top_rows(df, ["k"], [F.col("t").desc(), F.col("id").desc()], 2)
