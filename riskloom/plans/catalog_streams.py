@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.plans.registry import register
+from riskloom.plans.catalog_monitoring import GAP, HOURS, PERIOD
+from riskloom.plans.registry import ENTRIES, register
 from riskloom.plans.sql_tables import oracle, r
 from riskloom.session import work_dir
 from riskloom.sources import testdata as td
@@ -164,6 +166,52 @@ register(
     ),
 )
 
+# Silence -------------------------------------------------------------------
+BEATS_UNTIL = datetime(2024, 2, 4)
+
+
+def _heartbeats(spark):
+    """An hourly heartbeat over the period and some days on, as a file stream."""
+    path = work_dir(spark, "heartbeats")
+    first = F.lit(PERIOD[0].isoformat(sep=" ")).cast("timestamp")
+    last = F.lit(BEATS_UNTIL.isoformat(sep=" ")).cast("timestamp")
+    beats = F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("prediction_timestamp")
+    spark.range(1).select(beats).write.parquet(path)
+    return ingest.file_stream(spark, path, T.StructType([T.StructField("prediction_timestamp", T.TimestampType())]))
+
+
+def _gappy_scores(spark, sf_dir):
+    """The score stream with a spell without rows."""
+    return _scored(spark, sf_dir).where(GAP)
+
+
+def _zero_windows(spark, sf_dir):
+    volume = profiles.stream_sliding_volume(_gappy_scores(spark, sf_dir), heartbeat=_heartbeats(spark))
+    windows = _naive(_sink(spark, volume, "zero-windows"), "window_start", "window_end")
+    # Windows that lie in the period as a whole.
+    return windows.where(F.col("window_start") >= F.lit(PERIOD[0])).where(F.col("window_end") <= F.lit(PERIOD[1]))
+
+
+register(
+    "stream_zero_windows",
+    _zero_windows,
+    oracle(
+        f"WITH {HOURS}, w AS (SELECT slot AS window_start, slot + INTERVAL 1 DAY AS window_end, "
+        "sum(n) OVER (ORDER BY slot ROWS BETWEEN CURRENT ROW AND 23 FOLLOWING) AS c FROM volume) "
+        "SELECT window_start, window_end, cast(c as bigint) AS prediction_count, c < 50 AS low_volume "
+        "FROM w WHERE window_end <= TIMESTAMP '2024-01-31'"
+    ),
+)
+
+
+def _silence(spark, sf_dir):
+    spells = profiles.stream_silence(_gappy_scores(spark, sf_dir), _heartbeats(spark))
+    found = _naive(_sink(spark, spells, "silence"), "silent_from")
+    return found.where(F.col("silent_from") < F.lit(PERIOD[1]))
+
+
+register("stream_silence", _silence, ENTRIES["silence_alerts"].sql)
+
 
 def _dedupe(spark, sf_dir):
     columns = ("event_id", "customer_id", "prediction_timestamp", A)

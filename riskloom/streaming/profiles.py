@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from riskloom.functions.stats import n_rows
+from riskloom.operators.monitoring import MAX_SILENT_HOURS
 
 SCORE = "adjusted_prediction"
 LOW_VOLUME = 50
@@ -44,6 +45,24 @@ def stream_daily_profile(
     )
 
 
+def clock(spark: SparkSession, stamp: str = "prediction_timestamp") -> DataFrame:
+    """A heartbeat per second, for streams that must notice silence."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.col("timestamp").alias(stamp))
+
+
+def _slots(scores: DataFrame, slide: str, stamp: str, delay: str, heartbeat: DataFrame | None) -> DataFrame:
+    """Rows per slide.  Heartbeats are rows that count nothing: united with the scores before the
+    watermark they open the slots that have no score, and move time on without any."""
+    rows = scores.select(stamp, F.lit(1).alias("n"))
+    if heartbeat is not None:
+        rows = rows.unionByName(heartbeat.select(stamp, F.lit(0).alias("n")))
+    return (
+        rows.withWatermark(stamp, delay)
+        .groupBy(F.window(stamp, slide).alias("slot"))
+        .agg(F.sum("n").alias("rows"))
+    )
+
+
 def stream_sliding_volume(
     scores: DataFrame,
     length: str = "1 day",
@@ -51,17 +70,15 @@ def stream_sliding_volume(
     stamp: str = "prediction_timestamp",
     delay: str = "1 day",
     low_volume: int = LOW_VOLUME,
+    heartbeat: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling volume with a low-volume flag.
 
     Rows are first counted per slide; only those counts are repeated for the
-    windows they belong to, instead of every row.
+    windows they belong to, instead of every row.  With a ``heartbeat`` of at least
+    one row per slide a window without scores is written as well, with a zero.
     """
-    slots = (
-        scores.withWatermark(stamp, delay)
-        .groupBy(F.window(stamp, slide).alias("slot"))
-        .agg(n_rows().alias("rows"))
-    )
+    slots = _slots(scores, slide, stamp, delay, heartbeat)
     return (
         slots.groupBy(F.window(F.window_time("slot"), length, slide).alias("w"))
         .agg(F.sum("rows").alias("prediction_count"))
@@ -74,6 +91,29 @@ def stream_sliding_volume(
     )
 
 
+def stream_silence(
+    scores: DataFrame,
+    heartbeat: DataFrame,
+    hours: int = MAX_SILENT_HOURS,
+    stamp: str = "prediction_timestamp",
+    delay: str = "1 day",
+) -> DataFrame:
+    """Spells of more than ``hours`` whole hours without a score, as they end.
+
+    Hours without scores are known by the heartbeat; those in a row are one session.
+    """
+    empty = _slots(scores, "1 hour", stamp, delay, heartbeat).where("rows = 0")
+    # Slots in a row are an hour apart, others two at least.
+    session = F.session_window(F.window_time("slot"), "90 minutes")
+    return (
+        # Sessions on a stream need a key beside them; all empty hours have the same one.
+        empty.groupBy(session.alias("s"), "rows")
+        .agg(F.min("slot.start").alias("silent_from"), n_rows().alias("silent_hours"))
+        .where(F.col("silent_hours") > hours)
+        .select("silent_from", "silent_hours")
+    )
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows that queries discard as too late, over all their batches.
 

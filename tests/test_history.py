@@ -196,5 +196,38 @@ def test_stream_state_survives_replay(spark, sf_dir, tmp_path):
     once = {tuple(r) for r in state.latest_state(spark, path).collect()}
     write(log.where("event_id % 2 = 1"), 1)
     assert {tuple(r) for r in state.latest_state(spark, path).collect()} == once
-    packed = state.compact_state(spark, path, str(tmp_path / "packed"))
-    assert {tuple(r) for r in packed.collect()} == once
+
+
+def test_stream_state_is_folded_while_it_runs(spark, tmp_path):
+    columns = ["customer_id", "event_id", "prediction_timestamp", "adjusted_prediction", "risk_category"]
+    path = str(tmp_path / "state")
+    write = state.latest_increment(path, columns, fold_every=4)
+    rng = random.Random(2)
+    rows, batches, most = [], [], 0
+
+    def wanted():
+        by: dict = {}
+        for r in rows:
+            by.setdefault(r[0], []).append(r)
+        return {r for own in by.values() for r in sorted(own, key=lambda r: (r[2], r[1]))[-2:]}
+
+    for epoch in range(22):
+        # Late rows too, and patients that come once only.
+        new = [
+            (f"p{rng.randrange(6)}" if k else f"only{epoch}", epoch * 10 + k, datetime(2024, 1, 1 + rng.randrange(20)), float(k), "low")
+            for k in range(4)
+        ]
+        rows += new
+        batches.append(spark.createDataFrame(new, "customer_id string, event_id long, prediction_timestamp timestamp_ntz, adjusted_prediction double, risk_category string"))
+        write(batches[-1], epoch)
+        most = max(most, len(state.epochs(spark, path)))
+        if epoch % 7 == 5:
+            assert {tuple(r) for r in state.latest_state(spark, path).collect()} == wanted()
+            write(batches[-1], epoch)  # replayed
+            write(batches[0], 0)  # long folded, or its own folder again
+            assert {tuple(r) for r in state.latest_state(spark, path).collect()} == wanted()
+    assert most <= 2 * 4 + 2 and state.folds(spark, path)
+    assert max(map(len, state.buckets(spark, path).values())) <= 3
+    # A fold that was not committed is no fold.
+    (tmp_path / "state" / "base" / "upto=999" / "bucket=0").mkdir(parents=True)
+    assert {tuple(r) for r in state.latest_state(spark, path).collect()} == wanted()
