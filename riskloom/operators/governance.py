@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +33,11 @@ def _error_aggs(label: str, prediction: str) -> dict[str, Column]:
 
 
 def regression_metrics(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
+    """Error figures of the whole table, or a row per group, such as a model version."""
     aggs = _error_aggs(label, prediction)
-    return df.agg(*[c.alias(name) for name, c in aggs.items()])
+    return df.groupBy(*by).agg(*[c.alias(name) for name, c in aggs.items()])
 
 
 def target_stats(df: DataFrame, label: str = "label") -> DataFrame:
@@ -47,20 +50,25 @@ def target_stats(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def high_risk_accuracy(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", approx: bool = False
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    approx: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Share of rows on the same side of the labels' 95th percentile."""
-    limit = one_value(
-        quantiles(df, label, [HIGH_RISK_QUANTILE], ["limit"], approx=approx), "limit"
-    )
-    sides = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).select(
-        ((F.col(label) >= limit) == (F.col(prediction) >= limit)).alias("_same"),
-        limit.alias("_limit"),
-    )
-    return sides.agg(
+    """Share of rows on the same side of the labels' 95th percentile, whole or per group."""
+    by = list(by)
+    limits = quantiles(df, label, [HIGH_RISK_QUANTILE], ["_limit"], by=by, approx=approx)
+    known = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    if by:
+        rows = known.select(*by, label, prediction).join(limits, by)
+    else:
+        rows = known.withColumn("_limit", one_value(limits, "_limit"))
+    same = (F.col(label) >= F.col("_limit")) == (F.col(prediction) >= F.col("_limit"))
+    return rows.groupBy(*by).agg(
         F.max("_limit").alias("high_risk_threshold"),
         n_rows().alias("labelled_rows"),
-        ratio(F.count_if("_same"), n_rows()).alias("high_risk_accuracy"),
+        ratio(F.count_if(same), n_rows()).alias("high_risk_accuracy"),
     )
 
 

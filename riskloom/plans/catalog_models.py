@@ -149,22 +149,19 @@ METRICS_SQL = (
 ROUNDED = f"{r('r2_score', 'r2_score')}, {r('mae', 'mae')}, {r('rmse', 'rmse')}"
 register(
     "regression_metrics",
-    lambda s, d: governance.regression_metrics(
-        td.scored_versions(s, d).where(F.col("model_version") == "2")
+    lambda s, d: governance.regression_metrics(td.scored_versions(s, d), by=["model_version"]),
+    oracle(
+        f"WITH m AS (SELECT model_version, {METRICS_SQL} FROM versions GROUP BY 1) SELECT model_version, {ROUNDED} FROM m"
     ),
-    oracle(f"WITH m AS (SELECT {METRICS_SQL} FROM versions WHERE model_version = '2') SELECT {ROUNDED} FROM m"),
 )
 register(
     "high_risk_accuracy",
-    lambda s, d: governance.high_risk_accuracy(
-        td.scored_versions(s, d).where(F.col("model_version") == "1")
-    ),
+    lambda s, d: governance.high_risk_accuracy(td.scored_versions(s, d), by=["model_version"]),
     oracle(
-        "WITH v1 AS (SELECT * FROM versions WHERE model_version = '1'), "
-        "q AS (SELECT quantile_cont(label, 0.95) AS t FROM v1) "
-        "SELECT round(max(t), 6) AS high_risk_threshold, count(*) AS labelled_rows, "
+        "WITH q AS (SELECT model_version, quantile_cont(label, 0.95) AS t FROM versions GROUP BY 1) "
+        "SELECT model_version, round(max(t), 6) AS high_risk_threshold, count(*) AS labelled_rows, "
         "round(avg(cast((label >= t) = (prediction >= t) as int)), 6) AS high_risk_accuracy "
-        "FROM v1, q"
+        "FROM versions JOIN q USING (model_version) GROUP BY 1"
     ),
 )
 register(

@@ -43,14 +43,29 @@ register(
         )
     ),
 )
-NUMERIC = ("age_risk_score", "smoking_impact", "regional_multiplier", "health_risk_composite")
-LABELS = ("sex", "region")
+# All columns of the feature table.
+NUMERIC = (
+    "patient_surrogate_key", "bmi", "number_of_dependents", "health_risk_score", "patient_data_quality_score",
+    "children", "data_quality_score", "age", "age_risk_score", "smoking_impact", "family_size_factor",
+    "regional_multiplier", "health_risk_composite",
+)
+LABELS = (
+    "patient_natural_key", "patient_gender", "patient_region", "patient_age_category", "patient_smoking_status",
+    "lifestyle_risk_factors", "hipaa_deidentification_applied", "is_current_record", "dimension_last_updated",
+    "region", "sex", "hipaa_compliant", "customer_id", "smoker",
+)
+# Distinct counts are approximate; those above 100 are compared in tens.
+DISTINCT = "CASE WHEN {0} > 100 THEN cast(round({0}, -1) as bigint) ELSE {0} END"
+
+
+def _snapshot(spark, sf_dir):
+    profile = monitoring.profile_snapshot(features.build_feature_table(td.dim_patients(spark, sf_dir)))
+    return profile.withColumn("distinct_count", F.expr(DISTINCT.format("distinct_count")))
+
+
 register(
     "profile_snapshot",
-    lambda s, d: monitoring.profile_snapshot(
-        features.build_feature_table(td.dim_patients(s, d)),
-        (*NUMERIC, "health_risk_score", *LABELS),
-    ),
+    _snapshot,
     oracle(
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) AS total_count, "
@@ -58,7 +73,7 @@ register(
             + (
                 f"cast(NULL as double) AS avg_value, cast(NULL as double) AS std_value, "
                 "cast(NULL as double) AS min_value, cast(NULL as double) AS max_value, "
-                f"count(DISTINCT {c}) AS distinct_count "
+                f"{DISTINCT.format(f'count(DISTINCT {c})')} AS distinct_count "
                 if c in LABELS
                 else f"{r(f'avg({c})', 'avg_value')}, {r(f'stddev_samp({c})', 'std_value')}, "
                 f"round(cast(min({c}) as double), 6) AS min_value, "
@@ -66,7 +81,7 @@ register(
                 "cast(NULL as bigint) AS distinct_count "
             )
             + "FROM features"
-            for c in (*NUMERIC, "health_risk_score", *LABELS)
+            for c in (*NUMERIC, *LABELS)
         )
     ),
 )

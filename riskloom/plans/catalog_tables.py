@@ -73,16 +73,16 @@ register(
 
 
 def _append_history(spark, sf_dir):
+    """A run per day of the log, in two appends; the days that both have are there once."""
     path = work_dir(spark, "history")
-    log = td.predictions(spark, sf_dir)
-    for day in (date(2024, 1, 29), date(2024, 1, 30)):
-        run = tables.batch_date_scan(log, day, AS_OF).agg(
-            F.lit(day).alias("run_date"),
-            F.count("*").alias("total_predictions"),
-            F.avg("adjusted_prediction").alias("mean_prediction"),
-        )
-        history = sinks.append_metric_history(run, path)
-    return history
+    runs = (
+        td.predictions(spark, sf_dir)
+        .groupBy(F.to_date("prediction_timestamp").alias("run_date"))
+        .agg(F.count("*").alias("total_predictions"), F.avg("adjusted_prediction").alias("mean_prediction"))
+    )
+    half = F.lit(td.DRIFT_SPLIT.date())
+    sinks.append_metric_history(runs.where(F.col("run_date") <= half), path, "run_date")
+    return sinks.append_metric_history(runs.where(F.col("run_date") >= F.date_sub(half, 2)), path, "run_date")
 
 
 register(
@@ -90,9 +90,7 @@ register(
     _append_history,
     oracle(
         "SELECT cast(prediction_timestamp as date) AS run_date, count(*) AS total_predictions, "
-        f"{r('avg(adjusted_prediction)', 'mean_prediction')} FROM pred "
-        "WHERE cast(prediction_timestamp as date) IN (DATE '2024-01-29', DATE '2024-01-30') "
-        "GROUP BY 1"
+        f"{r('avg(adjusted_prediction)', 'mean_prediction')} FROM pred GROUP BY 1"
     ),
 )
 

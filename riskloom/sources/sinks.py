@@ -39,18 +39,16 @@ def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     return df.sparkSession.read.parquet(path)
 
 
-def append_metric_history(df: DataFrame, path: str) -> DataFrame:
-    """Append the rows of one run and return the whole history."""
-    df.write.mode("append").option("compression", CODEC).parquet(path)
-    return df.sparkSession.read.parquet(path)
-
+def append_metric_history(df: DataFrame, path: str, run: str | None = None) -> DataFrame:
+    """Add the rows of one or more runs and return the whole history.
 
-def replace_run(df: DataFrame, path: str, moment: datetime) -> DataFrame:
-    """Add the rows of one run and return the whole history.
-
-    Runs are partitions by their moment, so a repeated run replaces itself.
+    ``run`` names the column that tells runs apart.  Runs are then partitions, and a
+    repeated run replaces its own rows; without it rows are appended as they are.
     """
-    stamped = df.withColumn(RUN, F.lit(f"{moment:%Y-%m-%dT%H-%M-%S}"))
+    if run is None:
+        df.write.mode("append").option("compression", CODEC).parquet(path)
+        return df.sparkSession.read.parquet(path)
+    stamped = df.withColumn(RUN, F.date_format(F.col(run).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH-mm-ss"))
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -61,6 +59,15 @@ def replace_run(df: DataFrame, path: str, moment: datetime) -> DataFrame:
     return df.sparkSession.read.parquet(path).drop(RUN)
 
 
+def replace_run(df: DataFrame, path: str, moment: datetime) -> DataFrame:
+    """Add the rows of one run and return the whole history.
+
+    Runs are partitions by their moment, so a repeated run replaces itself.
+    """
+    marked = df.withColumn("_moment", F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return append_metric_history(marked, path, "_moment").drop("_moment")
+
+
 def folder(spark: SparkSession, path: str):
     """The folder's file system and its path there."""
     jvm = spark._jvm.org.apache.hadoop.fs
