@@ -11,13 +11,15 @@ is no piece becomes its UTF-8 bytes' pieces.
 
 The solved units are stored.  The most frequent ones, at most HEAD by a count
 threshold, go to all tasks; texts need no shuffle for them.  The others are
-joined by unit, once per document that has them, so a frequent unit is never a
-join key.
+joined by unit, once per row that has them, so a frequent unit is never a
+join key.  One task step makes ids and, if asked, the texts that they decode to.
 
 A unit of more than UNIT code points is cut too, at borders of its best path, which
 one pass over the unit finds where its text is; so the parts' best paths are still
 those of the whole text.  Null and empty texts have no pieces.  The
-sign for a blank (U+2581) in a text is read back as a blank.  Columns that have
+sign for a blank (U+2581) in a text is read back as a blank.  A row is known by its
+doc_id and its text's hash, so rows that repeat an id or have none are encoded each by
+their own text, and equal rows share their look-ups.  Columns that have
 the name of a result column are replaced.
 """
 
@@ -29,27 +31,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import sentencepiece
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import same, slices, stored, without
+from riskloom.llm.common import slices, stored, without
 
 BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
-FLUSH = 1 << 18
+FLUSH = 1 << 17
 # Long units whose cuts a task remembers.
 REMEMBERED = 1 << 12
 # A model with more pieces than this is refused: the piece table goes to all tasks.
 MOST_PIECES = 1 << 20
 UNKNOWN_PENALTY = 10.0
-MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RESULT = ("ids", "n_tokens")
-FIGURES = ("n_units", "n_tokens", "ids_print", "n_bad")
 
 
 @dataclass(frozen=True)
@@ -278,23 +276,9 @@ def _ids(path: Column, unit: Column, model: Model) -> Column:
 
 
 def solved_units(docs: DataFrame, model: Model) -> DataFrame:
-    """The stored dictionary of all distinct units: unit, n, ids, their hash ``mark``
-    and whether they read back as the unit."""
+    """The stored dictionary of all distinct units: unit, n, ids."""
     found = edges(unit_counts(docs, model), model).select("unit", "n", best_path(F.col("edges")).alias("path"))
-    ids = found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids"))
-
-    def run(batches):
-        reads = _Reads(model)
-        for batch in batches:
-            units, ids = (batch.column(c).to_pylist() for c in ("unit", "ids"))
-            marks = np.array([unit_hash(np.array(i, np.int32).tobytes()) for i in ids], dtype=np.uint64)
-            good = [reads.ok(u, i) for u, i in zip(units, ids)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(marks.view(np.int64)), pa.array(good, pa.bool_())],
-                ["unit", "n", "ids", "mark", "reads"],
-            )
-
-    return stored(ids.mapInArrow(run, "unit string, n long, ids array<int>, mark long, reads boolean"), "units")
+    return stored(found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids")), "units")
 
 
 def _grade(n: Column) -> Column:
@@ -318,173 +302,80 @@ def _split(solved: DataFrame) -> tuple[pa.Table, DataFrame]:
     return solved.where(grade >= least).drop("n").toArrow(), solved.where(grade < least).drop("n")
 
 
-def _id_bytes(ids: pa.ChunkedArray) -> list[bytes]:
-    return [np.array(i, np.int32).tobytes() for i in ids.to_pylist()]
+class Head:
+    """The ids of the frequent units in one buffer; a unit's number says where."""
 
+    def __init__(self, table: pa.Table):
+        self.units = table.column("unit").combine_chunks()
+        ids = table.column("ids").combine_chunks()
+        self.flat = ids.flatten().to_numpy().astype("<i4").tobytes()
+        self.starts = [4 * k for k in ids.offsets.to_pylist()]
+        self.number: dict[str, int] | None = None
 
-class _Places(dict):
-    """Places in a table; -1 for what is not in it."""
+    def numbers(self) -> dict[str, int]:
+        """Made where it is used: the units themselves are sent, not a dictionary."""
+        if self.number is None:
+            self.number = {u: k for k, u in enumerate(self.units.to_pylist())}
+            self.units = None
+        return self.number
 
-    def __missing__(self, unit: str) -> int:
-        return -1
+    def of(self, k: int) -> bytes:
+        return self.flat[self.starts[k] : self.starts[k + 1]]
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``ids``, the piece ids of their whole texts, and n_tokens."""
-    docs = without(docs, RESULT)
+def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
+    """The documents with ``ids``, the piece ids of their whole texts, n_tokens and, if
+    asked, ``decoded``, the text that the ids decode to."""
+    docs = without(docs, (*RESULT, "decoded") if decoded else RESULT)
     table, rest = _split(solved_units(docs, model))
-    known = dict(zip(table.column("unit").to_pylist(), _id_bytes(table.column("ids"))))
-    head = docs.sparkSession.sparkContext.broadcast(known)
+    head = docs.sparkSession.sparkContext.broadcast(Head(table))
 
     def rare(batches):
-        known, units = head.value, Units(model)
+        known, units = head.value.numbers(), Units(model)
         for batch in batches:
             at, found = [], []
             for k, (text,) in enumerate(slices([batch], "text")):
                 own = set(units.of(text)).difference(known)
                 found += own
                 at += [k] * len(own)
+            rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["doc_id", "unit"]
+                [batch.column("doc_id").take(rows), batch.column("_h").take(rows), pa.array(found, pa.string())],
+                ["doc_id", "_h", "unit"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    per_doc = (
-        docs.select("doc_id", "text").mapInArrow(rare, f"doc_id {kind}, unit string").distinct()
+    per_row = (
+        docs.select("doc_id", F.xxhash64("text").alias("_h"), "text")
+        .mapInArrow(rare, f"doc_id {kind}, _h long, unit string").distinct()
         .join(rest.select("unit", "ids"), "unit")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("__rare"))
+        .groupBy("doc_id", "_h").agg(F.collect_list(F.struct("unit", "ids")).alias("__rare"))
     )
-    joined = docs.alias("d").join(per_doc.alias("r"), same("d", "r", ["doc_id"]), "left").select("d.*", "__rare")
+    keyed = docs.withColumn("__h", F.xxhash64("text"))
+    own_row = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.__h") == F.col("r._h"))
+    joined = keyed.alias("d").join(per_row.alias("r"), own_row, "left").select("d.*", "__rare").drop("__h")
 
     def assemble(batches):
         known, units = head.value, Units(model)
+        number, bytes_of = known.numbers(), _bytes_of(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 out = []
                 for text, own in zip(part.column("text").to_pylist(), part.column("__rare").to_pylist()):
                     more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}
-                    out.append(b"".join([known.get(u) or more[u] for u in units.of(text)]))
+                    each = units.of(text)
+                    out.append(b"".join([known.of(number[u]) if u in number else more[u] for u in each]))
                 sizes = np.cumsum([0, *(len(o) // 4 for o in out)]).astype(np.int32)
                 values = np.frombuffer(b"".join(out), dtype=np.int32)
                 table = pa.Table.from_batches([part]).drop_columns(["__rare"])
                 table = table.append_column("ids", pa.ListArray.from_arrays(pa.array(sizes), pa.array(values)))
                 table = table.append_column("n_tokens", pa.array(np.diff(sizes).astype(np.int64)))
+                if decoded:
+                    texts = [_read(values[a:b].tolist(), bytes_of) for a, b in zip(sizes, sizes[1:])]
+                    table = table.append_column("decoded", pa.array(texts, pa.string()))
                 yield from table.to_batches()
 
     more = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    more += [T.StructField("decoded", T.StringType())] if decoded else []
     return joined.mapInArrow(assemble, T.StructType([*docs.schema.fields, *more]))
-
-
-def decoded(encoded: DataFrame, model: Model) -> DataFrame:
-    """The frame with ``decoded``, the text of ``ids``; an empty list gives an empty text."""
-    def run(batches):
-        table = _bytes_of(model)
-        for batch in batches:
-            texts = [_read(ids or [], table) for (ids,) in slices([batch], "ids")]
-            yield from pa.Table.from_batches([batch]).append_column("decoded", pa.array(texts, pa.string())).to_batches()
-
-    encoded = without(encoded, ("decoded",))
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
-    return encoded.mapInArrow(run, schema)
-
-
-def mixed(places: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """Hashes of places and marks, in 32 bits, so that their sums fit."""
-    both = (marks.astype(np.uint64) + places.astype(np.uint64) * np.uint64(MIX[0])) * np.uint64(MIX[1])
-    return (both >> np.uint64(32)).astype(np.int64)
-
-
-def unit_hash(ids: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(ids)
-
-
-def encoding_figures(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_units, n_tokens, ids_print, n_bad) without moving any text.
-
-    ``ids_print`` adds up ``mixed`` over the places and the ids of the document's
-    units, so it tells of their order and parts of it add up; ``n_bad`` counts
-    units that do not read back.  One row per row; rows that repeat a doc_id with
-    another text are told apart by the text's hash.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    table, rest = _split(solved_units(docs, model))
-    sizes = np.array([len(i) for i in table.column("ids").to_pylist()] + [0], dtype=np.int64)
-    marks = np.append(table.column("mark").to_numpy().view(np.uint64), np.uint64(0))
-    bad = np.append(~np.array(table.column("reads").to_pylist(), dtype=bool), False)
-    place_of = {u: k for k, u in enumerate(table.column("unit").to_pylist())}
-    head = docs.sparkSession.sparkContext.broadcast((place_of, sizes, marks, bad))
-
-    def run(batches):
-        place_of, sizes, marks, bad = head.value
-        place_of, units = _Places(place_of), Units(model)
-        for batch in batches:
-            rows: list[tuple] = []
-            for k, (text,) in enumerate(slices([batch], "text")):
-                own = units.of(text)
-                at = np.fromiter(map(place_of.__getitem__, own), dtype=np.int64, count=len(own))
-                hit = np.flatnonzero(at >= 0)
-                known = at[hit]
-                rows.append((k, None, None, len(own), int(sizes[known].sum()), int(mixed(hit, marks[known]).sum()), int(bad[known].sum())))
-                rare: dict[str, list[int]] = {}
-                for place in np.flatnonzero(at < 0).tolist():
-                    rare.setdefault(own[place], []).append(place)
-                rows += [(k, unit, places, 0, 0, 0, 0) for unit, places in rare.items()]
-            at, *columns = zip(*rows) if rows else ((),) * 7
-            at = pa.array(at, pa.int64())
-            kinds = (pa.string(), pa.list_(pa.int32()), *[pa.int64()] * 4)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("_h").take(at), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                ["doc_id", "_h", "unit", "places", *FIGURES],
-            )
-
-    sums = ", ".join(f"{c} long" for c in FIGURES)
-    found = texts.mapInArrow(run, f"doc_id {kind}, _h long, unit string, places array<int>, {sums}")
-    # A document's own row has no unit, and its key spreads these rows.
-    keyed = found.withColumn("_key", F.coalesce("unit", F.concat(F.lit("\n\n"), F.col("_h").cast("string"))))
-    solved = rest.select(F.col("unit").alias("_key"), F.size("ids").alias("_size"), "mark", "reads")
-    joined = keyed.join(solved, "_key", "left")
-
-    def settle(batches):
-        for batch in batches:
-            own = batch.column("unit").is_null().to_numpy(zero_copy_only=False)
-            places = batch.column("places")
-            many = np.nan_to_num(pa.compute.list_value_length(places).to_numpy(zero_copy_only=False)).astype(np.int64)
-            flat = places.flatten().to_numpy().astype(np.uint64)
-            marks = batch.column("mark").fill_null(0).to_numpy().view(np.uint64)
-            each = np.concatenate([np.zeros(1, np.int64), np.cumsum(mixed(flat, np.repeat(marks, many)))])
-            stops = np.cumsum(many)
-            size = batch.column("_size").fill_null(0).to_numpy()
-            bad = ~batch.column("reads").fill_null(True).to_numpy(zero_copy_only=False)
-            totals = {
-                "n_units": 0 * many, "n_tokens": size * many,
-                "ids_print": each[stops] - each[stops - many], "n_bad": many * bad,
-            }
-            # A document's own row has its sums already and stands for one row of the table.
-            columns = [
-                pa.array(np.where(own, batch.column(c).to_numpy(), totals[c]), pa.int64()) for c in FIGURES
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_h"), *columns, pa.array(own.astype(np.int64))],
-                ["doc_id", "_h", *FIGURES, "_rows"],
-            )
-
-    settled = joined.select("doc_id", "_h", "unit", "places", "_size", "mark", "reads", *FIGURES).mapInArrow(
-        settle, f"doc_id {kind}, _h long, {sums}, _rows long"
-    )
-    totals = settled.groupBy("doc_id", "_h").agg(*[F.sum(c).alias(c) for c in (*FIGURES, "_rows")])
-    # Rows that are the same in id and text added up to multiples of one row.
-    each = [F.expr(f"{c} div _rows").alias(c) for c in FIGURES]
-    return totals.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows")))).select("doc_id", *each)
-
-
-class _Reads:
-    """Whether ids read back as their unit."""
-
-    def __init__(self, model: Model):
-        self.model, self.first = model, {i: b for b, i in enumerate(model.byte_ids)}
-
-    def ok(self, unit: str, ids: list[int]) -> bool:
-        parts = (bytes([self.first[i]]) if i in self.first else self.model.texts[i].encode() for i in ids)
-        return b"".join(parts) == unit.encode("utf-8", "replace")

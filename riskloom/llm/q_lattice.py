@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
-from riskloom.llm.lattice import decoded, encode, load_model
+from riskloom.llm.lattice import encode, load_model
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -14,7 +14,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = load_model(MODEL)
-    return decoded(encode(docs, model), model).select("doc_id", "ids", "n_tokens", "decoded")
+    return encode(docs, model, decoded=True).select("doc_id", "ids", "n_tokens", "decoded")
 
 
 QUERIES = {"op5_sentencepiece": op5_sentencepiece}

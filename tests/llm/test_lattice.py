@@ -40,15 +40,12 @@ def plain(unit, model, table):
 
 
 def expected(text, model, table, memo):
-    out, marks, hashes = [], [], []
-    for k, unit in enumerate(lattice.Units(model).of(text)):
+    out = []
+    for unit in lattice.Units(model).of(text):
         if unit not in memo:
             memo[unit] = plain(unit, model, table)
         out += memo[unit]
-        marks.append(k)
-        hashes.append(lattice.unit_hash(np.array(memo[unit], np.int32).tobytes()))
-    mark = int(lattice.mixed(np.array(marks, np.uint64), np.array(hashes, np.uint64)).sum())
-    return out, mark
+    return out
 
 
 def test_units_keep_the_text_and_pieces_inside(model):
@@ -69,29 +66,30 @@ def test_given_table(spark, sf_dir, model, head, monkeypatch):
     memo = {}
     wanted = {r.doc_id: expected(r.text, model, table, memo) for r in source.collect()}
     texts = {r.doc_id: r.text for r in source.collect()}
-    rows = lattice.decoded(lattice.encode(source, model), model).collect()
-    assert {r.doc_id: r.ids for r in rows} == {d: w[0] for d, w in wanted.items()}
+    rows = lattice.encode(source, model, decoded=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == wanted
     assert {r.doc_id: r.decoded for r in rows} == texts
-    figures = lattice.encoding_figures(source, model).collect()
-    assert {r.doc_id: (r.n_tokens, r.ids_print, r.n_bad) for r in figures} == {
-        d: (len(w[0]), w[1], 0) for d, w in wanted.items()
-    }
 
 
 def test_odd_rows(spark, model):
     rows = [*ODD, (9, "a▁b  c\n\n"), (7, "another text with the id"), (10, "퟿\U0001f642 \x00\x01 " + "ab" * 2000)]
     source = docs(spark, rows, ", ids string, unit int, n long, _rows int", ("x", 1, 2, 3))
     table, memo = {p: (i, s) for p, i, s in model.pieces}, {}
-    encoded = lattice.decoded(lattice.encode(source, model), model).collect()
+    encoded = lattice.encode(source, model, decoded=True).collect()
     found = sorted(((r.doc_id, r.ids, r.decoded) for r in encoded), key=str)
     wanted = sorted(
-        ((d, expected(t, model, table, memo)[0], (t or "").replace("▁", " ")) for d, t in rows), key=str
+        ((d, expected(t, model, table, memo), (t or "").replace("▁", " ")) for d, t in rows), key=str
     )
     assert found == wanted
-    figures = sorted(((r.doc_id, r.n_tokens, r.ids_print) for r in lattice.encoding_figures(source, model).collect()), key=str)
-    assert figures == sorted(
-        ((d, len(expected(t, model, table, memo)[0]), expected(t, model, table, memo)[1]) for d, t in rows), key=str
-    )
+
+
+def test_many_rows_without_an_id(spark, model, monkeypatch):
+    """No row carries what belongs to another one."""
+    monkeypatch.setattr(lattice, "HEAD", 0)
+    texts = [f"unit{k} zq{k}x and one{k % 7}" for k in range(2000)]
+    source = docs(spark, [(None if k % 2 else 5, t) for k, t in enumerate(texts)])
+    rows = lattice.encode(source, model, decoded=True).collect()
+    assert sorted(r.decoded for r in rows) == sorted(r.text for r in rows) == sorted(texts)
 
 
 def test_long_units_have_the_best_path_of_the_text(spark, model):
@@ -116,7 +114,6 @@ def test_query_returns_ids_and_texts(spark, sf_dir, model):
 def test_empty_table(spark, model):
     source = spark.createDataFrame([], SCHEMA)
     assert lattice.encode(source, model).collect() == []
-    assert lattice.encoding_figures(source, model).collect() == []
 
 
 def test_library_has_no_better_path(spark, model):
