@@ -19,7 +19,8 @@ written and read through the file system that their URI names; on a mounted
 file system they are memory-mapped.
 
 Null and empty texts have no ids but the end mark.  Rows stand in the order of
-doc_id, null first, and of the text's hash where ids repeat.
+doc_id, null first, and of the text's hash where ids repeat.  Ids are whole numbers of
+64 bits at most; the ids of any other kind have no place in the format and are refused.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import json
 import re
 import uuid
 import zlib
+from operator import concat
 from urllib.parse import urlparse
 
 import numpy as np
@@ -36,6 +38,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 NO_ID = -(2**63)
@@ -58,7 +61,8 @@ class WordEncoder:
     told apart by the tokens that end a word.  Any other word is encoded whole.
     """
 
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    # A line's run and its punctuation, or any other line as a whole.
+    PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.+))$", re.M)
     ENDING = "</w>"
 
     def __init__(self, path: str):
@@ -75,25 +79,35 @@ class WordEncoder:
         return [np.array(e.ids, dtype=self.kind) for e in encoded]
 
     def _learn_units(self, units: list[str]) -> None:
+        width = np.dtype(self.kind).itemsize
         for at in range(0, len(units), JOINED):
             part = units[at : at + JOINED]
             ids = self._each([" ".join(part)])[0]
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            each = np.split(ids, stops[:-1]) if len(stops) == len(part) else self._each(part)
-            self.units.update(zip(part, [e.tobytes() for e in each]))
+            stops = (width * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(part):
+                data = ids.tobytes()
+                each = [data[a:b] for a, b in zip([0, *stops], stops)]
+            else:
+                each = [e.tobytes() for e in self._each(part)]
+            self.units.update(zip(part, each))
 
     def learn(self, texts: list[list[bytes]]) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         if len(self.units) > 2 * REMEMBERED:
             self.units = {"": b""}
-        new = list({w for words in texts for w in words}.difference(self.known))
-        found = [(w, self.PLAIN.fullmatch(w.decode())) for w in new]
-        plain = [(w, m[1].lower(), m[2]) for w, m in found if m]
-        runs = {u for _, run, rest in plain for u in (run, rest)}
-        self._learn_units(list(runs.difference(self.units)))
-        self.known.update((w, self.units[run] + self.units[rest]) for w, run, rest in plain)
-        others = [w for w, m in found if not m]
+        new = list(set().union(*texts).difference(self.known))
+        if not new:
+            return
+        # No word has a line's end in it, so one pass over all lines takes them apart.
+        parts = self.PLAIN.findall(b"\n".join(new).decode())
+        plain = [w for w, p in zip(new, parts) if p[0]]
+        runs = "\n".join([p[0] for p in parts if p[0]]).lower().split("\n") if plain else []
+        rests = [p[1] for p in parts if p[0]]
+        self._learn_units(list(set(runs).union(rests).difference(self.units)))
+        of = self.units.__getitem__
+        self.known.update(zip(plain, map(concat, map(of, runs), map(of, rests))))
+        others = [w for w, p in zip(new, parts) if not p[0]]
         for at in range(0, len(others), JOINED):
             part = others[at : at + JOINED]
             self.known.update(zip(part, [e.tobytes() for e in self._each([w.decode() for w in part])]))
@@ -114,6 +128,9 @@ def encoder_of(path: str) -> WordEncoder:
 
 def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: int) -> dict:
     """Encodes the texts, writes the files below ``out`` and returns the index."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise ValueError("token files need doc_ids that are whole numbers")
+
     def write(batches):
         encoder = encoder_of(tokenizer_path)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
