@@ -9,7 +9,11 @@ others are candidates: each is hashed whole (96 bits) and goes, in a second
 shuffle, to the smallest document that has it.  So runs of any length are
 extended window by window without pairs of documents.
 
-Tasks settle what they can before a shuffle: an anchor that two of their own
+Only documents with shared anchors move with their texts: a bitmap of fixed size, which
+goes to all tasks, holds a bit for the hash of each such id and keeps nearly all others
+from the join.
+
+Tasks settle what they can before a shuffle, some rows at a time: an anchor that two of their own
 documents have is known to be shared, and a window is known to repeat in all of
 a task's documents but the smallest.  A passage that a third of all documents
 have sends one document's rows per task.  Reducers stream sorted rows and keep
@@ -17,7 +21,8 @@ one group's head, so memory is bounded however large a group is.
 
 Null texts and texts under WINDOW words lose nothing.  Documents with a null id
 have no order: nothing is removed from them or because of them.  Rows that
-repeat a doc_id are documents of their own, none smaller than the other.
+repeat a doc_id are documents of their own, none smaller than the other.  Ids are whole
+numbers; ids of another kind are refused, as they have no order here.
 """
 
 from __future__ import annotations
@@ -27,8 +32,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import slices, stored, words_of
 
@@ -38,6 +44,10 @@ PERIOD = 31
 COVER = (0, 1, 3, 8, 12, 18)
 ANCHOR = WINDOW - PERIOD + 1
 ROWS = 1 << 17
+# Rows that a task sorts together before it sends them.
+HELD = 1 << 21
+# Bits of the map of documents with shared anchors: 8 MB.
+SLOTS = 1 << 26
 REMEMBERED = 1 << 17
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPANS = "array<struct<start:int,stop:int>>"
@@ -99,6 +109,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _anchors(batches):
     words, rolling = Words(), Rolling(BASES[0])
     found: list[tuple] = []
+    held = 0
     for doc, text in slices(batches, "doc_id", "text"):
         own = words_of(text)
         if len(own) < WINDOW:
@@ -106,8 +117,16 @@ def _anchors(batches):
         hashes = rolling.windows(words.of(own), ANCHOR)
         place = np.flatnonzero(np.isin(np.arange(len(hashes)) % PERIOD, COVER))
         found.append((hashes[place], np.full(len(place), doc, np.int64), place.astype(np.int32)))
-    if not found:
-        return
+        held += len(place)
+        if held >= HELD:
+            yield from _sorted_anchors(found)
+            held = 0
+    if found:
+        yield from _sorted_anchors(found)
+
+
+def _sorted_anchors(found: list[tuple]):
+    """Rows of some documents' anchors; empties the list."""
     key, doc, place = (np.concatenate(c) for c in zip(*found))
     found.clear()
     order = np.lexsort((doc, key))
@@ -180,6 +199,7 @@ class Windows:
 def _windows(batches):
     windows = Windows()
     found: list[tuple] = []
+    held = 0
     for doc, text, places in slices(batches, "doc_id", "text", "places"):
         own = words_of(text)
         if len(own) < WINDOW:
@@ -188,8 +208,16 @@ def _windows(batches):
         at = _candidate_windows(len(own), places[places <= len(own) - ANCHOR])
         a, b = windows.of(own)
         found.append((a[at], b[at], np.full(len(at), doc, np.int64), at.astype(np.int32)))
-    if not found:
-        return
+        held += len(at)
+        if held >= HELD:
+            yield from _sorted_windows(found)
+            held = 0
+    if found:
+        yield from _sorted_windows(found)
+
+
+def _sorted_windows(found: list[tuple]):
+    """Rows of some documents' windows; empties the list."""
     a, b, doc, at = (np.concatenate(c) for c in zip(*found))
     found.clear()
     order = np.lexsort((doc, b, a))
@@ -273,11 +301,37 @@ def _cut(batches):
         )
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)) + 1
+
+
+def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents but for nearly all whose id is not wanted.
+
+    The map has SLOTS bits whatever the number of ids; a join decides in the end.
+    """
+    bits = wanted.select(_slot().alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
+    )
+    place = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substr("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("(shiftright(_byte, cast(_place % 8 as int)) & 1) = 1")
+    return (
+        docs.withColumn("_slot", _slot())
+        .join(F.broadcast(bits), F.bitmap_bucket_number("_slot") == F.col("_bucket"))
+        .withColumns({"_byte": byte, "_place": place})
+        .where(is_set)
+        .select(*docs.columns)
+    )
+
+
 def repeated_words(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, words_sha256, n_removed, spans, kept_sha256), a row per row.
 
     ``spans`` are the word ranges [start, stop) to remove.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise ValueError("documents need doc_ids that are whole numbers")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = texts.where("doc_id IS NOT NULL")
     shared = (
@@ -286,7 +340,8 @@ def repeated_words(docs: DataFrame) -> DataFrame:
         .mapInArrow(_shared_places, "doc_id long, place int")
         .groupBy("doc_id").agg(F.collect_set("place").alias("places"))
     )
-    open_docs = stored(ordered.join(shared, "doc_id"), "open-documents")
+    shared = stored(shared, "shared-places")
+    open_docs = stored(_marked(ordered, shared).join(shared, "doc_id"), "open-documents")
     repeats = (
         open_docs.mapInArrow(_windows, "known boolean, a long, b int, doc_id long, place int")
         .repartition("a", "b").sortWithinPartitions("known", "a", "b", "doc_id")

@@ -94,3 +94,33 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert found(spark.createDataFrame([], SCHEMA)) == []
+
+
+@pytest.mark.parametrize("slots", [1, 64, 1 << 26])
+def test_any_size_of_the_map(spark, monkeypatch, slots):
+    monkeypatch.setattr(substring, "SLOTS", slots)
+    rows = made(77)
+    assert found(docs(spark, rows)) == plain(rows)
+
+
+def test_rows_sent_in_small_parts(monkeypatch):
+    """Sorting some rows at a time loses none of them, whole or in parts."""
+    import pyarrow as pa
+
+    ids, texts = zip(*made(5))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    def sent():
+        parts = list(substring._anchors([batch]))
+        places = {(d, p) for b in parts for d, p in zip(b.column("doc_id").to_pylist(), b.column("place").to_pylist())}
+        return len(parts), places
+
+    whole = sent()
+    monkeypatch.setattr(substring, "HELD", 20)
+    parts = sent()
+    assert parts[0] > whole[0] and parts[1] == whole[1]
+
+
+def test_ids_without_an_order_are_refused(spark):
+    with pytest.raises(ValueError):
+        substring.repeated_words(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
