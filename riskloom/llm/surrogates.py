@@ -3,18 +3,27 @@
 Entities are found by patterns.  Each is brought to a canonical form (lower-case
 address, digits of a number, folded name), and a surrogate is drawn from a keyed
 hash of type, canonical form and attempt, character by character, so it keeps
-length, script, case and format; names are drawn from lists of the same gender
-and script.  The same entity gets the same surrogate wherever and however it is
-written.
+length, script, case and format.  The same entity gets the same surrogate wherever and
+however it is written.
+
+People are found behind an honorific.  A surname has one surrogate for all who
+bear it, and a given name is drawn for the full name from lists of the same gender and
+script, so ``Mr John Smith`` and ``Mr Smith`` stay together and ``Mr Jack Smith`` stays
+apart.  An honorific without a gender takes that of the same name elsewhere in the corpus.
+In the documents where a person is found, the parts of the name are replaced also
+where they stand alone.
 
 Attempt 0 settles nearly all entities.  Two entities with one surrogate, or a
 surrogate that is an entity of the corpus, are collisions: the entity with the
 smallest canonical form keeps the surrogate and the others go to the next
-attempt, until none is left.  Only entities beyond attempt 0 are kept in a
-table, which Spark joins as its size allows.
+attempt, until none is left.  Names grow with the attempts, and from attempt LONGER on all
+others but IPv4 addresses get more signs, so a free one is always found.  Only entities
+beyond attempt 0 are kept in a table, which Spark joins as its size allows.
 
 Rows are rewritten from their own texts; a text without entities is returned as
-it is and a null text stays null.  Rows that repeat a doc_id are rewritten each.
+it is and a null text stays null.  A row is known by its doc_id and its text's hash, so
+rows that repeat an id or have none are rewritten each by their own text.  A secret
+without a letter or digit (``password: ****``) is a mask and stays.
 Columns that have the name of a result column are replaced.
 """
 
@@ -26,17 +35,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from riskloom.llm.common import same, stored, without
+from riskloom.llm.common import let, stored, without
 
-ROUNDS = 50
+# Attempts after which surrogates get longer, and after which there is an error: only when
+# nearly all IPv4 addresses are taken.
+LONGER = 12
+ROUNDS = 100
 RESULT = ("entities", "n_entities")
 
 # Honorifics by gender; the name follows after a blank.
 MALE = "Mr|Sir|Herr|Señor|Monsieur|Г-н|κ"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Señora|Madame|Г-жа|κα"
-_TITLES = "|".join((MALE, MALE.upper(), FEMALE, FEMALE.upper()))
-# One or two words; the second is not the honorific of the next name.
-_NAME = rf"\p{{Lu}}[\p{{L}}'-]+(?: (?!(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+)?"
+NEUTRAL = "Dr|Prof|Professor|Doktor|Д-р|Δρ"
+_TITLES = "|".join(t for titles in (MALE, FEMALE, NEUTRAL) for t in (titles, titles.upper()))
+# One or two words; neither is an honorific.
+_NAME = rf"(?!(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+(?: (?!(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}'-]+)?"
 
 # What is looked for, in order of precedence.  Patterns are in Java's syntax.
 PATTERNS = {
@@ -44,7 +57,7 @@ PATTERNS = {
     # without an @ costs no more than its length.
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"\b(?i:password|passwd|pwd|secret|token|api_?key)\s?[=:]\s?[\"']?[^\s\"']{6,}",
+    "secret": r"\b(?i:password|passwd|pwd|secret|token|api_?key)\s?[=:]\s?[\"']?(?=[^\s\"']*[\p{L}\p{N}])[^\s\"']{6,}",
     # At least ten digits, so that words in capitals are none; spaces as people set them.
     "iban": r"(?<![\p{L}\p{N}])(?=(?:[A-Z ]{0,12}\d){10})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     # Eight groups, or fewer around a double colon; with a digit, so that names in code are none.
@@ -60,12 +73,15 @@ PATTERNS = {
     r"|(?<!\d[.,])0[1-9]\d{7,9}|(?<!\d[.,])[2-9]\d{9}(?!\.\d))(?!\d)",
     "man": rf"\b(?:{MALE}|{MALE.upper()})\.? {_NAME}",
     "woman": rf"\b(?:{FEMALE}|{FEMALE.upper()})\.? {_NAME}",
+    "person": rf"\b(?:{NEUTRAL}|{NEUTRAL.upper()})\.? {_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Country codes of one and two digits; all others have three.
 COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 DIGITS = ("card", "ssn", "phone")
-NAMES = ("man", "woman")
+NAMES = ("man", "woman", "person")
+# A word as it may be a part of a name.
+NAME_WORD = r"\p{L}+(?:['’-]\p{Lu}\p{L}*)*"
 
 # Letters of the scripts that are replaced by letters of the same script.
 LETTERS = {
@@ -150,7 +166,10 @@ def _pick(words: str, at: Column) -> Column:
 
 
 def _letters(value: Column, stream: Column) -> Column:
-    """Digits become digits, letters letters of their script and case, the rest stays."""
+    """Digits become digits, letters letters of their script and case, the rest stays.
+
+    Letters of scripts that are not listed are drawn from the 32 places around their own; those
+    that have no letter there, or lie beyond the basic plane, become Latin ones."""
     hexadecimal = value.rlike("^[0-9a-f:]+$")
 
     def one(c: Column, i: Column) -> Column:
@@ -160,11 +179,21 @@ def _letters(value: Column, stream: Column) -> Column:
             _pick(LETTERS["[a-z]"], b)
         )
         cases |= {pattern: _pick(pool, b) for pattern, pool in LETTERS.items()}
+        other = _pick(LETTERS["[a-z]"], b)
+        cases[r"^\p{L}$"] = F.when(F.ascii(c) > 0xFFFF, other).otherwise(
+            let(_neighbour(c, b), lambda n: F.when(n.rlike(r"^\p{L}$"), n).otherwise(other))
+        )
         return _first(c, cases, c)
 
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
+def _neighbour(c: Column, b: Column) -> Column:
+    """Another code point of the same 32 places of the basic plane."""
+    place = F.floor(F.ascii(c) / 32) * 32 + b % 32
+    return F.decode(F.unhex(F.lpad(F.hex(place), 4, "0")), "UTF-16BE")
+
+
 def _luhn(digits: Column) -> Column:
     """Sum of the check rule over digits, the last one counted once."""
     places = F.transform(F.reverse(F.filter(F.split(digits, ""), lambda c: c != "")), lambda c, i: F.when(
@@ -223,18 +252,25 @@ def _drawn_from(words: Column, at: Column) -> Column:
     return F.element_at(words, at % F.size(words) + 1)
 
 
-def _name(value: Column, kind: Column, stream: Column, attempt: Column) -> Column:
-    """A name of the same gender, script and number of words."""
-    script = _first(value, {r"\p{IsCyrillic}": F.lit("cyrillic"), r"\p{IsGreek}": F.lit("greek")}, F.lit("latin"))
-    men, women = ({k[1]: w for k, w in GIVEN.items() if k[0] == g} for g in NAMES)
-    given = _drawn_from(
-        F.when(kind == "man", _words(men, script)).otherwise(_words(women, script)), _byte(stream, 0)
-    )
-    # Later attempts have longer names, so there is always a free one.
+def _script(value: Column) -> Column:
+    return _first(value, {r"\p{IsCyrillic}": F.lit("cyrillic"), r"\p{IsGreek}": F.lit("greek")}, F.lit("latin"))
+
+
+def _invented(value: Column, stream: Column, attempt: Column) -> Column:
+    """A name of syllables; later attempts have longer ones, so there is always a free one."""
     places = F.sequence(F.lit(1), attempt + 4)
-    syllables = F.transform(places, lambda k: _drawn_from(_words(SYLLABLES, script), _byte(stream, k)))
-    surname = F.initcap(F.array_join(syllables, ""))
-    return F.when(value.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
+    return F.array_join(F.transform(places, lambda k: _drawn_from(_words(SYLLABLES, _script(value)), _byte(stream, k))), "")
+
+
+def _full_name(value: Column, kind: Column, stream: Column, attempt: Column) -> Column:
+    """Another given name of the same gender and script before the surname, which is a
+    surrogate already; invented when the lists are used up."""
+    script = _script(value)
+    men, women = ({k[1]: w for k, w in GIVEN.items() if k[0] == g} for g in ("man", "woman"))
+    is_man = (kind == "man") | ((kind == "person") & (_byte(stream, 9) % 2 == 0))
+    listed = F.lower(_drawn_from(F.when(is_man, _words(men, script)).otherwise(_words(women, script)), _byte(stream, 0)))
+    given = F.when(attempt < 4, listed).otherwise(_invented(value, stream, attempt - 3))
+    return F.concat_ws(" ", given, F.substring_index(value, " ", -1))
 
 
 def _address(value: Column, stream: Column) -> Column:
@@ -253,7 +289,8 @@ def surrogate(kind: Column, value: Column, attempt: Column, streams: tuple[Colum
         .when(kind == "ip", _address(value, stream))
         .when(kind == "iban", _account(value, stream))
         .when(kind.isin(*DIGITS), _numbers(value, kind, stream))
-        .when(kind.isin(*NAMES), _name(value, kind, stream, attempt))
+        .when(kind.isin(*NAMES), _full_name(value, kind, stream, attempt))
+        .when(kind == "surname", _invented(value, stream, attempt))
         .otherwise(letters)
     )
 
@@ -273,6 +310,12 @@ def with_surrogate(frame: DataFrame, key: str) -> DataFrame:
     drawn = frame.withColumns(streams)
     drawn = drawn.withColumn("_drawn", surrogate(kind, value, attempt, (F.col("_stream"), F.col("_host"))))
     kept = F.when(kind == "phone", _country_kept(F.col("raw"), kind, F.col("_drawn"))).otherwise(F.col("_drawn"))
+    # More signs of the kind, one more with each attempt.
+    places = F.sequence(F.lit(0), attempt - LONGER)
+    signs = F.when(kind.isin("email", "key", "secret"), F.lit("abcdefghij")).otherwise(F.lit("0123456789"))
+    more = F.array_join(F.transform(places, lambda k: F.substr(signs, _byte(F.col("_stream"), k + 20) % 10 + 1, F.lit(1))), "")
+    long = F.when(kind == "email", F.concat(more, kept)).otherwise(F.concat(kept, more))
+    kept = F.when((attempt >= LONGER) & ~kind.isin("ip", "surname", *NAMES), long).otherwise(kept)
     return drawn.withColumn("drawn", kept).drop("_stream", "_host", "_drawn")
 
 
@@ -286,7 +329,8 @@ def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
             c.rlike("[0-9]") | ((kind == "iban") & (c != " ")),
             F.struct(F.concat(a["out"], F.substr(drawn, a["n"] + 1, F.lit(1))).alias("out"), (a["n"] + 1).alias("n")),
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["n"].alias("n"))),
-        lambda a: a["out"],
+        # What a longer surrogate has beyond the places.
+        lambda a: F.concat(a["out"], F.substr(drawn, a["n"] + 1)),
     )
     cased = F.array_join(
         F.transform(
@@ -295,18 +339,22 @@ def rendered(raw: Column, kind: Column, drawn: Column) -> Column:
         ),
         "",
     )
-    shouted = raw == F.upper(raw)
     return (
         F.when(kind.isin("iban", *DIGITS), digits)
         .when(kind.isin("email", "ip6"), cased)
-        .when(kind.isin(*NAMES), F.concat(lead, F.when(shouted, F.upper(drawn)).otherwise(drawn)))
+        .when(kind.isin(*NAMES), F.concat(lead, _said(raw, drawn)))
         .otherwise(F.concat(lead, drawn))
     )
 
 
+def _said(raw: Column, drawn: Column) -> Column:
+    """A name in capitals if the mention is, else with capital initials."""
+    return F.when(raw == F.upper(raw), F.upper(drawn)).otherwise(F.initcap(drawn))
+
+
 def mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, raw, kind, canon): each way to write an entity, once per row of docs."""
-    raw = docs.select("doc_id", F.explode(F.array_distinct(entities_in(F.col("text")))).alias("raw"))
+    """(doc_id, _h, raw, kind, canon): each way to write an entity, once per row of docs."""
+    raw = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.explode(F.array_distinct(entities_in(F.col("text")))).alias("raw"))
     kinds = raw.withColumn("kind", kind_of(F.col("raw")))
     return kinds.withColumn("canon", canonical(F.col("raw"), F.col("kind")))
 
@@ -339,39 +387,121 @@ def later_attempts(found: DataFrame, key: str) -> DataFrame:
     return reduce(DataFrame.union, settled).where("attempt > 0").select("kind", "canon", "attempt")
 
 
+def _with_gender(found: DataFrame) -> DataFrame:
+    """Mentions whose honorific tells no gender take that of the same name elsewhere."""
+    told = found.where(F.col("kind").isin("man", "woman")).groupBy("canon").agg(F.min("kind").alias("_told"))
+    neutral = found.where("kind = 'person'").join(told, "canon", "left")
+    return found.where("kind <> 'person'").unionByName(
+        neutral.withColumn("kind", F.coalesce("_told", "kind")).drop("_told")
+    )
+
+
+def _settled(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, canon, drawn) of all different entities, collisions settled."""
+    once = stored(entities.groupBy("kind", "canon").agg(F.min("raw").alias("raw")), "once")
+    later = later_attempts(once, key)
+    tried = once.join(later, ["kind", "canon"], "left").fillna(0, ["attempt"])
+    return with_surrogate(tried, key).select("kind", "canon", "drawn")
+
+
+def person_surrogates(found: DataFrame, key: str) -> DataFrame:
+    """(kind, canon, drawn) of the people among the mentions.
+
+    Surnames first; then full names, in which the surname is a surrogate already.
+    """
+    people = found.where(F.col("kind").isin(*NAMES)).select("kind", "canon").distinct()
+    surname = F.substring_index("canon", " ", -1)
+    named = stored(people.withColumn("surname", surname), "people")
+    alone = named.select(F.lit("surname").alias("kind"), F.col("surname").alias("canon"), F.col("surname").alias("raw"))
+    surnames = _settled(alone, key).select(F.col("canon").alias("surname"), F.col("drawn").alias("new"))
+    known = stored(named.join(surnames, "surname"), "surnames")
+    full = known.where("instr(canon, ' ') > 0").withColumn(
+        "half", F.concat_ws(" ", F.substring_index("canon", " ", 1), "new")
+    )
+    drawn = _settled(full.select("kind", F.col("half").alias("canon"), F.col("half").alias("raw")), key)
+    whole = full.join(drawn.withColumnRenamed("canon", "half"), ["kind", "half"]).select("kind", "canon", "drawn")
+    return whole.unionByName(known.where("instr(canon, ' ') = 0").select("kind", "canon", F.col("new").alias("drawn")))
+
+
+def _parts(raw: Column, kind: Column, drawn: Column) -> Column:
+    """(word, replacement) of a person's name parts, as the mention writes them and, of one in
+    capitals, with capital initials too."""
+    name = F.substr(raw, F.length(_lead(raw, kind)) + 1)
+    old, new = F.split(name, " "), F.split(_said(raw, drawn), " ")
+    # A name of one word is a surname.
+    pairs = F.transform(old, lambda w, i: F.struct(w.alias("word"), F.get(new, i).alias("new")))
+    calm = F.transform(pairs, lambda p: F.struct(F.initcap(p["word"]).alias("word"), F.initcap(p["new"]).alias("new")))
+    return F.when(kind.isin(*NAMES), F.concat(pairs, calm)).otherwise(F.array().cast("array<struct<word:string,new:string>>"))
+
+
+def _first_of_each_word(parts: Column) -> Column:
+    """The first of the sorted parts for each word: people of one document may share a given name."""
+    return let(
+        F.array_sort(F.array_distinct(parts)),
+        lambda p: F.filter(p, lambda e, i: (i == 0) | (e["word"] != F.coalesce(F.get(p, i - 1)["word"], F.lit("")))),
+    )
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The documents with surrogates in their texts, ``entities`` (kind, raw,
-    replacement for each way of writing) and n_entities, the places replaced."""
-    found = stored(mentions(docs), "mentions")
-    later = later_attempts(found, key)
-    drawn = with_surrogate(found.join(later, ["kind", "canon"], "left").fillna(0, ["attempt"]), key)
-    per_doc = (
-        drawn.select(
-            "doc_id", "kind", "raw",
-            rendered(F.col("raw"), F.col("kind"), F.col("drawn")).alias("replacement"),
+    replacement for each way of writing; ``part`` for parts of names that stand alone) and
+    n_entities, the places replaced."""
+    found = stored(_with_gender(stored(mentions(docs), "mentions")), "entities")
+    others = found.where(~F.col("kind").isin(*NAMES))
+    later = later_attempts(others, key)
+    drawn = with_surrogate(others.join(later, ["kind", "canon"], "left").fillna(0, ["attempt"]), key)
+    columns = ["doc_id", "_h", "kind", "raw", "drawn"]
+    people = found.where(F.col("kind").isin(*NAMES)).join(person_surrogates(found, key), ["kind", "canon"])
+    new = drawn.select(*columns).unionByName(people.select(*columns))
+    entity = F.struct("kind", "raw", rendered(F.col("raw"), F.col("kind"), F.col("drawn")).alias("replacement"))
+    per_row = (
+        new.select("doc_id", "_h", entity.alias("entity"), _parts(F.col("raw"), F.col("kind"), F.col("drawn")).alias("parts"))
+        .groupBy("doc_id", "_h")
+        .agg(
+            F.array_sort(F.collect_set("entity")).alias("entities"),
+            _first_of_each_word(F.flatten(F.collect_list("parts"))).alias("__parts"),
         )
-        .distinct()
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list(F.struct("kind", "raw", "replacement"))).alias("entities"))
     )
+    keyed = without(docs, RESULT).withColumn("__h", F.xxhash64("text"))
+    own_row = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.__h") == F.col("p._h"))
     table = F.map_from_entries(F.transform("entities", lambda e: F.struct(e["raw"], e["replacement"])))
+    words = F.map_from_entries("__parts")
     filled = F.transform(entities_in(F.col("text")), lambda e: F.element_at("__table", e))
-    # The text between entities alternates with their replacements.
+    # The text between entities alternates with their replacements; where people are named
+    # it is taken apart into words and the rest.
+    gaps = F.split("text", ANY)
+    pieces = F.when(
+        F.size("__parts") > 0,
+        F.transform(gaps, lambda g: F.regexp_extract_all(g, F.lit(rf"{NAME_WORD}|\P{{L}}+"), F.lit(0))),
+    ).otherwise(F.transform(gaps, lambda g: F.array(g)))
     text = F.array_join(
         F.flatten(
             F.transform(
-                F.split("text", ANY),
-                lambda gap, i: F.array(gap, F.coalesce(F.get("__filled", i), F.lit(""))),
+                "__pieces",
+                lambda piece, i: F.concat(
+                    F.transform(piece, lambda w: F.coalesce(F.element_at("__words", w), w)),
+                    F.array(F.coalesce(F.get("__filled", i), F.lit(""))),
+                ),
             )
         ),
         "",
     )
+    alone = F.filter(F.flatten("__pieces"), lambda w: F.map_contains_key("__words", w))
+    named = F.transform(
+        F.array_distinct(F.col("__alone")),
+        lambda w: F.struct(F.lit("part").alias("kind"), w.alias("raw"), F.element_at("__words", w).alias("replacement")),
+    )
+    has = F.col("entities").isNotNull()
     return (
-        without(docs, RESULT).alias("d")
-        .join(per_doc.alias("p"), same("d", "p", ["doc_id"]), "left")
-        .select("d.*", "entities", F.when(F.col("entities").isNotNull(), table).alias("__table"))
-        .withColumn("__filled", F.when(F.col("entities").isNotNull(), filled))
+        keyed.alias("d")
+        .join(per_row.alias("p"), own_row, "left")
+        .select("d.*", "entities", "__parts", F.when(has, table).alias("__table"), F.when(has, words).alias("__words"))
+        .drop("__h")
+        .withColumn("__filled", F.when(has, filled))
+        .withColumn("__pieces", F.when(has, pieces))
+        .withColumn("__alone", F.when(has, alone))
         .withColumn("text", F.when(F.size("__filled") > 0, text).otherwise(F.col("text")))
-        .withColumn("n_entities", F.coalesce(F.size("__filled"), F.lit(0)))
-        .drop("__table", "__filled")
+        .withColumn("n_entities", F.coalesce(F.size("__filled") + F.size("__alone"), F.lit(0)))
+        .withColumn("entities", F.concat("entities", F.array_sort(named)))
+        .drop("__table", "__filled", "__pieces", "__words", "__parts", "__alone")
     )

@@ -116,6 +116,63 @@ def test_collisions_are_settled_by_attempts(spark, monkeypatch):
     assert len(set(new)) == len(new) and "x1-0" not in new
 
 
+def test_people_stay_together(spark):
+    text = (
+        "Mr John Smith met Dr Jane Miller. Smith said to John that Mr Smith, MR. JACK SMITH and Dr John Smith saw "
+        "Smith's aunt, Mrs O'Brien; O'Brien left. Johnny Smithers stays, JOHN does not."
+    )
+    rows = {r.doc_id: r for r in replaced(spark, [(1, text), (2, "Smith and John are not named here."), (3, "Mrs Jane Miller")])}
+    new = {e.raw: e.replacement for e in rows[1].entities}
+    given, surname = new["Mr John Smith"].split()[1:]
+    assert new["Mr Smith"] == f"Mr {surname}" and new["Dr John Smith"] == f"Dr {given} {surname}"
+    jack = new["MR. JACK SMITH"].split()
+    assert jack[0] == "MR." and jack[2] == surname.upper() and jack[1] != given.upper()
+    assert given in surrogates.GIVEN["man", "latin"].split() and given != "John"
+    # The other document tells that Jane Miller is a woman.
+    assert new["Dr Jane Miller"].split()[1:] == rows[3].entities[0].replacement.split()[1:]
+    assert new["Dr Jane Miller"].split()[1] in surrogates.GIVEN["woman", "latin"].split()
+    brien = new["Mrs O'Brien"].split()[1]
+    assert rows[1].text == (
+        f"Mr {given} {surname} met {new['Dr Jane Miller']}. {surname} said to {given} that Mr {surname}, {new['MR. JACK SMITH']} "
+        f"and Dr {given} {surname} saw {surname}'s aunt, Mrs {brien}; {brien} left. Johnny Smithers stays, JOHN does not."
+    )
+    assert {(e.raw, e.replacement) for e in rows[1].entities if e.kind == "part"} == {
+        ("Smith", surname), ("John", given), ("O'Brien", brien),
+    }
+    assert rows[1].n_entities == 10
+    assert rows[2].text == "Smith and John are not named here." and rows[2].n_entities == 0
+
+
+def test_masks_and_other_scripts_do_not_stop_the_job(spark):
+    mails = ["شخص@مثال.كوم", "עברית@דוגמה.קום", "कमल@उदहरण.कम", "คน@ตวอยาง.ไทย", "𝒶𝒷@𝒸𝒹.𝒸ℴ"]
+    rows = [(0, "password: ******** and token=------ here"), (1, "password: ****a*** here")]
+    rows += [(10 + k, f"to {m}, please") for k, m in enumerate(mails)]
+    found = {r.doc_id: r for r in replaced(spark, rows)}
+    assert found[0].text == rows[0][1] and found[0].n_entities == 0
+    assert found[1].text != rows[1][1] and found[1].text.startswith("password: ****")
+    for k, mail in enumerate(mails):
+        row = found[10 + k]
+        assert [e.raw for e in row.entities] == [mail] and mail not in row.text
+        assert row.text == f"to {row.entities[0].replacement}, please"
+
+
+def test_longer_surrogates_when_all_are_taken(spark, monkeypatch):
+    """Every two-letter key but few is an entity: the others get more signs."""
+    monkeypatch.setattr(surrogates, "LONGER", 2)
+    values = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    found = spark.createDataFrame([("key", v, v) for v in values], "kind string, canon string, raw string")
+    drawn = [r.drawn for r in surrogates._settled(found, KEY).collect()]
+    assert len(set(drawn)) == len(values) and not set(drawn) & set(values)
+
+
+def test_many_rows_without_an_id(spark):
+    """Each row lists its own entities only."""
+    rows = [(None, f"write to user{k}@mail{k % 3}.org, Mrs Smith") for k in range(3000)]
+    out = replaced(spark, rows)
+    assert len(out) == 3000 and all([e.kind for e in r.entities] == ["email", "woman"] for r in out)
+    assert len({r.text for r in out}) == 3000
+
+
 def test_same_key_same_surrogate(spark):
     first = replaced(spark, [(1, TEXT)])[0].text
     assert replaced(spark, [(5, "x"), (9, TEXT)])[1].text == first
