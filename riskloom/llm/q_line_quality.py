@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
-from riskloom.llm.line_quality import LineLimits, remove_frequent_lines
+from riskloom.llm.line_quality import QUARTERS, LineLimits, remove_frequent_lines
 
 LIMITS = LineLimits()
 
@@ -28,24 +28,36 @@ worded AS (
   SELECT doc_id, source, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w,
     ('0x' || substr(md5(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'))), 1, 15))::BIGINT AS h
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-ranked AS (
-  SELECT doc_id, min(h) AS least FROM worded GROUP BY doc_id),
-seconds AS (
-  SELECT w.doc_id, min(w.h) AS second FROM worded w JOIN ranked r
-  ON w.doc_id = r.doc_id AND w.h <> r.least GROUP BY w.doc_id),
-told AS (
-  SELECT w.*, CASE WHEN w.h = r.least THEN s.second ELSE r.least END AS other
-  FROM worded w JOIN ranked r ON w.doc_id = r.doc_id LEFT JOIN seconds s ON w.doc_id = s.doc_id),
-per_line AS (
-  SELECT source, h, count(*) AS n_docs, min(first_doc) AS first_doc, sum(n) AS n_rows FROM (
-    SELECT source, h, other, min(doc_id) AS first_doc, count(*) AS n FROM told GROUP BY source, h, other)
-  GROUP BY source, h),
 hosts AS (SELECT source, count(*) AS host_docs FROM docs GROUP BY source),
+shared AS (
+  SELECT c.* FROM (SELECT source, h, count(DISTINCT doc_id) AS n_rows FROM worded GROUP BY source, h) c
+  JOIN hosts o ON c.source = o.source WHERE n_rows > {LIMITS.docs} AND n_rows > {LIMITS.share} * host_docs),
+marked AS (
+  SELECT w.*, s.h IS NOT NULL AS is_shared FROM worded w LEFT JOIN shared s ON w.source = s.source AND w.h = s.h),
+sharing AS (SELECT doc_id, source, list_sort(list(DISTINCT h)) AS hs FROM marked WHERE is_shared GROUP BY doc_id, source),
+own_windows AS (
+  SELECT doc_id, ('0x' || substr(md5(array_to_string(ws[i:i + 2], ' ')), 1, 15))::BIGINT AS h FROM (
+    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM (
+      SELECT doc_id, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS ws FROM marked
+      WHERE NOT is_shared AND doc_id IN (SELECT doc_id FROM sharing)))),
+parts AS (
+  SELECT doc_id, q AS part, min(xor(h, q)) AS value FROM own_windows,
+    (VALUES {", ".join(f"({q}::BIGINT)" for q in QUARTERS)}) quarters(q) GROUP BY doc_id, q
+  UNION ALL SELECT doc_id, -1, ('0x' || substr(md5(array_to_string(hs, ',')), 1, 15))::BIGINT FROM sharing
+  WHERE doc_id NOT IN (SELECT doc_id FROM own_windows)),
+sketches AS (SELECT p.*, source FROM parts p JOIN sharing s ON p.doc_id = s.doc_id),
+leasts AS (SELECT source, part, value, min(doc_id) AS least FROM sketches GROUP BY source, part, value),
+same_document AS (
+  SELECT k.doc_id, min(least) AS document FROM sketches k
+  JOIN leasts l ON k.source = l.source AND k.part = l.part AND k.value = l.value GROUP BY k.doc_id),
+per_line AS (
+  SELECT source, h, count(DISTINCT document) AS n_docs, min(m.doc_id) AS first_doc
+  FROM marked m JOIN same_document d ON m.doc_id = d.doc_id WHERE is_shared GROUP BY source, h),
 frequent AS (
   SELECT l.* FROM per_line l JOIN hosts o ON l.source = o.source
-  WHERE n_docs > {LIMITS.docs} AND n_docs > {LIMITS.share} * host_docs AND n_docs >= {LIMITS.apart} * n_rows),
+  WHERE n_docs > {LIMITS.docs} AND n_docs > {LIMITS.share} * host_docs),
 hit AS (
-  SELECT t.doc_id, t.pos, t.w FROM told t JOIN frequent f
+  SELECT t.doc_id, t.pos, t.w FROM worded t JOIN frequent f
   ON t.source = f.source AND t.h = f.h WHERE t.doc_id <> f.first_doc),
 gone AS (SELECT doc_id, sum(w)::BIGINT AS n_removed FROM hit GROUP BY doc_id),
 rests AS (

@@ -4,8 +4,10 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 from rows import ODD, SCHEMA, docs
 
+from riskloom.llm import q_line_quality
 from riskloom.llm.line_quality import LineLimits, remove_frequent_lines
 
 LIMITS = LineLimits(docs=3, share=0.05)
@@ -72,6 +74,59 @@ def test_lines_above_the_limits(spark):
     assert all(found[100 + i].kept and found[100 + i].n_removed_words == 0 for i in range(30))
 
 
+def against_sql(spark, rows, tmp_path):
+    """The default limits on rows, and the same by the statement."""
+    frame = docs(spark, rows)
+    found = {r.doc_id: (r.n_removed_words, r.kept) for r in remove_frequent_lines(frame).collect()}
+    duck = duckdb.connect()
+    folder = str(tmp_path / "documents.parquet")
+    frame.write.parquet(folder)
+    duck.execute(f"CREATE VIEW documents AS FROM read_parquet('{folder}/*.parquet')")
+    by_sql = duck.execute(q_line_quality.ORACLE["op2_line_quality"]).df()
+    assert found == {r.doc_id: (r.n_removed_words, r.kept) for r in by_sql.itertuples()}
+    return found
+
+
+def test_copies_do_not_shield_a_line(spark, tmp_path):
+    """60 documents share a header; a page with the header has 80 copies, and it has near copies."""
+    header = sentence("header", 12)
+    own = [(i, f"{header}\n{sentence(i, 60)}", "host") for i in range(60)]
+    page = [sentence(("page", k)) for k in range(8)]
+    copies = [(100 + i, "\n".join([header, *page]), "host") for i in range(80)]
+    near = [(200 + i, "\n".join([header, *page[:5], f"{page[5]} v{i}", *page[6:]]), "host") for i in range(80)]
+    for rows in (own, own + copies, own + copies + near):
+        found = against_sql(spark, rows, tmp_path / str(len(rows)))
+        assert all(kept for _, kept in found.values())
+        assert {d for d, (n, _) in found.items() if n == 0} == {0}
+        assert {n for n, _ in found.values()} == {0, 12}
+
+
+def test_documents_of_shared_lines_only(spark, tmp_path):
+    """They shield no line, and are depleted."""
+    common = [sentence(("common", k), 20) for k in range(4)]
+    rows = [(i, "\n".join([*common, sentence(i, 60)]), "host") for i in range(40)]
+    rows += [(100 + i, "\n".join(common), "host") for i in range(90)]
+    found = against_sql(spark, rows, tmp_path)
+    assert {d for d, (_, kept) in found.items() if not kept} == {100 + i for i in range(90)}
+    assert all(found[i] == (80, True) for i in range(1, 40)) and found[0] == (0, True)
+
+
+def test_groups_of_copies_are_no_boilerplate(spark, tmp_path):
+    """Exact and near copies in numbers far above the limits keep their lines."""
+    rng = random.Random(6)
+    page = [sentence(("page", k)) for k in range(12)]
+    rows = [(i, "\n".join(page), "host") for i in range(150)]
+    for i in range(150):
+        lines = list(page)
+        words = lines[rng.randrange(12)].split()
+        words[rng.randrange(14)] = f"edit{i}"
+        lines[rng.randrange(12)] = " ".join(words)
+        rows.append((1000 + i, "\n".join(lines), "host"))
+    rows += [(5000 + i, sentence(i, 60), "host") for i in range(50)]
+    found = against_sql(spark, rows, tmp_path)
+    assert all(v == (0, True) for v in found.values())
+
+
 def test_repeated_rows_and_null_hosts(spark):
     line = sentence("shared", 20)
     rows = [(i // 2, f"{sentence(i, 60)}\n{line}", None) for i in range(12)] + [(None, f"{sentence(99, 60)}\n{line}", None)]
