@@ -58,6 +58,31 @@ def same(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
+# Bits of the map that ``likely_in`` sends to all tasks: 8 MB, whatever the number of keys.
+SLOTS = 1 << 26
+
+
+def likely_in(rows: DataFrame, wanted: DataFrame, key: str, slots: int | None = None) -> DataFrame:
+    """The rows but for nearly all whose key is not among the wanted ones.
+
+    A bitmap of fixed size has a bit for the hash of each wanted key.  It keeps rows from a
+    join, which decides in the end.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(slots or SLOTS)) + 1
+    bits = wanted.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
+    )
+    place = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substr("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        rows.withColumn("_slot", slot)
+        .join(F.broadcast(bits), F.bitmap_bucket_number("_slot") == F.col("_bucket"))
+        .withColumns({"_byte": byte, "_place": place})
+        .where(F.expr("(shiftright(_byte, cast(_place % 8 as int)) & 1) = 1"))
+        .select(*[f"`{c}`" for c in rows.columns])
+    )
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a step to the shared folder and reads it back: cuts the lineage,
     and lost executors cost only the tasks that read it."""

@@ -37,17 +37,27 @@ STEP = 1 << 18
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """Unsigned fingerprint of a whole text; 0 without words."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """Hashes of a whole text's shingles, repeats included; none without words."""
     words = words_of(text)
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words).translate(LOWER_BYTES)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = (ends - [len(w) + 1 for w in words])[: max(1, len(words) - width + 1)].tolist()
     ends = (ends - 1)[min(width, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends)], dtype="<u8")
+    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends)], dtype="<u8")
+
+
+def fingerprint(text: str | None, width: int = 4) -> int:
+    """Unsigned fingerprint of a whole text; 0 without words."""
+    return fingerprint_of(shingle_hashes(text, width))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 14):
         raw = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
@@ -279,25 +289,3 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
-
-
-def first_of_each_group(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """One row of each near-duplicate group: that with the smallest doc_id, null ids
-    last, and of rows that repeat it that whose text has the least hash.
-
-    A row is known by its doc_id and its text, so rows of different groups stay
-    apart whatever their ids.
-    """
-    keyed = docs.withColumn("__row", F.xxhash64("text"))
-    prints = stored(with_fingerprint(keyed, width, ("doc_id", "__row")), "fingerprints")
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
-    distinct = stored(prints.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
-    kept = (
-        _rooted(distinct, distance).groupBy("root").agg(F.min("first").alias("first"))
-        .select("first.doc_id", "first.__row")
-    )
-    return (
-        keyed.alias("d")
-        .join(kept.alias("k"), same("d", "k", ["doc_id", "__row"]), "left_semi")
-        .dropDuplicates(["doc_id", "__row"]).drop("__row")
-    )

@@ -32,11 +32,11 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import slices, stored, words_of
+from riskloom.llm.common import likely_in, slices, stored, words_of
 
 WINDOW = 50
 PERIOD = 31
@@ -46,8 +46,6 @@ ANCHOR = WINDOW - PERIOD + 1
 ROWS = 1 << 17
 # Rows that a task sorts together before it sends them.
 HELD = 1 << 21
-# Bits of the map of documents with shared anchors: 8 MB.
-SLOTS = 1 << 26
 REMEMBERED = 1 << 17
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPANS = "array<struct<start:int,stop:int>>"
@@ -301,30 +299,6 @@ def _cut(batches):
         )
 
 
-def _slot() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)) + 1
-
-
-def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents but for nearly all whose id is not wanted.
-
-    The map has SLOTS bits whatever the number of ids; a join decides in the end.
-    """
-    bits = wanted.select(_slot().alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
-    )
-    place = F.bitmap_bit_position("_slot")
-    byte = F.conv(F.hex(F.substr("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("(shiftright(_byte, cast(_place % 8 as int)) & 1) = 1")
-    return (
-        docs.withColumn("_slot", _slot())
-        .join(F.broadcast(bits), F.bitmap_bucket_number("_slot") == F.col("_bucket"))
-        .withColumns({"_byte": byte, "_place": place})
-        .where(is_set)
-        .select(*docs.columns)
-    )
-
-
 def repeated_words(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, words_sha256, n_removed, spans, kept_sha256), a row per row.
 
@@ -341,7 +315,7 @@ def repeated_words(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.collect_set("place").alias("places"))
     )
     shared = stored(shared, "shared-places")
-    open_docs = stored(_marked(ordered, shared).join(shared, "doc_id"), "open-documents")
+    open_docs = stored(likely_in(ordered, shared, "doc_id").join(shared, "doc_id"), "open-documents")
     repeats = (
         open_docs.mapInArrow(_windows, "known boolean, a long, b int, doc_id long, place int")
         .repartition("a", "b").sortWithinPartitions("known", "a", "b", "doc_id")

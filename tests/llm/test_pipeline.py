@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from rows import ODD, SCHEMA, docs
 from test_lattice import expected as plain_ids
-from test_simhash import plain_components, plain_print
+from test_near_duplicates import plain_groups
 
 import corpus_pipeline
 from riskloom.llm import lattice, q_decontaminate, q_lattice, q_line_quality
@@ -56,8 +56,11 @@ def test_quality_rules(con, stages):
 
 def test_near_duplicates(stages):
     before = stages[1][1]
-    groups = plain_components([(d, plain_print(r.text)) for d, r in before.items()])
-    assert set(stages[2][1]) == {d for d, _, least in groups if d == least}
+    ids = list(before)
+    wanted = {}
+    for d, g in zip(ids, plain_groups([before[d].text for d in ids])):
+        wanted[g] = min(d, wanted.get(g, d))
+    assert set(stages[2][1]) == set(wanted.values())
     assert all(before[d] == r for d, r in stages[2][1].items())
 
 

@@ -57,25 +57,11 @@ def test_odd_rows(spark):
     table = docs(spark, ODD, ", fp string, component_id long, root int, a int", ("x", 5, 1, 2))
     expected = plain_components([(d, plain_print(t)) for d, t in ODD])
     assert found(simhash.near_duplicates(table)) == expected
-    kept = simhash.first_of_each_group(table)
-    assert kept.columns == table.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4, 5, 6, 7]
-
-
-def test_groups_without_their_own_id(spark):
-    """Of every group one row stays, also if ids are null or those of another text."""
-    rng = random.Random(3)
-    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(6)]
-    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (9, texts[1]), (5, texts[4]), (5, texts[5]), (5, texts[5])]
-    kept = simhash.first_of_each_group(docs(spark, rows)).collect()
-    wanted = [(None, texts[0]), (9, texts[1]), (None, texts[2]), (None, texts[3]), (5, texts[4]), (5, texts[5])]
-    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(wanted, key=str)
 
 
 def test_empty_table(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(table).collect() == []
-    assert simhash.first_of_each_group(table).collect() == []
 
 
 @pytest.mark.parametrize("agree", [1, 2, 3])

@@ -6,7 +6,7 @@ import random
 import pytest
 from rows import ODD, SCHEMA, docs
 
-from riskloom.llm import substring
+from riskloom.llm import common, substring
 
 
 def plain(rows, window=substring.WINDOW):
@@ -98,7 +98,7 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("slots", [1, 64, 1 << 26])
 def test_any_size_of_the_map(spark, monkeypatch, slots):
-    monkeypatch.setattr(substring, "SLOTS", slots)
+    monkeypatch.setattr(common, "SLOTS", slots)
     rows = made(77)
     assert found(docs(spark, rows)) == plain(rows)
 
