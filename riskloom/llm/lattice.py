@@ -41,7 +41,7 @@ from riskloom.llm.common import slices, stored, without
 BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
-FLUSH = 1 << 17
+FLUSH = 1 << 19
 # Long units whose cuts a task remembers.
 REMEMBERED = 1 << 12
 # A model with more pieces than this is refused: the piece table goes to all tasks.
