@@ -119,17 +119,21 @@ def base_figures(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
     )
 
 
-# The order of hashes under each of these begins with another quarter of them.
-QUARTERS = (0, 1 << 58, 1 << 59, 3 << 58)
+# The order of signed hashes under each of these begins with another quarter of them.
+QUARTERS = (0, 1 << 62, -(1 << 63), (1 << 62) - (1 << 63))
 
 
 def _least_windows(words: Column, width: int = 3) -> Column:
     """The smallest hashes among the windows of a line's words, one for each quarter first."""
     windows = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0))),
-        lambda i: number_of(F.array_join(F.slice(words, i + 1, F.lit(width)), " ")),
+        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]),
     )
-    least = lambda hashes: F.array(*[F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(q)))) for q in QUARTERS])
+
+    def least(hashes: Column) -> Column:
+        others = [F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(q)))) for q in QUARTERS[1:]]
+        return F.array(F.array_min(hashes), *others)
+
     return let(windows, least)
 
 

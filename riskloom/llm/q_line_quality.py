@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.common import table
-from riskloom.llm.line_quality import QUARTERS, LineLimits, remove_frequent_lines
+from riskloom.llm.line_quality import LineLimits, remove_frequent_lines
 
 LIMITS = LineLimits()
 
@@ -17,6 +17,8 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Quarters of the statement's hashes, which have 60 bits; any hash will do to tell documents apart.
+QUARTERS = (0, 1 << 58, 1 << 59, 3 << 58)
 # Steps from the table ``docs`` (doc_id, text, source) to the verdicts; the
 # pipeline statement starts with them too.
 STEPS = rf"""
