@@ -5,8 +5,8 @@ host the distinct documents of a line are counted; a line above both limits is
 removed from all documents of the host but the first, and a document that loses
 nearly all of its words is rejected.
 
-Copies of one document count once.  A document's sketch are the smallest hashes, one for each
-of four parts of the hash space, among the word windows of its *own* lines, those that no
+Copies of one document count once.  A document's sketch are the first hashes, one for each
+quarter of the hash space, among the word windows of its *own* lines, those that no
 more rows have than the limits allow; a document of shared lines only has the set of these
 instead.  Documents of a host that agree on one of the four are taken for copies, and
 count as the least document that they agree with.  Near copies of a similarity of 0.8 in their own lines
@@ -119,30 +119,33 @@ def base_figures(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
     )
 
 
-# The order of signed hashes under each of these begins with another quarter of them.
-QUARTERS = (0, 1 << 62, -(1 << 63), (1 << 62) - (1 << 63))
+# Turned by this bit, the ends of the order of signed hashes are the other two quarters of them.
+TURN = 1 << 62
+ENDS = (F.min, F.max, F.min, F.max)
 
 
-def _least_windows(words: Column, width: int = 3) -> Column:
-    """The smallest hashes among the windows of a line's words, one for each quarter first."""
+def _end_windows(words: Column, width: int = 3) -> Column:
+    """The smallest and the largest hash among the windows of a line's words, and the same
+    of the turned hashes: the first of each quarter of the hash space."""
     windows = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0))),
         lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]),
     )
 
-    def least(hashes: Column) -> Column:
-        others = [F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(q)))) for q in QUARTERS[1:]]
-        return F.array(F.array_min(hashes), *others)
+    def ends(hashes: Column) -> Column:
+        turned = F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(TURN)))
+        outer = F.array(F.array_min(hashes), F.array_max(hashes))
+        return F.concat(outer, let(turned, lambda t: F.array(F.array_min(t), F.array_max(t))))
 
-    return let(windows, least)
+    return let(windows, ends)
 
 
 def line_rows(docs: DataFrame, host: str = "source", told: bool = False) -> DataFrame:
     """One row per distinct line with a word of a row: doc_id, host, ``row`` (the text's
-    hash), h and, if ``told``, ``windows``, the smallest hashes of its windows of words."""
+    hash), h and, if ``told``, ``windows``, the end hashes of its windows of words."""
     if told:
         line = lambda x: F.struct(
-            _line_hash(x).alias("h"), let(F.regexp_extract_all(F.lower(x), F.lit(WORD), F.lit(0)), lambda w: _least_windows(w)).alias("windows")
+            _line_hash(x).alias("h"), let(F.regexp_extract_all(F.lower(x), F.lit(WORD), F.lit(0)), lambda w: _end_windows(w)).alias("windows")
         )
     else:
         line = lambda x: F.struct(_line_hash(x).alias("h"))
@@ -168,7 +171,7 @@ def rows_with_shared(docs: DataFrame, shared: DataFrame, host: str = "source") -
     """doc_id, host, row, ``lines``, the shared lines of the row, and ``sketch``, what
     tells it from other documents."""
     is_shared = F.col("n_rows").isNotNull()
-    own = [F.min(F.when(~is_shared, F.get("windows", F.lit(k)))) for k in range(len(QUARTERS))]
+    own = [end(F.when(~is_shared, F.get("windows", F.lit(k)))) for k, end in enumerate(ENDS)]
     only_shared = number_of(F.array_join(F.col("lines").cast("array<string>"), ","))
     return (
         line_rows(docs, host, told=True).alias("l")
