@@ -62,6 +62,10 @@ HEADLINE = (
     "incremental_changes",
     "stream_score",
     "stream_daily_profile",
+    "alert_thresholds_eval",
+    "dashboard_document",
+    "should_retrain",
+    "model_metrics",
 )
 
 
