@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from itertools import permutations
 
 import pytest
@@ -43,6 +44,27 @@ def test_moved_bytes_are_the_least():
     assert sum(f for (i, j), f in flow.items() if i != j) == sum(supply) - stays
 
 
+def test_many_shards():
+    """Thousands of shards, among them empty ones, with the fewest moved bytes."""
+    rng = random.Random(4)
+    supply = [rng.choice([0, rng.randrange(1 << 40)]) for _ in range(2000)]
+    for capacity in (
+        reshard.even_capacities(sum(supply), 500),
+        [*supply[1:], supply[0]],
+    ):
+        cost = reshard.moving_costs(2000, len(capacity))
+        began = time.monotonic()
+        flow = reshard.min_cost_flow(supply, capacity, cost)
+        assert time.monotonic() - began < 60
+        stays = sum(min(s, c) for s, c in zip(supply, capacity))
+        assert sum(f for (i, j), f in flow.items() if i != j) == sum(supply) - stays
+        sent, got = [0] * 2000, [0] * len(capacity)
+        for (i, j), f in flow.items():
+            sent[i] += f
+            got[j] += f
+        assert sent == supply and all(g <= c for g, c in zip(got, capacity))
+
+
 def resharded(spark, table, n_new, capacity=None):
     path, out = work_dir(spark, "old"), work_dir(spark, "new")
     table.write.parquet(path)
@@ -93,7 +115,7 @@ def test_rows_that_stay_are_not_rewritten(spark):
 
 
 def test_odd_rows(spark):
-    table = docs(spark, ODD, ", shard string, slot int, _old int", ("x", 1, 2))
+    table = docs(spark, ODD, ", shard string, slot int, _old int, _file string, _row int", ("x", 1, 2, "f", 3))
     _, out = resharded(spark, table, 3)
     rows = out.collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(ODD, key=str)
