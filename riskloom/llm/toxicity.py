@@ -12,11 +12,12 @@ distribution in other texts as background, segments follow the extreme-value
 law: E = K n exp(-lambda S) segments of score S are expected by chance in n
 tokens, where K is how often a token starts a segment, a score above zero.
 The best sum over a text's segments (sum statistics) is turned into a
-probability on the training texts.
+probability on a part of the training rows (one in FOLDS), scanned with a model
+that was learned from the others.
 
 Labels come from at most about TRAIN_ROWS labelled rows, chosen by hash; their
-ids go to all tasks, and so do the scores of all their tokens that are not about
-zero, as 16 bytes each; TRAIN_ROWS bounds them.  Equal words count once in a
+ids go to all tasks, and so do the scores of all their tokens, as 16 bytes each,
+but for those that score zero as their beginnings do; TRAIN_ROWS bounds them.  Equal words count once in a
 candidate passage, that is until the sum of scores is used up or has fallen by ENDS.
 
 Null and empty texts have no tokens and the score of no evidence.  Rows that
@@ -50,7 +51,9 @@ EXPECTED = 0.01
 LARGE = 3.0
 REMEMBERED = 1 << 18
 HASH_SEED = 42
-BIN, BINS = 0.5, 200
+# One of this many training rows is kept from the model that the probability is fitted on.
+FOLDS = 5
+BIN = 0.5
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…¿¡"
 
 
@@ -59,45 +62,54 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, toxic) of the labelled rows to learn from, about ``most`` of them."""
+    """(doc_id, toxic, kept) of the labelled rows to learn from, about ``most`` of them;
+    ``kept`` marks those that the probability is fitted on."""
     rows = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     )
     share = min(1.0, most / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    return rows.withColumn("kept", F.pmod(F.xxhash64("doc_id", F.lit("kept")), F.lit(FOLDS)) == 0)
 
 
 def token_of(word: str) -> str:
     return word.strip(PUNCTUATION)
 
 
+COUNTS = ("toxic", "other", "kept_toxic", "kept_other")
+
+
 def token_counts(docs: DataFrame, train: DataFrame) -> DataFrame:
-    """(token, toxic, other): documents of each class that have the token."""
+    """(token, toxic, other, kept_toxic, kept_other): documents of each class that have
+    the token, and how many of them are kept for the probability."""
     def run(batches):
         seen: dict[str, list[int]] = {}
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            for text, toxic, kept in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "kept"))):
                 for token in {token_of(w) for w in set((text or "").lower().split())}:
                     if token:
-                        seen.setdefault(token, [0, 0])[0 if toxic else 1] += 1
+                        counts = seen.setdefault(token, [0, 0, 0, 0])
+                        counts[0 if toxic else 1] += 1
+                        if kept:
+                            counts[2 if toxic else 3] += 1
                 if len(seen) > REMEMBERED:
                     yield from told(seen)
         yield from told(seen)
 
     def told(seen):
-        tokens, counts = list(seen), np.array(list(seen.values()), dtype=np.int64).reshape(-1, 2)
+        tokens, counts = list(seen), np.array(list(seen.values()), dtype=np.int64).reshape(-1, 4)
         seen.clear()
         for at in range(0, len(tokens), 1 << 16):
             part = slice(at, at + (1 << 16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[part]), pa.array(counts[part, 0]), pa.array(counts[part, 1])], ["token", "toxic", "other"]
+                [pa.array(tokens[part]), *(pa.array(counts[part, k]) for k in range(4))], ["token", *COUNTS]
             )
 
     return (
-        docs.select("doc_id", "text").join(F.broadcast(train), "doc_id").select("text", "toxic")
-        .mapInArrow(run, "token string, toxic long, other long")
-        .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        docs.select("doc_id", "text").join(F.broadcast(train), "doc_id").select("text", "toxic", "kept")
+        .mapInArrow(run, ", ".join(["token string", *(f"{c} long" for c in COUNTS)]))
+        .groupBy("token").agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
 
 
@@ -109,7 +121,8 @@ def _cautious(toxic: Column, other: Column, odds: Column) -> Column:
 
 
 def token_scores(counts: DataFrame, n_toxic: int, n_other: int) -> tuple[DataFrame, DataFrame]:
-    """(token, score, toxic, other) and (prefix, score, types)."""
+    """(token, score, begins, other) and (prefix, score, types); ``begins`` is the score
+    that the token's beginning gives to tokens without one of their own."""
     begin = F.substring("token", 1, PREFIX)
     share = n_toxic / (n_toxic + n_other)
     types = counts.where(F.length("token") > PREFIX).groupBy(begin.alias("prefix")).agg(
@@ -131,8 +144,11 @@ def token_scores(counts: DataFrame, n_toxic: int, n_other: int) -> tuple[DataFra
     other = F.col("other") + weight * (1 - q) + SHARE_PRIOR * (1 - share)
     tokens = (
         counts.withColumn("prefix", F.when(F.length("token") > PREFIX, begin))
-        .join(prefixes.select("prefix", "q", "types"), "prefix", "left")
-        .select("token", _cautious(toxic, other, F.lit(n_toxic / n_other)).alias("score"), "toxic", "other")
+        .join(prefixes.select("prefix", "q", "types", F.col("score").alias("begins")), "prefix", "left")
+        .select(
+            "token", _cautious(toxic, other, F.lit(n_toxic / n_other)).alias("score"),
+            F.coalesce("begins", F.lit(0.0)).alias("begins"), "other",
+        )
     )
     return tokens, prefixes.select("prefix", "score", "types")
 
@@ -150,8 +166,8 @@ class Table:
 
 
 def _table(scores: DataFrame, name: str) -> Table:
-    """All scores that are not about zero."""
-    rows = scores.where("abs(score) > 0.05").select(F.xxhash64(name).alias("tag"), "score").toArrow()
+    """All scores but those zeros that a look-up without result gives as well."""
+    rows = scores.where("score <> 0 OR begins <> 0").select(F.xxhash64(name).alias("tag"), "score").toArrow()
     return Table(rows.column("tag").to_numpy(), rows.column("score").to_numpy())
 
 
@@ -308,42 +324,51 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The token model, and the labelled rows that it was learned from."""
-    train = stored(training_rows(labels), "training-rows")
-    sizes = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
-    n_toxic, n_other = sizes.get(1, 0) + 1, sizes.get(0, 0) + 1
-    counts = stored(token_counts(docs, train), "token-counts")
-    tokens, prefixes = token_scores(counts, n_toxic, n_other)
+def learn(counts: DataFrame, n_toxic: int, n_other: int) -> Model:
+    """The model of token counts among so many documents of either class."""
+    tokens, prefixes = token_scores(counts, n_toxic + 1, n_other + 1)
     tokens = stored(tokens, "token-scores")
     grid = tokens.groupBy(F.round("score", 1).alias("score")).agg(F.sum("other").alias("n")).collect()
     values = np.array([r.score for r in grid] + [8.0]) - DRIFT
     weights = np.array([float(r.n) for r in grid] + [0.5])
     weights[-1:] += 0.5
-    model = Model(
+    return Model(
         _table(tokens, "token"),
-        _table(prefixes, "prefix"),
+        _table(prefixes.withColumn("begins", F.lit(0.0)), "prefix"),
         scale_of(values, weights),
         float(weights[values > 0].sum() / weights.sum()),
     )
-    return model, train
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted, n_tokens, passages) for every row."""
-    model, train = learn(docs, labels)
-    scanned = stored(scan(docs, model), "scanned")
-    place = F.least(F.floor(F.col("evidence") / BIN), F.lit(BINS)).cast("int")
+def chance_of(docs: DataFrame, train: DataFrame, model: Model) -> Column:
+    """The probability by the evidence, fitted on training rows that ``model`` does not know."""
+    kept = train.where("kept").select("doc_id", "toxic")
+    # Rows of TRAIN_ROWS / FOLDS ids.
+    scanned = scan(docs.select("doc_id", "text").join(F.broadcast(kept.select("doc_id")), "doc_id"), model)
     bins = (
-        scanned.join(F.broadcast(train), "doc_id")
-        .groupBy(place.alias("bin")).agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).collect()
+        scanned.join(F.broadcast(kept), "doc_id")
+        .groupBy(F.floor(F.col("evidence") / BIN).alias("bin"))
+        .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).collect()
     )
     x = np.array([r.bin * BIN for r in bins] or [0.0])
     slope, offset = fit_logistic(
         np.log1p(x), np.array([float(r.other) for r in bins] or [1.0]), np.array([float(r.toxic) for r in bins] or [0.0])
     )
-    chance = 1 / (1 + F.exp(-(F.lit(slope) * F.log1p("evidence") + F.lit(offset))))
-    return scanned.select(
+    return 1 / (1 + F.exp(-(F.lit(slope) * F.log1p("evidence") + F.lit(offset))))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted, n_tokens, passages) for every row."""
+    train = stored(training_rows(labels), "training-rows")
+    sizes = {(r.toxic, r.kept): r["count"] for r in train.groupBy("toxic", "kept").count().collect()}
+    toxic, other = (sizes.get((k, False), 0) for k in (1, 0))
+    counts = stored(token_counts(docs, train), "token-counts")
+    others = counts.select(
+        "token", (F.col("toxic") - F.col("kept_toxic")).alias("toxic"), (F.col("other") - F.col("kept_other")).alias("other")
+    ).where("toxic + other > 0")
+    chance = chance_of(docs, train, learn(others, toxic, other))
+    model = learn(counts, toxic + sizes.get((1, True), 0), other + sizes.get((0, True), 0))
+    return scan(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), chance.alias("score"),
         (chance >= 0.5).cast("int").alias("predicted"), "n_tokens", "passages",
     )

@@ -95,11 +95,43 @@ def test_a_later_passage_of_the_same_words_counts():
 
 def test_no_scored_token_is_dropped(spark):
     scores = {f"token{k}": 1.0 + k for k in range(4000)}
-    table = toxicity._table(spark.createDataFrame(list(scores.items()), "token string, score double"), "token")
+    table = toxicity._table(spark.createDataFrame([(k, v, 0.0) for k, v in scores.items()], "token string, score double, begins double"), "token")
     assert all(table.get(toxicity._tag(t)) == s for t, s in scores.items())
     assert table.get(toxicity._tag("another")) is None
 
 
+def test_a_known_neutral_word_has_no_score(spark):
+    """A word of toxic and other texts alike, under a beginning of toxic words."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(600):
+        words = [f"plain{rng.randrange(60)}" for _ in range(40)] + ["vilewater"]
+        if i % 4 == 0:
+            words += [f"vile{rng.randrange(300)}x" for _ in range(8)]
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    frame, train = docs(spark, rows), toxicity.training_rows(spark.createDataFrame(labels, LABELS))
+    counts = toxicity.token_counts(frame, train)
+    model = toxicity.learn(counts, train.where("toxic = 1").count(), train.where("toxic = 0").count())
+    scores = toxicity.Scores(model)
+    assert all(abs(scores[w] + toxicity.DRIFT) < 0.1 for w in ("vilewater", "plain7"))
+    assert scores["vilenew"] > 0 and scores["nothingknown"] == -toxicity.DRIFT
+    # The same scores as those the background is made of.
+    tokens, _ = toxicity.token_scores(counts, train.where("toxic = 1").count() + 1, train.where("toxic = 0").count() + 1)
+    for r in tokens.collect():
+        assert abs(scores[r.token] + toxicity.DRIFT - r.score) < 1e-9
+
+
+def test_the_probability_is_fitted_on_rows_the_model_does_not_know(spark):
+    rows = [(i, f"only{i} words{i} of{i} row{i}") for i in range(400)]
+    labels = [(i, 1, i % 2) for i in range(400)]
+    found = scored(spark, rows, labels)
+    # Every word stands in one row, so it tells nothing of other rows.
+    assert all(0.3 < r.score < 0.7 for r in found)
+    train = toxicity.training_rows(spark.createDataFrame(labels, LABELS)).collect()
+    assert 0.1 < sum(r.kept for r in train) / len(train) < 0.3
+
+
 def test_no_labels_and_no_rows(spark):
     assert [r.predicted for r in scored(spark, [(1, "a b c")], [])] == [0]
     empty = spark.createDataFrame([], SCHEMA)
