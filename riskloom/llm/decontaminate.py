@@ -9,6 +9,10 @@ where the item would start, and is intersected with the second probe's adjusted
 list.  Equal places are phrase candidates, places within ``slop`` of each other
 are proximity matches.  Candidates are then checked word by word.
 
+Items go by a number through the joins; their words are fetched once per document
+and item, for the check.  Documents go by their id and the hash of their text, so
+rows without an id, or with the same one, are spread and judged like others.
+
 All joins are on a document and a place (or on a term with its postings), so a
 passage that a third of all documents share is spread like any other; the
 candidate is an item's start, one row per occurrence of a passage, not one per
@@ -17,7 +21,7 @@ small enough.
 
 Words are those of the text with A-Z lower-cased.  Null texts and texts without
 words have none and match nothing.  Items with a null id are not items.  Rows
-that repeat a doc_id are judged each by its own words.  Columns that have the
+that repeat a doc_id or have none are judged each by its own words.  Columns that have the
 name of a result column are replaced.
 """
 
@@ -39,34 +43,42 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TERM), 0)
 
 
-def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(item_id, words, at): the windows of each distinct item by first word's place."""
-    return (
+def numbered(items: DataFrame) -> DataFrame:
+    """(item, item_id, words): the distinct items with words, under a number each."""
+    found = (
         items.where("item_id IS NOT NULL")
         .select(F.col("item_id"), terms_of(F.col("text")).alias("words"))
         .where(F.size("words") > 0).distinct()
-        .withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)))))
     )
+    # Written, so that a number does not change when a task is run again.
+    return stored(found.select(F.monotonically_increasing_id().alias("item"), "item_id", "words"), "items")
+
+
+def text_key() -> Column:
+    """What tells rows of one doc_id, or of none, apart; equal texts have equal matches."""
+    return F.xxhash64("text")
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(terms_of(F.col("text"))).alias("pos", "term"))
+    return docs.select(
+        "doc_id", text_key().alias("key"), F.posexplode(terms_of(F.col("text"))).alias("pos", "term")
+    )
 
 
 def probes(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Per item the distinct probe pairs of its windows: terms and places in the item.
+    """Per numbered item the distinct probe pairs of its windows: terms and places in the item.
 
     A window of one word has no second probe.
     """
-    asked = item_windows(items, width).select(
-        "item_id", "words", "at",
-        F.posexplode(F.slice("words", F.col("at") + 1, width)).alias("off", "term"),
-    )
+    last = F.greatest(F.size("words") - width, F.lit(0))
+    asked = items.withColumn("at", F.explode(F.sequence(F.lit(0), last))).select(
+        "item", "at", F.posexplode(F.slice("words", F.col("at") + 1, width)).alias("off", "term")
+    )
     counts = (
         _tokens(docs).join(asked.select("term").distinct(), "term")
         .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     )
-    rarest = W.partitionBy("item_id", "words", "at").orderBy("n", "term", "off")
+    rarest = W.partitionBy("item", "at").orderBy("n", "term", "off")
     ranked = (
         asked.join(counts, "term", "left").fillna(0, ["n"])
         .withColumn("place", F.col("at") + F.col("off"))
@@ -80,27 +92,29 @@ def probes(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
         for r in (1, 2) for c in ("term", "place")
     ]
     return (
-        ranked.groupBy("item_id", "words", "at").agg(*pair)
-        .select("item_id", "words", "term1", "place1", "term2", "place2").distinct()
+        ranked.groupBy("item", "at").agg(*pair)
+        .select("item", "term1", "place1", "term2", "place2").distinct()
     )
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The stored index: (term, doc_id, pos) for the terms in ``terms``."""
-    return stored(_tokens(docs).join(terms, "term").select("term", "doc_id", "pos"), "postings")
+    """The stored index: (term, doc_id, key, pos) for the terms in ``terms``; repeated rows
+    have their postings once."""
+    found = _tokens(docs).join(terms, "term").select("term", "doc_id", "key", "pos")
+    return stored(found.distinct(), "postings")
 
 
 def intersected(index: DataFrame, pairs: DataFrame, slop: int = SLOP) -> DataFrame:
-    """(doc_id, item_id, words, start, apart): where both probes of a pair stand.
+    """(doc_id, key, item, start, apart): where both probes of a pair stand.
 
     ``start`` is the place of the item's first word by the first probe, and
     ``apart`` how far the second probe is from where the phrase has it.
     """
     first = pairs.join(index, F.col("term1") == F.col("term")).select(
-        "doc_id", "item_id", "words", (F.col("pos") - F.col("place1")).alias("start"), "term2", "place2"
+        "doc_id", "key", "item", (F.col("pos") - F.col("place1")).alias("start"), "term2", "place2"
     )
     single = first.where("term2 IS NULL").select(
-        "doc_id", "item_id", "words", "start", F.lit(0).alias("apart")
+        "doc_id", "key", "item", "start", F.lit(0).alias("apart")
     )
     # Places are matched by buckets, of which a range of +-slop meets one or two.
     bucket = 4 * slop + 1
@@ -117,45 +131,50 @@ def intersected(index: DataFrame, pairs: DataFrame, slop: int = SLOP) -> DataFra
     both = (
         wanted.alias("w").join(
             second.alias("s"),
-            same("w", "s", ["doc_id", "bucket"]) & (F.col("term2") == F.col("term"))
+            same("w", "s", ["doc_id", "key", "bucket"]) & (F.col("term2") == F.col("term"))
             & F.col("pos").between(F.col("expected") - slop, F.col("expected") + slop),
         )
-        .select("w.doc_id", "item_id", "words", "start", F.abs(F.col("pos") - F.col("expected")).alias("apart"))
+        .select("w.doc_id", "w.key", "item", "start", F.abs(F.col("pos") - F.col("expected")).alias("apart"))
     )
     return both.union(single)
 
 
 def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLOP) -> DataFrame:
-    """The documents with ``matches`` (item_id, start places of its windows),
+    """The documents with ``matches`` (item_id, start places of its windows, their size),
     n_words, n_hit, n_items, items_sha256, contaminated and n_near_items."""
+    items = numbered(items)
     pairs = stored(probes(docs, items, width), "probes")
     asked = pairs.select(F.explode(F.array("term1", "term2")).alias("term")).where(
         "term IS NOT NULL"
     ).distinct()
     index = postings(docs, asked)
-    per_start = (
+    per_item = (
         intersected(index, pairs, slop)
-        .groupBy("doc_id", "item_id", "words", "start").agg(F.min("apart").alias("apart"))
+        .groupBy("doc_id", "key", "item").agg(F.collect_set(F.when(F.col("apart") == 0, F.col("start"))).alias("starts"))
     )
-    per_doc = per_start.groupBy("doc_id").agg(
-        F.collect_list(
-            F.when(F.col("apart") == 0, F.struct("item_id", "words", "start"))
-        ).alias("__found"),
-        F.count_distinct("item_id").alias("n_near_items"),
+    found = F.when(F.size("starts") > 0, F.struct("item_id", "words", "starts"))
+    per_doc = per_item.join(items, "item").groupBy("doc_id", "key").agg(
+        F.collect_list(found).alias("__found"), F.count_distinct("item_id").alias("n_near_items")
     )
+
     def windows(match: Column, own: Column) -> Column:
         words = match["words"]
         size = F.least(F.size(words), F.lit(width))
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(words) - size),
-            lambda k: (match["start"] + k >= 0)
-            & (F.slice(own, F.greatest(match["start"] + k, F.lit(0)) + 1, size) == F.slice(words, k + 1, size)),
-        )
-        return F.struct(
-            match["item_id"].alias("item_id"),
-            F.transform(starts, lambda k: match["start"] + k).alias("starts"),
-            size.alias("size"),
+        places = F.sequence(F.lit(0), F.size(words) - size)
+        starts = F.flatten(
+            F.transform(
+                match["starts"],
+                lambda start: F.transform(
+                    F.filter(
+                        places,
+                        lambda k: (start + k >= 0)
+                        & (F.slice(own, F.greatest(start + k, F.lit(0)) + 1, size) == F.slice(words, k + 1, size)),
+                    ),
+                    lambda k: start + k,
+                ),
+            )
         )
+        return F.struct(match["item_id"].alias("item_id"), starts.alias("starts"), size.alias("size"))
 
     matches = let(
         F.col("__own"),
@@ -178,13 +197,13 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLO
         F.array_distinct(F.transform("matches", lambda m: m["item_id"].cast("string")))
     )
     return (
-        without(docs, (*RESULT, "matches")).alias("d")
-        .join(per_doc.alias("p"), same("d", "p", ["doc_id"]), "left")
+        without(docs, (*RESULT, "matches")).withColumn("__key", text_key()).alias("d")
+        .join(per_doc.withColumnRenamed("key", "__key").alias("p"), same("d", "p", ["doc_id", "__key"]), "left")
         .select("d.*", "__found", "p.n_near_items")
         .withColumn("__own", terms_of(F.col("text")))
         .withColumn("n_words", F.size("__own").cast("long"))
         .withColumn("matches", matches)
-        .drop("__own", "__found")
+        .drop("__own", "__found", "__key")
         .withColumn("n_hit", F.size(covered).cast("long"))
         .withColumn("__ids", ids)
         .withColumn("n_items", F.size("__ids").cast("long"))

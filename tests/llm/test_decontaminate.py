@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
 from rows import ODD, SCHEMA, docs
 
+from riskloom.llm import decontaminate
 from riskloom.llm.decontaminate import hits
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -69,6 +71,22 @@ def test_against_all_windows(spark):
     assert result(frame, spark.createDataFrame(items, ITEMS)) == plain(rows, items)
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """Ten thousand rows without an id: no row of the index sees the matches of another."""
+    phrase = " ".join(f"p{k}" for k in range(12))
+    items = [(1, phrase), (2, "short item")]
+    rows = [(None, f"row {k} " + (phrase if k % 3 == 0 else "short item" if k % 3 == 1 else "clean")) for k in range(10_000)]
+    rows += [(5, phrase), (5, "clean"), (5, phrase), (None, None), (None, ""), *[(None, phrase)] * 300]
+    frame, asked = docs(spark, rows, ", key string", ("k",)), spark.createDataFrame(items, ITEMS)
+    assert result(frame, asked) == plain(rows, items)
+    found = decontaminate.hits(frame, asked).select(F.max(F.size("matches")).alias("most")).first()
+    assert found.most == 1
+    numbers = decontaminate.numbered(asked)
+    index = decontaminate.postings(frame, numbers.select(F.explode("words").alias("term")).distinct())
+    groups = decontaminate.intersected(index, decontaminate.probes(frame, numbers)).groupBy("doc_id", "key").count()
+    assert groups.agg(F.max("count")).first()[0] <= 3
+
+
 def test_proximity_matches(spark):
     phrase = " ".join(f"p{k}" for k in range(10))
     items = spark.createDataFrame([(1, phrase)], ITEMS)
