@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.plans.registry import register
 from riskloom.plans.sql_tables import oracle, r, since
 from riskloom.session import work_dir
-from riskloom.sources import sinks, tables
+from riskloom.sources import buckets, sinks, tables
 from riskloom.sources import testdata as td
 
 AS_OF = td.AS_OF
@@ -105,7 +105,9 @@ def _upsert(spark, sf_dir):
     before = fresh.where(k % 5 != 0).withColumn(
         "health_risk_composite", F.col("health_risk_composite") - 1.0
     )
-    return sinks.feature_table_upsert(before, fresh.where(k % 3 == 0), ["customer_id"])
+    path = work_dir(spark, "features")
+    buckets.write_table(before, path, ["customer_id"])
+    return buckets.upsert(fresh.where(k % 3 == 0), path, ["customer_id"])
 
 
 register(
@@ -143,7 +145,8 @@ register(
 )
 
 
-def _changes(spark, sf_dir):
+def _states(spark, sf_dir):
+    """The log before and after some rows came, went and changed."""
     log = td.predictions(spark, sf_dir).select("event_id", "adjusted_prediction", "risk_category")
     e = F.col("event_id")
     before = log.where(e % 11 != 0)
@@ -151,19 +154,29 @@ def _changes(spark, sf_dir):
         F.col("adjusted_prediction")
     )
     after = log.where(e % 13 != 0).withColumn("adjusted_prediction", score)
-    return sinks.incremental_changes(before, after, ["event_id"])
+    return before, after
 
 
+def _stored_changes(spark, sf_dir):
+    """The same from two stored tables, by their digests."""
+    paths = [work_dir(spark, f"state-{k}") for k in range(2)]
+    for state, path in zip(_states(spark, sf_dir), paths):
+        schema = buckets.write_table(state, path, ["event_id"]).schema
+    return buckets.state_changes(spark, *paths, ["event_id"], schema)
+
+
+CHANGES_SQL = oracle(
+    "SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'insert' WHEN event_id % 13 = 0 "
+    "THEN 'delete' ELSE 'update' END AS change_type FROM pred "
+    "WHERE (event_id % 11 = 0 AND event_id % 13 <> 0) OR (event_id % 11 <> 0 AND "
+    "event_id % 13 = 0) OR (event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 7 = 0)"
+)
 register(
     "incremental_changes",
-    _changes,
-    oracle(
-        "SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'insert' WHEN event_id % 13 = 0 "
-        "THEN 'delete' ELSE 'update' END AS change_type FROM pred "
-        "WHERE (event_id % 11 = 0 AND event_id % 13 <> 0) OR (event_id % 11 <> 0 AND "
-        "event_id % 13 = 0) OR (event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 7 = 0)"
-    ),
+    lambda s, d: sinks.incremental_changes(*_states(s, d), ["event_id"]),
+    CHANGES_SQL,
 )
+register("stored_state_changes", _stored_changes, CHANGES_SQL)
 
 
 def _layout(spark, sf_dir):
