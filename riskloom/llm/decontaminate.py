@@ -101,7 +101,8 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The stored index: (term, doc_id, key, pos) for the terms in ``terms``; repeated rows
     have their postings once."""
     found = _tokens(docs).join(terms, "term").select("term", "doc_id", "key", "pos")
-    return stored(found.distinct(), "postings")
+    # Dealt by document and place: by term alone, a frequent term would be one task's.
+    return stored(found.repartition("doc_id", "key", "pos").distinct(), "postings")
 
 
 def intersected(index: DataFrame, pairs: DataFrame, slop: int = SLOP) -> DataFrame:
