@@ -234,3 +234,18 @@ def test_upsert_and_append(spark, tmp_path):
     path = str(tmp_path / "h")
     sinks.append_metric_history(old, path)
     assert sinks.append_metric_history(new, path).count() == 4
+
+
+def test_layout_of_joined_rows(spark, tmp_path):
+    """The number of files follows the rows' size and not the planner's estimate of the
+    join, the product of its inputs."""
+    rows = spark.range(100_000)
+    for other in ("b", "c"):
+        rows = rows.join(spark.range(100_000).withColumnRenamed("id", other), F.col("id") == F.col(other))
+    rows = rows.select("id", (F.col("id") * 7919 % 100_003).alias("at"))
+    path = str(tmp_path / "laid")
+    laid = sinks.table_layout(rows, path, "at", file_bytes=1 << 16)
+    files = laid.groupBy(F.input_file_name()).agg(F.min("at").alias("low"), F.max("at").alias("high")).orderBy("low").collect()
+    assert 2 <= len(files) <= 40 and all(a.high < b.low for a, b in zip(files, files[1:]))
+    assert laid.count() == 100_000 and laid.agg(F.sum("id")).first()[0] == sum(range(100_000))
+    assert [p.name for p in tmp_path.iterdir()] == ["laid"]
