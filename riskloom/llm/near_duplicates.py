@@ -1,19 +1,25 @@
 """One document of each group of near duplicates, by shingle similarity.
 
-The Gray-order index of fingerprints (``simhash``) reaches texts whose fingerprints differ in
-a few bits, which at a similarity of 0.8 are few.  So candidates come from two sources:
+Groups are the components of all links between texts whose sets of shingles have a
+similarity (shared of all) of at least ``similarity``.  They are found in two steps.
 
-    fingerprints   the index's links between fingerprints within the distance
+Cheap candidates come first and make nearly all of the groups:
+
+    fingerprints   the Gray-order index's links (``simhash``) between fingerprints within
+                   the distance
     minima         BANDS bands of WIDTH minima of the shingles' hashes; texts that agree on a
                    band are linked to the least and the greatest text that have it
 
-Texts of similarity 0.8 agree on some band in 99 % of cases.  Every candidate link is then
-checked: it holds if the texts' sets of shingles have a similarity (shared of all) of at
-least ``similarity``.  Groups are the components of the links that hold.
+The links that these leave out are found exactly, by a prefix filter: in one order of all
+shingles, texts that are similar enough share one of the first few of each, so that the texts
+of different groups meet at those.  Frequent shingles come last in that order, by a list of
+bounded length that decides on cost only.  Texts of one group are not compared again, so a
+large group of near copies costs its links and not their square.
 
-Exact copies are one text from the start.  A band that very many texts share gives two links
-for each of them and not all pairs; a text with very many links is checked in parts of at most PART
-links, to each of which its shingles are sent once.  Nothing is gathered per group.
+Every candidate link is checked.  Exact copies are one text from the start.  A band that very
+many texts share gives two links for each of them and not all pairs; a text with very many
+links is checked in parts of at most PART links, to each of which its shingles are sent once.
+Nothing is gathered per group.
 
 Shingles are compared by hashes of 64 bits.  Texts without words have no shingles and are
 alike; those of fewer words than a shingle have one.  A row is known by its doc_id and its
@@ -38,6 +44,10 @@ _FACTORS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in r
 _SHIFT = np.uint64(29)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = 1 << 12
+# Shingles that LOCAL texts share among COUNTED of a task are taken for frequent, MOST in all.
+COUNTED, LOCAL, MOST = 1 << 20, 4, 1 << 17
+# Texts whose prefix a task remembers to have told.
+REMEMBERED = 1 << 16
 
 
 def band_values(hashes: np.ndarray) -> np.ndarray:
@@ -68,27 +78,132 @@ def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, __row, fp, bands) of every row."""
+    """(doc_id, __row, fp, bands) of every row; ``frequent`` has the shingles that several
+    texts of a batch share, on the last row of the batch."""
     def run(batches):
         for batch in batches:
-            prints, bands = [], []
-            for (text,) in slices([batch], "text"):
+            prints, bands, common, sets, held, seen = [], [], [], [], 0, set()
+            for row, text in slices([batch], "__row", "text"):
                 hashes = shingle_hashes(text, width)
                 prints.append(fingerprint_of(hashes))
-                bands.append(band_values(np.unique(hashes)))
+                hashes = np.unique(hashes)
+                bands.append(band_values(hashes))
+                if row not in seen:
+                    seen.add(row)
+                    sets.append(hashes)
+                    held += len(hashes)
+                if held > COUNTED:
+                    common.append(shared(sets))
+                    sets, held = [], 0
+            if sets:
+                common.append(shared(sets))
             flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
             offsets = np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)
+            often = np.concatenate(common) if common else np.zeros(0, np.int64)
+            at = np.zeros(batch.num_rows + 1, dtype=np.int32)
+            at[-1] = len(often)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("__row"),
                     pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(often)),
                 ],
-                ["doc_id", "__row", "fp", "bands"],
+                ["doc_id", "__row", "fp", "bands", "frequent"],
             )
 
+    def shared(sets):
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        return values[counts >= LOCAL].view(np.int64)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "__row", "text").mapInArrow(run, f"doc_id {kind}, __row long, fp long, bands array<long>")
+    return docs.select("doc_id", "__row", "text").mapInArrow(
+        run, f"doc_id {kind}, __row long, fp long, bands array<long>, frequent array<long>"
+    )
+
+
+def frequent_shingles(told: DataFrame) -> np.ndarray:
+    """The MOST shingles that most batches found frequent, sorted."""
+    often = told.select(F.explode("frequent").alias("token")).groupBy("token").count()
+    most = often.orderBy(F.desc("count"), "token").limit(MOST).select("token").toArrow()
+    return np.sort(most.column("token").to_numpy().view(np.uint64))
+
+
+def prefix_of(hashes: np.ndarray, late: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a text's shingles, in an order that has the ``late`` ones behind: so many
+    that a text which shares none of them is less similar."""
+    hashes = np.unique(hashes)
+    behind = np.isin(hashes, late, assume_unique=True)
+    size = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
+    return np.concatenate([hashes[~behind], hashes[behind]])[: size if len(hashes) else 0]
+
+
+def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -> DataFrame:
+    """(node, size, prefix) of each text: the number of its shingles and the first ones."""
+    late = docs.sparkSession.sparkContext.broadcast(late)
+
+    def run(batches):
+        told = set()
+        for batch in batches:
+            if len(told) > REMEMBERED:
+                told.clear()
+            nodes, sizes, firsts = [], [], []
+            for node, text in slices([batch], "__row", "text"):
+                if node in told:
+                    continue
+                told.add(node)
+                hashes = np.unique(shingle_hashes(text, width))
+                nodes.append(node)
+                sizes.append(len(hashes))
+                firsts.append(prefix_of(hashes, late.value, similarity).view(np.int64))
+            at = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
+            flat = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
+                ],
+                ["node", "size", "prefix"],
+            )
+
+    told = docs.select("__row", "text").mapInArrow(run, "node long, size long, prefix array<long>")
+    return told.dropDuplicates(["node"])
+
+
+def crossing_links(firsts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b), a < b, that take in all pairs of texts of different groups that are
+    similar enough; ``roots`` has the groups so far.
+
+    The texts that have a shingle among their first ones are compared with those of other
+    groups only: a shingle of one group makes no row.
+    """
+    entries = firsts.join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), "size", (F.col("size") - F.size("prefix")).alias("behind"),
+        F.posexplode("prefix").alias("place", "token"),
+    )
+    spread = int(firsts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = entries.repartition(spread, "token")
+    groups = entries.groupBy("token", "root").count().groupBy("token").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("groups")
+    )
+    met = stored(entries.join(groups.where("groups > 1").drop("groups"), "token"), "shared")
+    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.root") < F.col("y.root")))
+    sizes = (F.least("x.size", "y.size") + 1e-6 >= similarity * F.greatest("x.size", "y.size"))
+    pairs = (
+        met.where("root <> main").alias("x")
+        .join(met.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & sizes)
+        .groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .agg(
+            F.count("*").alias("first"),
+            # What follows the last of those that both have among their first ones.
+            F.min(F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) - 1).alias("after"),
+            # All that are shared beyond stand behind the prefix of one of the two.
+            F.max(F.greatest("x.behind", "y.behind")).alias("behind"),
+            F.max(F.col("x.size") + F.col("y.size")).alias("total"),
+        )
+    )
+    most = F.col("first") + F.least("after", "behind")
+    return pairs.where(most * (1 + similarity) + 1e-6 >= similarity * F.col("total")).select("a", "b")
 
 
 def candidate_links(texts: DataFrame, distance: int) -> DataFrame:
@@ -190,20 +305,27 @@ def first_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8
     # The hash of a null text is no text's.
     keyed = docs.withColumn("__row", F.xxhash64("text"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    told = stored(sketches(keyed, width), "sketches")
     texts = stored(
-        stored(sketches(keyed, width), "sketches").groupBy(F.col("__row").alias("node"))
+        told.groupBy(F.col("__row").alias("node"))
         .agg(F.min(first).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")),
         "texts",
     )
-    candidates = stored(candidate_links(texts, distance), "candidates")
-    ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # One row of each text that has a candidate.
-    one = texts.select("node", "first").join(ends, "node", "left_semi").select("node", "first.doc_id")
-    plain = likely_in(keyed, one.withColumnRenamed("node", "__row"), "__row").select("doc_id", "__row", "text")
-    own = plain["doc_id"].eqNullSafe(F.col("k.doc_id")) & (plain["__row"] == F.col("k.node"))
-    plain = plain.join(one.alias("k"), own).select("node", "text").dropDuplicates(["node"])
-    held = holding_links(candidates, plain, width, similarity)
-    roots = components(held)
+
+    def held(candidates: DataFrame) -> DataFrame:
+        ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        # One row of each text that has a candidate.
+        one = texts.select("node", "first").join(ends, "node", "left_semi").select("node", "first.doc_id")
+        plain = likely_in(keyed, one.withColumnRenamed("node", "__row"), "__row").select("doc_id", "__row", "text")
+        own = plain["doc_id"].eqNullSafe(F.col("k.doc_id")) & (plain["__row"] == F.col("k.node"))
+        plain = plain.join(one.alias("k"), own).select("node", "text").dropDuplicates(["node"])
+        return holding_links(candidates, plain, width, similarity)
+
+    roots = components(held(stored(candidate_links(texts, distance), "candidates")))
+    firsts = prefixes(keyed, frequent_shingles(told), width, similarity)
+    more = stored(held(stored(crossing_links(firsts, roots, similarity), "crossing")), "more")
+    if not more.isEmpty():
+        roots = components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     rooted = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.__row")
     return (

@@ -79,6 +79,33 @@ def test_recall_at_the_bound(spark, bound, least):
     assert 2 * pairs - len(kept) >= least * pairs
 
 
+def test_no_link_is_left_out(spark, monkeypatch):
+    """All groups of texts just above the similarity, also if there are no cheap candidates."""
+    rng, rows = random.Random(5), []
+    for size in (9, 14, 24, 44, 104, 404):
+        for _ in range(60):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+            copy = [*words[:-1], "x"] if size < 24 else words[: -(size // 6)]
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(copy))]
+    wanted = {}
+    for (doc_id, _), g in zip(rows, plain_groups([t for _, t in rows])):
+        wanted[g] = min(doc_id, wanted.get(g, doc_id))
+    assert len(wanted) < 0.9 * len(rows)
+    table = docs(spark, rows)
+    assert sorted(r.doc_id for r in near.first_of_each_group(table).collect()) == sorted(wanted.values())
+    none = table.sparkSession.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near, "candidate_links", lambda texts, distance: none)
+    for most in (near.MOST, 50):
+        monkeypatch.setattr(near, "MOST", most)
+        assert sorted(r.doc_id for r in near.first_of_each_group(table).collect()) == sorted(wanted.values())
+
+
+def test_frequent_shingles_come_last():
+    hashes, late = np.arange(1, 21, dtype=np.uint64), np.array([1, 2, 3, 99], dtype=np.uint64)
+    assert near.prefix_of(hashes, late, 0.8).tolist() == [4, 5, 6, 7, 8]
+    assert near.prefix_of(hashes[:3], late, 0.8).tolist() == [1] and near.prefix_of(hashes[:0], late, 0.8).tolist() == []
+
+
 def test_clean_texts_stay(spark):
     """Texts that share half of their words are no copies, however many."""
     rng = random.Random(7)
