@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import checks, fairness, governance, medallion, star, training, validation
+from riskloom.operators import checks, fairness, features, governance, medallion, star, training, validation
 from riskloom.operators.segments import facts, score_cells
 from riskloom.plans import jobs
 from riskloom.session import work_dir
@@ -249,3 +250,24 @@ def test_layout_of_joined_rows(spark, tmp_path):
     assert 2 <= len(files) <= 40 and all(a.high < b.low for a, b in zip(files, files[1:]))
     assert laid.count() == 100_000 and laid.agg(F.sum("id")).first()[0] == sum(range(100_000))
     assert [p.name for p in tmp_path.iterdir()] == ["laid"]
+
+
+def test_folds_are_fitted_side_by_side(spark, sf_dir):
+    """Two folds at a time, with the figures of fits without kept nodes, one by one."""
+    class Meeting:
+        def __init__(self, inner):
+            self.inner, self.barrier = inner, threading.Barrier(2, timeout=60)
+
+        def copy(self):
+            return self
+
+        def fit(self, rows):
+            self.barrier.wait()
+            return self.inner.copy().fit(rows)
+
+    dim = td.dim_patients(spark, sf_dir)
+    rows = features.training_set(dim, features.build_feature_table(dim))
+    assert training.random_forest().getCacheNodeIds()
+    got = training.cross_validation_r2(rows, Meeting(training.random_forest(numTrees=3)), folds=4).collect()
+    plain = training.random_forest(numTrees=3, cacheNodeIds=False)
+    assert sorted(got) == sorted(training.cross_validation_r2(rows, plain, folds=4).collect())
