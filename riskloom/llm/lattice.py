@@ -12,7 +12,8 @@ is no piece becomes its UTF-8 bytes' pieces.
 The solved units are stored.  The most frequent ones, at most HEAD by a count
 threshold, go to all tasks; texts need no shuffle for them.  The others are
 joined by unit, once per row that has them, so a frequent unit is never a
-join key.  One task step makes ids and, if asked, the texts that they decode to.
+join key.  The texts that meet them are shuffled compressed.  One task step makes ids
+and, if asked, the texts that they decode to.
 
 A unit of more than UNIT code points is cut too, at borders of its best path, which
 one pass over the unit finds where its text is; so the parts' best paths are still
@@ -41,7 +42,7 @@ from riskloom.llm.common import slices, stored, without
 BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
-FLUSH = 1 << 19
+FLUSH = 1 << 18
 # Long units whose cuts a task remembers.
 REMEMBERED = 1 << 12
 # A model with more pieces than this is refused: the piece table goes to all tasks.
@@ -309,7 +310,7 @@ class Head:
         self.units = table.column("unit").combine_chunks()
         ids = table.column("ids").combine_chunks()
         self.flat = ids.flatten().to_numpy().astype("<i4").tobytes()
-        self.starts = [4 * k for k in ids.offsets.to_pylist()]
+        self.starts = array("q", (4 * ids.offsets.to_numpy().astype(np.int64)).tobytes())
         self.number: dict[str, int] | None = None
 
     def numbers(self) -> dict[str, int]:
@@ -323,6 +324,36 @@ class Head:
         return self.flat[self.starts[k] : self.starts[k + 1]]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows with their texts compressed, and ``__size``, the bytes of each."""
+    names = docs.columns
+    place = names.index("text")
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=1)
+        for batch in batches:
+            data, sizes = [], []
+            for (text,) in slices([batch], "text"):
+                raw = None if text is None else text.encode()
+                data.append(raw and codec.compress(raw, asbytes=True))
+                sizes.append(None if raw is None else len(raw))
+            columns = list(batch.columns)
+            columns[place] = pa.array(data, pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64())], [*names, "__size"])
+
+    fields = [T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema]
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField("__size", T.LongType())]))
+
+
+def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows with their texts again."""
+    codec = pa.Codec("zstd")
+    pairs = zip(batch.column("text").to_pylist(), batch.column("__size").to_pylist())
+    texts = [codec.decompress(t, n, asbytes=True).decode() if n else (None if n is None else "") for t, n in pairs]
+    place = batch.schema.get_field_index("text")
+    return batch.set_column(place, "text", pa.array(texts, pa.string())).drop_columns(["__size"])
+
+
 def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
     """The documents with ``ids``, the piece ids of their whole texts, n_tokens and, if
     asked, ``decoded``, the text that the ids decode to."""
@@ -347,11 +378,13 @@ def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     per_row = (
         docs.select("doc_id", F.xxhash64("text").alias("_h"), "text")
-        .mapInArrow(rare, f"doc_id {kind}, _h long, unit string").distinct()
+        .mapInArrow(rare, f"doc_id {kind}, _h long, unit string")
+        # Dealt by unit, as the join is; a row's units are distinct, equal rows repeat them.
+        .repartition("unit").distinct()
         .join(rest.select("unit", "ids"), "unit")
         .groupBy("doc_id", "_h").agg(F.collect_list(F.struct("unit", "ids")).alias("__rare"))
     )
-    keyed = docs.withColumn("__h", F.xxhash64("text"))
+    keyed = packed(docs.withColumn("__h", F.xxhash64("text")))
     own_row = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.__h") == F.col("r._h"))
     joined = keyed.alias("d").join(per_row.alias("r"), own_row, "left").select("d.*", "__rare").drop("__h")
 
@@ -360,7 +393,7 @@ def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
         number, bytes_of = known.numbers(), _bytes_of(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+                part = unpacked(batch.slice(at, 64))
                 out = []
                 for text, own in zip(part.column("text").to_pylist(), part.column("__rare").to_pylist()):
                     more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}

@@ -134,3 +134,14 @@ def test_library_has_no_better_path(spark, model):
         assert sum(score[i] for i in row.ids) >= sum(score[i] for i in theirs)
         equal += row.ids == theirs
     assert len(rows) == len(words) and equal >= len(words) - 1
+
+
+def test_texts_are_shuffled_compressed(spark):
+    """Every column passes by the compressed texts, which take less than the texts."""
+    text = "Some words of a text in a language. " * 50
+    rows = docs(spark, [(1, text), (None, None), (3, ""), (4, "ü漢🙂 \x00")], ", __size0 int", (7,))
+    shuffled = lattice.packed(rows)
+    assert shuffled.columns == [*rows.columns, "__size"]
+    assert all(len(r.text or b"") < 400 for r in shuffled.collect())
+    back = shuffled.mapInArrow(lambda batches: map(lattice.unpacked, batches), rows.schema)
+    assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
