@@ -14,7 +14,10 @@ The links that these leave out are found exactly, by a prefix filter: in one ord
 shingles, texts that are similar enough share one of the first few of each, so that the texts
 of different groups meet at those.  Frequent shingles come last in that order, by a list of
 bounded length that decides on cost only.  Texts of one group are not compared again, so a
-large group of near copies costs its links and not their square.
+large group of near copies costs its links and not their square.  Texts that meet make a row
+only if their sketches, a bit for the parity of each class of shingles, differ in no more bits
+than the texts of a link can differ in shingles, so that no link is lost by it.  They make it
+at the first shingles that they share, not again where they share one of the BEFORE before it.
 
 Every candidate link is checked.  Exact copies are one text from the start.  A band that very
 many texts share gives two links for each of them and not all pairs; a text with very many
@@ -28,9 +31,11 @@ text's hash, so rows of different groups stay apart whatever their ids.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import likely_in, same, slices, stored
@@ -46,6 +51,11 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = 1 << 12
 # Shingles that LOCAL texts share among COUNTED of a task are taken for frequent, MOST in all.
 COUNTED, LOCAL, MOST = 1 << 20, 4, 1 << 17
+# Words of 64 bits of a sketch of parities.
+SKETCH = 8
+# First shingles before a shared one that are looked at for one that is shared too.
+BEFORE = 4
+_BITS = [f"b{k}" for k in range(SKETCH)]
 # Texts whose prefix a task remembers to have told.
 REMEMBERED = 1 << 16
 
@@ -129,17 +139,32 @@ def frequent_shingles(told: DataFrame) -> np.ndarray:
     return np.sort(most.column("token").to_numpy().view(np.uint64))
 
 
+def among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which values a sorted list has; a search for each, as the list is the longer one."""
+    if not len(listed):
+        return np.zeros(len(values), dtype=bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
+
+
 def prefix_of(hashes: np.ndarray, late: np.ndarray, similarity: float) -> np.ndarray:
     """The first of a text's shingles, in an order that has the ``late`` ones behind: so many
     that a text which shares none of them is less similar."""
     hashes = np.unique(hashes)
-    behind = np.isin(hashes, late, assume_unique=True)
+    behind = among(hashes, late)
     size = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
     return np.concatenate([hashes[~behind], hashes[behind]])[: size if len(hashes) else 0]
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each class of hashes, set if a text has an odd number of the class.  The sketches
+    of two sets differ in no more bits than the sets differ in members."""
+    odd = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -> DataFrame:
-    """(node, size, prefix) of each text: the number of its shingles and the first ones."""
+    """(node, size, prefix, b0 ...) of each text: the number of its shingles, the first ones and
+    its sketch of parities."""
     late = docs.sparkSession.sparkContext.broadcast(late)
 
     def run(batches):
@@ -147,7 +172,7 @@ def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -
         for batch in batches:
             if len(told) > REMEMBERED:
                 told.clear()
-            nodes, sizes, firsts = [], [], []
+            nodes, sizes, firsts, bits = [], [], [], []
             for node, text in slices([batch], "__row", "text"):
                 if node in told:
                     continue
@@ -156,17 +181,20 @@ def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -
                 nodes.append(node)
                 sizes.append(len(hashes))
                 firsts.append(prefix_of(hashes, late.value, similarity).view(np.int64))
+                bits.append(parities(hashes))
             at = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             flat = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
+                    *map(pa.array, np.array(bits, dtype=np.int64).reshape(-1, SKETCH).T),
                 ],
-                ["node", "size", "prefix"],
+                ["node", "size", "prefix", *_BITS],
             )
 
-    told = docs.select("__row", "text").mapInArrow(run, "node long, size long, prefix array<long>")
+    own = "".join(f", {b} long" for b in _BITS)
+    told = docs.select("__row", "text").mapInArrow(run, "node long, size long, prefix array<long>" + own)
     return told.dropDuplicates(["node"])
 
 
@@ -177,33 +205,42 @@ def crossing_links(firsts: DataFrame, roots: DataFrame, similarity: float) -> Da
     The texts that have a shingle among their first ones are compared with those of other
     groups only: a shingle of one group makes no row.
     """
-    entries = firsts.join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "size", (F.col("size") - F.size("prefix")).alias("behind"),
-        F.posexplode("prefix").alias("place", "token"),
-    )
     spread = int(firsts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = entries.repartition(spread, "token")
-    groups = entries.groupBy("token", "root").count().groupBy("token").agg(
-        F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("groups")
+    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Nearly all shingles are one group's; only the others take the texts' figures along.
+    met = rooted.select("root", F.explode("prefix").alias("token")).repartition(spread, "token").groupBy("token").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    met = stored(met.where("low < high").select("token"), "shared")
+    # Each of the first shingles with its place and those just before it.
+    placed = F.transform(
+        "prefix",
+        lambda token, k: F.struct(
+            token.alias("token"), k.alias("place"),
+            F.slice("prefix", F.greatest(k - BEFORE + 1, F.lit(1)), F.least(k, F.lit(BEFORE))).alias("before"),
+        ),
     )
-    met = stored(entries.join(groups.where("groups > 1").drop("groups"), "token"), "shared")
-    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.root") < F.col("y.root")))
+    entries = rooted.select("node", "root", "size", *_BITS, F.inline(placed))
+    entries = likely_in(entries, met, "token").repartition(spread, "token")
+    main = entries.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    entries = entries.join(main, "token")
+    apart = (
+        (F.col("x.root") != F.col("y.root")) & (F.col("x.root") != F.col("y.main"))
+        & ((F.col("y.root") == F.col("y.main")) | (F.col("x.root") < F.col("y.root")))
+    )
     sizes = (F.least("x.size", "y.size") + 1e-6 >= similarity * F.greatest("x.size", "y.size"))
-    pairs = (
-        met.where("root <> main").alias("x")
-        .join(met.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & sizes)
-        .groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .agg(
-            F.count("*").alias("first"),
-            # What follows the last of those that both have among their first ones.
-            F.min(F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) - 1).alias("after"),
-            # All that are shared beyond stand behind the prefix of one of the two.
-            F.max(F.greatest("x.behind", "y.behind")).alias("behind"),
-            F.max(F.col("x.size") + F.col("y.size")).alias("total"),
-        )
+    unlike = reduce(Column.__add__, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in _BITS])
+    bits = unlike * (1 + similarity) <= (F.col("x.size") + F.col("y.size")) * (1 - similarity) + 1e-6
+    # No shingle before the first shared one is shared, and at most those that follow are.
+    again = F.arrays_overlap("x.before", "y.before")
+    most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    enough = most * (1 + similarity) + 1e-6 >= similarity * (F.col("x.size") + F.col("y.size"))
+    return (
+        entries.alias("x")
+        .join(entries.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & sizes & enough & ~again & bits)
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
     )
-    most = F.col("first") + F.least("after", "behind")
-    return pairs.where(most * (1 + similarity) + 1e-6 >= similarity * F.col("total")).select("a", "b")
 
 
 def candidate_links(texts: DataFrame, distance: int) -> DataFrame:
@@ -322,7 +359,7 @@ def first_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8
         return holding_links(candidates, plain, width, similarity)
 
     roots = components(held(stored(candidate_links(texts, distance), "candidates")))
-    firsts = prefixes(keyed, frequent_shingles(told), width, similarity)
+    firsts = stored(prefixes(keyed, frequent_shingles(told), width, similarity), "prefixes")
     more = stored(held(stored(crossing_links(firsts, roots, similarity), "crossing")), "more")
     if not more.isEmpty():
         roots = components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from rows import ODD, SCHEMA, docs
 
 from riskloom.llm import near_duplicates as near
@@ -106,6 +107,47 @@ def test_frequent_shingles_come_last():
     assert near.prefix_of(hashes[:3], late, 0.8).tolist() == [1] and near.prefix_of(hashes[:0], late, 0.8).tolist() == []
 
 
+def test_sketches_lose_no_link():
+    rng = np.random.default_rng(6)
+    for size in (0, 1, 7, 60, 500, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for share in (0, 0.01, 0.1, 0.3, 1):
+            b = np.unique(np.append(a[rng.random(len(a)) >= share], rng.integers(0, 2**63, int(size * share)).astype(np.uint64)))
+            bits = near.parities(a) ^ near.parities(b)
+            assert len(bits) == near.SKETCH
+            assert sum(int(x).bit_count() for x in bits.view(np.uint64)) <= len(np.setxor1d(a, b))
+    assert not near.parities(a[:0]).any()
+
+
+def test_texts_that_share_a_passage_make_no_rows(spark):
+    """Many groups meet at the shingles of one passage; the join returns no row for those
+    that cannot be similar, so the rows do not grow with their square."""
+    rng, rows = random.Random(8), []
+    for passage in range(3):
+        shared = [f"c{passage}-{k}" for k in range(60)]
+        rows += [(len(rows) + k, " ".join([*shared, *(f"w{rng.randrange(10**9)}" for _ in range(60))])) for k in range(40)]
+    rows += [(1000 + k, rows[40 * k][1] + " x") for k in range(3)]
+    table = docs(spark, rows).withColumn("__row", F.xxhash64("text"))
+    # No shingle is known as frequent, and there are no groups so far.
+    firsts = near.prefixes(table, np.zeros(0, np.uint64), 5, 0.8).cache()
+    found = near.crossing_links(firsts, spark.createDataFrame([], "node long, root long"), 0.8)
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan()
+    assert max(join_rows(plan)) < 10 * len(rows)
+
+
+def join_rows(node) -> list[int]:
+    """Rows that each join of a run plan returned."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return join_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return join_rows(node.plan())
+    own = [node.longMetric("numOutputRows").value()] if "Join" in kind and "condition" in dir(node) and node.condition().isDefined() else []
+    kids = node.children()
+    return own + [n for k in range(kids.size()) for n in join_rows(kids.apply(k))]
+
+
 def test_clean_texts_stay(spark):
     """Texts that share half of their words are no copies, however many."""
     rng = random.Random(7)
