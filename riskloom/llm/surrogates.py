@@ -367,7 +367,8 @@ def later_attempts(found: DataFrame, key: str) -> DataFrame:
     settled: list[DataFrame] = []
     pending, attempt = entities, 0
     while True:
-        tried = with_surrogate(pending.withColumn("attempt", F.lit(attempt)), key)
+        # Written, as it is used twice and its plan is large.
+        tried = stored(with_surrogate(pending.withColumn("attempt", F.lit(attempt)), key), "tried")
         # An accepted surrogate and an entity of the corpus both bar the way.
         barred = [entities.select("kind", F.col("canon").alias("drawn")), *(s.select("kind", "drawn") for s in settled)]
         free = tried.join(reduce(DataFrame.union, barred).distinct(), ["kind", "drawn"], "left_semi")

@@ -204,3 +204,17 @@ def test_given_table_keeps_nothing(spark, sf_dir, pattern):
     raws = {r.raw for r in surrogates.mentions(table).where(F.col("kind") == pattern).collect()}
     texts = "\n".join(r.text for r in out.select("text").collect())
     assert not [r for r in raws if r in texts]
+
+
+def test_each_attempt_plans_its_surrogates_once(spark, monkeypatch):
+    """Their expressions are large; the driver plans them for one step, not for each use."""
+    plans, write = [], surrogates.stored
+
+    def counted(frame, purpose):
+        plans.append(frame._jdf.queryExecution().analyzed().toString().count("AS _drawn"))
+        return write(frame, purpose)
+
+    monkeypatch.setattr(surrogates, "stored", counted)
+    found = spark.createDataFrame([("email", f"a{k}@b.org", f"a{k}@b.org") for k in range(5)], "kind string, canon string, raw string")
+    assert surrogates.later_attempts(found, "key").count() == 0
+    assert max(plans) == 1
