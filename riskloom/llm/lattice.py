@@ -12,14 +12,14 @@ is no piece becomes its UTF-8 bytes' pieces.
 The solved units are stored.  The most frequent ones, at most HEAD by a count
 threshold, go to all tasks; texts need no shuffle for them.  The others are
 joined by unit, once per row that has them, so a frequent unit is never a
-join key.  The texts that meet them are shuffled compressed.  One task step makes ids
+join key.  Units stay Arrow arrays in the tasks, never Python strings one by one.  The texts that meet them are shuffled compressed.  One task step makes ids
 and, if asked, the texts that they decode to.
 
 A unit of more than UNIT code points is cut too, at borders of its best path, which
 one pass over the unit finds where its text is; so the parts' best paths are still
 those of the whole text.  Null and empty texts have no pieces.  The
-sign for a blank (U+2581) in a text is read back as a blank.  A row is known by its
-doc_id and its text's hash, so rows that repeat an id or have none are encoded each by
+sign for a blank (U+2581) in a text is read back as a blank.  A row is known by a
+hash of its doc_id and text, so rows that repeat an id or have none are encoded each by
 their own text, and equal rows share their look-ups.  Columns that have
 the name of a result column are replaced.
 """
@@ -27,22 +27,24 @@ the name of a result column are replaced.
 from __future__ import annotations
 
 from array import array
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import slices, stored, without
+from riskloom.llm.common import shuffles_dropped, slices, small_batches, stored, without
 
 BLANK = "▁"
 UNIT = 256
 HEAD = 1 << 18
 FLUSH = 1 << 18
+# Bytes of text that are cut at a time, and that are looked up at a time.
+SLICE, PART = 1 << 17, 1 << 21
 # Long units whose cuts a task remembers.
 REMEMBERED = 1 << 12
 # A model with more pieces than this is refused: the piece table goes to all tasks.
@@ -135,20 +137,60 @@ class Units:
             self.memo[unit] = found
         return found
 
-    def of(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        text = BLANK + text.replace(" ", BLANK)
-        number = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int32)
-        cuts = np.flatnonzero(~self.beside[number[:-1] * self.width + number[1:]]) + 1
-        starts = np.concatenate([[0], cuts])
-        stops = np.append(cuts, len(text))
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The units of texts, one after the other, and the number of each text's units."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(texts), dtype=np.int64)
+        kept = np.flatnonzero(sizes)
+        if not len(kept):
+            return pa.array([], pa.large_string()), counts
+        texts = pc.replace_substring(texts.take(pa.array(kept)).cast(pa.large_string()), " ", BLANK)
+        blank, nothing = (pa.scalar(sign, pa.large_string()) for sign in (BLANK, ""))
+        texts = pc.binary_join_element_wise(blank, texts, nothing)
+        _, borders, data = texts.buffers()
+        borders = np.frombuffer(borders, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        text = data[borders[0] : borders[-1]].to_pybytes().decode()
+        signs = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        number = self.number[signs].astype(np.int32)
+        first = np.ones(len(signs), dtype=bool)
+        np.logical_not(self.beside[number[:-1] * self.width + number[1:]], out=first[1:])
+        # Where each character begins in bytes.
+        width = np.ones(len(signs), dtype=np.uint8)
+        for least in (0x80, 0x800, 0x10000):
+            width += signs >= least
+        at = np.zeros(len(signs) + 1, dtype=np.int64)
+        np.cumsum(width, out=at[1:])
+        heads = np.searchsorted(at, borders[:-1] - borders[0])
+        first[heads] = True
+        starts = np.flatnonzero(first)
+        stops = np.append(starts[1:], len(signs))
         long = np.flatnonzero(stops - starts > UNIT)
         if len(long):
             inner = [starts[k] + self.inner_cuts(text[starts[k] : stops[k]]) for k in long]
             starts = np.sort(np.concatenate([starts, *inner]))
-            stops = np.append(starts[1:], len(text))
-        return list(map(text.__getitem__, map(slice, starts.tolist(), stops.tolist())))
+        counts[kept] = np.diff(np.append(np.searchsorted(starts, heads), len(starts)))
+        places = at[np.append(starts, len(signs))] + borders[0]
+        return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(places), data]), counts
+
+    def of(self, text: str | None) -> list[str]:
+        return self.cut(pa.array([text], pa.string()))[0].to_pylist()
+
+
+def parts_of(batch: pa.RecordBatch, size: str) -> list[pa.RecordBatch]:
+    """A batch in parts of some PART bytes of text, or one row; the texts' sizes are in a column."""
+    size = batch.column(size)
+    size = pc.fill_null(size if pa.types.is_integer(size.type) else pc.binary_length(size), 0)
+    part = np.cumsum(size.to_numpy(zero_copy_only=False), dtype=np.int64) // PART
+    borders = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(borders, borders[1:]) if b > a]
+
+
+def spans_of(texts: pa.Array) -> list[pa.Array]:
+    """An array of texts in parts of some SLICE bytes, or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    part = ends // SLICE
+    borders = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(texts)]
+    return [texts.slice(a, b - a) for a, b in zip(borders, borders[1:]) if b > a]
 
 
 def _bytes_of(model: Model) -> list[bytes]:
@@ -159,45 +201,61 @@ def _bytes_of(model: Model) -> list[bytes]:
     return out
 
 
-def _read(ids: list[int], table: list[bytes]) -> str:
-    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")[1:]
+def _text(raw: bytes) -> str:
+    return raw.decode("utf-8", "replace").replace(BLANK, " ")[1:]
 
 
 def decode(ids: list[int], model: Model) -> str:
     """The text of a list of ids."""
-    return _read(ids, _bytes_of(model))
+    return _text(b"".join(map(_bytes_of(model).__getitem__, ids)))
+
+
+def counted(batches, model: Model):
+    """Batches of (unit, n): how often each unit stands in the texts of Arrow batches.
+    The units stay Arrow arrays; some FLUSH different ones are held."""
+    units, seen, rows = Units(model), [], 0
+    for batch in batches:
+        for part in parts_of(batch, "text"):
+            cuts = [units.cut(texts)[0] for texts in spans_of(part.column("text"))]
+            found = pc.value_counts(pa.chunked_array(cuts, pa.large_string()))
+            seen.append((found.field("values"), found.field("counts").to_numpy()))
+            rows += len(found)
+            if rows > FLUSH:
+                seen = [_summed(seen)]
+                rows = len(seen[0][0])
+                if rows > FLUSH // 2:
+                    yield from _told(*seen[0])
+                    seen, rows = [], 0
+    if seen:
+        yield from _told(*_summed(seen))
+
+
+def _summed(counts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    found = pa.concat_arrays([unit for unit, _ in counts]).dictionary_encode()
+    n = np.zeros(len(found.dictionary), dtype=np.int64)
+    np.add.at(n, found.indices.to_numpy(), np.concatenate([n for _, n in counts]))
+    return found.dictionary, n
+
+
+def _told(units: pa.Array, n: np.ndarray):
+    table = pa.table({"unit": units.cast(pa.string()), "n": pa.array(n)})
+    yield from table.to_batches(1 << 16)
 
 
 def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
     """(unit, n): how often each unit stands in the texts; summed in tasks first."""
-    def run(batches):
-        units = Units(model)
-        seen: Counter = Counter()
-        for (text,) in slices(batches, "text"):
-            seen.update(units.of(text))
-            if len(seen) > FLUSH:
-                yield from told(seen)
-        yield from told(seen)
-
-    def told(seen):
-        units, counts = list(seen), list(seen.values())
-        seen.clear()
-        for at in range(0, len(units), 1 << 16):
-            part = [pa.array(c[at : at + (1 << 16)], k) for c, k in ((units, pa.string()), (counts, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(part, ["unit", "n"])
-
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A fixed number: units are short, but each one stands for many edges.
     return (
-        docs.select("text").mapInArrow(run, "unit string, n long")
+        docs.select("text").mapInArrow(lambda batches: counted(batches, model), "unit string, n long")
         .repartition(spread, "unit").groupBy("unit").agg(F.sum("n").alias("n"))
     )
 
 
 def edges(units: DataFrame, model: Model) -> DataFrame:
-    """One row per unit with its lattice's edges, sorted by end and start.
+    """One row per unit with its lattice's edges.
 
-    Every character has an edge: its own piece, or one with a null id.
+    Every character has an edge: its own piece, or one whose id is -1 - start.
     """
     spark = units.sparkSession
     pieces = spark.createDataFrame(model.pieces, "piece string, id int, score double")
@@ -212,74 +270,60 @@ def edges(units: DataFrame, model: Model) -> DataFrame:
     # The table's size is bounded by MOST_PIECES.
     matched = spans.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR size = 1")
     edge = F.struct(
-        (F.col("start") + F.col("size")).alias("stop"), "start", "id",
+        (F.col("start") + F.col("size")).alias("stop"), "start", F.coalesce("id", -1 - F.col("start")).alias("id"),
         F.coalesce("score", F.lit(model.unknown_score)).alias("score"),
     )
-    return matched.groupBy("unit", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    return matched.groupBy("unit", "n").agg(F.collect_list(edge).alias("edges"))
 
 
-def best_path(lattice: Column) -> Column:
-    """(start, id) of the best path's pieces, in order."""
-    step = "struct<start:int,id:int>"
-    empty = F.struct(
-        F.array(F.lit(0.0)).alias("scores"), F.array().cast(f"array<{step}>").alias("steps")
-    )
+def best_path(lattice: Column, size: Column) -> Column:
+    """The ids of the best path's edges, in order, in a unit of so many characters."""
+    # For each place the best path's score up to it, and its last edge: where that begins,
+    # negative, so that of equal scores the smaller start is the larger step; and its id.
+    empty = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("before"), F.lit(0).alias("id")))
 
-    def fold(state: Column, edge: Column) -> Column:
-        scores, steps = state["scores"], state["steps"]
-        score = F.get(scores, edge["start"]) + edge["score"]
-        here = F.array(F.struct(edge["start"].alias("start"), edge["id"].alias("id")))
+    def fold(best: Column, stop: Column) -> Column:
+        def to(edge: Column) -> Column:
+            score = F.get(best, edge["start"])["score"] + edge["score"]
+            return F.struct(score.alias("score"), (-edge["start"]).alias("before"), edge["id"].alias("id"))
 
-        def grown(s: Column, p: Column) -> Column:
-            return F.struct(F.concat(s, F.array(score)).alias("scores"), F.concat(p, here).alias("steps"))
+        here = F.transform(F.filter(lattice, lambda edge: edge["stop"] == stop), to)
+        return F.concat(best, F.array(F.array_max(here)))
 
-        done = F.size(steps)
-        return (
-            F.when(edge["stop"] > done, grown(scores, steps))
-            .when(score > F.get(scores, done), grown(F.slice(scores, F.lit(1), done), F.slice(steps, F.lit(1), done - 1)))
-            .otherwise(state)
-        )
+    def walk(best: Column) -> Column:
+        back = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<int>").alias("path"))
 
-    def walk(steps: Column) -> Column:
-        back = F.struct(F.size(steps).alias("at"), F.array().cast(f"array<{step}>").alias("path"))
-        return F.aggregate(
-            steps,
-            back,
-            lambda state, _: F.when(
+        def to(state: Column, _: Column) -> Column:
+            last = F.get(best, state["at"])
+            return F.when(
                 state["at"] > 0,
-                F.struct(
-                    F.get(steps, state["at"] - 1)["start"].alias("at"),
-                    F.concat(F.array(F.get(steps, state["at"] - 1)), state["path"]).alias("path"),
-                ),
-            ).otherwise(state),
-            lambda state: state["path"],
-        )
+                F.struct((-last["before"]).alias("at"), F.concat(F.array(last["id"]), state["path"]).alias("path")),
+            ).otherwise(state)
 
-    return F.aggregate(lattice, empty, fold, lambda state: walk(state["steps"]))
+        return F.aggregate(best, back, to, lambda state: state["path"])
+
+    step = "struct<score:double,before:int,id:int>"
+    return F.aggregate(F.sequence(F.lit(1), size), empty.cast(f"array<{step}>"), fold, walk)
 
 
 def _ids(path: Column, unit: Column, model: Model) -> Column:
-    """Ids of a path; pieces without one become their bytes."""
+    """Ids of a path; characters that are no piece become their bytes."""
     if model.byte_ids:
         table = F.array(*[F.lit(i) for i in model.byte_ids])
         pairs = lambda c: F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit("(..)"), 1)
         bytes_of = lambda c: F.transform(pairs(c), lambda h: F.get(table, F.conv(h, 16, 10).cast("int")))
     else:
         bytes_of = lambda c: F.array(F.lit(model.unknown))
-    return F.flatten(
-        F.transform(
-            path,
-            lambda p: F.when(p["id"].isNotNull(), F.array(p["id"])).otherwise(
-                bytes_of(F.substr(unit, p["start"] + 1, F.lit(1)))
-            ),
-        )
-    )
+    each = lambda i: F.when(i >= 0, F.array(i)).otherwise(bytes_of(F.substr(unit, -i, F.lit(1))))
+    return F.when(F.exists(path, lambda i: i < 0), F.flatten(F.transform(path, each))).otherwise(path)
 
 
 def solved_units(docs: DataFrame, model: Model) -> DataFrame:
     """The stored dictionary of all distinct units: unit, n, ids."""
-    found = edges(unit_counts(docs, model), model).select("unit", "n", best_path(F.col("edges")).alias("path"))
-    return stored(found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids")), "units")
+    found = edges(unit_counts(docs, model), model).select("unit", "n", best_path(F.col("edges"), F.length("unit")).alias("path"))
+    with shuffles_dropped(docs.sparkSession):
+        solved = found.select("unit", "n", _ids(F.col("path"), F.col("unit"), model).alias("ids"))
+        return stored(solved, "units", compression="zstd")
 
 
 def _grade(n: Column) -> Column:
@@ -303,25 +347,52 @@ def _split(solved: DataFrame) -> tuple[pa.Table, DataFrame]:
     return solved.where(grade >= least).drop("n").toArrow(), solved.where(grade < least).drop("n")
 
 
-class Head:
-    """The ids of the frequent units in one buffer; a unit's number says where."""
+class Ids:
+    """The ids of units in one array; a unit's number says where."""
 
-    def __init__(self, table: pa.Table):
-        self.units = table.column("unit").combine_chunks()
-        ids = table.column("ids").combine_chunks()
-        self.flat = ids.flatten().to_numpy().astype("<i4").tobytes()
-        self.starts = array("q", (4 * ids.offsets.to_numpy().astype(np.int64)).tobytes())
-        self.number: dict[str, int] | None = None
+    def __init__(self, units: pa.Array, ids: pa.Array):
+        # The type that cut() gives: a search must not cast them each time.
+        self.units = units.cast(pa.large_string())
+        self.flat = ids.flatten().to_numpy().astype(np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(), dtype=np.int64)])
 
-    def numbers(self) -> dict[str, int]:
-        """Made where it is used: the units themselves are sent, not a dictionary."""
-        if self.number is None:
-            self.number = {u: k for k, u in enumerate(self.units.to_pylist())}
-            self.units = None
-        return self.number
+    def numbers(self, units: list[pa.Array]) -> list[np.ndarray]:
+        """The number of each unit in each array, -1 for others; what is searched is made once."""
+        found = pc.index_in(pa.concat_arrays(units), value_set=self.units)
+        return np.split(found.fill_null(-1).to_numpy(), np.cumsum([len(u) for u in units])[:-1])
 
-    def of(self, k: int) -> bytes:
-        return self.flat[self.starts[k] : self.starts[k + 1]]
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered units, one after the other, and how many each one has."""
+        sizes = (self.starts[1:] - self.starts[:-1])[numbers]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[numbers] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[places], sizes
+
+
+def _digits(model: Model) -> int:
+    """Hexadecimal digits of a stored number: 2 bytes if they hold all ids, else 4."""
+    return 4 if len(model.texts) <= 1 << 16 else 8
+
+
+def entry(ids: Column, model: Model) -> Column:
+    """The ids of a unit and their number as bytes, to stand behind the unit's own."""
+    number = lambda n: F.lpad(F.hex(n), _digits(model), "0")
+    return F.unhex(F.concat(F.array_join(F.transform(ids, number), ""), number(F.size(ids))))
+
+
+def read_entries(entries: pa.Array, model: Model) -> Ids:
+    width = _digits(model) // 2
+    units, ids, sizes = [], [], [0]
+    for raw in entries.to_pylist():
+        n = int.from_bytes(raw[-width:])
+        at = len(raw) - width * (n + 1)
+        units.append(raw[:at])
+        ids.append(raw[at:-width])
+        sizes.append(n)
+    flat = np.frombuffer(b"".join(ids), dtype=f">u{width}").astype(np.int32)
+    offsets = np.cumsum(sizes).astype(np.int32)
+    names = pc.replace_substring(pa.array(units, pa.binary()).cast(pa.string()), " ", BLANK)
+    return Ids(names, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -330,7 +401,7 @@ def packed(docs: DataFrame) -> DataFrame:
     place = names.index("text")
 
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=1)
+        codec = pa.Codec("zstd", compression_level=9)
         for batch in batches:
             data, sizes = [], []
             for (text,) in slices([batch], "text"):
@@ -357,56 +428,80 @@ def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
 def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
     """The documents with ``ids``, the piece ids of their whole texts, n_tokens and, if
     asked, ``decoded``, the text that the ids decode to."""
+    small_batches(docs.sparkSession)
     docs = without(docs, (*RESULT, "decoded") if decoded else RESULT)
     table, rest = _split(solved_units(docs, model))
-    head = docs.sparkSession.sparkContext.broadcast(Head(table))
+    frequent = Ids(table.column("unit").combine_chunks(), table.column("ids").combine_chunks())
+    head = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def rare(batches):
-        known, units = head.value.numbers(), Units(model)
+        known, units = head.value, Units(model)
         for batch in batches:
-            at, found = [], []
-            for k, (text,) in enumerate(slices([batch], "text")):
-                own = set(units.of(text)).difference(known)
-                found += own
-                at += [k] * len(own)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(rows), batch.column("_h").take(rows), pa.array(found, pa.string())],
-                ["doc_id", "_h", "unit"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
+            for part in parts_of(batch, "text"):
+                cuts = [units.cut(texts) for texts in spans_of(part.column("text"))]
+                each = [found.dictionary_encode() for found, _ in cuts]
+                row = 0
+                for (_, counts), own, number in zip(cuts, each, known.numbers([e.dictionary for e in each])):
+                    codes = own.indices.to_numpy()
+                    rows = np.repeat(np.arange(row, row + len(counts)), counts)
+                    new = (number < 0)[codes]
+                    pairs = np.unique(rows[new] << 32 | codes[new])
+                    at = pa.array(pairs >> 32)
+                    unit = own.dictionary.take(pa.array(pairs & 0xFFFFFFFF)).cast(pa.string())
+                    # No unit has a blank; one takes a byte of the shuffles, its sign three.
+                    unit = pc.replace_substring(unit, BLANK, " ")
+                    row += len(counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("__row").take(at), unit], ["__row", "unit"]
+                    )
+
+    # Rows of one number share their look-ups, which a unit tells apart: so it needs not be
+    # unique, and is never null, as a join and an aggregate by one key share a shuffle.
+    keyed = docs.withColumn("__row", F.hash("doc_id", "text"))
     per_row = (
-        docs.select("doc_id", F.xxhash64("text").alias("_h"), "text")
-        .mapInArrow(rare, f"doc_id {kind}, _h long, unit string")
+        keyed.select("__row", "text").mapInArrow(rare, "__row int, unit string")
         # Dealt by unit, as the join is; a row's units are distinct, equal rows repeat them.
         .repartition("unit").distinct()
-        .join(rest.select("unit", "ids"), "unit")
-        .groupBy("doc_id", "_h").agg(F.collect_list(F.struct("unit", "ids")).alias("__rare"))
+        .join(rest.select(F.translate("unit", BLANK, " ").alias("unit"), entry(F.col("ids"), model).alias("entry")), "unit")
+        .groupBy("__row").agg(F.collect_list(F.concat(F.encode("unit", "UTF-8"), "entry")).alias("__rare"))
     )
-    keyed = packed(docs.withColumn("__h", F.xxhash64("text")))
-    own_row = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.__h") == F.col("r._h"))
-    joined = keyed.alias("d").join(per_row.alias("r"), own_row, "left").select("d.*", "__rare").drop("__h")
+    joined = packed(keyed).join(per_row, "__row", "left").drop("__row")
 
     def assemble(batches):
         known, units = head.value, Units(model)
-        number, bytes_of = known.numbers(), _bytes_of(model)
+        bytes_of = pa.array(_bytes_of(model), pa.binary())
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = unpacked(batch.slice(at, 64))
-                out = []
-                for text, own in zip(part.column("text").to_pylist(), part.column("__rare").to_pylist()):
-                    more = {r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in own or ()}
-                    each = units.of(text)
-                    out.append(b"".join([known.of(number[u]) if u in number else more[u] for u in each]))
-                sizes = np.cumsum([0, *(len(o) // 4 for o in out)]).astype(np.int32)
-                values = np.frombuffer(b"".join(out), dtype=np.int32)
+            for part in parts_of(batch, "__size"):
+                part = unpacked(part)
+                own = read_entries(pc.list_flatten(part.column("__rare")), model)
+                cuts = [units.cut(texts) for texts in spans_of(part.column("text"))]
+                each = [found.dictionary_encode() for found, _ in cuts]
+                names = [e.dictionary for e in each]
+                values, sizes = [], [0]
+                for (_, counts), code, number, other in zip(cuts, each, known.numbers(names), own.numbers(names)):
+                    if (np.maximum(number, other) < 0).any():
+                        raise ValueError("a unit of a text is not among the solved units")
+                    # Ids by the number of each different unit first.
+                    ids, n = known.of(number[number >= 0])
+                    more, m = own.of(other[number < 0])
+                    size = np.empty(len(number), np.int64)
+                    size[number >= 0], size[number < 0] = n, m
+                    start = np.empty(len(number), np.int64)
+                    start[number >= 0], start[number < 0] = np.cumsum(n) - n, len(ids) + np.cumsum(m) - m
+                    codes, flat = code.indices.to_numpy(), np.concatenate([ids, more])
+                    long = size[codes]
+                    ends = np.cumsum(long)
+                    found = flat[np.repeat(start[codes] - ends + long, long) + np.arange(ends[-1] if len(ends) else 0)]
+                    values.append(found)
+                    sizes.append(np.diff(np.concatenate([[0], ends])[np.cumsum([0, *counts])]))
+                values = np.concatenate(values)
+                sizes = np.cumsum(np.concatenate([[0], *sizes[1:]])).astype(np.int32)
                 table = pa.Table.from_batches([part]).drop_columns(["__rare"])
                 table = table.append_column("ids", pa.ListArray.from_arrays(pa.array(sizes), pa.array(values)))
                 table = table.append_column("n_tokens", pa.array(np.diff(sizes).astype(np.int64)))
                 if decoded:
-                    texts = [_read(values[a:b].tolist(), bytes_of) for a, b in zip(sizes, sizes[1:])]
-                    table = table.append_column("decoded", pa.array(texts, pa.string()))
+                    read = pc.binary_join(pa.ListArray.from_arrays(pa.array(sizes), bytes_of.take(pa.array(values))), b"")
+                    table = table.append_column("decoded", pa.array(map(_text, read.to_pylist()), pa.string()))
                 yield from table.to_batches()
 
     more = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]

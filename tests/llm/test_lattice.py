@@ -145,3 +145,58 @@ def test_texts_are_shuffled_compressed(spark):
     assert all(len(r.text or b"") < 400 for r in shuffled.collect())
     back = shuffled.mapInArrow(lambda batches: map(lattice.unpacked, batches), rows.schema)
     assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_counting_holds_no_string_for_each_unit(spark, model):
+    """Python objects of a counting task take little, however many units there are."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(f"{chr(97 + k % 26)}{np.base_repr(k * 7919, 36)}" for k in range(a, a + 400)) for a in range(0, 40_000, 400)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    units = lattice.unit_counts(spark.createDataFrame([(t,) for t in texts.to_pylist()], "text string"), model)
+    counts = {r.unit: r.n for r in units.collect()}
+    tracemalloc.start()
+    found = list(lattice.counted(iter([batch]), model))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {u: n for b in found for u, n in zip(*(c.to_pylist() for c in b.columns))} == counts
+    assert len(counts) > 10_000 and most < 12_000_000
+
+
+def test_batches_are_bounded_by_bytes(spark, model):
+    rows = docs(spark, [(k, f"word{k} " * 300) for k in range(6000)]).coalesce(1)
+    made = lattice.encode(rows, model)
+    assert made.count() == 6000
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    assert max(r.size for r in rows.mapInArrow(sizes, "size long").collect()) < 5 << 20
+
+
+def test_solved_units_leave_no_shuffle_files(spark, model):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    shuffles = lambda: {f.getName() for f in iter_scala(files()) if f.getName().startswith("shuffle_")}
+    iter_scala = lambda seq: [seq.apply(k) for k in range(seq.size())]
+    before = shuffles()
+    lattice.solved_units(docs(spark, [(k, f"word{k} and more") for k in range(50)]), model)
+    assert shuffles() <= before
+
+
+def test_one_shuffle_by_row(spark, model):
+    """The aggregate by row and the join by row share a shuffle; ids go in a few bytes."""
+    plan = lattice.encode(docs(spark, [(1, "some words"), (None, None)]), model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(__row") == 2
+    units = ["\u2581one", "two", "\u2581"]
+    rows = spark.createDataFrame([(u, list(range(9, 9 + 31000, 12000))[:k]) for k, u in enumerate(units)], "unit string, ids array<int>")
+    from pyspark.sql import functions as F
+
+    packed = rows.select(F.concat(F.encode(F.translate("unit", lattice.BLANK, " "), "UTF-8"), lattice.entry(F.col("ids"), model)).alias("e"))
+    own = lattice.read_entries(packed.toArrow().column("e").combine_chunks(), model)
+    ids, sizes = own.of(np.arange(3))
+    assert own.units.to_pylist() == units and sizes.tolist() == [0, 1, 2] and ids.tolist() == [9, 9, 12009]
