@@ -401,7 +401,7 @@ def packed(docs: DataFrame) -> DataFrame:
     place = names.index("text")
 
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=9)
+        codec = pa.Codec("zstd", compression_level=5)
         for batch in batches:
             data, sizes = [], []
             for (text,) in slices([batch], "text"):
