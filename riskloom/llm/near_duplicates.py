@@ -19,7 +19,11 @@ only if their sketches, a bit for the parity of each class of shingles, differ i
 than the texts of a link can differ in shingles, so that no link is lost by it.  They make it
 at the first shingles that they share, not again where they share one of the BEFORE before it.
 
-Every candidate link is checked.  Exact copies are one text from the start.  A band that very
+All candidate links then pass a sketch of the same kind with one to two bits for each shingle of
+a text, so that it tells long texts apart as well.  Of links that it rules out no shingles are
+sent, which take 64 bits each.  Steps are stored, and their shuffle files are dropped then.
+
+Every candidate link that is left is checked.  Exact copies are one text from the start.  A band that very
 many texts share gives two links for each of them and not all pairs; a text with very many
 links is checked in parts of at most PART links, to each of which its shingles are sent once.
 Nothing is gathered per group.
@@ -38,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import likely_in, same, slices, stored
+from riskloom.llm.common import likely_in, shuffles_dropped, slices, stored
 from riskloom.llm.components import components
 from riskloom.llm.simhash import fingerprint_of, links, shingle_hashes
 
@@ -55,6 +59,8 @@ COUNTED, LOCAL, MOST = 1 << 20, 4, 1 << 17
 SKETCH = 8
 # First shingles before a shared one that are looked at for one that is shared too.
 BEFORE = 4
+# Bits of the map of shared shingles for each of them, and at most (32 MB).
+SHARE, MOST_SLOTS = 64, 1 << 28
 _BITS = [f"b{k}" for k in range(SKETCH)]
 # Texts whose prefix a task remembers to have told.
 REMEMBERED = 1 << 16
@@ -88,16 +94,19 @@ def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, __row, fp, bands) of every row; ``frequent`` has the shingles that several
-    texts of a batch share, on the last row of the batch."""
+    """(doc_id, __row, fp, bands, size, odd) of every row, of which the last are the number of
+    shingles and ``odd_classes``; ``frequent`` has the shingles that several texts of a batch
+    share, on the last row of the batch."""
     def run(batches):
         for batch in batches:
-            prints, bands, common, sets, held, seen = [], [], [], [], 0, set()
+            prints, bands, sizes, odd, common, sets, held, seen = [], [], [], [], [], [], 0, set()
             for row, text in slices([batch], "__row", "text"):
                 hashes = shingle_hashes(text, width)
                 prints.append(fingerprint_of(hashes))
                 hashes = np.unique(hashes)
                 bands.append(band_values(hashes))
+                sizes.append(len(hashes))
+                odd.append(odd_classes(hashes))
                 if row not in seen:
                     seen.add(row)
                     sets.append(hashes)
@@ -118,8 +127,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(often)),
+                    pa.array(sizes, pa.int64()), pa.array(odd, pa.binary()),
                 ],
-                ["doc_id", "__row", "fp", "bands", "frequent"],
+                ["doc_id", "__row", "fp", "bands", "frequent", "size", "odd"],
             )
 
     def shared(sets):
@@ -128,7 +138,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "__row", "text").mapInArrow(
-        run, f"doc_id {kind}, __row long, fp long, bands array<long>, frequent array<long>"
+        run, f"doc_id {kind}, __row long, fp long, bands array<long>, frequent array<long>, size long, odd binary"
     )
 
 
@@ -162,6 +172,43 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def odd_classes(hashes: np.ndarray) -> bytes:
+    """The same for a number of classes that is a power of two, 64 at least, and one to two times
+    that of the hashes."""
+    classes = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Members that two sets differ in at least, from their odd classes."""
+    x, y, bits = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * max(len(a), len(b))
+    if len(a) < len(b):
+        a, b, x, y = b, a, y, x
+    while bits > 8 * len(b):
+        # A class is two of twice as many.
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    return (x ^ y).bit_count()
+
+
+def likely_links(candidates: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The candidate links but for those that the odd classes of their texts rule out; ``texts``
+    has node, size, odd."""
+    ends = candidates
+    for end in ("a", "b"):
+        ends = ends.join(texts.select(*[F.col(c).alias(n) for c, n in (("node", end), ("size", f"size_{end}"), ("odd", f"odd_{end}"))]), end)
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("size_a", "size_b", "odd_a", "odd_b")))
+            kept = [least_difference(x, y) * (1 + similarity) <= (m + n) * (1 - similarity) + 1e-6 for m, n, x, y in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    alike = F.least("size_a", "size_b") + 1e-6 >= similarity * F.greatest("size_a", "size_b")
+    return ends.where(alike).mapInArrow(run, "a long, b long")
+
+
 def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -> DataFrame:
     """(node, size, prefix, b0 ...) of each text: the number of its shingles, the first ones and
     its sketch of parities."""
@@ -198,6 +245,54 @@ def prefixes(docs: DataFrame, late: np.ndarray, width: int, similarity: float) -
     return told.dropDuplicates(["node"])
 
 
+def slots_of(tokens: DataFrame) -> np.ndarray:
+    """A map with a bit for the low bits of each of the stored tokens, SHARE bits to a token if they
+    are not too many; bytes with the low bit first."""
+    slots = min(MOST_SLOTS, 1 << max(15, (SHARE * tokens.count()).bit_length()))
+    # Buckets of 4,096 bytes, numbered from 1.
+    slot = F.pmod("token", F.lit(slots)) + 1
+    bits = tokens.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    out = np.zeros((slots >> 15, 4096), dtype=np.uint8)
+    for batch in bits.toArrow().to_batches():
+        for bucket, part in zip(batch.column("bucket").to_pylist(), batch.column("bits")):
+            out[bucket - 1] = np.frombuffer(part.as_buffer(), np.uint8)
+    return out.ravel()
+
+
+def placed_tokens(rooted: DataFrame, mapped: np.ndarray) -> DataFrame:
+    """(node, root, size, b0 ..., token, place, before) of those of each text's first shingles that
+    a map has: the shingle, the number of those before it, and the last BEFORE of these."""
+    mapped = rooted.sparkSession.sparkContext.broadcast(mapped)
+    kept = ["node", "root", "size", *_BITS]
+
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(at, 1000) for at in range(0, batch.num_rows, 1000)):
+                lists = part.column("prefix")
+                cuts = lists.offsets.to_numpy().astype(np.int64)
+                flat = lists.values.to_numpy()[cuts[0] : cuts[-1]]
+                cuts -= cuts[0]
+                slot = flat.view(np.uint64) & np.uint64(8 * len(mapped.value) - 1)
+                at = np.flatnonzero((mapped.value[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+                row = np.searchsorted(cuts, at, side="right") - 1
+                place = at - cuts[row]
+                count = np.minimum(place, BEFORE)
+                ends = np.concatenate([[0], np.cumsum(count)])
+                before = flat[np.repeat(at - count - ends[:-1], count) + np.arange(ends[-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c).take(pa.array(row)) for c in kept), pa.array(flat[at]), pa.array(place.astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(before)),
+                    ],
+                    [*kept, "token", "place", "before"],
+                )
+
+    own = ", ".join(f"{c} long" for c in kept)
+    return rooted.select(*kept, "prefix").mapInArrow(run, f"{own}, token long, place int, before array<long>")
+
+
 def crossing_links(firsts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b), a < b, that take in all pairs of texts of different groups that are
     similar enough; ``roots`` has the groups so far.
@@ -206,28 +301,20 @@ def crossing_links(firsts: DataFrame, roots: DataFrame, similarity: float) -> Da
     groups only: a shingle of one group makes no row.
     """
     spread = int(firsts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stored(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     # Nearly all shingles are one group's; only the others take the texts' figures along.
     met = rooted.select("root", F.explode("prefix").alias("token")).repartition(spread, "token").groupBy("token").agg(
         F.min("root").alias("low"), F.max("root").alias("high")
     )
     met = stored(met.where("low < high").select("token"), "shared")
-    # Each of the first shingles with its place and those just before it.
-    placed = F.transform(
-        "prefix",
-        lambda token, k: F.struct(
-            token.alias("token"), k.alias("place"),
-            F.slice("prefix", F.greatest(k - BEFORE + 1, F.lit(1)), F.least(k, F.lit(BEFORE))).alias("before"),
-        ),
+    entries = stored(placed_tokens(rooted, slots_of(met)), "entries")
+    main = entries.select("token", "root").repartition(spread, "token").groupBy("token", "root").count().groupBy("token").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main")
     )
-    entries = rooted.select("node", "root", "size", *_BITS, F.inline(placed))
-    entries = likely_in(entries, met, "token").repartition(spread, "token")
-    main = entries.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    entries = entries.join(main, "token")
-    apart = (
-        (F.col("x.root") != F.col("y.root")) & (F.col("x.root") != F.col("y.main"))
-        & ((F.col("y.root") == F.col("y.main")) | (F.col("x.root") < F.col("y.root")))
-    )
+    entries = entries.repartition(spread, "token").join(main, "token")
+    # A large group is not compared with itself.
+    others = entries.where("root <> main")
+    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.root") < F.col("y.root")))
     sizes = (F.least("x.size", "y.size") + 1e-6 >= similarity * F.greatest("x.size", "y.size"))
     unlike = reduce(Column.__add__, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in _BITS])
     bits = unlike * (1 + similarity) <= (F.col("x.size") + F.col("y.size")) * (1 - similarity) + 1e-6
@@ -236,7 +323,7 @@ def crossing_links(firsts: DataFrame, roots: DataFrame, similarity: float) -> Da
     most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     enough = most * (1 + similarity) + 1e-6 >= similarity * (F.col("x.size") + F.col("y.size"))
     return (
-        entries.alias("x")
+        others.alias("x")
         .join(entries.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & sizes & enough & ~again & bits)
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
@@ -341,15 +428,29 @@ def first_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8
     last, and of rows that repeat it that whose text has the least hash."""
     # The hash of a null text is no text's.
     keyed = docs.withColumn("__row", F.xxhash64("text"))
+    with shuffles_dropped(docs.sparkSession):
+        kept = stored(_first_rows(keyed, width, similarity, distance), "kept")
+    # Null ids are equal in a struct, so one shuffle by it serves both steps.
+    known = F.struct("doc_id").alias("__id")
+    return (
+        keyed.select("*", known).dropDuplicates(["__row", "__id"])
+        .join(kept.select("__row", known), ["__row", "__id"], "left_semi")
+        .select(*[f"`{c}`" for c in docs.columns])
+    )
+
+
+def _first_rows(keyed: DataFrame, width: int, similarity: float, distance: int) -> DataFrame:
+    """(doc_id, __row) of the row that stays of each group."""
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
     told = stored(sketches(keyed, width), "sketches")
     texts = stored(
         told.groupBy(F.col("__row").alias("node"))
-        .agg(F.min(first).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")),
+        .agg(F.min(first).alias("first"), *[F.first(c).alias(c) for c in ("fp", "bands", "size", "odd")]),
         "texts",
     )
 
     def held(candidates: DataFrame) -> DataFrame:
+        candidates = stored(likely_links(candidates, texts, similarity), "likely")
         ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         # One row of each text that has a candidate.
         one = texts.select("node", "first").join(ends, "node", "left_semi").select("node", "first.doc_id")
@@ -359,14 +460,9 @@ def first_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8
         return holding_links(candidates, plain, width, similarity)
 
     roots = components(held(stored(candidate_links(texts, distance), "candidates")))
-    firsts = stored(prefixes(keyed, frequent_shingles(told), width, similarity), "prefixes")
+    firsts = prefixes(keyed, frequent_shingles(told), width, similarity)
     more = stored(held(stored(crossing_links(firsts, roots, similarity), "crossing")), "more")
     if not more.isEmpty():
         roots = components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     rooted = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.__row")
-    return (
-        keyed.alias("d")
-        .join(kept.alias("k"), same("d", "k", ["doc_id", "__row"]), "left_semi")
-        .dropDuplicates(["doc_id", "__row"]).drop("__row")
-    )
+    return rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.__row")

@@ -136,6 +136,84 @@ def test_texts_that_share_a_passage_make_no_rows(spark):
     assert max(join_rows(plan)) < 10 * len(rows)
 
 
+def test_odd_classes_lose_no_link_and_tell_long_texts_apart():
+    rng = np.random.default_rng(7)
+    for size in (0, 1, 7, 64, 65, 1000, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for share in (0, 0.01, 0.1, 0.3, 1, 3):
+            b = np.unique(np.append(a[rng.random(len(a)) >= share], rng.integers(0, 2**63, int(size * share)).astype(np.uint64)))
+            both = [near.odd_classes(x) for x in (a, b)]
+            apart = len(np.setxor1d(a, b))
+            assert near.least_difference(*both) == near.least_difference(*both[::-1]) <= apart
+            assert len(both[0]) <= max(8, len(a) / 4)
+            if size >= 1000 and share >= 0.3:
+                assert near.least_difference(*both) > (len(a) + len(b)) / 9
+            if size >= 1000 and share == 0.01:
+                assert near.least_difference(*both) > 0.9 * apart
+
+
+def test_shingles_of_unlike_long_texts_go_nowhere(spark, monkeypatch):
+    """Long texts of which each two share a passage are candidates, but no text of theirs is sent."""
+    rng, count = random.Random(11), 12
+    words = [[[f"w{rng.randrange(10**9)}" for _ in range(30)] for _ in range(60)] for _ in range(count)]
+    for i in range(count):
+        for j in range(i):
+            words[i][j] = words[j][i]
+    rows = [(i, " ".join(w for part in parts for w in part)) for i, parts in enumerate(words)]
+    rows += [(100 + i, f"{t} x") for i, (_, t) in enumerate(rows[:3])]
+    sent, tried, holding, crossing = [], [], near.holding_links, near.crossing_links
+
+    def counted(candidates, *rest):
+        sent.append(candidates.count())
+        return holding(candidates, *rest)
+
+    def met(*given):
+        found = crossing(*given)
+        tried.append(found.count())
+        return found
+
+    monkeypatch.setattr(near, "holding_links", counted)
+    monkeypatch.setattr(near, "crossing_links", met)
+    kept = near.first_of_each_group(docs(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(count))
+    assert tried[0] > 30 and sum(sent) < 10
+
+
+def test_texts_are_dealt_out_once_at_the_end(spark):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "g h i j k l"), (2, "g h i j k l"), (2, None)]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        kept = near.first_of_each_group(docs(spark, rows))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        found = [(r.doc_id, r.text) for r in kept.collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(found, key=str) == sorted([(2, None), (2, "g h i j k l"), (None, "a b c d e f")], key=str)
+    # The texts and the keys that stay.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_map_of_shared_shingles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    flat = rng.integers(-(2**63), 2**63, 3000)
+    tokens = spark.createDataFrame([(int(t),) for t in flat[::3]], "token long")
+    lists = [flat[:0], flat[:700], flat[:0], flat[700:2999], flat[2999:]]
+    rooted = spark.createDataFrame(
+        [(i, 10 + i, len(x), x.tolist(), *range(near.SKETCH)) for i, x in enumerate(lists)],
+        "node long, root long, size long, prefix array<long>, " + ", ".join(f"{b} long" for b in near._BITS),
+    )
+    for most in (near.MOST_SLOTS, 1 << 15):
+        monkeypatch.setattr(near, "MOST_SLOTS", most)
+        found = near.placed_tokens(rooted.coalesce(1), near.slots_of(tokens)).collect()
+        assert {int(t) for t in flat[::3]} <= {r.token for r in found} and len(found) < 1500
+        for r in found:
+            own = lists[r.node].tolist()
+            assert own[r.place] == r.token and r.before == own[max(0, r.place - near.BEFORE) : r.place]
+            assert (r.root, r.size, r.b0, r.b7) == (10 + r.node, len(own), 0, 7)
+
+
 def join_rows(node) -> list[int]:
     """Rows that each join of a run plan returned."""
     kind = node.getClass().getSimpleName()
